@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from tessera.plans import columns, scalars  # noqa: F401
+from tessera.plans.registry import ORACLES, QUERIES  # noqa: F401
