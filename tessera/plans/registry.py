@@ -60,15 +60,15 @@ HOLES = Input(
 )
 #: Predictions of three branches: y, probability p, regression value v, fold and group.
 PREDS = Input(
-    "lineitem",
+    "orders",
     (
-        "l_orderkey * 8 + l_linenumber AS id",
-        "CONCAT('b', CAST(l_orderkey % 3 AS STRING)) AS branch",
-        "CAST(l_orderkey % 5 AS INT) AS fold",
-        "CAST(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS INT) AS y",
-        "0.05 + l_discount * 4 + l_tax * 5 + CASE WHEN l_returnflag = 'R' THEN 0.1 ELSE 0.0 END AS p",
-        "l_quantity AS v",
-        "l_quantity * (0.9 + l_discount) AS v_hat",
+        "o_orderkey AS id",
+        "CONCAT('b', CAST(o_orderkey % 3 AS STRING)) AS branch",
+        "CAST(floor(o_orderkey / 3) % 5 AS INT) AS fold",
+        "CAST(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS INT) AS y",
+        "0.05 + (o_custkey % 11) / 25 + (o_orderkey % 9) / 20 + CASE WHEN o_orderstatus = 'F' THEN 0.1 ELSE 0.0 END AS p",
+        "1.0 + floor(o_totalprice) % 50 AS v",
+        "(1.0 + floor(o_totalprice) % 50) * (0.9 + (o_orderkey % 11) / 100) AS v_hat",
     ),
 )
 #: Runs of an experiment ledger, a row per order of one status.
@@ -77,8 +77,8 @@ RUNS = Input(
     (
         "o_orderkey AS experiment_id",
         "CONCAT('b', CAST(o_custkey % 7 AS STRING)) AS branch_name",
-        "CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE round(o_totalprice / 100000, 4) END AS oof_score",
-        "CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE round(o_totalprice / 90000, 4) END AS oof_rmse",
+        "CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE floor(o_totalprice / 10) / 10000 END AS oof_score",
+        "CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE floor(o_totalprice / 9) / 10000 END AS oof_rmse",
         "CASE WHEN o_orderstatus = 'F' THEN 'PASS' WHEN o_orderstatus = 'O' THEN 'FAIL' ELSE 'PENDING' END AS gate_result",
         "o_orderdate AS created_at",
     ),

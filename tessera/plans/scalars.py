@@ -72,7 +72,7 @@ def strip_strategy_prefix(spark, sf):
     return read(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), S.strip_strategy_prefix(raw).alias("tag"))
 
 
-@query("h18_mentions", "SELECT doc_id AS id, list_aggregate(list_filter(['the', 'und', 'que', 'not-there'], w -> contains(lower(text), w)), 'string_agg', ',') AS words, len(list_filter(['the', 'und', 'que', 'not-there'], w -> contains(lower(text), w))) > 0 AS any_word FROM documents")
+@query("h18_mentions", "SELECT doc_id AS id, list_aggregate(list_filter(['the', 'und', 'que', 'not-there'], lambda w: contains(lower(text), w)), 'string_agg', ',') AS words, len(list_filter(['the', 'und', 'que', 'not-there'], lambda w: contains(lower(text), w))) > 0 AS any_word FROM documents")
 def mentions(spark, sf):
     found = S.mentions("text", ["the", "und", "que", "not-there"])
     return read(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.when(F.size(found) > 0, F.array_join(found, ",")).alias("words"), (F.size(found) > 0).alias("any_word"))
