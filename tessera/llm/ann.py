@@ -106,9 +106,11 @@ def best(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, row_ids:
 
 
 def _merge(found: DataFrame, k: int, *keys: str) -> DataFrame:
-    """Best k of the lists in column `hits` (structs of -score and vec_id)."""
-    flat = F.array_sort(F.array_distinct(F.flatten(F.collect_list("hits"))))
-    return found.groupBy(*keys).agg(F.slice(flat, 1, k).alias("hits"))
+    """Best k of the lists in column `hits` (structs of -score and vec_id). A
+    pair scores alike in each list, so repeats lie side by side once sorted."""
+    every = found.groupBy(*keys).agg(F.array_sort(F.flatten(F.collect_list("hits"))).alias("a"))
+    once = F.filter("a", lambda x, i: (i == 0) | (x.vec_id != F.get("a", i - 1).vec_id))
+    return every.select(*keys, F.slice(once, 1, k).alias("hits"))
 
 
 HITS = "array<struct<neg:double,vec_id:long>>"
