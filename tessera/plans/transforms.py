@@ -60,21 +60,21 @@ def _bins(edges):
 
 
 Q5 = "[0.2, 0.4, 0.6, 0.8]"
-BIN_ROWS = f"(SELECT id, fold, y, CASE WHEN id % 13 = 0 THEN NULL ELSE p END AS x FROM {PREDS.sql})"
+BIN_ROWS = f"(SELECT id, fold, y, CASE WHEN id % 13 = 0 THEN NULL ELSE round(p, 6) END AS x FROM {PREDS.sql})"
 
 
 @query("i04_target_bin_mean_cv", f"""WITH f AS (SELECT DISTINCT fold AS f FROM {PREDS.sql}), e AS (SELECT f, quantile_cont(x, {Q5}) AS q, avg(y) AS a FROM f JOIN {BIN_ROWS} r ON r.fold <> f GROUP BY f),
  m AS (SELECT e.f, {_bins('q')} AS b, avg(y) AS m FROM e JOIN {BIN_ROWS} r ON r.fold <> e.f GROUP BY ALL)
 SELECT id, round(coalesce(m.m, a), 9) AS x_bin_mean FROM (SELECT id, e.f, a, {_bins('q')} AS b FROM {BIN_ROWS} r JOIN e ON e.f = r.fold) r LEFT JOIN m ON m.f = r.f AND m.b = r.b""")
 def target_bin_mean_cv(spark, sf):
-    d = PREDS.df(spark, sf).select("id", "fold", "y", F.when(F.col("id") % 13 != 0, F.col("p")).alias("x"))
+    d = PREDS.df(spark, sf).select("id", "fold", "y", F.when(F.col("id") % 13 != 0, F.round("p", 6)).alias("x"))
     return rounded(T.target_bin_mean(d, d, "x", "y", 5, "fold")[0].select("id", "x_bin_mean"), x_bin_mean=9)
 
 
 @query("i04_target_bin_mean", f"""WITH e AS (SELECT quantile_cont(x, {Q5}) AS q, avg(y) AS a FROM {BIN_ROWS}), m AS (SELECT {_bins('q')} AS b, avg(y) AS m FROM e, {BIN_ROWS} GROUP BY 1)
 SELECT id, round(coalesce(m.m, a), 9) AS x_bin_mean FROM (SELECT id, a, {_bins('q')} AS b FROM {BIN_ROWS}, e) r LEFT JOIN m ON m.b = r.b""")
 def target_bin_mean(spark, sf):
-    d = PREDS.df(spark, sf).select("id", "y", F.when(F.col("id") % 13 != 0, F.col("p")).alias("x"))
+    d = PREDS.df(spark, sf).select("id", "y", F.when(F.col("id") % 13 != 0, F.round("p", 6)).alias("x"))
     return rounded(T.target_bin_mean(d, d, "x", "y", 5)[1].select("id", "x_bin_mean"), x_bin_mean=9)
 
 

@@ -156,7 +156,7 @@ def test_texts(spark):
     df = spark.createDataFrame([("branch:x|oof:0.1|features:3|calib:none", " Ext-Data  Use ")], "c string, t string")
     r = df.select(S.parse_comment("c").alias("m"), S.normalise_token("t").alias("t")).first()
     assert r.m["branch"] == "x" and r.m["features"] == "3" and r.t == "ext_data_use"
-    p = spark.createDataFrame([("Evaluation metric is RMSLE; 5 submissions per day. 30% of the test data. $ 10,000",)], "body string")
+    p = spark.createDataFrame([("Evaluation metric: RMSLE; 5 submissions per day. 30% of the test data. $ 10,000",)], "body string")
     x = text.extract_rules(p, "body").first()
     assert (x.metric, x.daily_limit, x.split_percent, x.prize, x.deadline) == ("rmsle", 5, 30, 10000, None)
 
