@@ -150,3 +150,46 @@ def merge_banned(spark, sf):
 def split_overlap(spark, sf):
     x = LINES.df(spark, sf)
     return sets.split_overlap(x.filter("line <= 3"), x.filter("qty > 25"), "id")
+
+
+def _folder(spark):
+    from tessera.plans.ledger import _temp
+
+    return _temp(spark)
+
+
+@query("a01_read_csv", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
+def read_csv(spark, sf):
+    path, c = f"{_folder(spark)}.csv", read(spark, sf, "customer")
+    c.write.option("header", True).csv(path)
+    return tables.read_table(spark, path, schema=c.schema)
+
+
+@query("a03_load_manifest", "SELECT 'nation' AS name, count(*) AS n FROM nation UNION ALL SELECT 'orders', count(*) FROM orders")
+def load_manifest(spark, sf):
+    found = tables.load_manifest(spark, sf, {"nation": "nation.parquet", "orders": "orders.parquet", "none": "none.parquet"})
+    one = [df.agg(F.lit(n).alias("name"), F.count("*").alias("n")) for n, df in found.items()]
+    return one[0].unionByName(one[1])
+
+
+@query("a05_write_features", "SELECT p_partkey, p_size, CASE WHEN p_partkey % 2 = 0 THEN 'b0' ELSE 'b1' END AS branch FROM part")
+def write_features(spark, sf):
+    path, p = _folder(spark), read(spark, sf, "part").select("p_partkey", "p_size")
+    for k in (0, 1, 1):
+        tables.write_features(p.filter(F.col("p_partkey") % 2 == k), path, f"b{k}")
+    return spark.read.parquet(path)
+
+
+@query("a06_write_predictions", f"SELECT id, p, branch, 'y' AS target, 'oof' AS kind FROM {PREDS.sql}")
+def write_predictions(spark, sf):
+    path, p = _folder(spark), PREDS.df(spark, sf)
+    for b in ("b0", "b1", "b2"):
+        tables.write_predictions(p.filter(F.col("branch") == b).select("id", "p"), path, b, "y", "oof")
+    return spark.read.parquet(path)
+
+
+@query("a07_write_submission", "SELECT c_custkey AS id, c_nationkey AS label FROM customer")
+def write_submission(spark, sf):
+    c = read(spark, sf, "customer").select(F.col("c_custkey").alias("id"), F.col("c_nationkey").alias("label"))
+    out = tables.write_submission(c, _folder(spark), "labels", "id")
+    return tables.read_table(spark, out, schema=c.schema) if out.endswith(".csv") else spark.read.schema(c.schema).option("header", True).csv(out)

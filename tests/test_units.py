@@ -173,3 +173,30 @@ def test_package_stands_without_the_text_operators():
 
     code = "import sys, importlib.util as u; f = u.find_spec; u.find_spec = lambda n, *a: None if n.startswith(('tessera.llm', 'corpus_pipeline')) else f(n, *a); import __spark_entry__ as e; assert not any(k.startswith('op') for k in e.queries()); assert 'tessera.llm' not in sys.modules"
     subprocess.run([sys.executable, "-c", code], check=True)
+
+
+def test_extractors(spark):
+    from tessera.sources import extractors
+
+    base = spark.createDataFrame([(1, 0, True), (2, 1, False), (3, 1, True)], "k long, y int, train boolean")
+    fact = spark.createDataFrame([(1, 2.0), (1, 4.0), (2, 1.0)], "k long, v double")
+    config = {"key": "k", "target": "y", "split": "train", "facts": [{"table": "fact", "measures": {"v": ["sum", "max"]}}]}
+    train, test = extractors.extract("entity_aggregates", spark, {"base": base, "fact": fact}, config)
+    assert rows(train.select("k", "fact_n", "v_sum")) == [(1, 2, 6.0), (3, 0, 0.0)] and test.columns == ["k", "train", "fact_n", "v_sum", "v_max"]
+    with pytest.raises(KeyError):
+        extractors.extract("none", spark, {}, {})
+
+
+def test_fold_callback_sees_training_side_only(spark):
+    from tessera.operators import models
+
+    df = spark.createDataFrame([(i, float(i % 7), int(i % 7 > 3), i % 3) for i in range(90)], "id long, x double, y int, fold int")
+    seen = []
+
+    def features(fit, to, fold):
+        seen.append((fold, fit.filter(F.col("fold") == fold).count()))
+        m = fit.agg(F.avg("x")).first()[0]
+        return tuple(d.withColumn("d", F.col("x") - m) for d in (fit, to))
+
+    oof, pred = models.train_cv(df, df.drop("y", "fold"), ["x", "d"], "y", "classification", "lr", features=features)
+    assert seen == [(0, 0), (1, 0), (2, 0)] and oof.count() == 90 and pred.count() == 90
