@@ -26,6 +26,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def slices(batches, rows: int = 512):
+    """Arrow batches in slices of at most `rows`: what a task holds in Python
+    objects at once stays small however long the texts of a batch are."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write `df` as Parquet below the shared folder and read it back; unlike
     `cut` the copy is columnar, so later stages read only what they use."""

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tessera.llm.common import stored
+from tessera.llm.common import slices, stored
 from tessera.llm.tokens import encoder
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -23,10 +23,10 @@ def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, with
 
     def run(batches):
         enc, end = encoder(tokenizer), int(end_id).to_bytes(4, "little")
-        for batch in batches:
+        for batch in slices(batches):
             out = []
-            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
-                ids = enc.ids(text) + end
+            for doc_id, ids in zip(batch["doc_id"].to_pylist(), enc.ids(batch["text"].to_pylist())):
+                ids += end
                 for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]
                     out.append((doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part), part))

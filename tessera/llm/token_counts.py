@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, functions as F
 
+from tessera.llm.common import slices, stored
 from tessera.llm.tokens import encoder
 
 CACHE = "content binary, tokenizer string, n_tokens long"
@@ -34,8 +35,8 @@ def encode_misses(texts: DataFrame, tokenizer: str, version: str) -> DataFrame:
 
     def run(batches):
         enc = encoder(tokenizer)
-        for b in batches:
-            n = [len(enc.ids(t)) // 4 for t in b["text"].to_pylist()]
+        for b in slices(batches):
+            n = [len(ids) // 4 for ids in enc.ids(b["text"].to_pylist())]
             yield pa.RecordBatch.from_arrays([b["content"], pa.array([version] * len(n), pa.string()), pa.array(n, pa.int64())], ["content", "tokenizer", "n_tokens"])
 
     return texts.select("content", "text").mapInArrow(run, CACHE)
@@ -57,6 +58,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache_path: str, limit: int =
     misses = distinct.join(known.select("content"), "content", "left_anti")
     encode_misses(misses, tokenizer, version).write.mode("append").parquet(cache_path)
     counts = read_cache(spark, cache_path).filter(F.col("tokenizer") == version).select("content", "n_tokens").dropDuplicates(["content"])
+    counts = stored(counts, "token-counts")  # a plain scan below the join: a hot digest can then be split
     return base.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "content").join(counts, "content").select(
         "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")
     )

@@ -8,11 +8,11 @@ little-endian uint32 bytes in a two-generation cache of bounded size.
 from __future__ import annotations
 
 import json
+import os
 import re
+from array import array
 
-import numpy as np
-
-CACHE_CHUNKS = 300_000
+CACHE_CHUNKS = 200_000
 #: White space other than blank, tab, CR and LF: such texts are encoded whole.
 ODD_SPACE = re.compile(r"[\x0b\x0c\x1c-\x1f\x85\xa0  -     　]").search
 #: Letters in composed form, then marks: the two always become separate pre-tokens.
@@ -20,26 +20,34 @@ PLAIN = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?*$%&#|]*)").fullmatch
 CHUNKS = re.compile(r"[ \t\r\n]*[^ \t\r\n]+|[ \t\r\n]+").findall
 
 
-class ChunkIds(dict):
-    """chunk -> ids as bytes; misses go to the library."""
+class ChunkIds:
+    """chunk -> ids as bytes in `now`, for all chunks given to `fill` last. Those
+    seen before come from one of two generations; the rest are encoded together."""
 
     def __init__(self, encode, fold: bool):
-        super().__init__()
-        self.encode, self.fold, self.old = encode, fold, {}
-
-    def __missing__(self, chunk: str) -> bytes:
-        found = self.old.get(chunk)
-        if found is None:
-            parts = PLAIN(chunk)
-            letters, marks = parts.groups() if parts else (chunk, "")
-            if parts and self.fold:
-                letters = letters.lower()
-            found = self[letters] + self[marks] if marks or letters != chunk else self.encode(chunk)
-        if len(self) >= CACHE_CHUNKS:
-            self.old = dict(self)
-            self.clear()
-        self[chunk] = found
-        return found
+        self.encode, self.fold = encode, fold
+        self.now, self.old = {"": b""}, {}
+
+    def _parts(self, chunk: str) -> tuple[str, str]:
+        found = PLAIN(chunk)
+        if not found:
+            return chunk, ""
+        letters, marks = found.groups()
+        return (letters.lower() if self.fold else letters), marks
+
+    def fill(self, chunks: set[str]) -> None:
+        if len(self.now) + len(chunks) > CACHE_CHUNKS:
+            self.now, self.old = {"": b""}, self.now
+        now, old = self.now, self.old
+        new = chunks.difference(now)  # a plain dict: looked up, not walked through
+        now.update((c, old[c]) for c in new if c in old)
+        new = new.difference(now)
+        parts = {c: self._parts(c) for c in new}
+        need = {x for pair in parts.values() for x in pair}.difference(now)
+        now.update(zip(need, self.encode(list(need))))
+        for c, (letters, marks) in parts.items():
+            if c != letters:
+                now[c] = now[letters] + now[marks]
 
 
 class TextEncoder:
@@ -51,6 +59,7 @@ class TextEncoder:
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals out the cores
         from tokenizers import Tokenizer
 
         self.lib = Tokenizer.from_file(path)
@@ -63,17 +72,25 @@ class TextEncoder:
         self.by_spaces = not kind.get("normalizer") and pre.get("type") == "ByteLevel" and pre.get("use_regex")
         self.cache = ChunkIds(self._encode, fold=self.by_words)
 
-    def _encode(self, text: str) -> bytes:
-        [found] = self.lib.encode_batch_fast([text], add_special_tokens=False)
-        return np.array(found.ids, dtype="<u4").tobytes()
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def ids(self, text: str) -> bytes:
-        """Ids of the whole text, four bytes each."""
+    def _chunks(self, text: str) -> list[str] | None:
+        """None: the text has to be encoded whole."""
         if self.by_words:
-            return b"".join(map(self.cache.__getitem__, text.replace("\n", " ").split(" ")))
-        if self.by_spaces and not ODD_SPACE(text):
-            return b"".join(map(self.cache.__getitem__, CHUNKS(text)))
-        return self._encode(text)
+            return text.replace("\n", " ").split(" ")
+        return CHUNKS(text) if self.by_spaces and not ODD_SPACE(text) else None
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        """Ids of each whole text, four bytes each."""
+        out = []
+        for at in range(0, len(texts), 64):
+            own = texts[at : at + 64]
+            split = [self._chunks(t) for t in own]
+            self.cache.fill(set().union(*(s for s in split if s is not None)))
+            get = self.cache.now.__getitem__
+            out += [b"".join(map(get, s)) if s is not None else self._encode([t])[0] for s, t in zip(split, own)]
+        return out
 
 
 _encoders: dict[str, TextEncoder] = {}
