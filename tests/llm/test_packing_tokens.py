@@ -12,7 +12,7 @@ from tessera.llm.tokens import TextEncoder
 WORDS, BYTES = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
 ODD = [
     "", " ", "\n", "  two  blanks ", "tab\tand\r\nline", "nbsp  and   em", "á é", "́lead", "I'll've it's WE'RE", "x<|endoftext|>y <|startoftext|> z",
-    "12345 6.7,8", "***$$$ &&& word*** Éa.", "日本語 テキスト", "\x1c!\x1c ?\x0b", "ﬁ ß ẞ İ Σς", "a" * 3000, "😀 😀😀", "end ", "\n\n para\n\n\n x", "e ́ x", "don't, 'tis",
+    "12345 6.7,8", "***$$$ &&& word*** Éa.", "日本語 テキスト", "\x1c!\x1c ?\x0b", "ﬁ ß ẞ İ Σς", "a" * 3000, "😀 😀😀", "end ", "\n\n para\n\n\n x", "e ́ x", "don't, 'tis", "ΣΑΣ. ΟΔΟΣ", "İstanbul. ÀÉ Ǆ, ǆ", "각. 각", "X𞀰. ꟊ!", "a.b.c ...", "###x### é.é",
 ]
 
 
