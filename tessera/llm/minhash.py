@@ -6,9 +6,10 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tessera.llm.common import cut, stored
+from tessera.llm.common import cut, slices, stored
 from tessera.llm.components import connected_components
 
 # Odd multipliers of the splitmix64 finalizer (fixed values).
@@ -30,7 +31,7 @@ class Words(dict):
     def __missing__(self, word: str) -> int:
         if len(self) >= WORD_CACHE:
             self.clear()
-        h = int.from_bytes(hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+        h = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
         self[word] = h
         return h
 
@@ -64,26 +65,26 @@ def prob_minhash(hashes: np.ndarray, weights: np.ndarray, registers: int) -> np.
 
     Each element is a Poisson process of rate proportional to its weight; an
     arrival goes to a random register, which keeps the element that came first.
-    All elements advance by one arrival a round, and an element stops as soon
-    as its time is past the latest register, so most stop after one or two."""
+    Arrivals come a few at a time for all elements at once; an element is done
+    as soon as its time is past the latest register. About registers *
+    log(registers) arrivals fill the registers, so a set of hundreds of elements
+    needs two or three each and a long one mostly one."""
     first, owner = np.full(registers, np.inf), np.zeros(registers, "uint64")
-    live, state, rate, time = hashes, hashes, weights.astype("float64"), np.zeros(len(hashes))
-    while len(live):
-        state = mixed(state)
-        u = ((state >> np.uint64(11)).astype("float64") + 0.5) * 2.0**-53
-        time = time - np.log(u) / rate
-        state = mixed(state)
-        place = (state % np.uint64(registers)).astype("int64")
-        # the earliest arrival in each register this round, ties to the smaller element
-        order = np.lexsort((live, time))[::-1]
-        slot = np.full(registers, -1)
-        slot[place[order]] = order  # the last write is the earliest
-        hit = np.nonzero(slot >= 0)[0]
-        who = slot[hit]
-        better = time[who] < first[hit]
-        first[hit[better]], owner[hit[better]] = time[who[better]], live[who[better]]
+    item, rate, time, at = hashes, weights.astype("float64"), np.zeros(len(hashes)), 0
+    while len(item):
+        each = max(1, int(np.ceil(registers * (np.log(registers) + 1) / len(hashes)))) if not at else 2
+        state = mixed(item[:, None] + (np.arange(at, at + each, dtype="uint64") * MIX_A)[None, :])
+        at += each
+        # the upper 53 bits give the waiting time, the lower 11 the register
+        wait = -np.log(((state >> np.uint64(11)).astype("float64") + 0.5) * 2.0**-53) / rate[:, None]
+        times = np.cumsum(wait, axis=1) + time[:, None]
+        place = ((state & np.uint64(2047)).astype("int64") * registers) >> 11
+        np.minimum.at(first, place.ravel(), times.ravel())
+        row, col = np.nonzero(times == first[place])
+        owner[place[row, col]] = item[row]
+        time = times[:, -1]
         go = time < first.max()
-        live, state, rate, time = live[go], state[go], rate[go], time[go]
+        item, rate, time = item[go], rate[go], time[go]
     return owner
 
 
@@ -112,7 +113,7 @@ def signatures(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
     keys are null for a text without words."""
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches, 2048):
             digests, keys, seen = [], [], {}
             for text in b["text"].to_pylist():
                 digest = hashlib.blake2b((text or "").encode("utf-8", "surrogatepass"), digest_size=16).digest()
