@@ -3,22 +3,24 @@
 from __future__ import annotations
 
 import re
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+import xxhash
+from pyspark.sql import Column, DataFrame, functions as F
 
-from tessera.llm.common import slices
+from tessera.llm.common import slices, stored
 
-from tessera.llm.common import stored
-
-#: Entries of the shared vocabulary, word shapes and the start mark included.
-#: A model is at most VOCABULARY ** 2 float32, 16 MB, whatever the corpus.
+#: Words that the added one of the unigrams is spread over at least; a corpus
+#: with more distinct words spreads it over all of them.
 VOCABULARY = 2048
 START = 0
 #: Target ids to broadcast at most (8 bytes each); beyond, texts are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
+#: Bigrams with at least one in HOT of all tokens, so HOT of them at most, are
+#: scored from a broadcast; the others are joined.
+HOT = 1 << 17
+DISCOUNT = 0.75
 SHAPES = 60
 CACHE = 400_000
 LETTERS = re.compile(r"[^\W\d_]+").fullmatch
@@ -33,21 +35,8 @@ def shape(word: str) -> int:
     return 1 + kind * 12 + min(len(word), 12) - 1
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """word and n over all documents; summed in each batch before the shuffle."""
-
-    def run(batches):
-        for b in batches:
-            n = Counter()
-            for t in b["text"].to_pylist():
-                n.update(t.lower().split())
-            yield pa.RecordBatch.from_arrays([pa.array(list(n.keys()), pa.string()), pa.array(list(n.values()), pa.int64())], ["word", "n"])
-
-    return docs.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-
-
 class Vocabulary(dict):
-    """word -> id: the most frequent words of the corpus; others by shape."""
+    """word -> id: the given words; others by shape."""
 
     def __init__(self, words: list[str]):
         super().__init__((w, 1 + SHAPES + i) for i, w in enumerate(words))
@@ -63,66 +52,76 @@ class Vocabulary(dict):
         self[word] = found = shape(word)
         return found
 
-    def pairs(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Bigram codes of all texts in a row, the first with START, and the
+
+class Hashes(dict):
+    """word -> 64-bit hash, of every word; holds the CACHE last met."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= CACHE:
+            self.clear()
+        self[word] = found = xxhash.xxh3_64_intdigest(word)
+        return found
+
+    def pairs(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Word before (START at first) and word of all texts in a row, and the
         number of words of each text."""
         each = []
         for t in texts:
             words = t.lower().split()
-            each.append(np.fromiter(map(self.__getitem__, words), "int64", len(words)))
+            each.append(np.fromiter(map(self.__getitem__, words), "uint64", len(words)))
         n = np.array([len(e) for e in each], "int64")
-        ids = np.concatenate(each) if each else np.empty(0, "int64")
+        ids = np.concatenate(each) if each else np.empty(0, "uint64")
         before = np.empty_like(ids)
         before[1:] = ids[:-1]
         starts = np.cumsum(n) - n
         before[starts[n > 0]] = START
-        return before * VOCABULARY + ids, n
+        return before, ids, n
+
+
+def coded(before: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Key of each bigram; `code` is the same of columns."""
+    return ((before << np.uint64(21) | before >> np.uint64(43)) ^ ids).view("int64")
+
 
+def code() -> Column:
+    return F.shiftleft("before", 21).bitwiseOR(F.shiftrightunsigned("before", 43)).bitwiseXOR(F.col("word"))
 
-def bigram_counts(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """code, target and background counts; docs: text and is_target."""
+
+def bigram_counts(docs: DataFrame) -> DataFrame:
+    """before, word, target and background counts of every bigram; docs: text
+    and is_target. Summed in each slice before the shuffle."""
 
     def run(batches):
+        hashes = Hashes()
         for b in slices(batches, 4096):
-            codes, n = vocabulary.pairs(b["text"].to_pylist())
+            before, ids, n = hashes.pairs(b["text"].to_pylist())
             wanted = np.repeat(np.array(b["is_target"].to_pylist(), "bool"), n)
-            every, where = np.unique(codes, return_inverse=True)
+            every, first, where = np.unique(coded(before, ids), return_index=True, return_inverse=True)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(every), pa.array(np.bincount(where[wanted], minlength=len(every))), pa.array(np.bincount(where, minlength=len(every)))],
-                ["code", "target", "background"],
+                [pa.array(before[first].view("int64")), pa.array(ids[first].view("int64")), pa.array(np.bincount(where[wanted], minlength=len(every))), pa.array(np.bincount(where, minlength=len(every)))],
+                ["before", "word", "target", "background"],
             )
 
-    return docs.select("text", "is_target").mapInArrow(run, "code long, target long, background long").groupBy("code").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
+    rows = docs.select("text", "is_target").mapInArrow(run, "before long, word long, target long, background long")
+    return rows.groupBy("before", "word").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
 
 
-def gathered(counts: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The finished counts on the driver, packed by tasks into 12 bytes an entry:
-    at most VOCABULARY ** 2 entries, 50 MB, whatever the corpus."""
+def bigram_losses(counts: DataFrame) -> tuple[DataFrame, int]:
+    """code, n and both losses of every bigram, and the number of tokens.
+    Absolute discounting, backed off to a unigram with one added to each word."""
+    models = ("target", "background")
+    contexts = stored(counts.groupBy("before").agg(*[F.sum(m).alias(f"{m}_total") for m in models], *[F.count_if(F.col(m) > 0).alias(f"{m}_kinds") for m in models]), "contexts")
+    words = stored(counts.groupBy("word").agg(*[F.sum(m).alias(f"{m}_word") for m in models]), "words")
+    size = words.agg(F.count("*").alias("words"), *[F.coalesce(F.sum(f"{m}_word"), F.lit(0)).alias(m) for m in models]).first()
 
-    def run(batches):
-        for b in batches:
-            parts = [b[c].to_numpy().astype(t).tobytes() for c, t in (("code", "int32"), ("target", "float32"), ("background", "float32"))]
-            yield pa.RecordBatch.from_arrays([pa.array([p], pa.binary()) for p in parts], ["code", "target", "background"])
-
-    rows = counts.mapInArrow(run, "code binary, target binary, background binary").collect()
-    return tuple(np.frombuffer(b"".join(r[i] for r in rows), t) for i, t in enumerate(("int32", "float32", "float32")))
-
-
-def log_probabilities(codes: np.ndarray, counts: np.ndarray, discount: float = 0.75) -> np.ndarray:
-    """log p(word | word before) for every pair of the vocabulary: absolute
-    discounting, backed off to a unigram with one added to each entry."""
-    grid = np.zeros(VOCABULARY * VOCABULARY, "float32")
-    grid[codes] = counts
-    grid = grid.reshape(VOCABULARY, VOCABULARY)
-    unigram = grid.sum(axis=0, dtype="float64") + 1
-    unigram /= unigram.sum()
-    total = grid.sum(axis=1, dtype="float64")
-    seen = (grid > 0).sum(axis=1)
-    rest = np.where(total > 0, discount * seen / np.maximum(total, 1), 1.0)
-    np.maximum(grid - np.float32(discount), 0, out=grid)
-    grid /= np.maximum(total, 1)[:, None].astype("float32")
-    grid += rest.astype("float32")[:, None] * unigram.astype("float32")[None, :]
-    return np.log(grid, out=grid)
+    def loss(m):
+        total, n = F.col(f"{m}_total"), F.col(m)
+        unigram = (F.col(f"{m}_word") + 1) / F.lit(float(size[m] + max(VOCABULARY, size["words"])))
+        rest = F.when(total > 0, DISCOUNT * F.col(f"{m}_kinds") / total).otherwise(1.0)
+        return (-F.log(F.greatest(n - DISCOUNT, F.lit(0.0)) / F.greatest(total, F.lit(1)) + rest * unigram)).cast("float").alias(m)
+
+    both = counts.join(contexts, "before").join(words, "word")
+    return both.select(code().alias("code"), F.col("background").alias("n"), *[loss(m) for m in models]), size["background"]
 
 
 def cross_entropy_difference(docs: DataFrame, labels: DataFrame, target: str = "quality = 1") -> DataFrame:
@@ -130,14 +129,15 @@ def cross_entropy_difference(docs: DataFrame, labels: DataFrame, target: str = "
 
     The background model counts all of `docs`, the target model those that
     `labels` marks by `target`; both are bigram models of the same vocabulary
-    (the corpus's most frequent words, and shape classes for the rest), the same
-    order and smoothing. A document's losses are its mean negative log
-    probability a token under each model, in nats; score is target minus
-    background: the lower, the more like the target.
+    (every word of the corpus, by 64-bit hash), the same order and smoothing. A
+    document's losses are its mean negative log probability a token under each
+    model, in nats; score is target minus background: the lower, the more like
+    the target.
 
-    Word and bigram counts are summed per batch, then by key in Spark, so both
-    grow with the corpus; only the finished tables of at most VOCABULARY ** 2
-    entries reach the driver, and their difference is broadcast (16 MB each).
+    Bigram counts are summed per slice, then by key in Spark, and stay there as
+    tables with context and word sums joined to them. Every bigram of a document
+    is in the counts, so its losses are a join by bigram and a sum by document;
+    only totals and the losses of at most HOT frequent bigrams reach the driver.
 
     Null, empty and blank texts have n_tokens 0 and null losses and score.
     Without any target document the target model is the uniform one. Rows that
@@ -145,28 +145,44 @@ def cross_entropy_difference(docs: DataFrame, labels: DataFrame, target: str = "
     gives none."""
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    top = word_counts(texts).orderBy(F.desc("n"), "word").limit(VOCABULARY - 1 - SHAPES).select("word").collect()
-    vocabulary = Vocabulary([r[0] for r in top])
     marked = labels.filter(F.expr(target)).select("doc_id").distinct().withColumn("is_target", F.lit(True))
     few = marked.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
     flagged = texts.join(F.broadcast(marked) if few else marked, "doc_id", "left").select("text", F.coalesce("is_target", F.lit(False)).alias("is_target"))
-    codes, *counts = gathered(bigram_counts(flagged, vocabulary))
-    models = np.stack([log_probabilities(codes, n).ravel() for n in counts])
-    shared = spark.sparkContext.broadcast(models)
+    losses, tokens = bigram_losses(stored(bigram_counts(flagged), "bigrams"))
+    losses = stored(losses, "losses")
+    hot = F.col("n") * HOT >= tokens
+    frequent = losses.filter(hot).select("code", "target", "background").toArrow().sort_by("code")
+    shared = spark.sparkContext.broadcast([frequent[c].to_numpy() for c in frequent.column_names])
 
     def run(batches):
-        model = shared.value
-        for b in slices(batches, 4096):
-            codes, n = vocabulary.pairs(b["text"].to_pylist())
-            starts = np.cumsum(n) - n
-            full = n > 0
-            loss = []
-            for m in model:
-                s = np.full(len(n), np.nan)
-                if full.any():
-                    s[full] = -np.add.reduceat(m[codes].astype("float64"), starts[full]) / n[full]
-                loss.append(s)
-            cols = [pa.array(x, pa.float64(), mask=~full) for x in (*loss, loss[0] - loss[1])]
-            yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(n), *cols], ["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
-
-    return texts.mapInArrow(run, "doc_id long, n_tokens long, target_loss double, background_loss double, score double")
+        """A row for each text with its sums over the frequent bigrams, and one
+        for each of its other bigrams, told apart by `here`."""
+        hashes, (known, *both) = Hashes(), shared.value
+        for b in slices(batches, 1024):
+            texts = b["text"].to_pylist()
+            before, ids, n = hashes.pairs(texts)
+            codes = coded(before, ids)
+            digest = np.fromiter(map(xxhash.xxh3_64_intdigest, texts), "uint64", len(texts)).view("int64")
+            at = np.minimum(np.searchsorted(known, codes), max(len(known) - 1, 0))
+            found = known[at] == codes if len(known) else np.zeros(len(codes), "bool")
+            doc = np.repeat(np.arange(len(n)), n)
+            sums = [np.bincount(doc[found], m[at[found]].astype("float64"), len(n)) for m in both]
+            rest = doc[~found]
+            take = pa.array(np.concatenate([np.arange(len(n)), rest]))
+            here = np.arange(len(take)) < len(n)
+            wide = lambda x, fill, kind: pa.array(np.concatenate([x, np.full(len(rest), fill, kind)]))
+            cols = [b["doc_id"].take(take), pa.array(digest).take(take), wide(n, 0, "int64"), *[wide(s, 0.0, "float64") for s in sums]]
+            other = pa.array(np.concatenate([np.zeros(len(n), "int64"), codes[~found]]), mask=here)
+            yield pa.RecordBatch.from_arrays([*cols, other], ["doc_id", "digest", "n", "t", "b", "code"])
+
+    rows = texts.mapInArrow(run, "doc_id long, digest long, n long, t double, b double, code long")
+    split = stored(rows, "scored")
+    rare = losses.filter(~hot).select("code", "target", "background")
+    joined = split.filter("code IS NOT NULL").select("doc_id", "digest", "code").join(rare, "code")
+    joined = joined.select("doc_id", "digest", F.lit(0).cast("long").alias("n"), F.col("target").cast("double").alias("t"), F.col("background").cast("double").alias("b"), F.lit(0).alias("here"))
+    every = split.filter("code IS NULL").select("doc_id", "digest", "n", "t", "b", F.lit(1).alias("here")).unionByName(joined)
+    # rows of one id and text are alike: their sums are multiples of one row's
+    sums = every.groupBy("doc_id", "digest").agg(*[F.sum(c).alias(c) for c in ("n", "t", "b", "here")])
+    mean = [F.when(F.col("n") > 0, F.col(c) / F.col("n")).alias(f"{m}_loss") for c, m in (("t", "target"), ("b", "background"))]
+    out = sums.select("doc_id", (F.col("n") / F.col("here")).cast("long").alias("n_tokens"), *mean, F.explode(F.sequence(F.lit(1), F.col("here").cast("int"))).alias("_copy"))
+    return out.select("doc_id", "n_tokens", "target_loss", "background_loss", (F.col("target_loss") - F.col("background_loss")).alias("score"))

@@ -139,6 +139,21 @@ def test_losses_by_hand(spark):
     assert lm_score.cross_entropy_difference(df.limit(0), labels).count() == 0
 
 
+def test_rare_words_are_told_apart(spark, monkeypatch):
+    """3,000 frequent words before them, words of one length and kind keep their own counts."""
+    common = " ".join(f"w{i:05d} w{i:05d}" for i in range(3000))
+    rows = [(1, common), (2, "kelvin osmium"), (3, "kelvin osmium"), (4, "barley thatch"), (4, "barley thatch"), (5, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(2, 1)], "doc_id long, quality int")
+    for hot in (lm_score.HOT, 1):  # from the broadcast and by the join
+        monkeypatch.setattr(lm_score, "HOT", hot)
+        out = lm_score.cross_entropy_difference(df, labels).collect()
+        got = {r.doc_id: r for r in out}
+        assert sorted(r.doc_id for r in out) == [i for i, _ in rows] and got[4].n_tokens == 2
+        assert got[3].score < got[4].score - 1
+        assert got[2].score == pytest.approx(got[3].score)
+
+
 def test_shapes_share_the_vocabulary():
     v = lm_score.Vocabulary(["the", "of"])
     assert v["the"] == 1 + lm_score.SHAPES and all(1 <= v[w] <= lm_score.SHAPES for w in ("xyz", "xyz.", "12", "a1", "##", "q" * 99))
