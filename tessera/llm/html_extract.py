@@ -9,8 +9,7 @@ from urllib.parse import urlsplit
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.window import Window as W
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tessera.llm.common import stored
 
@@ -249,18 +248,19 @@ def host(url: str | None) -> str:
         return ""
 
 
-#: Skeletons of a host, the most frequent first, that its wrapper is grown from.
-WRAPPER_SHAPES = 64
-#: Distinct pages that a host must have before a constant slot is template.
-LEAST_PAGES = 16
+#: Wrappers of a host that a task merges into one, about; those are merged again.
+FAN = 32
+#: Share of a host's distinct pages (two at least) that a constant slot must be
+#: on to be template; both are counted as far as 63 bits tell pages apart.
+SHARE = 0.25
 #: (host, skeleton) rules to broadcast at most; beyond, they are joined.
 BROADCAST_RULES = 100_000
 
 
 def slot_statistics(pages: DataFrame) -> DataFrame:
-    """host, shape, slot, n, lo, hi, mask. Slot -1 stands for the whole page;
-    the bits of `mask` that are set are a lower bound of its distinct texts.
-    Batches are summed before anything is shuffled."""
+    """host, shape, slot, n, lo, hi, mask, first, last. Slot -1 stands for the
+    whole page; the bits of `mask` that are set are a lower bound of its distinct
+    texts, `first` and `last` the smallest and largest digest of those. Batches are summed before anything is shuffled."""
 
     def run(batches):
         for b in batches:
@@ -269,31 +269,34 @@ def slot_statistics(pages: DataFrame) -> DataFrame:
                 page = Page(source or "")
                 slots, name, shape = page.slots(), host(url), json.dumps(page.shape, separators=(",", ":"))
                 whole = xxhash.xxh3_64_intdigest("\n".join(x[1] for x in page.blocks))
-                for slot, d in [(-1, whole - (1 << 63)), *slots.items()]:
-                    bit = 1 << (whole % 63)
+                bit, whole = 1 << (whole % 63), whole - (1 << 63)
+                for slot, d in [(-1, whole), *slots.items()]:
                     if (k := (name, shape, slot)) in found:
-                        n, lo, hi, mask = found[k]
-                        found[k] = n + 1, min(lo, d), max(hi, d), mask | bit
+                        n, lo, hi, mask, first, last = found[k]
+                        found[k] = n + 1, min(lo, d), max(hi, d), mask | bit, min(first, whole), max(last, whole)
                     else:
-                        found[k] = 1, d, d, bit
-            cols = list(zip(*(k + v for k, v in found.items()))) or [()] * 7
-            kinds = [pa.string(), pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["host", "shape", "slot", "n", "lo", "hi", "mask"])
+                        found[k] = 1, d, d, bit, whole, whole
+            cols = list(zip(*(k + v for k, v in found.items()))) or [()] * 9
+            kinds = [pa.string(), pa.string(), pa.int32(), *[pa.int64()] * 6]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["host", "shape", "slot", "n", "lo", "hi", "mask", "first", "last"])
 
-    rows = pages.select("url", "html").mapInArrow(run, "host string, shape string, slot int, n long, lo long, hi long, mask long")
-    return rows.groupBy("host", "shape", "slot").agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.bit_or("mask").alias("mask"))
+    rows = pages.select("url", "html").mapInArrow(run, "host string, shape string, slot int, n long, lo long, hi long, mask long, first long, last long")
+    return rows.groupBy("host", "shape", "slot").agg(F.sum("n").alias("n"), *merged("lo", "hi"), *merged())
 
 
-def template_slots(stats: DataFrame) -> DataFrame:
-    """host, shape and the slots of that shape that are template: the wrapper's
-    node that they align to holds one and the same text on all pages of a host
-    that has LEAST_PAGES distinct ones."""
-    pages = stats.filter("slot = -1")
-    hosts = pages.groupBy("host").agg(F.bit_or("mask").alias("mask")).filter(F.bit_count("mask") >= LEAST_PAGES).select("host")
-    shapes = pages.join(hosts, "host").select("host", "shape", "n")
-    order = W.partitionBy("host").orderBy(F.desc("n"), "shape")
-    common = shapes.withColumn("i", F.row_number().over(order)).filter(F.col("i") <= WRAPPER_SHAPES)
-    lists = common.groupBy("host").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "shape"))), lambda s: s.shape).alias("shapes"))
+def merged(*more: str) -> list:
+    """Aggregates of `more` (a smallest and a largest) or else of mask, first and last."""
+    low, high = more or ("first", "last")
+    return [F.min(low).alias(low), F.max(high).alias(high), *([] if more else [F.bit_or("mask").alias("mask")])]
+
+
+def distinct_pages() -> Column:
+    return F.greatest(F.bit_count("mask"), F.when(F.col("first") < F.col("last"), 2).otherwise(1))
+
+
+def host_wrappers(shapes: DataFrame) -> DataFrame:
+    """host and wrapper, grown from all its shapes: each round merges slices of
+    about FAN of a host's trees into one, until every host has one."""
 
     def grow(batches):
         for b in batches:
@@ -303,7 +306,26 @@ def template_slots(stats: DataFrame) -> DataFrame:
                 for s in group[1:]:
                     wrapper = grown(wrapper, json.loads(s))
                 out.append(json.dumps(wrapper, separators=(",", ":")))
-            yield pa.RecordBatch.from_arrays([b["host"], pa.array(out, pa.string())], ["host", "wrapper"])
+            yield pa.RecordBatch.from_arrays([b["host"], pa.array(out, pa.string()), b["n"]], ["host", "shape", "n"])
+
+    level = shapes.select("host", "shape", "n")
+    while True:
+        sizes = level.groupBy("host").agg(F.count("*").alias("_k"))
+        if (sizes.agg(F.max("_k")).first()[0] or 0) <= 1:
+            return level.select("host", F.col("shape").alias("wrapper"))
+        parts = level.join(sizes, "host").withColumn("_slice", F.pmod(F.xxhash64("shape"), F.ceil(F.col("_k") / FAN)))
+        order = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("m"), "shape")))
+        lists = parts.groupBy("host", "_slice").agg(F.transform(order, lambda s: s.shape).alias("shapes"), F.sum("n").alias("n"))
+        level = stored(lists.select("host", "shapes", "n").mapInArrow(grow, "host string, shape string, n long"), "wrappers")
+
+
+def template_slots(stats: DataFrame) -> DataFrame:
+    """host, shape and the slots of that shape that are template: the wrapper's
+    node that they align to holds one and the same text wherever it occurs, on
+    SHARE of the host's distinct pages and on two of them at least."""
+    pages = stats.filter("slot = -1")
+    hosts = pages.groupBy("host").agg(*merged()).select("host", distinct_pages().alias("of")).filter("of >= 2")
+    shapes = stored(pages.join(hosts.select("host"), "host").select("host", "shape", "n"), "shapes")
 
     def align(batches):
         for b in batches:
@@ -313,11 +335,10 @@ def template_slots(stats: DataFrame) -> DataFrame:
             cols = list(zip(*out)) or [()] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, [pa.string(), pa.string(), pa.int32(), pa.int32()])], ["host", "shape", "slot", "node"])
 
-    wrappers = lists.mapInArrow(grow, "host string, wrapper string")
-    nodes = shapes.select("host", "shape").join(wrappers, "host").mapInArrow(align, "host string, shape string, slot int, node int")
+    nodes = shapes.select("host", "shape").join(host_wrappers(shapes), "host").mapInArrow(align, "host string, shape string, slot int, node int")
     aligned = stats.filter("slot >= 0").join(nodes, ["host", "shape", "slot"])
-    constant = aligned.groupBy("host", "node").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.bit_or("mask").alias("mask"))
-    constant = constant.filter((F.col("lo") == F.col("hi")) & (F.bit_count("mask") >= LEAST_PAGES)).select("host", "node")
+    constant = aligned.groupBy("host", "node").agg(*merged("lo", "hi"), *merged()).filter("lo = hi").withColumn("on", distinct_pages())
+    constant = constant.join(hosts, "host").filter((F.col("on") >= 2) & (F.col("on") >= SHARE * F.col("of"))).select("host", "node")
     return aligned.join(constant, ["host", "node"]).groupBy("host", "shape").agg(F.array_sort(F.collect_set("slot")).alias("slots"))
 
 
@@ -326,7 +347,7 @@ def extract(pages: DataFrame) -> DataFrame:
 
     Each page becomes a tree of its block elements with runs of like siblings
     folded. Same-host trees are aligned by simple tree matching to a wrapper
-    grown from the host's most frequent shapes; a node whose text is the same on
+    grown from all of the host's shapes; a node whose text is the same on
     all of the host's pages is template, a varying slot is content. Content is
     then the article's slots (else main's, else the body's) that are not named
     as menu, advert, notice, comment and the like. Work is on (host, shape,

@@ -253,6 +253,18 @@ def test_article_only_and_wrapper(spark):
     assert html_extract.extract(df).count() == len(rows) and html_extract.extract(df.limit(0)).count() == 0
 
 
+def test_rare_skeletons_and_small_hosts_have_templates(spark):
+    letters = lambda i: chr(97 + i // 10) + chr(97 + i % 10)
+    rows = [(i, "https://big.example/", f'<article><p class="a{letters(i)}">t{i}</p></article>') for i in range(70)]
+    rows += [(i, "https://big.example/", f'<article><p class="z{letters(i)}">t{i}</p><div>Constant note</div></article>') for i in range(70, 100)]
+    rows += [(200 + i, "https://small.example/", f"<article><p>t{i}</p><div>Constant note</div></article>") for i in range(3)]
+    rows += [(300, "https://one.example/", "<article><p>t</p><div>Constant note</div></article>")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_extract.extract(df).collect()}
+    assert all(got[i] == f"t{i}" for i in range(100)) and all(got[200 + i] == f"t{i}" for i in range(3))
+    assert got[300] == "t\nConstant note"
+
+
 def test_joined_rules_equal_broadcast(spark, monkeypatch):
     df = spark.createDataFrame([(i, "https://h.example/%d" % i, page(i)) for i in range(40)], "page_id long, url string, html string")
     want = sorted(tuple(r) for r in html_extract.extract(df).collect())
