@@ -156,22 +156,55 @@ def missingness_interactions(df: DataFrame, mnar: list[str], y: str, candidates:
     return df.withColumns({f"{c}_missing_x_{b}": F.col(c).isNull().cast("double") * F.col(b) for c in mnar for b in best if b != c})
 
 
-def neighbours(rows: DataFrame, others: DataFrame, lat: str, lon: str, key: str, k: int, cell: float = 2.0) -> DataFrame:
+#: Finest cells of the unit sphere: edges of 2 ** -(LEVELS - 1), 0.8 m.
+LEVELS = 24
+
+
+def neighbours(rows: DataFrame, others: DataFrame, lat: str, lon: str, key: str, k: int, cell: float | None = None) -> DataFrame:
     """key, other, km and place of the k nearest others of each row, itself left
-    out, among those in its own and the eight next grid cells of `cell` degrees."""
+    out. A `cell` limits them to its own and the eight next grid cells of so many
+    degrees, as the SQL of the queries does; without it all others count."""
     from pyspark.sql.window import Window as W
 
-    at = lambda c: F.floor(F.col(c) / cell).cast("int")
-    own = rows.select(F.col(key), F.col(lat).alias("_a"), F.col(lon).alias("_o"), at(lat).alias("_x"), at(lon).alias("_y"))
-    step = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-    near = others.select(F.col(key).alias("other"), F.col(lat).alias("_a2"), F.col(lon).alias("_o2"), at(lat).alias("_x"), at(lon).alias("_y"))
-    both = own.withColumn("_s", F.explode(step)).withColumns({"_x": F.col("_x") + F.col("_s.i"), "_y": F.col("_y") + F.col("_s.j")}).join(near, ["_x", "_y"]).filter(F.col(key) != F.col("other"))
+    near = others.select(F.col(key).alias("other"), F.col(lat).alias("_a2"), F.col(lon).alias("_o2"))
+    own = rows.select(F.col(key), F.col(lat).alias("_a"), F.col(lon).alias("_o"))
+    both = (_in_sphere(own, near, key, k) if cell is None else _in_grid(own, near, cell)).filter(F.col(key) != F.col("other"))
     km = both.select(key, "other", S.haversine_km(F.col("_a"), F.col("_o"), F.col("_a2"), F.col("_o2")).alias("km"))
     w = W.partitionBy(key).orderBy(F.round("km", 6), "other")
     return km.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= k)
 
 
-def spatial_lag_target(df: DataFrame, lat: str, lon: str, key: str, y: str, k: int, fold: str | None = None, cell: float = 2.0) -> DataFrame:
+def _in_grid(own: DataFrame, near: DataFrame, cell: float) -> DataFrame:
+    at = lambda c: F.floor(F.col(c) / cell).cast("int")
+    step = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
+    around = own.withColumn("_s", F.explode(step)).withColumns({"_x": at("_a") + F.col("_s.i"), "_y": at("_o") + F.col("_s.j")})
+    return around.join(near.withColumns({"_x": at("_a2"), "_y": at("_o2")}), ["_x", "_y"])
+
+
+def _in_sphere(own: DataFrame, near: DataFrame, key: str, k: int) -> DataFrame:
+    """Each row with others among which its k nearest are. The finest cell of a
+    row that holds k + 1 others bounds their distance by its diagonal, less than
+    the edge of the cells a level up: the 27 of those around the row hold them
+    all. Dense places get fine cells by that, empty ones coarse."""
+    from pyspark.sql.window import Window as W
+
+    def at(df, a, o, level):
+        return df.withColumns({c: F.floor((x + 1) * F.pow(F.lit(2.0), level - 1)) for c, x in zip(("_x", "_y", "_z"), S.unit_sphere(a, o))})
+
+    cells = ["_l", "_x", "_y", "_z"]
+    levels = F.explode(F.sequence(F.lit(0), F.lit(LEVELS))).alias("_l")
+    # of one place the k + 1 smallest keys can be among the nearest
+    near = near.withColumn("_n", F.row_number().over(W.partitionBy("_a2", "_o2").orderBy("other"))).filter(F.col("_n") <= k + 1).drop("_n")
+    full = at(near.select("*", levels), "_a2", "_o2", F.col("_l")).groupBy(*cells).agg(F.count("*").alias("_n")).filter(F.col("_n") > k).drop("_n")
+    finest = at(own.select("*", levels), "_a", "_o", F.col("_l")).join(full, cells).groupBy(key).agg((F.max("_l") - 1).alias("_l"))
+    placed = at(own.join(finest, key, "left").withColumn("_l", F.coalesce("_l", F.lit(-1))), "_a", "_o", F.col("_l"))
+    step = F.explode(F.array(*[F.struct(*[F.lit(d).alias(c) for c, d in zip("ijk", (i, j, h))]) for i in (-1, 0, 1) for j in (-1, 0, 1) for h in (-1, 0, 1)]))
+    around = placed.withColumn("_s", step).withColumns({c: F.col(c) + F.col(f"_s.{d}") for c, d in zip(("_x", "_y", "_z"), "ijk")})
+    found = at(near.select("*", F.explode(F.sequence(F.lit(-1), F.lit(LEVELS - 1))).alias("_l")), "_a2", "_o2", F.col("_l"))
+    return around.join(found, cells)
+
+
+def spatial_lag_target(df: DataFrame, lat: str, lon: str, key: str, y: str, k: int, fold: str | None = None, cell: float | None = None) -> DataFrame:
     """Mean target of the k nearest other rows; with `fold`, of other folds."""
     if fold is None:
         n = neighbours(df, df, lat, lon, key, k, cell)
@@ -184,7 +217,7 @@ def spatial_lag_target(df: DataFrame, lat: str, lon: str, key: str, y: str, k: i
     return df.join(lag, key, "left")
 
 
-def neighbour_distance(df: DataFrame, lat: str, lon: str, key: str, k: int, cell: float = 2.0) -> DataFrame:
+def neighbour_distance(df: DataFrame, lat: str, lon: str, key: str, k: int, cell: float | None = None) -> DataFrame:
     """Mean distance to the k nearest other rows."""
     return df.join(neighbours(df, df, lat, lon, key, k, cell).groupBy(key).agg(F.avg("km").alias("neighbour_km")), key, "left")
 

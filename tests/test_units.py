@@ -200,3 +200,34 @@ def test_fold_callback_sees_training_side_only(spark):
 
     oof, pred = models.train_cv(df, df.drop("y", "fold"), ["x", "d"], "y", "classification", "lr", features=features)
     assert seen == [(0, 0), (1, 0), (2, 0)] and oof.count() == 90 and pred.count() == 90
+
+
+def test_nearest_rows_equal_brute_force(spark):
+    """Across longitude 180, near a pole, far from all others and on one place."""
+    import math
+    import random
+
+    from tessera.operators import transforms
+
+    rng = random.Random(5)
+    at = [(rng.uniform(-90, 90), rng.uniform(-180, 180)) for _ in range(60)] + [(50 + rng.gauss(0, 0.01), 8 + rng.gauss(0, 0.01)) for _ in range(60)]
+    at += [(0.1, 179.9), (0.0, -179.9), (0.2, -179.8), (89.9, 0.0), (89.9, 120.0), (89.8, -120.0), (90.0, 7.0), (-90.0, 0.0), (None, 3.0)] + [(10.0, 10.0)] * 9
+    df = spark.createDataFrame([(i, a, o, float(i), i % 2) for i, (a, o) in enumerate(at)], "id long, lat double, lon double, y double, fold int")
+
+    def km(p, q):
+        a, b, d = math.radians(p[0]), math.radians(q[0]), math.radians(q[1] - p[1])
+        return 2 * 6371.0088 * math.asin(math.sqrt(min(1.0, math.sin((b - a) / 2) ** 2 + math.cos(a) * math.cos(b) * math.sin(d / 2) ** 2)))
+
+    def want(i, k, ok):
+        return [] if at[i][0] is None else [j for _, j in sorted((round(km(at[i], p), 6), j) for j, p in enumerate(at) if j != i and p[0] is not None and ok(j))[:k]]
+
+    got = {}
+    for r in transforms.neighbours(df, df, "lat", "lon", "id", 4).orderBy("id", "place").collect():
+        got.setdefault(r["id"], []).append(r["other"])
+    assert all(got.get(i, []) == want(i, 4, lambda j: True) for i in range(len(at)))
+    lag = {r["id"]: r["spatial_lag"] for r in transforms.spatial_lag_target(df, "lat", "lon", "id", "y", 3, "fold").collect()}
+    for i in range(len(at)):
+        w = want(i, 3, lambda j: j % 2 != i % 2)
+        assert lag[i] is None if not w else abs(lag[i] - sum(w) / len(w)) < 1e-9
+    few = transforms.neighbours(df.filter("id < 3"), df.filter("id < 3"), "lat", "lon", "id", 4)
+    assert few.count() == 6
