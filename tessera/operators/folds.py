@@ -12,7 +12,8 @@ SCHEMES = {
     "kfold": "kfold", "shufflesplit": "kfold", "stratified": "stratified", "stratifiedkfold": "stratified", "group": "group", "groupkfold": "group",
     "spatial": "group", "time": "time", "timeseries": "time", "timeseriessplit": "time", "temporal": "time",
 }
-#: Groups up to this many are dealt greedily on the driver (their sizes only).
+#: Groups with more than one in GREEDY_GROUPS of all rows, so fewer than that, are
+#: dealt greedily on the driver (their sizes only).
 GREEDY_GROUPS = 100_000
 
 
@@ -52,25 +53,50 @@ def assign_folds(df: DataFrame, kind: str, n: int, seed: int, key: str, group: s
 
 
 def group_folds(df: DataFrame, group: str, n: int) -> DataFrame:
-    """Largest groups first to the lightest fold. Beyond GREEDY_GROUPS groups
-    the sizes stay in Spark and are dealt in snake order."""
+    """Largest groups first to the lightest fold, down to those of one in
+    GREEDY_GROUPS of the rows; smaller ones fill the folds up to one level by
+    running sums in a hashed order."""
+    spark = df.sparkSession
     sizes = df.groupBy(group).agg(F.count("*").alias("n"))
-    if sizes.limit(GREEDY_GROUPS + 1).count() <= GREEDY_GROUPS:
-        loads = [(0, f) for f in range(n)]
-        rows = []
-        for r in sorted(sizes.collect(), key=lambda r: (-r["n"], str(r[0]))):
-            load, f = heapq.heappop(loads)
-            rows.append((r[0], f))
-            heapq.heappush(loads, (load + r["n"], f))
-        folds = df.sparkSession.createDataFrame(rows, sizes.select(group).withColumn("fold", F.lit(0)).schema)
-    else:
-        k = F.row_number().over(W.orderBy(F.desc("n"), group)) - 1
-        snake = F.when(F.floor(k / n) % 2 == 0, k % n).otherwise(n - 1 - k % n)
-        folds = sizes.select(group, snake.cast("int").alias("fold"))
+    total = sizes.agg(F.sum("n")).first()[0] or 0
+    large = F.col("n") * GREEDY_GROUPS > total
+    loads = [(0, f) for f in range(n)]
+    rows = []
+    for r in sorted(sizes.filter(large).collect(), key=lambda r: (-r["n"], str(r[0]))):
+        load, f = heapq.heappop(loads)
+        rows.append((r[0], f))
+        heapq.heappush(loads, (load + r["n"], f))
+    folds = spark.createDataFrame(rows, sizes.select(group).withColumn("fold", F.lit(0)).schema)
+    if left := total - sum(load for load, _ in loads):
+        folds = folds.unionByName(filled(sizes.filter(~large), group, room(sorted(loads), left)))
     folds = folds.withColumnRenamed(group, "_group")
     return df.join(folds, F.col(group).eqNullSafe(F.col("_group"))).drop("_group")
 
 
+def room(loads: list[tuple[int, int]], left: int) -> list[float]:
+    """Rows of `left` that each fold takes, when the lightest are filled to one
+    level. loads: (load, fold), from small to large."""
+    for k in range(len(loads), 0, -1):
+        level = (sum(load for load, _ in loads[:k]) + left) / k
+        if level >= loads[k - 1][0]:
+            break
+    out = {f: max(0.0, level - load) for load, f in loads}
+    return [out[f] for f in sorted(out)]
+
+
+def filled(sizes: DataFrame, group: str, rooms: list[float], slices: int = 4096) -> DataFrame:
+    """group and fold: groups in a hashed order, cut where the rooms of the folds
+    end. Sums run over slices first, so no task ranks all groups."""
+    cut = sizes.withColumn("_slice", F.pmod(F.xxhash64(group), F.lit(slices)))
+    per = cut.groupBy("_slice").agg(F.sum("n").alias("_n"))
+    skip = per.select("_slice", (F.sum("_n").over(W.orderBy("_slice")) - F.col("_n")).alias("_skip"))
+    inner = F.sum("n").over(W.partitionBy("_slice").orderBy(group).rowsBetween(W.unboundedPreceding, 0))
+    ends = [sum(rooms[: k + 1]) for k in range(len(rooms) - 1)]
+    placed = cut.join(F.broadcast(skip), "_slice").withColumn("_at", F.col("_skip") + inner - F.col("n") / 2)
+    fold = F.size(F.filter(F.array(*map(F.lit, ends)), lambda e: F.col("_at") >= e)) if ends else F.lit(0)
+    return placed.select(group, fold.alias("fold"))
+
+
 def time_folds(df: DataFrame, ts: str, key: str, n: int) -> DataFrame:
     """Tiles of equal size in time order, cut at exact quantiles of the time."""
     t = F.unix_micros(F.col(ts).cast("timestamp"))

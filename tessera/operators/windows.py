@@ -19,17 +19,21 @@ def average_rank(df: DataFrame, column: str, by: list[str] = (), out: str = "ran
 
 def factorize(df: DataFrame, columns: list[str], row_id: str) -> DataFrame:
     """Integer codes by first appearance in row_id order; null is -1."""
+    from tessera.operators.ledger import numbered
+
     for c in columns:
         first = df.filter(F.col(c).isNotNull()).groupBy(c).agg(F.min(row_id).alias("_at"))
-        codes = first.select(c, (F.row_number().over(W.orderBy("_at")) - 1).alias("_code"))  # distinct values only
+        codes = numbered(first, "_code", ["_at", c], start=-1).select(c, F.col("_code").cast("int"))
         df = df.join(codes, c, "left").withColumn(c, F.coalesce("_code", F.lit(-1))).drop("_code")
     return df
 
 
 def label_encode(df: DataFrame, column: str, out: str) -> DataFrame:
     """Integer code by sorted string value."""
+    from tessera.operators.ledger import numbered
+
     values = df.select(F.col(column).cast("string").alias("_v")).filter("_v IS NOT NULL").distinct()
-    codes = values.select("_v", (F.row_number().over(W.orderBy("_v")) - 1).alias(out))
+    codes = numbered(values, out, ["_v"], start=-1).select("_v", F.col(out).cast("int"))
     return df.join(codes, F.col(column).cast("string") == F.col("_v"), "left").drop("_v")
 
 

@@ -91,6 +91,15 @@ def test_large_group_count_uses_snake(spark, monkeypatch):
     assert f.count() == 300 and f.groupBy("g").agg(F.count_distinct("fold").alias("k")).filter("k > 1").count() == 0
 
 
+def test_many_groups_leave_room_for_a_large_one(spark, monkeypatch):
+    monkeypatch.setattr(J, "GREEDY_GROUPS", 20)  # 600 of 1,800 rows in one group, 400 groups of three
+    df = spark.range(1800).withColumn("g", F.when(F.col("id") < 600, -1).otherwise(F.col("id") % 400))
+    f = J.group_folds(df, "g", 4)
+    n = {r["fold"]: r["count"] for r in f.groupBy("fold").count().collect()}
+    assert sorted(n.values())[-1] == 600 and all(abs(x - 400) <= 3 for x in sorted(n.values())[:-1])
+    assert f.count() == 1800 and f.groupBy("g").agg(F.count_distinct("fold").alias("k")).filter("k > 1").count() == 0
+
+
 def test_choose_cv():
     assert J.choose_cv({"temporal": True}) == "time" and J.choose_cv({"minority": 0.1}) == "stratified" and J.choose_cv({"minority": 0.4}) == "kfold"
     assert J.choose_cv({"spatial": True, "points": 4, "minority": 0.4}) == "kfold" and J.choose_cv({"group": "g"}) == "group" and J.choose_cv({}, "TimeSeriesSplit") == "time"

@@ -231,3 +231,14 @@ def test_nearest_rows_equal_brute_force(spark):
         assert lag[i] is None if not w else abs(lag[i] - sum(w) / len(w)) < 1e-9
     few = transforms.neighbours(df.filter("id < 3"), df.filter("id < 3"), "lat", "lon", "id", 4)
     assert few.count() == 6
+
+
+def test_codes_need_no_window_over_all_values(spark, capsys):
+    f = spark.createDataFrame([(i, f"v{(i * 7) % 50:02d}") for i in range(200)], "id long, c string")
+    coded = windows.factorize(f, ["c"], "id")
+    assert {r.id: r.c for r in coded.collect()} == {i: i % 50 for i in range(200)}
+    labels = windows.label_encode(f, "c", "k")
+    assert {r.id: r.k for r in labels.collect()} == {i: (i * 7) % 50 for i in range(200)}
+    for df in (coded, labels):
+        df.explain("formatted")
+        assert "row_number" not in capsys.readouterr().out
