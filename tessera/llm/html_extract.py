@@ -41,40 +41,53 @@ SPACE = re.compile(r"\s+")
 class Node:
     """A block-level element; runs of like siblings are one node."""
 
-    __slots__ = ("sig", "kids", "many", "bad", "zone", "number", "tag")
+    __slots__ = ("sig", "kids", "many", "bad", "hard", "soft", "weight", "zone", "number", "tag")
 
-    def __init__(self, tag, sig, bad, zone):
-        self.tag, self.sig, self.bad, self.zone = tag, sig, bad, zone
-        self.kids, self.many, self.number = [], False, 0
+    def __init__(self, tag, sig, bad, zone, hard=False, soft=False):
+        self.tag, self.sig, self.bad, self.zone, self.hard, self.soft = tag, sig, bad, zone, hard, soft
+        self.kids, self.many, self.number, self.weight = [], False, 0, 0
 
 
 def attributes(text: str) -> dict:
     return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in ATTR.finditer(text)} if text.strip() else {}
 
 
+def boilerplate(label: str, main: bool) -> tuple[bool, bool]:
+    """Whether class and id name an element boilerplate, and whether they do so
+    only by a modifier ('has-sidebar') beside a keeper's own name ('content'). A
+    modifier does not name an article or main element."""
+    names = {x.lower() for x in NAME.findall(label)}
+    if not names & BOILERPLATE or (names & KEEPERS and not names & {"ad", "ads", "comment", "comments", "sidebar", "related", "share", "menu", "nav", "footer"}):
+        return False, False
+    tokens = [{x.lower() for x in NAME.findall(t)} for t in label.split()]
+    if any(t and t <= BOILERPLATE for t in tokens):
+        return True, False
+    return (False, False) if main else (True, any(t and t <= KEEPERS for t in tokens))
+
+
 class Page:
-    """Blocks of a page: (node, text, characters in links), and its DOM with
-    like siblings folded, as a nested list."""
+    """Blocks of a page: (node, text, share of its characters in links), and its
+    DOM with like siblings folded, as a nested list."""
 
     def __init__(self, source: str):
         self.root = Node("", "", False, "")
-        self.blocks: list[tuple[Node, str, int]] = []
-        stack, open_links, parts, linked, at, n = [self.root], 0, [], 0, 0, len(source)
+        self.blocks: list[tuple[Node, str, float]] = []
+        stack, open_links, parts, linked, at, n = [self.root], 0, [], [], 0, len(source)
 
         def flush():
-            nonlocal linked
             if parts:
                 text = SPACE.sub(" ", html.unescape("".join(parts))).strip()
                 if text:
-                    self.blocks.append((stack[-1], text, linked))
+                    size, within = len(text) - text.count(" "), len(SPACE.sub("", html.unescape("".join(linked)))) if linked else 0
+                    self.blocks.append((stack[-1], text, within / size))
+                    stack[-1].weight += max(size - within, 0)
                 parts.clear()
-            linked = 0
+            linked.clear()
 
         def text(s):
-            nonlocal linked
             parts.append(s)
             if open_links:
-                linked += len(s.strip())
+                linked.append(s)
 
         while at < n:
             m = TAG.search(source, at)
@@ -119,26 +132,38 @@ class Page:
                         break
             up, a = stack[-1], attributes(rest)
             label = f"{a.get('class', '')} {a.get('id', '')}"
-            names = {x.lower() for x in NAME.findall(label)}
-            named = bool(names & BOILERPLATE) and not (names & KEEPERS and not names & {"ad", "ads", "comment", "comments", "sidebar", "related", "share", "menu", "nav", "footer"})
+            named, soft = boilerplate(label, tag in ("article", "main") or a.get("role") == "main") if tag not in ("html", "body") else (False, False)
             hidden = "hidden" in a or a.get("aria-hidden") == "true" or "display:none" in a.get("style", "").replace(" ", "").lower()
             head = tag == "header" and not up.zone
-            bad = up.bad or tag in SKIPPED or head or hidden or a.get("role", "").lower() in ROLES or (named and tag not in ("html", "body"))
+            hard = tag in SKIPPED or head or hidden or a.get("role", "").lower() in ROLES or (named and not soft)
+            bad = up.bad or hard or soft
             zone = up.zone or ("article" if tag == "article" else "main" if tag == "main" or a.get("role") == "main" or a.get("itemprop") == "articleBody" else "")
             if tag == "article" and up.zone == "main":
                 zone = "article"
             sig = tag + "".join(sorted("." + re.sub(r"\d+", "0", c) for c in label.split()))
             last = up.kids[-1] if up.kids else None
-            if last is not None and last.sig == sig and last.bad == bad and last.zone == zone:
+            if last is not None and last.sig == sig and last.bad == bad and last.hard == hard and last.zone == zone:
                 last.many, node = True, last
             else:
-                node = Node(tag, sig, bad, zone)
+                node = Node(tag, sig, bad, zone, hard, soft)
                 up.kids.append(node)
             stack.append(node)
             open_links = 0
         flush()
+        self._settle(self.root, False, self._weigh(self.root))
         self.shape = self._number(self.root, iter(range(1 << 30)))
 
+    def _weigh(self, node: Node) -> int:
+        """Characters outside links of a node and all below it."""
+        node.weight += sum(map(self._weigh, node.kids))
+        return node.weight
+
+    def _settle(self, node: Node, above: bool, total: int) -> None:
+        """A modifier does not name an element that holds most of the text."""
+        node.bad = above or node.hard or (node.soft and 2 * node.weight <= total)
+        for k in node.kids:
+            self._settle(k, node.bad, total)
+
     def _number(self, node: Node, numbers) -> list:
         node.number = next(numbers)
         return [node.sig + "*" * node.many, *(self._number(k, numbers) for k in node.kids)]
@@ -153,12 +178,13 @@ class Page:
     def main_text(self, template: frozenset = frozenset()) -> str:
         """Blocks of the article (else main, else body) that are neither named as
         boilerplate nor constant slots of the host's wrapper. Outside article and
-        main a block made of links alone goes too."""
+        main a run of like siblings made of links alone goes too."""
         left = [b for b in self.blocks if not b[0].bad and b[0].number not in template]
         for zone in ("article", "main"):
             if inside := [b for b in left if b[0].zone == zone]:
                 return "\n".join(b[1] for b in inside)
-        return "\n".join(b[1] for b in left if b[2] < 0.8 * len(b[1]))
+        menu = [a[0] is b[0] and a[2] >= 0.8 and b[2] >= 0.8 for a, b in zip(left, left[1:])]
+        return "\n".join(b[1] for b, before, after in zip(left, [False, *menu], [*menu, False]) if not (before or after))
 
 
 def flat(shape: list) -> list[tuple]:

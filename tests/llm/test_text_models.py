@@ -265,6 +265,15 @@ def test_rare_skeletons_and_small_hosts_have_templates(spark):
     assert got[300] == "t\nConstant note"
 
 
+def test_single_link_blocks_and_modifier_names_are_kept():
+    text = lambda body: html_extract.Page(body).main_text()
+    assert text("<h2><a href=x>Head</a></h2><p><a>AT&amp;T</a> said</p><p><a>One citation</a></p>") == "Head\nAT&T said\nOne citation"
+    assert text("<ul><li><a>menu one</a><li><a>menu two</a></ul><p>body") == "body"
+    assert text('<div class="content has-sidebar"><p>long body of the page</p></div><div class="sidebar">side</div>') == "long body of the page"
+    assert text('<article class="article post comments-open"><p>body</p><article id="comment-1" class="comment-body">reader</article></article>') == "body"
+    assert text('<p>long body of the page</p><div class="content has-sidebar">side</div>') == "long body of the page"
+
+
 def test_joined_rules_equal_broadcast(spark, monkeypatch):
     df = spark.createDataFrame([(i, "https://h.example/%d" % i, page(i)) for i in range(40)], "page_id long, url string, html string")
     want = sorted(tuple(r) for r in html_extract.extract(df).collect())
