@@ -5,14 +5,18 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder that driver and executors share: `spark.checkpoint.dir`, or a
-    temporary one set here when the session has none (local tests)."""
+    """Folder that driver and executors share: `spark.checkpoint.dir`. A session
+    on one machine that has none gets a temporary one; on a cluster that is an
+    error, since each machine would have its own."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         found = tempfile.mkdtemp(prefix="tessera-")
         spark.sparkContext.setCheckpointDir(found)
     return found
@@ -41,3 +45,43 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+class Members:
+    """Bloom filter of a column of 64-bit hashes, built in Spark, of MOST_BITS at
+    most whatever their number: with more hashes it lets more others through,
+    which a join behind it takes out."""
+
+    MOST_BITS, PROBES = 1 << 28, 4
+
+    def __init__(self, hashes: DataFrame, column: str):
+        h = F.col(column)
+        self.bits = 1 << min(self.MOST_BITS.bit_length() - 1, max(10, (16 * hashes.count()).bit_length()))
+        low, step = h.bitwiseAND(0xFFFFFFFF), F.shiftrightunsigned(h, 32).bitwiseOR(F.lit(1))
+        at = F.explode(F.array(*[(low + step * k).bitwiseAND(self.bits - 1) for k in range(self.PROBES)]))
+        one = F.expr("bit_or(shiftleft(1L, CAST(at & 63 AS INT)))")
+        words = hashes.filter(h.isNotNull()).select(at.alias("at")).groupBy(F.shiftright("at", 6).alias("word")).agg(one.alias("bit")).toArrow()
+        flat = np.zeros(self.bits >> 6, "int64")
+        flat[words["word"].to_numpy()] = words["bit"].to_numpy()
+        self.spark, self.shared = hashes.sparkSession, hashes.sparkSession.sparkContext.broadcast(flat)
+
+    def __getstate__(self):
+        return {"bits": self.bits, "shared": self.shared}
+
+    def maybe(self, h: np.ndarray) -> np.ndarray:
+        """False: surely not in the column."""
+        flat, found = self.shared.value, np.ones(len(h), "bool")
+        low, step = h & 0xFFFFFFFF, (h >> 32 & 0xFFFFFFFF) | 1
+        for k in range(self.PROBES):
+            at = (low + step * k) & (self.bits - 1)
+            found &= (flat[at >> 6] >> (at & 63)) & 1 == 1
+        return found
+
+    def column(self, name: str) -> Column:
+        @F.pandas_udf("boolean")
+        def maybe(h):
+            import pandas as pd
+
+            return pd.Series(self.maybe(h.to_numpy()))
+
+        return maybe(F.col(name))

@@ -54,8 +54,7 @@ def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = minhash.near_documents(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "class_id", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(False)).alias("kept"))
+    return minhash.classed(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "kept")
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

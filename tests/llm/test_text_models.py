@@ -40,6 +40,10 @@ def test_exact_similarity_and_estimate():
     assert abs((s[0] == s[1]).mean() - jp(a, b)) < 0.04
     scaled = minhash.prob_minhash(h[0], 3 * w[0], 4096)  # only proportions count
     assert (scaled == s[0]).mean() > 0.999
+    for n in (1, 126, 2049, 20_000):
+        assert len(minhash.prob_minhash(h[0], w[0], n)) == n
+    with pytest.raises(ValueError):
+        minhash.prob_minhash(h[0], w[0], (1 << 24) + 1)
 
 
 def corpus():
@@ -105,6 +109,33 @@ def test_repeated_rows_and_null_ids(spark):
     assert sorted(map(str, (r.doc_id for r in minhash.keep_one(df).collect()))) == ["1", "None", "None"]
 
 
+def test_repeated_ids_of_unlike_texts(spark):
+    a, b = "alpha beta gamma delta epsilon zeta", "one two three four five six"
+    df = spark.createDataFrame([(5, a), (5, b), (7, b), (8, a), (5, a)], "doc_id long, text string")
+    got = minhash.classed(df).collect()
+    assert len({r.class_id for r in got}) == 2 and all(len({r.class_id for r in got if r.digest == d}) == 1 for d in {r.digest for r in got})
+    assert sorted((r.doc_id, r.text) for r in minhash.keep_one(df).collect()) == [(5, a), (5, b)]
+
+
+def test_null_ids_link_and_outsiders_meet_all(spark):
+    rng = random.Random(11)
+    words = [str(rng.random()) for _ in range(120)]
+    rows = [(None if k < 3 else k, " ".join([*words[:k], "new", *words[k + 1 :]])) for k in range(0, 60, 2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.class_id for r in minhash.near_documents(df, block=4).collect()} == {4}
+
+
+def test_filter_holds_all_members(spark):
+    from pyspark.sql import functions as F
+    from tessera.llm.common import Members
+
+    rows = spark.range(20_000).select(F.xxhash64("id").alias("h"), "id")
+    kept = Members(rows.filter("id < 5000"), "h").column("h")
+    found = [r.id for r in rows.filter(kept).collect()]
+    assert set(range(5000)) <= set(found) and len(found) < 5300
+    assert rows.filter(Members(rows.limit(0), "h").column("h")).count() == 0
+
+
 # ---- language models
 
 def test_losses_by_hand(spark):
