@@ -10,7 +10,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tessera.llm.common import cut, slices, stored
+
 FEATURES = 1 << 17
+#: Parameters of the chain: features, transitions and start.
+SIZE = FEATURES + 6
+#: Features of a token at most.
+WIDTH = 7
 SEGMENT = 64
 CACHE = 400_000
 EDGE = re.compile(r"^\W+|\W+$")
@@ -28,40 +34,90 @@ def feature_ids(token: str) -> list[int]:
     return [zlib.crc32(f.encode("utf-8", "surrogatepass")) % FEATURES for f in word_features(token)]
 
 
-def forward_backward(score: np.ndarray, trans: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of chains in rows, with `score` the log odds that each token's own
-    features give to state 1: the marginals of state 1, and the sum over all
-    neighbours of the pairwise marginals."""
-    n, t = score.shape
-    own = np.empty((t, n, 2))
-    own[:, :, 1] = 1 / (1 + np.exp(-np.clip(score.T, -30, 30)))
-    own[:, :, 0] = 1 - own[:, :, 1]
-    step, alpha, beta = np.exp(trans), np.empty((t, n, 2)), np.empty((t, n, 2))
-    a = np.exp(start) * own[0]
-    alpha[0] = a / a.sum(axis=1, keepdims=True)
-    for k in range(1, t):
-        a = (alpha[k - 1] @ step) * own[k]
-        alpha[k] = a / a.sum(axis=1, keepdims=True)
-    beta[-1] = 1.0
-    for k in range(t - 2, -1, -1):
-        b = (own[k + 1] * beta[k + 1]) @ step.T
-        beta[k] = b / b.sum(axis=1, keepdims=True)
-    both = alpha * beta
-    both /= both.sum(axis=2, keepdims=True)
-    pairs = np.zeros((2, 2))
-    if t > 1:
-        joint = alpha[:-1, :, :, None] * step * (own[1:] * beta[1:])[:, :, None, :]
-        joint /= joint.sum(axis=(2, 3), keepdims=True)
-        pairs = joint.sum(axis=(0, 1))
-    return both[:, :, 1].T, pairs
+def messages(score: np.ndarray, lengths: np.ndarray, trans: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Forward and backward messages of chains laid end to end, one chain a text
+    however long, each as the odds of state 1 to state 0. `score`: log odds that
+    each token's own features give to state 1. Their product is the odds of the
+    token's marginal.
+
+    A step of a message is a fraction of two linear terms, so a run of steps is
+    one too. Rows of SEGMENT tokens are first made one step each, messages are
+    carried from row to row of a text, then through all rows at once. Nothing
+    stands behind a text's last token."""
+    (t00, t01), (t10, t11) = np.exp(trans)
+    rows = -(-lengths // SEGMENT)
+    starts, n = np.cumsum(rows) - rows, int(rows.sum())
+    at = np.repeat(starts * SEGMENT - (np.cumsum(lengths) - lengths), lengths) + np.arange(len(score))
+    place, row = at % SEGMENT, at // SEGMENT
+    e = np.ones((SEGMENT, n))
+    e[place, row] = np.exp(np.clip(score, -30, 30))
+    used = np.bincount(row, minlength=n)
+    head = np.zeros(n, "bool")
+    head[starts[rows > 0]] = True
+    begin = np.exp(start[1] - start[0])
+
+    into, behind = np.zeros(n), np.ones(n)  # odds before a row's first and behind its last token
+    long = np.flatnonzero(np.repeat(rows > 1, rows))
+    if len(long):
+        first, end = head[long], used[long]
+        a, b, c, d = (np.where(first, x, y) for x, y in ((0, t11 * e[0, long]), (begin * e[0, long], t01 * e[0, long]), (0, t10), (1, t00)))
+        for k in range(1, SEGMENT):
+            own = e[k, long]
+            step = own * (t11 * a + t01 * c), own * (t11 * b + t01 * d), t10 * a + t00 * c, t10 * b + t00 * d
+            size = step[2] + step[3]
+            if k >= end.min():
+                a, b, c, d = (np.where(k < end, x / size, y) for x, y in zip(step, (a, b, c, d)))
+            else:
+                a, b, c, d = (x / size for x in step)
+        steps = np.zeros((4, n))
+        steps[:, long] = a, b, c, d
+        for j in range(1, int(rows.max())):
+            r = starts[rows > j] + j
+            a, b, c, d = steps[:, r - 1]
+            into[r] = (a * into[r - 1] + b) / (c * into[r - 1] + d)
+            r = starts[rows > j] + rows[rows > j] - j
+            a, b, c, d = steps[:, r]
+            behind[r - 1] = (a * behind[r] + c) / (b * behind[r] + d)
+
+    forward, backward = np.empty((SEGMENT, n)), np.empty((SEGMENT, n))
+    odds = np.where(head, begin, (t01 + t11 * into) / (t00 + t10 * into)) * e[0]
+    forward[0] = odds
+    for k in range(1, SEGMENT):
+        odds = e[k] * (t01 + t11 * odds) / (t00 + t10 * odds)
+        forward[k] = odds
+    odds = behind
+    backward[-1] = odds
+    for k in range(SEGMENT - 2, -1, -1):
+        next_ = e[k + 1] * odds
+        odds = np.where(k >= used - 1, behind, (t10 + t11 * next_) / (t00 + t01 * next_))
+        backward[k] = odds
+    return forward[place, row], backward[place, row]
+
+
+def forward_backward(score, trans: np.ndarray, start: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """Of chains of any lengths: the marginals of state 1 of each, and the sum
+    over all neighbours of the pairwise marginals."""
+    lengths = np.array([len(x) for x in score], "int64")
+    flat = np.concatenate([*score, np.empty(0)])
+    f, b = messages(flat, lengths, trans, start)
+    odds, pairs = f * b, np.zeros((2, 2))
+    inside = np.ones(len(flat), "bool")
+    inside[(np.cumsum(lengths) - lengths)[lengths > 0]] = False
+    k = np.flatnonzero(inside)
+    if len(k):
+        t, left, right = np.exp(trans), f[k - 1], np.exp(np.clip(flat[k], -30, 30)) * b[k]
+        joint = np.array([[t[0, 0] + 0 * left, t[0, 1] * right], [t[1, 0] * left, t[1, 1] * left * right]])
+        pairs = (joint / joint.sum(axis=(0, 1))).sum(axis=2)
+    return np.split(odds / (1 + odds), np.cumsum(lengths)[:-1]), pairs
 
 
 class Field:
     """Weights of the chain, and of the document score over its marginals."""
 
-    def __init__(self):
-        self.weights = np.zeros(FEATURES, "float32")
-        self.trans, self.start, self.document = np.zeros((2, 2)), np.zeros(2), np.zeros(4)
+    def __init__(self, flat: np.ndarray | None = None):
+        flat = np.zeros(SIZE, "float32") if flat is None else flat
+        self.weights, self.trans, self.start = flat[:FEATURES], flat[FEATURES : FEATURES + 4].reshape(2, 2).astype("float64"), flat[FEATURES + 4 :].astype("float64")
+        self.document = np.zeros(4)
         self._scores: dict[str, float] = {}
 
     def __getstate__(self):
@@ -69,29 +125,16 @@ class Field:
 
     def token_scores(self, tokens: list[str]) -> np.ndarray:
         known = self._scores
-        for t in tokens:
-            if t not in known:
-                if len(known) >= CACHE:
-                    known.clear()
-                    return self.token_scores(tokens) if len(tokens) < CACHE else np.array([self.weights[feature_ids(x)].sum() for x in tokens])
-                known[t] = float(self.weights[feature_ids(t)].sum())
+        new = set(tokens).difference(known)
+        if len(known) + len(new) > CACHE:
+            known.clear()
+            new = set(tokens)
+        known.update((t, float(self.weights[feature_ids(t)].sum())) for t in new)
         return np.fromiter(map(known.__getitem__, tokens), "float64", len(tokens))
 
     def marginals(self, texts: list[str]) -> list[np.ndarray]:
-        """Of each whole text, P(toxic) of each token. A text is cut into chains
-        of SEGMENT tokens; padding behind a text's end is a chain of its own
-        tail and never reaches its tokens' forward pass."""
-        scores = [self.token_scores(t.split()) for t in texts]
-        n = np.array([len(s) for s in scores], "int64")
-        rows = -(-n // SEGMENT)
-        grid = np.full((int(rows.sum()), SEGMENT), -8.0)
-        at = np.repeat((np.cumsum(rows) - rows) * SEGMENT - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-        if len(at):
-            grid.ravel()[at] = np.concatenate(scores)
-            flat = forward_backward(grid, self.trans, self.start)[0].ravel()[at]
-        else:
-            flat = np.empty(0)
-        return np.split(flat, np.cumsum(n)[:-1])
+        """Of each whole text, P(toxic) of each token."""
+        return forward_backward([self.token_scores(t.split()) for t in texts], self.trans, self.start)[0]
 
     def document_features(self, marginals: list[np.ndarray]) -> np.ndarray:
         out = np.zeros((len(marginals), 4))
@@ -105,80 +148,95 @@ class Field:
         return 1 / (1 + np.exp(-np.clip(self.document_features(marginals) @ self.document, -35, 35)))
 
 
-def token_labels(texts: list[str], toxic: np.ndarray, odds: float = 20.0, least: int = 5) -> dict[str, bool]:
+def token_labels(sample: DataFrame, classes: dict[int, int], odds: float = 20.0, least: int = 5) -> frozenset:
     """Labelled tokens from labelled documents: a word, or beginning of a word,
     is toxic if the share of toxic documents that hold it is `odds` times that
-    of the others, and at least `least` do."""
-    seen = (Counter(), Counter())
-    for text, y in zip(texts, toxic):
-        seen[int(y)].update({f for w in set(text.split()) for f in word_features(w) if f[0] in "wp" and f[1] != "3"})
-    n = [max(1, int((toxic == y).sum())) for y in (0, 1)]
-    return {f: True for f, k in seen[1].items() if k >= least and len(f) > 4 and (k / n[1]) / ((seen[0][f] + 0.5) / n[0]) >= odds}
-
-
-def fit(texts: list[str], toxic: np.ndarray, prior: float, epochs: int = 8, rate: float = 0.4, l2: float = 1e-4, seed: int = 3) -> Field:
-    """Train the chain on windows of the sample's texts, then the document
-    score on its marginals. `prior`: share of toxic documents."""
-    field, rng, marks = Field(), np.random.default_rng(seed), token_labels(texts, toxic)
-    if not texts:
-        return field
-    ids: dict[str, tuple[list[int], bool]] = {}
-    windows = []
-    for text, y in zip(texts, toxic):
-        words = text.split()
-        tags = []
-        for w in words:
-            if w not in ids:
-                ids[w] = feature_ids(w), any(f in marks for f in word_features(w))
-            tags.append(bool(y) and ids[w][1])
-        cuts = range(0, len(words), 32)
-        hot = [c for c in cuts if any(tags[c : c + 32])]
-        cold = [c for c in cuts if c not in set(hot)]
-        picked = hot[:6] + [cold[i] for i in rng.permutation(len(cold))[: max(2, 4 - len(hot))]] if not y or hot else []
-        windows += [(words[c : c + 32], tags[c : c + 32]) for c in picked]
-    if not windows:
-        return field
-    grad2 = np.full(FEATURES, 1e-6)
-    t2, s2 = np.full((2, 2), 1e-6), np.full(2, 1e-6)
-    width = max(len(ids[w][0]) for words, _ in windows for w in words)
-    for _ in range(epochs):
-        order = rng.permutation(len(windows))
-        for lo in range(0, len(order), 256):
-            part = sorted((windows[i] for i in order[lo : lo + 256]), key=lambda w: len(w[0]))
-            # equal lengths together: no padding inside a chain
-            at = 0
-            while at < len(part):
-                t = len(part[at][0])
-                end = at
-                while end < len(part) and len(part[end][0]) == t:
-                    end += 1
-                group, at = part[at:end], end
-                f = np.array([[(ids[w][0] + [-1] * width)[:width] for w in words] for words, _ in group])
-                y = np.array([tags for _, tags in group], "int64")
-                valid = f >= 0
-                p, pairs = forward_backward(np.where(valid, field.weights[f], 0).sum(axis=2), field.trans, field.start)
-                g = np.bincount(f[valid], np.broadcast_to((p - y)[:, :, None], f.shape)[valid], FEATURES) / len(group)
-                g += l2 * field.weights
-                grad2 += g * g
-                field.weights -= (rate * g / np.sqrt(grad2)).astype("float32")
-                if t > 1:
-                    gt = (pairs - np.array([[((y[:, :-1] == i) & (y[:, 1:] == j)).sum() for j in (0, 1)] for i in (0, 1)])) / len(group)
-                    t2 += gt * gt
-                    field.trans -= rate * gt / np.sqrt(t2)
-                gs = np.array([(y[:, 0] == 1).mean() - p[:, 0].mean(), p[:, 0].mean() - (y[:, 0] == 1).mean()])
-                s2 += gs * gs
-                field.start -= 0.5 * rate * gs / np.sqrt(s2)
-    x = field.document_features([m for i in range(0, len(texts), 256) for m in field.marginals(texts[i : i + 256])])
-    w = np.zeros(4)
-    share = min(max(float(np.mean(toxic)), 1e-3), 1 - 1e-3)
-    prior = min(max(prior, 1e-3), 1 - 1e-3)
+    of the others, and at least `least` do. Counted in Spark."""
+
+    def run(batches):
+        for b in batches:
+            seen = (Counter(), Counter())
+            for text, y in zip(b["text"].to_pylist(), b["toxic"].to_pylist()):
+                seen[y].update({f for w in set(text.split()) for f in word_features(w) if f[0] in "wp" and f[1] != "3" and len(f) > 4})
+            found = list(seen[0] | seen[1])
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), *[pa.array([seen[y][f] for f in found], pa.int64()) for y in (1, 0)]], ["feature", "toxic", "clean"])
+
+    counts = sample.select("text", "toxic").mapInArrow(run, "feature string, toxic long, clean long").groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    share = (F.col("toxic") / max(1, classes.get(1, 0))) / ((F.col("clean") + 0.5) / max(1, classes.get(0, 0)))
+    return frozenset(r[0] for r in counts.filter((F.col("toxic") >= least) & (share >= odds)).select("feature").collect())
+
+
+SHARD = "shard int, ids binary, lengths binary, toxic binary, features binary, marked binary"
+
+
+def prepared(sample: DataFrame, marks: frozenset) -> DataFrame:
+    """One row a shard: its texts as numbers of words, their lengths and labels,
+    and of each word its features (-1: none) and whether it is labelled."""
+
+    def run(key, t):
+        t, words, docs = t.sort_by("doc_id"), {}, []
+        for text in t["text"].to_pylist():
+            docs.append(np.array([words.setdefault(w, len(words)) for w in text.split()], "int32"))
+        ids = np.full((len(words), WIDTH), -1, "int32")
+        for row, w in zip(ids, words):
+            own = feature_ids(w)
+            row[: len(own)] = own
+        marked = np.array([any(f in marks for f in word_features(w)) for w in words], "bool")
+        lengths = np.array([len(d) for d in docs], "int32")
+        cols = np.concatenate([*docs, np.empty(0, "int32")]), lengths, t["toxic"].to_numpy().astype("int32"), ids, marked
+        return pa.table({"shard": pa.array([key[0].as_py()], pa.int32())} | {n: pa.array([c.tobytes()]) for n, c in zip(("ids", "lengths", "toxic", "features", "marked"), cols)})
+
+    return sample.groupBy("shard").applyInArrow(run, SHARD)
+
+
+def learn(shard: dict, flat: np.ndarray, past: np.ndarray, seed: int, rate: float = 0.4, l2: float = 1e-4, group: int = 16) -> tuple[np.ndarray, np.ndarray]:
+    """One pass of adaptive gradient steps over whole texts (a row of
+    `prepared`), `group` texts a step, from parameters `flat` and sums of
+    squared gradients `past`."""
+    ids, lengths, toxic = (np.frombuffer(shard[c], "int32") for c in ("ids", "lengths", "toxic"))
+    features, marked = np.frombuffer(shard["features"], "int32").reshape(-1, WIDTH), np.frombuffer(shard["marked"], "bool")
+    docs = np.split(ids, np.cumsum(lengths)[:-1])
+    # a toxic text without a labelled token says nothing of where it is toxic
+    use = [i for i, d in enumerate(docs) if len(d) and (not toxic[i] or marked[d].any())]
+    use = [use[i] for i in np.random.default_rng(seed).permutation(len(use))]
+    flat, past = flat.astype("float64"), past.astype("float64")
+    for at in range(0, len(use), group):
+        part = use[at : at + group]
+        lengths = np.array([len(docs[i]) for i in part])
+        own, where = np.unique(np.concatenate([docs[i] for i in part]), return_inverse=True)
+        f = features[own]
+        valid = f >= 0
+        score = np.where(valid, flat[f], 0).sum(axis=1)[where]
+        y = (marked[own][where] & np.repeat(toxic[part] == 1, lengths)).astype("int64")
+        cuts = np.cumsum(lengths)
+        chain = flat[FEATURES : FEATURES + 4].reshape(2, 2), flat[FEATURES + 4 :]
+        p, pairs = forward_backward(np.split(score, cuts[:-1]), *chain)
+        p, size = np.concatenate(p), len(y) / 32
+        off = np.bincount(where, p - y, len(own))
+        grad = np.zeros(SIZE)
+        grad[:FEATURES] = np.bincount(f[valid], np.broadcast_to(off[:, None], f.shape)[valid], FEATURES)
+        heads = cuts - lengths
+        before, after = np.delete(y, cuts - 1), np.delete(y, heads)
+        seen = np.array([[((before == i) & (after == j)).sum() for j in (0, 1)] for i in (0, 1)])
+        grad[FEATURES : FEATURES + 4] = (pairs - seen).ravel()
+        grad[FEATURES + 4 :] = np.array([-1, 1]) * (p[heads] - y[heads]).sum()
+        grad = grad / size
+        grad[:FEATURES] += l2 * flat[:FEATURES]
+        past += grad * grad
+        flat -= rate * grad / np.sqrt(past)
+    return flat.astype("float32"), past.astype("float32")
+
+
+def document_weights(x: np.ndarray, toxic: np.ndarray, prior: float) -> np.ndarray:
+    """Ridge logistic regression by Newton steps, classes weighted to `prior`."""
+    w, ridge = np.zeros(x.shape[1]), np.array([1e-5, *[0.2] * (x.shape[1] - 1)])
+    share, prior = (min(max(float(v), 1e-3), 1 - 1e-3) for v in (np.mean(toxic), prior))
     weight = np.where(toxic == 1, prior / share, (1 - prior) / (1 - share))
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -35, 35)))
-        hess = (x * (weight * p * (1 - p))[:, None]).T @ x + np.diag([1e-6, 0.02, 0.02, 0.02]) * 10
-        w -= np.linalg.solve(hess, x.T @ (weight * (p - toxic)) + np.array([1e-6, 0.02, 0.02, 0.02]) * 10 * w)
-    field.document = w
-    return field
+        hess = (x * (weight * p * (1 - p))[:, None]).T @ x + np.diag(ridge)
+        w -= np.linalg.solve(hess, x.T @ (weight * (p - toxic)) + ridge * w)
+    return w
 
 
 def held_out(doc_id: Column) -> Column:
@@ -186,19 +244,55 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, per_class: int = 3000) -> Field:
+def train(docs: DataFrame, labels: DataFrame, per_class: int = 3000, shards: int = 8, epochs: int = 10, seed: int = 3) -> Field:
     """Fit on at most `per_class` labelled documents of each class (the bounded
-    sample), none of them held out. Labels without a document, and null labels,
-    are left out; of several labels of a document the largest counts."""
+    sample), whole texts, none of them held out. Labels without a document, and
+    null labels, are left out; of several labels of a document the largest
+    counts, and of several texts the smallest.
+
+    The sample stays in Spark, dealt into `shards` by id. In each epoch every
+    shard takes gradient steps from the shared parameters in a task of its own,
+    and the mean of the shards' parameters is shared next: the driver holds
+    parameters, the words labelled toxic and four numbers a sampled document."""
+    spark = docs.sparkSession
     marked = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").filter(~held_out(F.col("doc_id"))).groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("_toxic"))
     counts = dict(marked.groupBy("_toxic").count().collect())
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     some = marked.filter("_toxic = 1").orderBy(*order).limit(per_class).union(marked.filter("_toxic = 0").orderBy(*order).limit(per_class))
-    ids = docs.sparkSession.createDataFrame(some.collect(), "doc_id long, _toxic int")  # at most 2 * per_class rows
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "text", "_toxic").collect()
-    rows.sort(key=lambda r: r[0])
-    total = sum(counts.values())
-    return fit([r[1] for r in rows], np.array([r[2] for r in rows], "int64"), counts.get(1, 0) / total if total else 0.5)
+    ids = spark.createDataFrame(some.collect(), "doc_id long, toxic int")  # at most 2 * per_class rows
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(ids), "doc_id")
+    sample = stored(texts.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int")), "sample")
+    classes = dict(sample.groupBy("toxic").count().collect())
+    if not classes:
+        return Field()
+    shard_rows = cut(prepared(sample, token_labels(sample, classes)).repartitionByRange(shards, "shard"))
+    flat, past = np.zeros(SIZE, "float32"), np.full(SIZE, 1e-6, "float32")
+
+    def pass_over(now, epoch):
+        shared = spark.sparkContext.broadcast(now)
+
+        def run(batches):
+            for row in (r for b in batches for r in b.to_pylist()):
+                found = learn(row, *shared.value, seed + epoch)
+                yield pa.RecordBatch.from_arrays([pa.array([row["shard"]], pa.int32()), *[pa.array([x.tobytes()]) for x in found]], ["shard", "flat", "past"])
+
+        found = sorted(shard_rows.mapInArrow(run, "shard int, flat binary, past binary").collect())
+        shared.destroy()
+        return [np.mean([np.frombuffer(r[i], "float32") for r in found], axis=0, dtype="float64").astype("float32") for i in (1, 2)]
+
+    for epoch in range(epochs):
+        flat, past = pass_over((flat, past), epoch)
+    field = Field(flat)
+    shared = spark.sparkContext.broadcast(field)
+
+    def features(batches):
+        for b in slices(batches, 512):
+            x = shared.value.document_features(shared.value.marginals(b["text"].to_pylist()))
+            yield pa.RecordBatch.from_arrays([b["doc_id"], b["toxic"], pa.array(list(x), pa.list_(pa.float64()))], ["doc_id", "toxic", "x"])
+
+    rows = sorted(sample.select("doc_id", "toxic", "text").mapInArrow(features, "doc_id long, toxic int, x array<double>").collect())
+    field.document = document_weights(np.array([r[2] for r in rows]), np.array([r[1] for r in rows]), counts.get(1, 0) / sum(counts.values()))
+    return field
 
 
 def score(docs: DataFrame, field: Field, spans: bool = True) -> DataFrame:
@@ -225,13 +319,10 @@ def score(docs: DataFrame, field: Field, spans: bool = True) -> DataFrame:
 
     def run(batches):
         model = shared.value
-        for b in batches:
-            texts, scores, where = b["text"].to_pylist(), [], []
-            for i in range(0, len(texts), 128):
-                marg = model.marginals(texts[i : i + 128])
-                scores.append(model.document_scores(marg))
-                where += [found(t, p) for t, p in zip(texts[i : i + 128], marg)]
-            s = np.concatenate(scores) if scores else np.empty(0)
+        for b in slices(batches, 512):
+            texts = b["text"].to_pylist()
+            marg = model.marginals(texts)
+            s, where = model.document_scores(marg), [found(t, p) for t, p in zip(texts, marg)]
             yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(s), pa.array((s >= 0.5).astype("int32")), pa.array(where, kind)], ["doc_id", "score", "predicted", "spans"])
 
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
@@ -242,14 +333,12 @@ def clean_documents(docs: DataFrame, labels: DataFrame, per_class: int = 3000) -
     """The rows of `docs` that are not predicted toxic, all columns kept."""
     shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels, per_class))
 
-    @F.pandas_udf("boolean")
-    def toxic(texts):
-        import pandas as pd
-
-        model, out = shared.value, []
-        values = texts.fillna("").tolist()
-        for i in range(0, len(values), 128):
-            out.append(model.document_scores(model.marginals(values[i : i + 128])) >= 0.5)
-        return pd.Series(np.concatenate(out) if out else [], dtype="bool")
+    @F.arrow_udf("boolean")
+    def toxic(texts: pa.Array) -> pa.Array:
+        model, out = shared.value, [np.empty(0, "bool")]
+        for at in range(0, len(texts), 512):
+            marg = model.marginals([t or "" for t in texts[at : at + 512].to_pylist()])
+            out.append(model.document_scores(marg) >= 0.5)
+        return pa.array(np.concatenate(out))
 
     return docs.filter(~toxic(F.col("text")))

@@ -218,6 +218,39 @@ def test_forward_backward_by_enumeration():
     assert pairs == pytest.approx(want_pairs)
 
 
+def plain_marginals(score, trans, start):
+    """A forward and a backward pass over one whole chain, in logarithms."""
+    own = np.stack([np.zeros(len(score)), score], axis=1)
+    a, b = [start + own[0]], [np.zeros(2)]
+    for k in range(1, len(score)):
+        a.append(own[k] + np.logaddexp(a[-1][0] + trans[0], a[-1][1] + trans[1]))
+        b.append(np.array([np.logaddexp(*(trans[i] + own[-k] + b[-1])) for i in (0, 1)]))
+    z = np.array(a) + np.array(b[::-1])
+    return 1 / (1 + np.exp(z[:, 0] - z[:, 1]))
+
+
+def test_chains_of_all_lengths_together():
+    rng = np.random.default_rng(5)
+    trans, start = 2 * rng.standard_normal((2, 2)), rng.standard_normal(2)
+    chains = [4 * rng.standard_normal(n) for n in [0, *rng.permutation(np.arange(1, 201)), 1000, 0]]
+    got, pairs = toxicity.forward_backward(chains, trans, start)
+    assert [len(g) for g in got] == [len(c) for c in chains]
+    assert all(g == pytest.approx(plain_marginals(c, trans, start), abs=1e-9) for g, c in zip(got, chains) if len(c))
+    assert pairs.sum() == pytest.approx(sum(max(0, len(c) - 1) for c in chains))
+    alone = [toxicity.forward_backward([c], trans, start)[0][0] for c in chains]
+    assert all(np.array_equal(a, g) for a, g in zip(alone, got))  # whatever shares the batch
+    extreme = [np.full(300, 80.0), np.full(300, -80.0)]
+    assert all(np.isfinite(p).all() for p in toxicity.forward_backward(extreme, trans, start)[0])
+
+
+def test_last_token_counts_at_any_length():
+    field = toxicity.Field()
+    field.weights[toxicity.feature_ids("zork")] = 2.0
+    field.trans = np.array([[1.0, -2.0], [-1.0, 1.0]])
+    p = [field.marginals(["ab " * (n - 1) + "zork"])[0][-1] for n in (62, 64, 65, 128, 129)]
+    assert p == pytest.approx([p[0]] * 5, abs=1e-6)
+
+
 def toxic_corpus():
     rng = random.Random(3)
     word = lambda: "".join(rng.choices("abcdefghij", k=rng.randint(2, 6)))
