@@ -7,6 +7,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.window import Window as W
 
 from tessera.llm.common import slices, stored
 from tessera.llm.tokens import encoder
@@ -79,47 +80,94 @@ class Capacities:
         return at - self.leaves
 
 
-def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
-    """Best-fit decreasing in the given order: bin and offset of each length."""
-    bins, offsets, used, tree = np.empty(len(lengths), "int64"), np.empty(len(lengths), "int64"), 0, Capacities(capacity)
-    for i, need in enumerate(lengths.tolist()):
-        room = tree.tightest(need)
-        if room < 0:
-            room, bin_, used = capacity, used, used + 1
-        else:
-            bin_ = tree.pop(room)
-        bins[i], offsets[i] = bin_, capacity - room
-        if room > need:
-            tree.push(room - need, bin_)
-    return bins, offsets
+RUN = ("length", "first", "each", "bin", "offset")
+
+
+def plan(counts: dict[int, int], capacity: int) -> dict[str, np.ndarray]:
+    """Best-fit decreasing of `counts[n]` pieces of each length n, in runs: from
+    the piece numbered `first` of its length on, `each` pieces go to each of the
+    bins from `bin` on, behind `offset`.
+
+    Equal pieces in turn fill the tightest open bin as long as they fit, then
+    the next of that capacity, so a class of equal bins takes a run at once. The
+    result is that of one pass over all pieces, and its size does not grow with
+    their number."""
+    tree, runs, used = Capacities(capacity), [], 0
+    for need in sorted(counts, reverse=True):
+        first, left = 0, counts[need]
+        while left:
+            room = tree.tightest(need)
+            if room < 0:
+                room = capacity
+                bin_, n = used, -(-left // (capacity // need))
+                used += n
+            else:
+                bin_, n = tree.pop(room)
+            most = room // need
+            # whole bins, then one bin with what is left
+            for each, bins in ((most, min(n, left // most)), (left % most, 1 if left < n * most else 0)):
+                if each and bins:
+                    runs.append((need, first, each, bin_, capacity - room))
+                    if room > each * need:
+                        tree.push(room - each * need, (bin_, bins))
+                    first, left, bin_, n = first + each * bins, left - each * bins, bin_ + bins, n - bins
+            if n:
+                tree.push(room, (bin_, n))
+    return {c: np.array([r[i] for r in runs], "int64") for i, c in enumerate(RUN)}
+
+
+def place(runs: dict[str, np.ndarray], lengths: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bin and offset of pieces, each given by its length and its number among
+    those of that length."""
+    order = np.lexsort((runs["first"], runs["length"]))
+    r = {c: v[order] for c, v in runs.items()}
+    at = np.empty(len(lengths), "int64")
+    for n in np.unique(lengths):
+        own = lengths == n
+        lo, hi = np.searchsorted(r["length"], [n, n + 1])
+        at[own] = lo + np.searchsorted(r["first"][lo:hi], numbers[own], "right") - 1
+    i = numbers - r["first"][at]
+    return r["bin"][at] + i // r["each"][at], r["offset"][at] + i % r["each"][at] * lengths
+
+
+def ranks(lengths: np.ndarray) -> np.ndarray:
+    """Number of each element among the equal ones of a sorted array."""
+    starts = np.flatnonzero(np.concatenate([[True], lengths[1:] != lengths[:-1]])) if len(lengths) else np.empty(0, "int64")
+    return np.arange(len(lengths)) - np.repeat(starts, np.diff(np.append(starts, len(lengths))))
 
 
-def pack(pieces: DataFrame, capacity: int, pieces_per_task: int = 32_768) -> DataFrame:
-    """Place pieces (columns of PIECES) into sequences of at most `capacity`.
+def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """Best-fit decreasing of lengths given in falling order: bin and offset of each."""
+    every, n = np.unique(lengths, return_counts=True)
+    return place(plan(dict(zip(every.tolist(), n.tolist())), capacity), np.asarray(lengths), ranks(np.asarray(lengths)))
 
-    Spark deals the pieces' metadata evenly by a hash of all of it into tasks of
-    about `pieces_per_task`; each task packs its share best-fit decreasing, so
-    the loss against one global pass is at most the last open sequences of each
-    task. Ties go by doc_id and piece; reruns give the same placement. Pieces of
-    length 0 cannot occur, as each document ends with the end id."""
-    n = pieces.count()
-    tasks = max(1, -(-n // pieces_per_task))
 
-    def run(batches):
-        from pyspark import TaskContext
-
-        rows = [b for b in batches if b.num_rows]
-        if not rows:
-            return
-        table = pa.Table.from_batches(rows).sort_by([("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending"), ("ids_crc32", "ascending")])
-        bins, offsets = best_fit(table["length"].to_numpy(), capacity)
-        base = TaskContext.get().partitionId() << 36
-        table = table.append_column("sequence_id", pa.array(bins + base)).append_column("offset", pa.array(offsets))
-        yield from table.to_batches(max_chunksize=65_536)
-
-    # round-robin by row number would not be stable under retries; a hash of the contents is
-    dealt = pieces.repartition(tasks, F.xxhash64("doc_id", "piece", "ids_crc32", "length"))
-    return dealt.mapInArrow(run, PACKED)
+def pack(pieces: DataFrame, capacity: int, pieces_per_task: int = 32_768) -> DataFrame:
+    """Place pieces (columns of PIECES) into sequences of at most `capacity`,
+    best-fit decreasing over all of them.
+
+    The pass runs over the counts of the at most `capacity` lengths. Spark deals
+    the pieces by a hash of all their columns into slices of about
+    `pieces_per_task`; a slice's pieces of a length are numbered behind those of
+    the slices before it, which tells each its place. Ties go by doc_id and
+    piece; reruns give the same placement. Pieces of length 0 cannot occur, as
+    each document ends with the end id."""
+    sizes = {r[0]: r[1] for r in pieces.groupBy("length").count().collect()}  # at most `capacity` rows
+    tasks = max(1, -(-sum(sizes.values()) // pieces_per_task))
+    runs = pieces.sparkSession.sparkContext.broadcast(plan(sizes, capacity))
+    # a hash of the contents is stable under retries, unlike round-robin
+    dealt = pieces.withColumn("slice", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", "length"), F.lit(tasks)))
+    before = F.sum("n").over(W.partitionBy("length").orderBy("slice")) - F.col("n")
+    skips = dealt.groupBy("slice", "length").agg(F.count("*").alias("n")).select("slice", "length", before.alias("skip"))
+
+    def run(key, own, skip):
+        own = own.sort_by([("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending"), ("ids_crc32", "ascending")])
+        lengths, skip = own["length"].to_numpy(), skip.sort_by("length")
+        behind = skip["skip"].to_numpy()[np.searchsorted(skip["length"].to_numpy(), lengths)]
+        bins, offsets = place(runs.value, lengths, behind + ranks(lengths))
+        return own.drop(["slice"]).append_column("sequence_id", pa.array(bins)).append_column("offset", pa.array(offsets))
+
+    return dealt.groupBy("slice").cogroup(skips.groupBy("slice")).applyInArrow(run, PACKED)
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, pieces_per_task: int = 32_768) -> DataFrame:

@@ -38,9 +38,11 @@ class ChunkIds:
     def _parts(self, chunk: str) -> tuple[str, str]:
         """A word (with one blank before it, if there is one) and its marks."""
         letters = chunk.rstrip(MARKS)
-        if not (letters.isalpha() or (letters[:1] == " " and letters[1:].isalpha())) or not (letters.isascii() or max(letters) < LATIN):
+        folded = letters.lower() if self.fold else letters
+        # a letter that folds to a letter and a combining mark joins what follows
+        if len(folded) != len(letters) or not (letters.isalpha() or (letters[:1] == " " and letters[1:].isalpha())) or not (letters.isascii() or max(letters) < LATIN):
             return chunk, ""
-        return (letters.lower() if self.fold else letters), chunk[len(letters) :]
+        return folded, chunk[len(letters) :]
 
     def fill(self, chunks: set[str]) -> None:
         if len(self.now) + len(chunks) > CACHE_CHUNKS:

@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -5,7 +6,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from tessera.llm.packing import best_fit, pack_documents
+from tessera.llm.packing import best_fit, pack, pack_documents
 from tessera.llm.token_counts import count_tokens, read_cache
 from tessera.llm.tokens import TextEncoder
 
@@ -25,6 +26,17 @@ def test_ids_equal_the_library(spark, sf, path):
             assert np.frombuffer(ids, "<u4").tolist() == lib.encode(t, add_special_tokens=False).ids, t[:60]
 
 
+@pytest.mark.parametrize("path", [WORDS, BYTES])
+def test_random_strings_equal_the_library(path):
+    rng = random.Random(17)
+    pool = list("aAbzZ  \n\t.,;:!?*$%&#|'-_09") + list("İıŉǆǅßéÉẞﬁΣς각日😀́̇̈\u00a0\u200b\ufeff") + ["e\u0301", "İ!", "I\u0307", "'s", "ll've", "<|endoftext|>"]
+    texts = ["".join(rng.choices(pool, k=rng.randint(1, 14))) for _ in range(30_000)]
+    lib, own = Tokenizer.from_file(path), TextEncoder(path)
+    want = lib.encode_batch(texts, add_special_tokens=False)
+    wrong = [t for t, ids, w in zip(texts, own.ids(texts), want) if np.frombuffer(ids, "<u4").tolist() != w.ids]
+    assert not wrong, wrong[:5]
+
+
 def test_cache_is_bounded(monkeypatch):
     import tessera.llm.tokens as m
 
@@ -60,6 +72,30 @@ def test_best_fit_against_plain_search():
             assert at <= 64
 
 
+def test_one_pass_over_all_tasks(spark):
+    """Many tasks give as many sequences as one plain pass, gapless, and reruns agree."""
+    rng = np.random.default_rng(4)
+    lengths = np.concatenate([rng.integers(1, 200, 3000), np.full(500, 64), rng.integers(1, 9, 1500), [200] * 20])
+    rows = [(int(i % 700), int(i), 0, int(n), int(i * 7)) for i, n in enumerate(lengths)]
+    df = spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    got = pack(df, 200, pieces_per_task=100).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, pack(df.repartition(7), 200, pieces_per_task=100).collect()))
+    rooms, plain = [0] * 201, 0
+    for n in sorted(lengths.tolist(), reverse=True):
+        fit = next((r for r in range(n, 201) if rooms[r]), None)
+        plain += fit is None
+        if fit is not None:
+            rooms[fit] -= 1
+        rooms[(fit or 200) - n] += 1
+    by = {}
+    for r in got:
+        by.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    assert len(got) == len(rows) and len(by) == plain
+    for own in by.values():
+        ends = [0, *np.cumsum([n for _, n in sorted(own)]).tolist()]
+        assert [o for o, _ in sorted(own)] == ends[:-1] and ends[-1] <= 200
+
+
 def test_pack_whole_and_gapless(spark):
     lib = Tokenizer.from_file(WORDS)
     texts = [(1, None), (2, ""), (3, "one two three"), (3, "one two three"), (None, "no id"), (5, "long " * 700), (6, "x y " * 30)]
