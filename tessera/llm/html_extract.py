@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 import html
-import json
 import re
 from urllib.parse import urlsplit
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tessera.llm.common import stored
 
@@ -41,11 +40,11 @@ SPACE = re.compile(r"\s+")
 class Node:
     """A block-level element; runs of like siblings are one node."""
 
-    __slots__ = ("sig", "kids", "many", "bad", "hard", "soft", "weight", "zone", "number", "tag")
+    __slots__ = ("sig", "last", "many", "bad", "hard", "soft", "weight", "zone", "number", "tag", "up", "depth")
 
-    def __init__(self, tag, sig, bad, zone, hard=False, soft=False):
-        self.tag, self.sig, self.bad, self.zone, self.hard, self.soft = tag, sig, bad, zone, hard, soft
-        self.kids, self.many, self.number, self.weight = [], False, 0, 0
+    def __init__(self, tag, sig, bad, zone, hard=False, soft=False, up=None, number=0):
+        self.tag, self.sig, self.bad, self.zone, self.hard, self.soft, self.up, self.number = tag, sig, bad, zone, hard, soft, up, number
+        self.last, self.many, self.weight, self.depth = None, False, 0, up.depth + 1 if up else 0
 
 
 def attributes(text: str) -> dict:
@@ -67,10 +66,12 @@ def boilerplate(label: str, main: bool) -> tuple[bool, bool]:
 
 class Page:
     """Blocks of a page: (node, text, share of its characters in links), and its
-    DOM with like siblings folded, as a nested list."""
+    DOM with like siblings folded: `nodes` in document order, `shape` as text, a
+    line of depth and signature for each."""
 
     def __init__(self, source: str):
         self.root = Node("", "", False, "")
+        self.nodes = [self.root]
         self.blocks: list[tuple[Node, str, float]] = []
         stack, open_links, parts, linked, at, n = [self.root], 0, [], [], 0, len(source)
 
@@ -141,32 +142,22 @@ class Page:
             if tag == "article" and up.zone == "main":
                 zone = "article"
             sig = tag + "".join(sorted("." + re.sub(r"\d+", "0", c) for c in label.split()))
-            last = up.kids[-1] if up.kids else None
+            last = up.last
             if last is not None and last.sig == sig and last.bad == bad and last.hard == hard and last.zone == zone:
                 last.many, node = True, last
             else:
-                node = Node(tag, sig, bad, zone, hard, soft)
-                up.kids.append(node)
+                # only a last child is opened again, so nodes stay in document order
+                node = up.last = Node(tag, sig, bad, zone, hard, soft, up, len(self.nodes))
+                self.nodes.append(node)
             stack.append(node)
             open_links = 0
         flush()
-        self._settle(self.root, False, self._weigh(self.root))
-        self.shape = self._number(self.root, iter(range(1 << 30)))
-
-    def _weigh(self, node: Node) -> int:
-        """Characters outside links of a node and all below it."""
-        node.weight += sum(map(self._weigh, node.kids))
-        return node.weight
-
-    def _settle(self, node: Node, above: bool, total: int) -> None:
-        """A modifier does not name an element that holds most of the text."""
-        node.bad = above or node.hard or (node.soft and 2 * node.weight <= total)
-        for k in node.kids:
-            self._settle(k, node.bad, total)
-
-    def _number(self, node: Node, numbers) -> list:
-        node.number = next(numbers)
-        return [node.sig + "*" * node.many, *(self._number(k, numbers) for k in node.kids)]
+        for node in reversed(self.nodes[1:]):
+            node.up.weight += node.weight
+        for node in self.nodes:
+            # a modifier does not name an element that holds most of the text
+            node.bad = (node.up is not None and node.up.bad) or node.hard or (node.soft and 2 * node.weight <= self.root.weight)
+        self.shape = "\n".join(f"{x.depth} {x.sig}{'*' * x.many}" for x in self.nodes)
 
     def slots(self) -> dict[int, int]:
         """Folded node -> digest of its texts."""
@@ -175,96 +166,94 @@ class Page:
             texts.setdefault(node.number, []).append(text)
         return {k: xxhash.xxh3_64_intdigest("\n".join(v)) - (1 << 63) for k, v in texts.items()}
 
-    def main_text(self, template: frozenset = frozenset()) -> str:
-        """Blocks of the article (else main, else body) that are neither named as
-        boilerplate nor constant slots of the host's wrapper. Outside article and
-        main a run of like siblings made of links alone goes too."""
-        left = [b for b in self.blocks if not b[0].bad and b[0].number not in template]
-        for zone in ("article", "main"):
-            if inside := [b for b in left if b[0].zone == zone]:
-                return "\n".join(b[1] for b in inside)
+    def identity(self) -> int:
+        """Digest of what names alone take for the text: pages that differ in it
+        are distinct, copies under another menu are not."""
+        return xxhash.xxh3_64_intdigest(self.main_text()) - (1 << 63)
+
+    def main_text(self, template: frozenset = frozenset(), content: frozenset = frozenset(), names: bool = True) -> str:
+        """Blocks that are not slots of the host's template. Of slots that the
+        alignment has not found to be content, only those of the article (else
+        main, else of the body) stay, and there no run of like siblings made of
+        links alone. Without `names` no element's name is looked at."""
+        left = [b for b in self.blocks if b[0].number not in template and not (names and b[0].bad)]
+        zones = {b[0].zone for b in left} if names else set()
+        zone = "article" if "article" in zones else "main" if "main" in zones else ""
         menu = [a[0] is b[0] and a[2] >= 0.8 and b[2] >= 0.8 for a, b in zip(left, left[1:])]
-        return "\n".join(b[1] for b, before, after in zip(left, [False, *menu], [*menu, False]) if not (before or after))
-
-
-def flat(shape: list) -> list[tuple]:
-    """(number, sig, kids) of each node, in order."""
-    out: list = []
-
-    def walk(node):
-        at = len(out)
-        out.append(None)
-        kids = [walk(k) for k in node[1:]]
-        out[at] = (at, node[0].rstrip("*"), kids)
-        return at
-
-    walk(shape)
+        links = [not zone and (x or y) for x, y in zip([False, *menu], [*menu, False])]
+        return "\n".join(b[1] for b, run in zip(left, links) if b[0].number in content or ((not zone or b[0].zone == zone) and not run))
+
+
+def flat(shape: str) -> list[tuple]:
+    """(number, signature, kids) of each node of a shape."""
+    out: list[tuple] = []
+    path: list[int] = []
+    for at, line in enumerate(shape.split("\n")):
+        depth, _, sig = line.partition(" ")
+        del path[int(depth) :]
+        if path:
+            out[path[-1]][2].append(at)
+        path.append(at)
+        out.append((at, sig.rstrip("*"), []))
     return out
 
 
 def match(a: list, b: list) -> dict[int, int]:
     """Simple tree matching: the largest order-preserving match of two trees
-    that pairs only like nodes under paired parents. Node of b -> node of a."""
-    memo: dict = {}
-
-    def table(x, y):
-        if (x, y) not in memo:
-            ka, kb = a[x][2], b[y][2]
-            m = [[0] * (len(kb) + 1) for _ in range(len(ka) + 1)]
-            for i, p in enumerate(ka, 1):
-                for j, q in enumerate(kb, 1):
-                    m[i][j] = max(m[i - 1][j], m[i][j - 1], m[i - 1][j - 1] + size(p, q))
-            memo[x, y] = m
-        return memo[x, y]
-
-    def size(x, y):
-        return 0 if a[x][1] != b[y][1] else 1 + table(x, y)[-1][-1]
-
-    found: dict[int, int] = {}
-
-    def trace(x, y):
+    that pairs only like nodes under paired parents. Node of b -> node of a.
+    Pairs are visited from a list, not by recursion: pages may be deep."""
+    if a[0][1] != b[0][1]:
+        return {}
+    pairs = [(0, 0)]
+    for x, y in pairs:
+        pairs += [(p, q) for p in a[x][2] for q in b[y][2] if a[p][1] == b[q][1]]
+    size, tables = {}, {}
+    for x, y in reversed(pairs):
+        ka, kb = a[x][2], b[y][2]
+        m = [[0] * (len(kb) + 1) for _ in range(len(ka) + 1)]
+        for i, p in enumerate(ka, 1):
+            for j, q in enumerate(kb, 1):
+                m[i][j] = max(m[i - 1][j], m[i][j - 1], m[i - 1][j - 1] + size.get((p, q), 0))
+        tables[x, y], size[x, y] = m, 1 + m[-1][-1]
+    found, open_ = {}, [(0, 0)]
+    while open_:
+        x, y = open_.pop()
         found[y] = x
-        m, i, j = table(x, y), len(a[x][2]), len(b[y][2])
+        m, i, j = tables[x, y], len(a[x][2]), len(b[y][2])
         while i and j:
-            p, q = a[x][2][i - 1], b[y][2][j - 1]
-            if (s := size(p, q)) and m[i][j] == m[i - 1][j - 1] + s:
-                trace(p, q)
+            pair = a[x][2][i - 1], b[y][2][j - 1]
+            if (n := size.get(pair, 0)) and m[i][j] == m[i - 1][j - 1] + n:
+                open_.append(pair)
                 i, j = i - 1, j - 1
             elif m[i][j] == m[i - 1][j]:
                 i -= 1
             else:
                 j -= 1
-
-    if size(0, 0):
-        trace(0, 0)
     return found
 
 
-def grown(wrapper: list, shape: list) -> list:
+def grown(wrapper: str, shape: str) -> str:
     """The wrapper with the nodes of `shape` that it does not match yet."""
-    a, b = flat(wrapper), flat(shape)
-    back = {y: x for y, x in match(a, b).items()}
+    trees = flat(wrapper), flat(shape)
+    back = match(*trees)
     forward = {x: y for y, x in back.items()}
-
-    def build(x):
-        y, kids = forward.get(x), []
-        own = list(a[x][2])
-        if y is None:
-            return [a[x][1], *(build(k) for k in own)]
-        for q in b[y][2]:
-            if q in back:
-                while own and own[0] != back[q]:
-                    kids.append(build(own.pop(0)))
-                if own:
-                    kids.append(build(own.pop(0)))
-            else:
-                kids.append(copy(q))
-        return [a[x][1], *kids, *(build(k) for k in own)]
-
-    def copy(q):
-        return [b[q][1], *(copy(k) for k in b[q][2])]
-
-    return build(0)
+    out, open_ = [], [(0, 0, 0)]  # which tree, node, depth
+    while open_:
+        tree, x, depth = open_.pop()
+        _, sig, kids = trees[tree][x]
+        out.append(f"{depth} {sig}")
+        kids = [(tree, k, depth + 1) for k in kids]
+        if not tree and x in forward:
+            own, kids = kids, []
+            for q in trees[1][forward[x]][2]:
+                if q not in back:
+                    kids.append((1, q, depth + 1))
+                    continue
+                upto = next(i for i, k in enumerate(own) if k[1] == back[q]) + 1
+                kids, own = kids + own[:upto], own[upto:]
+            kids += own
+        open_ += reversed(kids)
+    return "\n".join(out)
 
 
 def host(url: str | None) -> str:
@@ -276,148 +265,144 @@ def host(url: str | None) -> str:
 
 #: Wrappers of a host that a task merges into one, about; those are merged again.
 FAN = 32
-#: Share of a host's distinct pages (two at least) that a constant slot must be
-#: on to be template; both are counted as far as 63 bits tell pages apart.
+#: Share of a host's distinct pages (two at least) that a slot must be on to be template.
 SHARE = 0.25
+#: A slot outside article and main is template too if its texts are at most so
+#: many a distinct page, and REPEATS fewer; above VARIES a slot is content.
+REPEATED, REPEATS, VARIES = 0.75, 3, 0.9
 #: (host, skeleton) rules to broadcast at most; beyond, they are joined.
 BROADCAST_RULES = 100_000
 
 
-def slot_statistics(pages: DataFrame) -> DataFrame:
-    """host, shape, slot, n, lo, hi, mask, first, last. Slot -1 stands for the
-    whole page; the bits of `mask` that are set are a lower bound of its distinct
-    texts, `first` and `last` the smallest and largest digest of those. Batches are summed before anything is shuffled."""
+def slot_texts(pages: DataFrame) -> DataFrame:
+    """host, skeleton (a hash), slot, digest of its texts, identity of the page
+    and whether it is in article or main, of each slot of each page. Slot -1
+    stands for the page, and brings the skeleton's tree once in a batch."""
 
     def run(batches):
         for b in batches:
-            found: dict = {}
+            out, seen = [], set()
             for url, source in zip(b["url"].to_pylist(), b["html"].to_pylist()):
                 page = Page(source or "")
-                slots, name, shape = page.slots(), host(url), json.dumps(page.shape, separators=(",", ":"))
-                whole = xxhash.xxh3_64_intdigest("\n".join(x[1] for x in page.blocks))
-                bit, whole = 1 << (whole % 63), whole - (1 << 63)
-                for slot, d in [(-1, whole), *slots.items()]:
-                    if (k := (name, shape, slot)) in found:
-                        n, lo, hi, mask, first, last = found[k]
-                        found[k] = n + 1, min(lo, d), max(hi, d), mask | bit, min(first, whole), max(last, whole)
-                    else:
-                        found[k] = 1, d, d, bit, whole, whole
-            cols = list(zip(*(k + v for k, v in found.items()))) or [()] * 9
-            kinds = [pa.string(), pa.string(), pa.int32(), *[pa.int64()] * 6]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["host", "shape", "slot", "n", "lo", "hi", "mask", "first", "last"])
-
-    rows = pages.select("url", "html").mapInArrow(run, "host string, shape string, slot int, n long, lo long, hi long, mask long, first long, last long")
-    return rows.groupBy("host", "shape", "slot").agg(F.sum("n").alias("n"), *merged("lo", "hi"), *merged())
+                name, page_id = host(url), page.identity()
+                shape = xxhash.xxh3_64_intdigest(page.shape) - (1 << 63)
+                out.append((name, shape, -1, page_id, page_id, False, None if (name, shape) in seen else page.shape))
+                seen.add((name, shape))
+                out += [(name, shape, slot, d, page_id, page.nodes[slot].zone != "", None) for slot, d in page.slots().items()]
+            cols = list(zip(*out)) or [()] * 7
+            kinds = [pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.string()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["host", "shape", "slot", "text", "page", "zoned", "tree"])
 
-
-def merged(*more: str) -> list:
-    """Aggregates of `more` (a smallest and a largest) or else of mask, first and last."""
-    low, high = more or ("first", "last")
-    return [F.min(low).alias(low), F.max(high).alias(high), *([] if more else [F.bit_or("mask").alias("mask")])]
-
-
-def distinct_pages() -> Column:
-    return F.greatest(F.bit_count("mask"), F.when(F.col("first") < F.col("last"), 2).otherwise(1))
+    return pages.select("url", "html").mapInArrow(run, "host string, shape long, slot int, text long, page long, zoned boolean, tree string")
 
 
 def host_wrappers(shapes: DataFrame) -> DataFrame:
-    """host and wrapper, grown from all its shapes: each round merges slices of
+    """host and wrapper, grown from all its trees: each round merges slices of
     about FAN of a host's trees into one, until every host has one."""
 
     def grow(batches):
         for b in batches:
             out = []
-            for group in b["shapes"].to_pylist():
-                wrapper = json.loads(group[0])
-                for s in group[1:]:
-                    wrapper = grown(wrapper, json.loads(s))
-                out.append(json.dumps(wrapper, separators=(",", ":")))
-            yield pa.RecordBatch.from_arrays([b["host"], pa.array(out, pa.string()), b["n"]], ["host", "shape", "n"])
-
-    level = shapes.select("host", "shape", "n")
+            for first, *rest in b["trees"].to_pylist():
+                for tree in rest:
+                    first = grown(first, tree)
+                out.append(first)
+            yield pa.RecordBatch.from_arrays([b["host"], pa.array(out, pa.string()), b["n"]], ["host", "tree", "n"])
+
+    level = shapes.select("host", "tree", "n")
     while True:
         sizes = level.groupBy("host").agg(F.count("*").alias("_k"))
         if (sizes.agg(F.max("_k")).first()[0] or 0) <= 1:
-            return level.select("host", F.col("shape").alias("wrapper"))
-        parts = level.join(sizes, "host").withColumn("_slice", F.pmod(F.xxhash64("shape"), F.ceil(F.col("_k") / FAN)))
-        order = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("m"), "shape")))
-        lists = parts.groupBy("host", "_slice").agg(F.transform(order, lambda s: s.shape).alias("shapes"), F.sum("n").alias("n"))
-        level = stored(lists.select("host", "shapes", "n").mapInArrow(grow, "host string, shape string, n long"), "wrappers")
-
-
-def template_slots(stats: DataFrame) -> DataFrame:
-    """host, shape and the slots of that shape that are template: the wrapper's
-    node that they align to holds one and the same text wherever it occurs, on
-    SHARE of the host's distinct pages and on two of them at least."""
-    pages = stats.filter("slot = -1")
-    hosts = pages.groupBy("host").agg(*merged()).select("host", distinct_pages().alias("of")).filter("of >= 2")
-    shapes = stored(pages.join(hosts.select("host"), "host").select("host", "shape", "n"), "shapes")
+            return level.select("host", F.col("tree").alias("wrapper"))
+        parts = level.join(sizes, "host").withColumn("_slice", F.pmod(F.xxhash64("tree"), F.ceil(F.col("_k") / FAN)))
+        order = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("m"), "tree")))
+        lists = parts.groupBy("host", "_slice").agg(F.transform(order, lambda s: s.tree).alias("trees"), F.sum("n").alias("n"))
+        level = stored(lists.select("host", "trees", "n").mapInArrow(grow, "host string, tree string, n long"), "wrappers")
+
+
+def slot_rules(slots: DataFrame) -> DataFrame:
+    """host, shape, and the slots of that skeleton that are template and content.
+
+    Slots that align to one node of the host's wrapper are compared over the
+    host's distinct pages. A node with one text for all of them, or whose texts
+    come back on page after page, is template; one with a text of its own for
+    nearly every page is content. Texts and pages are counted by sketches that
+    are summed before anything is shuffled, so a host with a third of all pages
+    is no larger than another."""
+    on = slots.filter("slot = -1").groupBy("host").agg(F.hll_sketch_estimate(F.hll_sketch_agg("page", 11)).alias("of")).filter("of >= 2")
+    shapes = slots.filter("tree IS NOT NULL").join(on.select("host"), "host").groupBy("host", "shape").agg(F.min("tree").alias("tree"), F.count("*").alias("n"))
+    shapes = stored(shapes, "shapes")
 
     def align(batches):
         for b in batches:
             out = []
-            for name, shape, wrapper in zip(*(b[c].to_pylist() for c in ("host", "shape", "wrapper"))):
-                out += [(name, shape, slot, node) for slot, node in match(flat(json.loads(wrapper)), flat(json.loads(shape))).items()]
+            for name, shape, tree, wrapper in zip(*(b[c].to_pylist() for c in ("host", "shape", "tree", "wrapper"))):
+                out += [(name, shape, slot, node) for slot, node in match(flat(wrapper), flat(tree)).items()]
             cols = list(zip(*out)) or [()] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, [pa.string(), pa.string(), pa.int32(), pa.int32()])], ["host", "shape", "slot", "node"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, [pa.string(), pa.int64(), pa.int32(), pa.int32()])], ["host", "shape", "slot", "node"])
 
-    nodes = shapes.select("host", "shape").join(host_wrappers(shapes), "host").mapInArrow(align, "host string, shape string, slot int, node int")
-    aligned = stats.filter("slot >= 0").join(nodes, ["host", "shape", "slot"])
-    constant = aligned.groupBy("host", "node").agg(*merged("lo", "hi"), *merged()).filter("lo = hi").withColumn("on", distinct_pages())
-    constant = constant.join(hosts, "host").filter((F.col("on") >= 2) & (F.col("on") >= SHARE * F.col("of"))).select("host", "node")
-    return aligned.join(constant, ["host", "node"]).groupBy("host", "shape").agg(F.array_sort(F.collect_set("slot")).alias("slots"))
+    nodes = shapes.select("host", "shape", "tree").join(host_wrappers(shapes), "host").mapInArrow(align, "host string, shape long, slot int, node int")
+    sums = slots.filter("slot >= 0").groupBy("host", "shape", "slot").agg(*[F.hll_sketch_agg(c, 11).alias(c) for c in ("text", "page")], F.max("zoned").alias("zoned"))
+    aligned = stored(sums.join(nodes, ["host", "shape", "slot"]), "aligned")
+    counts = aligned.groupBy("host", "node").agg(*[F.hll_sketch_estimate(F.hll_union_agg(c)).alias(f"{c}s") for c in ("text", "page")], F.max("zoned").alias("zoned")).join(on, "host")
+    texts, seen = F.col("texts"), F.col("pages")
+    often = (seen >= 2) & (seen >= SHARE * F.col("of"))
+    back = ~F.col("zoned") & (texts <= REPEATED * seen) & (texts <= seen - REPEATS)
+    kinds = counts.select("host", "node", F.when(often & ((texts == 1) | back), "template").when(often & (texts >= VARIES * seen), "content").alias("kind")).filter("kind IS NOT NULL")
+    which = [F.array_sort(F.collect_set(F.when(F.col("kind") == k, F.col("slot")))).alias(k) for k in ("template", "content")]
+    return aligned.select("host", "shape", "slot", "node").join(kinds, ["host", "node"]).groupBy("host", "shape").agg(*which)
 
 
-def extract(pages: DataFrame) -> DataFrame:
+def extract(pages: DataFrame, names: bool = True) -> DataFrame:
     """page_id, url, text and n_chars (code points) of each row.
 
     Each page becomes a tree of its block elements with runs of like siblings
     folded. Same-host trees are aligned by simple tree matching to a wrapper
-    grown from all of the host's shapes; a node whose text is the same on
-    all of the host's pages is template, a varying slot is content. Content is
-    then the article's slots (else main's, else the body's) that are not named
-    as menu, advert, notice, comment and the like. Work is on (host, shape,
-    slot) sums, so a host with a third of all pages is no larger than another.
+    grown from all of the host's trees; `slot_rules` tells its constant nodes
+    (template) from its varying ones (content). Template slots go, content
+    stays; where a host has too few pages to tell, the article's slots (else
+    main's, else the body's) stay. What varies like content but is none (reader
+    comments, adverts, forms and the like) goes by the names of elements,
+    classes and roles; `names=False` leaves all to the alignment.
 
     Null html counts as empty, null url as a host without name; a page without
     content has the empty text. Repeated rows get a row each. Extra columns are
     ignored; an empty table gives none."""
-    rules = stored(template_slots(stored(slot_statistics(pages), "slots")), "templates")
+    rules = stored(slot_rules(stored(slot_texts(pages), "slots")), "rules")
     plain = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
-    few = rules.limit(BROADCAST_RULES + 1).count() <= BROADCAST_RULES
-
-    if few:
-        table = {(r[0], r[1]): frozenset(r[2]) for r in rules.collect()}
-        shared = pages.sparkSession.sparkContext.broadcast(table)
-
-        def run(batches):
-            known = shared.value
-            for b in batches:
-                out = []
-                for url, source in zip(b["url"].to_pylist(), b["html"].to_pylist()):
-                    page = Page(source or "")
-                    key = (host(url), json.dumps(page.shape, separators=(",", ":"))) if known else None
-                    out.append(page.main_text(known.get(key, frozenset())))
-                yield pa.RecordBatch.from_arrays([b["page_id"], b["url"], pa.array(out, pa.string())], ["page_id", "url", "text"])
-
-        found = plain.mapInArrow(run, "page_id long, url string, text string")
-    else:
-        found = _joined(plain, rules)
+    if rules.limit(BROADCAST_RULES + 1).count() > BROADCAST_RULES:
+        return _measured(_joined(plain, rules, names))
+    table = {(r[0], r[1]): (frozenset(r[2]), frozenset(r[3])) for r in rules.collect()}
+    shared = pages.sparkSession.sparkContext.broadcast(table)
+
+    def run(batches):
+        known, none = shared.value, (frozenset(), frozenset())
+        for b in batches:
+            out = []
+            for url, source in zip(b["url"].to_pylist(), b["html"].to_pylist()):
+                page = Page(source or "")
+                out.append(page.main_text(*known.get((host(url), xxhash.xxh3_64_intdigest(page.shape) - (1 << 63)), none), names))
+            yield pa.RecordBatch.from_arrays([b["page_id"], b["url"], pa.array(out, pa.string())], ["page_id", "url", "text"])
+
+    return _measured(plain.mapInArrow(run, "page_id long, url string, text string"))
+
+
+def _measured(found: DataFrame) -> DataFrame:
     return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
-def _joined(plain: DataFrame, rules: DataFrame) -> DataFrame:
+def _joined(plain: DataFrame, rules: DataFrame, names: bool) -> DataFrame:
     """As `extract`, with the rules joined: for more rules than can be sent."""
 
     def shapes(batches):
         for b in batches:
-            keys = [(host(u), json.dumps(Page(s or "").shape, separators=(",", ":"))) for u, s in zip(b["url"].to_pylist(), b["html"].to_pylist())]
-            yield b.append_column("host", pa.array([k[0] for k in keys], pa.string())).append_column("shape", pa.array([k[1] for k in keys], pa.string()))
+            keys = [(host(u), xxhash.xxh3_64_intdigest(Page(s or "").shape) - (1 << 63)) for u, s in zip(b["url"].to_pylist(), b["html"].to_pylist())]
+            yield b.append_column("host", pa.array([k[0] for k in keys], pa.string())).append_column("shape", pa.array([k[1] for k in keys], pa.int64()))
 
     def run(batches):
         for b in batches:
-            out = [Page(s or "").main_text(frozenset(t or ())) for s, t in zip(b["html"].to_pylist(), b["slots"].to_pylist())]
+            out = [Page(s or "").main_text(frozenset(t or ()), frozenset(c or ()), names) for s, t, c in zip(*(b[n].to_pylist() for n in ("html", "template", "content")))]
             yield pa.RecordBatch.from_arrays([b["page_id"], b["url"], pa.array(out, pa.string())], ["page_id", "url", "text"])
 
-    keyed = plain.mapInArrow(shapes, "page_id long, url string, html string, host string, shape string")
-    return keyed.join(rules, ["host", "shape"], "left").select("page_id", "url", "html", "slots").mapInArrow(run, "page_id long, url string, text string")
+    keyed = plain.mapInArrow(shapes, "page_id long, url string, html string, host string, shape long")
+    return keyed.join(rules, ["host", "shape"], "left").select("page_id", "url", "html", "template", "content").mapInArrow(run, "page_id long, url string, text string")

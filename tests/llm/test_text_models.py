@@ -345,16 +345,67 @@ def test_joined_rules_equal_broadcast(spark, monkeypatch):
     assert sorted(tuple(r) for r in html_extract.extract(df).collect()) == want
 
 
+def tree(nested, depth=0):
+    return "\n".join([f"{depth} {nested[0]}", *(tree(k, depth + 1) for k in nested[1:])])
+
+
 def test_tree_matching():
-    a = html_extract.flat(["r", ["a"], ["b", ["x"], ["y"]], ["c"]])
-    b = html_extract.flat(["r", ["b", ["y"]], ["d"], ["c"]])
-    found = html_extract.match(a, b)
+    flat, match, grown = html_extract.flat, html_extract.match, html_extract.grown
+    a = flat(tree(["r", ["a"], ["b", ["x"], ["y"]], ["c"]]))
+    b = flat(tree(["r", ["b", ["y"]], ["d"], ["c"]]))
+    found = match(a, b)
     assert {(b[y][1], a[x][1]) for y, x in found.items()} == {("r", "r"), ("b", "b"), ("y", "y"), ("c", "c")}
-    assert html_extract.match(html_extract.flat(["r"]), html_extract.flat(["s"])) == {}
-    whole = html_extract.flat(html_extract.grown(["r", ["a"], ["c"]], ["r", ["b", ["y"]], ["c"]]))
+    assert match(flat(tree(["r"])), flat(tree(["s"]))) == {}
+    whole = flat(grown(tree(["r", ["a"], ["c"]]), tree(["r", ["b", ["y"]], ["c"]])))
     assert [n[1] for n in whole] == ["r", "b", "y", "a", "c"]
 
 
+def best_match(a, b, x=0, y=0):
+    """Size of the largest match, by trying every way to pair the children in order."""
+    if a[x][1] != b[y][1]:
+        return 0
+
+    def pair(p, q):
+        if not p or not q:
+            return 0
+        return max(best_match(a, b, p[0], q[0]) + pair(p[1:], q[1:]), pair(p[1:], q), pair(p, q[1:]))
+
+    return 1 + pair(a[x][2], b[y][2])
+
+
+def test_matching_is_the_largest():
+    rng = random.Random(12)
+    grow = lambda d: [rng.choice("ab"), *(grow(d - 1) for _ in range(rng.randint(0, 3) if d else 0))]
+    for _ in range(200):
+        a, b = (html_extract.flat(tree(["r", *grow(2)[1:]])) for _ in range(2))
+        found = html_extract.match(a, b)
+        assert len(found) == best_match(a, b) and len(set(found.values())) == len(found)
+        assert all(a[x][1] == b[y][1] for y, x in found.items())
+
+
+def test_alignment_alone_finds_the_story(spark):
+    """No article, no telling names: what differs from page to page is content."""
+    rng = random.Random(8)
+    words = lambda n: " ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(n))
+    menus, rows, want = [words(6) for _ in range(5)], [], {}
+    for i in range(60):
+        title, story, extra = words(4), [words(30) for _ in range(rng.randint(1, 4))], words(5) if i % 3 else ""
+        body = "".join(f"<p>{x}</p>" for x in story) + (f'<div class="k8">{extra}</div>' if extra else "")
+        rows.append((i, f"https://h.example/{i}", f'<div class="q1">{rng.choice(menus)}</div><div class="q2"><h2>{title}</h2>{body}</div><div class="q3">All rights held.</div>'))
+        want[i] = "\n".join([title, *story, *([extra] if extra else [])])
+    rows += [(100 + i, "https://h.example/copy", rows[0][2].replace("All rights", "All rights")) for i in range(60)]  # copies say nothing of a template
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for names in (True, False):
+        got = {r.page_id: r.text for r in html_extract.extract(df, names=names).collect()}
+        assert all(got[i] == want[i % 100 if i < 100 else 0] for i in got)
+
+
+def test_deep_pages(spark):
+    deep = "<div>" * 5000 + "deep words %d"
+    df = spark.createDataFrame([(i, "https://d.example/", deep % i) for i in range(3)], "page_id long, url string, html string")
+    assert sorted(r.text for r in html_extract.extract(df).collect()) == [f"deep words {i}" for i in range(3)]
+
+
 def test_table_pages(spark, sf):
     df = spark.read.parquet(f"{sf}/pages.parquet")
     source = {r.page_id: r.html for r in df.collect()}
