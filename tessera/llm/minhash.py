@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
@@ -123,7 +122,7 @@ def signatures(texts: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
 
     def run(batches):
         for b in slices(batches, 2048):
-            keys, seen = [], {}
+            keys, digests, seen = [], [], {}
             for text, digest in zip(b["text"].to_pylist(), b["digest"].to_pylist()):
                 if digest not in seen:
                     h, w = shingles(text, size)
@@ -135,9 +134,8 @@ def signatures(texts: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
                             key = mixed(key ^ sig[:, k])
                         seen[digest] = key.view("int64")
                 keys.append(seen[digest])
-            keys = pa.array(keys, pa.list_(pa.int64()))
-            digest = pc.if_else(keys.is_valid(), b["digest"], pa.scalar(None, pa.binary()))
-            yield pa.RecordBatch.from_arrays([b["doc_id"], b["row"], digest, keys], ["doc_id", "row", "digest", "keys"])
+                digests.append(None if seen[digest] is None else digest)
+            yield pa.RecordBatch.from_arrays([b["doc_id"], b["row"], pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "row", "digest", "keys"])
 
     return texts.select("doc_id", "row", "digest", "text").mapInArrow(run, "doc_id long, row long, digest binary, keys array<long>")
 
