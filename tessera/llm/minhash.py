@@ -12,7 +12,7 @@ from tessera.llm.components import connected_components
 
 # Odd multipliers of the splitmix64 finalizer (fixed values).
 MIX_A, MIX_B, GOLDEN = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
-WORD_CACHE = 400_000
+WORD_CACHE = 200_000
 #: Bits of an arrival that pick its register; registers are 2 to their power at most.
 REGISTER_BITS = 24
 
@@ -121,7 +121,7 @@ def signatures(texts: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
     `keyed`; digest and keys are null for a text without words."""
 
     def run(batches):
-        for b in slices(batches, 2048):
+        for b in slices(batches, 512):
             keys, digests, seen = [], [], {}
             for text, digest in zip(b["text"].to_pylist(), b["digest"].to_pylist()):
                 if digest not in seen:
@@ -144,7 +144,7 @@ def weighted(texts: DataFrame, size: int, wanted: "Members | None" = None) -> Da
     """digest, hashes and weights of each row of `keyed` that may be in `wanted`."""
 
     def run(batches):
-        for b in slices(batches, 2048):
+        for b in slices(batches, 512):
             if wanted is not None:
                 b = b.filter(pa.array(wanted.maybe(b["row"].to_numpy())))
             got = [shingles(t, size) for t in b["text"].to_pylist()]

@@ -18,7 +18,7 @@ SIZE = FEATURES + 6
 #: Features of a token at most.
 WIDTH = 7
 SEGMENT = 64
-CACHE = 400_000
+CACHE = 200_000
 EDGE = re.compile(r"^\W+|\W+$")
 TOKEN = re.compile(r"\S+")
 
