@@ -7,6 +7,8 @@ import heapq
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window as W
 
+from tessera.operators.profile import quantiles
+
 # Names of fold schemes as they are written in configurations.
 SCHEMES = {
     "kfold": "kfold", "shufflesplit": "kfold", "stratified": "stratified", "stratifiedkfold": "stratified", "group": "group", "groupkfold": "group",
@@ -100,9 +102,9 @@ def filled(sizes: DataFrame, group: str, rooms: list[float], slices: int = 4096)
 def time_folds(df: DataFrame, ts: str, key: str, n: int) -> DataFrame:
     """Tiles of equal size in time order, cut at exact quantiles of the time."""
     t = F.unix_micros(F.col(ts).cast("timestamp"))
-    cuts = df.agg(F.percentile(t, [k / (n + 1) for k in range(1, n + 1)]).alias("_c"))
-    tile = F.size(F.filter("_c", lambda c: t >= c)) - 1
-    return df.crossJoin(F.broadcast(cuts)).withColumn("fold", tile.cast("int")).drop("_c")
+    cuts = [c for c in quantiles(df, {"t": t}, [k / (n + 1) for k in range(1, n + 1)])["t"] if c is not None]
+    tile = sum(((t >= c).cast("int") for c in cuts), F.lit(-1))
+    return df.withColumn("fold", tile.cast("int"))
 
 
 def spatial_blocks(df: DataFrame, lat: str, lon: str, n: int, seed: int = 0) -> DataFrame:

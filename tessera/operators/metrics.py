@@ -4,7 +4,8 @@ gives the metric per fold, branch or target."""
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.window import Window as W
+
+from tessera.operators.windows import running
 
 
 def _group(df: DataFrame, by):
@@ -39,14 +40,9 @@ def best_threshold(df: DataFrame, y: str = "y", p: str = "p", by=()) -> DataFram
 
 def roc_auc(df: DataFrame, y: str = "y", p: str = "p", by=()) -> DataFrame:
     """Exact rank-sum AUC, ties halved, over counts per distinct score; null with
-    one class only. The running sum is over distinct scores, sliced in Spark by
-    a first window on score ranges when there are many."""
+    one class only."""
     n = df.groupBy(*by, p).agg(F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) != 1).alias("neg"))
-    slices = n.withColumn("_s", F.floor(F.col(p) * 1024))
-    per = slices.groupBy(*by, "_s").agg(F.sum("neg").alias("_n"))
-    per = per.select(*by, "_s", (F.sum("_n").over(W.partitionBy(*by).orderBy("_s")) - F.col("_n")).alias("_skip"))
-    inner = F.sum("neg").over(W.partitionBy(*by, "_s").orderBy(p)) - F.col("neg")
-    under = slices.join(per, [*by, "_s"]).select(*by, "pos", "neg", (F.col("_skip") + inner).alias("below"))
+    under = running(n, p, {"upto": "neg"}, by).withColumn("below", F.col("upto") - F.col("neg"))
     area = F.sum(F.col("pos") * (F.col("below") + F.col("neg") / 2))
     return _group(under, by).agg(F.try_divide(area, F.sum("pos").cast("double") * F.sum("neg")).alias("auc"))
 

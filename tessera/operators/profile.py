@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window as W
 
 from tessera.operators.select import numeric_columns, string_columns
+from tessera.operators.windows import running
 
 CHUNK = 100  # aggregates of one pass, so that a wide table makes no huge plan
 
@@ -89,6 +90,60 @@ def adjusted_skewness(c: str) -> Column:
     return F.when((n >= 3) & (F.var_pop(c) > 0), F.skewness(c) * F.sqrt(n * (n - 1.0)) / (n - 2))
 
 
+#: Distinct values that an exact percentile of Spark gathers in one task at most.
+MOST_VALUES = 1_000_000
+
+
+def quantiles(df: DataFrame, exprs: dict[str, Column], probs: list[float], most: int = MOST_VALUES) -> dict[str, list]:
+    """Exact interpolated quantiles of each expression, None without values.
+
+    Columns of at most `most` distinct values by estimate take Spark's
+    percentile. Of others only the values next to each quantile are looked for,
+    see `order_statistics`, so no task holds a column's distinct values."""
+    if not exprs:
+        return {}
+    names = {f"q{k}": n for k, n in enumerate(exprs)}
+    rows = df.select(*[exprs[n].cast("double").alias(a) for a, n in names.items()])
+    sizes = rows.agg(*[F.count(a).alias(f"{a}_n") for a in names], *[F.approx_count_distinct(a).alias(f"{a}_d") for a in names]).first()
+    few = [a for a in names if sizes[f"{a}_d"] <= most]
+    one = rows.agg(F.count(F.lit(1)), *[F.percentile(a, probs).alias(a) for a in few]).first()
+    out = {names[a]: list(one[a] or [None] * len(probs)) for a in few}
+    for a in set(names) - set(few):
+        at = [p * (sizes[f"{a}_n"] - 1) for p in probs]
+        found = order_statistics(rows.select(a).filter(F.col(a).isNotNull()), a, sizes[f"{a}_n"], {r for x in at for r in (int(x), min(int(x) + 1, sizes[f"{a}_n"] - 1))}, most)
+        out[names[a]] = [found[int(x)] + (x - int(x)) * (found[min(int(x) + 1, sizes[f"{a}_n"] - 1)] - found[int(x)]) for x in at]
+    return out
+
+
+def order_statistics(rows: DataFrame, c: str, n: int, ranks: set[int], most: int) -> dict[int, float]:
+    """Values at `ranks` (from 0) of the sorted column. Each rank is bracketed by
+    approximate percentiles; what lies below and inside is counted, and the
+    bracket narrowed until it has at most `most` distinct values. Those are
+    counted by value, and the running count gives the rank."""
+    spans = {r: (None, None, 0, n, 1 / 500) for r in sorted(ranks)}  # low, high, rows below and inside, slack
+    done: dict[int, tuple] = {}
+    inside = lambda lo, hi: F.lit(True) if lo is None else F.col(c).between(lo, hi)
+    while spans:
+        share = {r: (r - below) / max(1, size - 1) for r, (_, _, below, size, _) in spans.items()}
+        edges = rows.agg(*[F.percentile_approx(F.when(inside(lo, hi), F.col(c)), [max(0.0, share[r] - e), min(1.0, share[r] + e)], 10_000).alias(f"r{r}") for r, (lo, hi, _, _, e) in spans.items()]).first()
+        counts = rows.agg(*[x for r in spans for lo, hi in [edges[f"r{r}"]] for x in (F.count_if(F.col(c) < lo).alias(f"b{r}"), F.count_if(inside(lo, hi)).alias(f"i{r}"), F.approx_count_distinct(F.when(inside(lo, hi), F.col(c))).alias(f"d{r}"))]).first()
+        for r, (lo, hi, below, size, e) in list(spans.items()):
+            b, i, d = counts[f"b{r}"], counts[f"i{r}"], counts[f"d{r}"]
+            if not b <= r < b + i:
+                spans[r] = lo, hi, below, size, 4 * e
+            elif d <= most or i == size:
+                done[r] = (*edges[f"r{r}"], b)
+                del spans[r]
+            else:
+                spans[r] = *edges[f"r{r}"], b, i, 1 / 500
+    out = {}
+    for r, (lo, hi, below) in done.items():
+        values = rows.filter(inside(lo, hi)).groupBy(c).agg(F.count("*").alias("n"))
+        upto = values.select(c, (F.sum("n").over(W.orderBy(c)) + below).alias("upto"))
+        out[r] = upto.filter(F.col("upto") > r).agg(F.min(c)).first()[0]
+    return out
+
+
 def outlier_summary(df: DataFrame, columns: list[str] | None = None, most: float = 0.05) -> DataFrame:
     """Outliers of each column by the rule that its shape asks for.
 
@@ -97,15 +152,16 @@ def outlier_summary(df: DataFrame, columns: list[str] | None = None, most: float
     ranges (iqr), or percentiles 1 and 99 if that is 0 (quantile_fence). Empty:
     method empty. Share is of all rows; flagged above `most`."""
     columns = columns or numeric_columns(df)
-    first = {r["column"]: r for r in per_column(df, columns, lambda c: [("n", F.count(c)), ("rows", F.count("*")), ("skew", adjusted_skewness(c)), ("q", F.percentile(c, [0.01, 0.25, 0.5, 0.75, 0.99]))]).collect()}
+    first = {r["column"]: r for r in per_column(df, columns, lambda c: [("n", F.count(c)), ("rows", F.count("*")), ("skew", adjusted_skewness(c))]).collect()}
+    q = quantiles(df, {c: F.col(c) for c in columns}, [0.01, 0.25, 0.5, 0.75, 0.99])
     skewed = [c for c in columns if first[c]["n"] and abs(first[c]["skew"] or 0) >= 1]
-    mad = {r["column"]: r["mad"] for r in per_column(df, skewed, lambda c: [("mad", F.percentile(F.abs(F.col(c) - first[c]["q"][2]), 0.5))]).collect()} if skewed else {}
+    mad = {c: v[0] for c, v in quantiles(df, {c: F.abs(F.col(c) - q[c][2]) for c in skewed}, [0.5]).items()}
 
     def rule(c):
         f = first[c]
         if not f["n"]:
             return "empty", F.lit(False)
-        p1, q1, med, q3, p99 = f["q"]
+        p1, q1, med, q3, p99 = q[c]
         if c in mad:
             return ("mad", 0.6745 * F.abs(F.col(c) - med) / mad[c] > 3.5) if mad[c] else ("median_deviation", F.col(c) != med)
         span = q3 - q1
@@ -119,9 +175,12 @@ def outlier_summary(df: DataFrame, columns: list[str] | None = None, most: float
 def scale_audit(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Flag a spread (p95 - p5) above 1000 or a deviation above ten median sizes."""
     columns = columns or numeric_columns(df)
-    out = per_column(df, columns, lambda c: [("q", F.percentile(c, [0.05, 0.95])), ("std", F.stddev_samp(c)), ("med", F.percentile(F.abs(F.col(c)), 0.5))])
-    spread = F.col("q")[1] - F.col("q")[0]
-    return out.select("column", spread.alias("spread"), "std", ((spread > 1000) | (F.col("std") / F.greatest("med", F.lit(1e-12)) > 10)).alias("flagged"))
+    ends, sizes = quantiles(df, {c: F.col(c) for c in columns}, [0.05, 0.95]), quantiles(df, {c: F.abs(F.col(c)) for c in columns}, [0.5])
+    number = lambda x: F.lit(x).cast("double")
+    spread = {c: number(None if lo is None else hi - lo) for c, (lo, hi) in ends.items()}
+    out = per_column(df, columns, lambda c: [("spread", spread[c]), ("std", F.stddev_samp(c)), ("med", number(sizes[c][0]))])
+    spread = F.col("spread")
+    return out.select("column", "spread", "std", ((spread > 1000) | (F.col("std") / F.greatest("med", F.lit(1e-12)) > 10)).alias("flagged"))
 
 
 def bands(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -178,11 +237,11 @@ def class_separability(df: DataFrame, y: str, columns: list[str]) -> DataFrame:
     """Best F1 of class 1 over one-split stumps of each column (nulls at the median).
 
     Counts per distinct value come first; the windows run over those."""
-    med = df.agg(*[F.percentile(c, 0.5).alias(c) for c in columns]).first()
-    long = unpivot(df.fillna({c: float(med[c]) for c in columns if med[c] is not None}).withColumn(y, F.col(y).cast("double")), columns, [y])
+    med = quantiles(df, {c: F.col(c) for c in columns}, [0.5])
+    long = unpivot(df.fillna({c: m for c, [m] in med.items() if m is not None}).withColumn(y, F.col(y).cast("double")), columns, [y])
     at = long.groupBy("column", "value").agg(F.count("*").alias("n"), F.sum(y).alias("pos"))
-    upto, all_ = W.partitionBy("column").orderBy("value"), W.partitionBy("column")
-    c = at.select("column", "value", F.sum("n").over(upto).alias("nl"), F.sum("pos").over(upto).alias("pl"), F.sum("n").over(all_).alias("n"), F.sum("pos").over(all_).alias("p"))
+    totals = at.groupBy("column").agg(F.sum("n").alias("n"), F.sum("pos").alias("p"))
+    c = running(at, "value", {"nl": "n", "pl": "pos"}, ["column"]).select("column", "value", "nl", "pl").join(F.broadcast(totals), "column")
     c = c.filter("nl < n").withColumns({"nr": F.col("n") - F.col("nl"), "pr": F.col("p") - F.col("pl")})
     side = lambda n, p: F.lit(1.0) - F.pow(p / n, 2) - F.pow(1 - p / n, 2)
     gini = (F.col("nl") * side(F.col("nl"), F.col("pl")) + F.col("nr") * side(F.col("nr"), F.col("pr"))) / F.col("n")
@@ -211,7 +270,7 @@ def cube_stats(cells: DataFrame) -> DataFrame:
 def mutual_information(df: DataFrame, columns: list[str], y: str, bins: int = 10) -> DataFrame:
     """Plug-in MI of each column, cut at its deciles, with the class, in nats,
     and NMI = MI / H(y). Missing values are a bin of their own."""
-    edges = df.agg(*[F.percentile(c, [k / bins for k in range(1, bins)]).alias(c) for c in columns]).first()
+    edges = {c: [e for e in q if e is not None] for c, q in quantiles(df, {c: F.col(c) for c in columns}, [k / bins for k in range(1, bins)]).items()}
     cut = {c: F.when(F.col(c).isNull(), -1).otherwise(sum((F.col(c) > e).cast("int") for e in sorted(set(edges[c] or [0.0])))) for c in columns}
     long = df.select(F.col(y).cast("string").alias("y"), *[cut[c].cast("double").alias(c) for c in columns]).unpivot(["y"], columns, "column", "bin")
     joint = long.groupBy("column", "bin", "y").agg(F.count("*").alias("n"))

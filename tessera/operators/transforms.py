@@ -8,12 +8,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tessera.functions import scalar as S
-from tessera.operators.profile import per_column, target_correlation
+from tessera.operators.profile import per_column, quantiles, target_correlation
 from tessera.operators.select import numeric_columns, target_leak_guard
+from tessera.operators.windows import group_sums
 
 
 def medians(df: DataFrame, columns: list[str]) -> dict:
-    return {r["column"]: r["m"] for r in per_column(df, columns, lambda c: [("m", F.percentile(F.col(c).cast("double"), 0.5))]).collect()} if columns else {}
+    return {c: q[0] for c, q in quantiles(df, {c: F.col(c) for c in columns}, [0.5]).items()}
 
 
 def impute(train: DataFrame, test: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFrame]:
@@ -57,7 +58,7 @@ def target_bin_mean(train: DataFrame, test: DataFrame, c: str, y: str, q: int =
     probs = [k / q for k in range(1, q)]
 
     def fitted(rows: DataFrame, to: DataFrame) -> DataFrame:
-        edges = sorted(set(rows.agg(F.percentile(c, probs)).first()[0] or []))
+        edges = sorted(set(quantiles(rows, {c: F.col(c)}, probs)[c]) - {None})
         mean = rows.groupBy(bin_of(c, edges).alias("_bin")).agg(F.avg(y).alias("_m")).filter("_bin IS NOT NULL")
         every = rows.agg(F.avg(y).alias("_all"))
         out = to.withColumn("_bin", bin_of(c, edges)).join(F.broadcast(mean), "_bin", "left").crossJoin(F.broadcast(every))
@@ -106,15 +107,25 @@ def pca_features(train: DataFrame, test: DataFrame, columns: list[str], k: int)
 
 def build_features(train: DataFrame, test: DataFrame, spec: dict, y: str, fold: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Columns of a declarative spec behind the base columns: polynomials,
-    interactions, ratios, conditions, target_dependent_bins, pca, aliases. What
-    names a missing column is skipped."""
+    interactions, ratios, conditions, temporal_deltas, missingness_interactions,
+    group_aggregations, target_dependent_bins, pca, aliases. Fitted on `train`.
+    What names a missing column is skipped."""
     target_leak_guard(spec, y)
     have = set(train.columns) & (set(test.columns) | {y})
     new = [S.polynomial(c) for c in spec.get("polynomials", []) if c in have]
     new += [S.interaction(a, b) for a, b in spec.get("interactions", []) if {a, b} <= have]
     new += [S.ratio(a, b) for a, b in spec.get("ratios", []) if {a, b} <= have]
     new += [S.condition(c["column"], c["operator"], c["value"], c["name"]) for c in spec.get("conditions", []) if c["column"] in have]
+    base = [c for c in numeric_columns(train) if c in test.columns and c not in (y, fold)]
     train, test = train.select("*", *new), test.select("*", *new)
+    for band in spec.get("temporal_deltas", []):
+        train, test = temporal_deltas(train, band), temporal_deltas(test, band)
+    if mnar := [c for c in spec.get("missingness_interactions", []) if c in have]:
+        flags = missingness_flags(train, mnar, y, [c for c in spec.get("interaction_features", base) if c in have], spec.get("interaction_top", 3))
+        train, test = train.withColumns(flags), test.withColumns(flags)
+    for group in (g for g in spec.get("group_aggregations", []) if g in have):
+        sums = group_sums(train, group, [c for c in spec.get("aggregated", base) if c in have and c != group])
+        train, test = train.join(sums, group, "left"), test.join(sums, group, "left")
     for b in spec.get("target_dependent_bins", []):
         if b["column"] in have:
             train, test = target_bin_mean(train, test, b["column"], y, b.get("q", 10), fold)
@@ -149,38 +160,34 @@ def temporal_deltas(df: DataFrame, band: str) -> DataFrame:
     return df.withColumns({f"{band}_delta_{m:02d}": F.col(f"{band}_{m:02d}") - F.col(f"{band}_{m - 1:02d}") for m in months})
 
 
-def missingness_interactions(df: DataFrame, mnar: list[str], y: str, candidates: list[str], top: int) -> DataFrame:
-    """Null flag of each MNAR column times each of the features nearest the target."""
+def missingness_flags(df: DataFrame, mnar: list[str], y: str, candidates: list[str], top: int) -> dict[str, Column]:
     r = {x["column"]: abs(x["r"]) for x in target_correlation(df, y, candidates).collect() if x["r"] is not None}
     best = sorted(r, key=lambda c: (-r[c], c))[:top]
-    return df.withColumns({f"{c}_missing_x_{b}": F.col(c).isNull().cast("double") * F.col(b) for c in mnar for b in best if b != c})
+    return {f"{c}_missing_x_{b}": F.col(c).isNull().cast("double") * F.col(b) for c in mnar for b in best if b != c}
+
+
+def missingness_interactions(df: DataFrame, mnar: list[str], y: str, candidates: list[str], top: int) -> DataFrame:
+    """Null flag of each MNAR column times each of the features nearest the target."""
+    return df.withColumns(missingness_flags(df, mnar, y, candidates, top))
 
 
 #: Finest cells of the unit sphere: edges of 2 ** -(LEVELS - 1), 0.8 m.
 LEVELS = 24
 
 
-def neighbours(rows: DataFrame, others: DataFrame, lat: str, lon: str, key: str, k: int, cell: float | None = None) -> DataFrame:
-    """key, other, km and place of the k nearest others of each row, itself left
-    out. A `cell` limits them to its own and the eight next grid cells of so many
-    degrees, as the SQL of the queries does; without it all others count."""
+def neighbours(rows: DataFrame, others: DataFrame, lat: str, lon: str, key: str, k: int) -> DataFrame:
+    """key, other, km and place of the k nearest of all others of each row,
+    itself left out."""
     from pyspark.sql.window import Window as W
 
     near = others.select(F.col(key).alias("other"), F.col(lat).alias("_a2"), F.col(lon).alias("_o2"))
     own = rows.select(F.col(key), F.col(lat).alias("_a"), F.col(lon).alias("_o"))
-    both = (_in_sphere(own, near, key, k) if cell is None else _in_grid(own, near, cell)).filter(F.col(key) != F.col("other"))
+    both = _in_sphere(own, near, key, k).filter(F.col(key) != F.col("other"))
     km = both.select(key, "other", S.haversine_km(F.col("_a"), F.col("_o"), F.col("_a2"), F.col("_o2")).alias("km"))
     w = W.partitionBy(key).orderBy(F.round("km", 6), "other")
     return km.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= k)
 
 
-def _in_grid(own: DataFrame, near: DataFrame, cell: float) -> DataFrame:
-    at = lambda c: F.floor(F.col(c) / cell).cast("int")
-    step = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-    around = own.withColumn("_s", F.explode(step)).withColumns({"_x": at("_a") + F.col("_s.i"), "_y": at("_o") + F.col("_s.j")})
-    return around.join(near.withColumns({"_x": at("_a2"), "_y": at("_o2")}), ["_x", "_y"])
-
-
 def _in_sphere(own: DataFrame, near: DataFrame, key: str, k: int) -> DataFrame:
     """Each row with others among which its k nearest are. The finest cell of a
     row that holds k + 1 others bounds their distance by its diagonal, less than
@@ -204,22 +211,22 @@ def _in_sphere(own: DataFrame, near: DataFrame, key: str, k: int) -> DataFrame:
     return around.join(found, cells)
 
 
-def spatial_lag_target(df: DataFrame, lat: str, lon: str, key: str, y: str, k: int, fold: str | None = None, cell: float | None = None) -> DataFrame:
+def spatial_lag_target(df: DataFrame, lat: str, lon: str, key: str, y: str, k: int, fold: str | None = None) -> DataFrame:
     """Mean target of the k nearest other rows; with `fold`, of other folds."""
     if fold is None:
-        n = neighbours(df, df, lat, lon, key, k, cell)
+        n = neighbours(df, df, lat, lon, key, k)
     else:
         n = None
         for f in sorted(r[0] for r in df.select(fold).distinct().collect()):
-            part = neighbours(df.filter(F.col(fold) == f), df.filter(F.col(fold) != f), lat, lon, key, k, cell)
+            part = neighbours(df.filter(F.col(fold) == f), df.filter(F.col(fold) != f), lat, lon, key, k)
             n = part if n is None else n.unionByName(part)
     lag = n.join(df.select(F.col(key).alias("other"), F.col(y).alias("_y")), "other").groupBy(key).agg(F.avg("_y").alias("spatial_lag"))
     return df.join(lag, key, "left")
 
 
-def neighbour_distance(df: DataFrame, lat: str, lon: str, key: str, k: int, cell: float | None = None) -> DataFrame:
+def neighbour_distance(df: DataFrame, lat: str, lon: str, key: str, k: int) -> DataFrame:
     """Mean distance to the k nearest other rows."""
-    return df.join(neighbours(df, df, lat, lon, key, k, cell).groupBy(key).agg(F.avg("km").alias("neighbour_km")), key, "left")
+    return df.join(neighbours(df, df, lat, lon, key, k).groupBy(key).agg(F.avg("km").alias("neighbour_km")), key, "left")
 
 
 def median_fill_matrix(train: DataFrame, test: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFrame]:

@@ -7,16 +7,33 @@ from pyspark.sql.window import Window as W
 
 
 def average_rank(df: DataFrame, column: str, by: list[str] = (), out: str = "rank") -> DataFrame:
-    """Rank with ties averaged. Distinct values are counted first, and ranks are
-    sums over those, so no window holds the rows themselves."""
-    n = df.groupBy(*by, column).agg(F.count("*").alias("_n"))
-    upto = F.sum("_n").over(W.partitionBy(*by).orderBy(column))
-    ranks = n.select(*by, column, (upto - (F.col("_n") - 1) / 2).alias(out))
+    """Rank with ties averaged: running sums over the counts of distinct values."""
+    n = running(df.groupBy(*by, column).agg(F.count("*").alias("_n")), column, {"_upto": "_n"}, by)
+    ranks = n.select(*by, column, (F.col("_upto") - (F.col("_n") - 1) / 2).alias(out))
     keep = [F.col(f"a.{c}") for c in df.columns]
     on = [F.col(f"a.{c}").eqNullSafe(F.col(f"r.{c}")) for c in (*by, column)]
     return df.alias("a").join(ranks.alias("r"), on).select(*keep, out)
 
 
+#: Slices of a column's range that running sums are cut into.
+SLICES = 256
+
+
+def running(values: DataFrame, column: str, sums: dict[str, str], by=()) -> DataFrame:
+    """`values`, a row for each value of a number column within `by`, with running
+    sums over it (new name -> summed column). The range is cut at approximate
+    quantiles, sums of slices run first, and a window holds a slice only."""
+    cuts = values.agg(F.percentile_approx(column, [k / SLICES for k in range(1, SLICES)], 10 * SLICES).alias("_cuts"))
+    cut = values.crossJoin(F.broadcast(cuts)).withColumn("_s", F.coalesce(F.size(F.filter("_cuts", lambda c: F.col(column) >= c)), F.lit(0))).drop("_cuts")
+    per = cut.groupBy(*by, "_s").agg(*[F.sum(c).alias(f"{o}_per") for o, c in sums.items()])
+    before = W.partitionBy(*by).orderBy("_s")
+    per = per.select(*by, "_s", *[(F.sum(f"{o}_per").over(before) - F.col(f"{o}_per")).alias(f"{o}_skip") for o in sums])
+    on = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in (*by, "_s")]
+    both = cut.alias("a").join(per.alias("b"), on).select("a.*", *[f"{o}_skip" for o in sums])
+    inner = W.partitionBy(*by, "_s").orderBy(column)
+    return both.withColumns({o: F.col(f"{o}_skip") + F.sum(c).over(inner) for o, c in sums.items()}).drop("_s", *[f"{o}_skip" for o in sums])
+
+
 def factorize(df: DataFrame, columns: list[str], row_id: str) -> DataFrame:
     """Integer codes by first appearance in row_id order; null is -1."""
     from tessera.operators.ledger import numbered
@@ -85,8 +102,11 @@ def temporal_features(df: DataFrame, key: str, ts: str, column: str, lags: list[
 
 def group_features(df: DataFrame, group: str, columns: list[str]) -> DataFrame:
     """Mean, std and count of features within the group."""
-    agg = df.groupBy(group).agg(F.count("*").alias("group_n"), *[x for c in columns for x in (F.avg(c).alias(f"{c}_group_mean"), F.stddev_samp(c).alias(f"{c}_group_std"))])
-    return df.join(agg, group, "left")
+    return df.join(group_sums(df, group, columns), group, "left")
+
+
+def group_sums(df: DataFrame, group: str, columns: list[str]) -> DataFrame:
+    return df.groupBy(group).agg(F.count("*").alias("group_n"), *[x for c in columns for x in (F.avg(c).alias(f"{c}_group_mean"), F.stddev_samp(c).alias(f"{c}_group_std"))])
 
 
 def group_target_mean(df: DataFrame, group: str, y: str, fold: str) -> DataFrame:
@@ -104,6 +124,8 @@ def group_target_mean(df: DataFrame, group: str, y: str, fold: str) -> DataFrame
 def top_confidence(df: DataFrame, p: str, fraction: float = 0.10) -> DataFrame:
     """Rows within the top share by distance from 0.5; the cut is an exact
     percentile, so no window orders all rows."""
+    from tessera.operators.profile import quantiles
+
     c = F.abs(F.col(p) - 0.5)
-    cut = df.agg(F.percentile(c, 1 - fraction).alias("_cut"))
-    return df.crossJoin(F.broadcast(cut)).filter(c >= F.col("_cut")).drop("_cut")
+    [cut] = quantiles(df, {"c": c}, [1 - fraction])["c"]
+    return df.filter(c >= cut if cut is not None else F.lit(False))

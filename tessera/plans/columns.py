@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import select as S
 from tessera.operators import sets
+from tessera.operators.profile import per_column
 from tessera.plans.registry import HOLES, LINES, PREDS, Input, query, read
 from tessera.plans.scalars import NATIONS
 from tessera.sources import tables
@@ -57,6 +58,74 @@ def rename_columns(spark, sf):
     return S.rename_columns(read(spark, sf, "part").select("p_partkey", "p_size", "p_brand"), {"p_partkey": "id", "p_size": "size", "gone": "x"})
 
 
+def counted(df, issues):
+    """Findings about columns, with the number of values of those that exist."""
+    n = per_column(df, df.columns, lambda c: [("n", F.count(c))])
+    return issues.join(n, "column", "left")
+
+
+def _n(table, rows):
+    """SQL of findings (a tuple each, the column first) with the column's count."""
+    return " UNION ALL ".join(f"SELECT {', '.join(row)}, {f'(SELECT count({column}) FROM {table})' if there else 'NULL'} AS n" for column, there, *row in rows)
+
+
+def _col(c):
+    return f"'{c}' AS \"column\""
+
+
+@query("b01_feature_columns", " UNION ALL ".join(f"SELECT '{c}' AS \"column\", count({c}) AS n, round(avg({c}), 6) AS mean FROM lineitem" for c in ("l_quantity", "l_extendedprice", "l_discount")))
+def feature_columns(spark, sf):
+    d = read(spark, sf, "lineitem")
+    left = S.feature_columns(d, ids=["l_orderkey", "L_PARTKEY", "l_suppkey"], targets=["l_tax"], blocked=["L_LineNumber"], numeric_only=True)
+    return per_column(d, left, lambda c: [("n", F.count(c)), ("mean", F.round(F.avg(c), 6))])
+
+
+@query("b05_schema_parity", _n("part", [("p_name", True, _col("p_name"), "'missing_in_test' AS issue"), ("x", False, _col("made"), "'extra_in_test' AS issue"), ("x", False, _col("gone"), "'target_missing' AS issue")]))
+def schema_parity(spark, sf):
+    part = read(spark, sf, "part").select("p_partkey", "p_name", "p_size")
+    test = part.drop("p_name").withColumn("made", F.lit(1))
+    return counted(part, S.schema_parity(part, test, "gone"))
+
+
+@query("b06_policy_gate", _n("customer", [(c, True, _col(c)) for c in ("c_name", "c_acctbal")]))
+def policy_gate(spark, sf):
+    d = read(spark, sf, "customer")
+    return counted(d, S.policy_gate(d, ["C_NAME", "c_acctbal", "c_phone"]))
+
+
+@query("b08_pii_columns", _n("supplier", [("s_name", True, _col("s_name"))]))
+def pii_columns(spark, sf):
+    d = read(spark, sf, "supplier")
+    return counted(d, S.pii_columns(d))
+
+
+@query("b14_target_leak_guard", _n(HOLES.sql, [(c, True, _col(c), f"{str(c in ('size', 'price')).lower()} AS refused") for c in ("id", "size", "price", "y")]))
+def target_leak_guard(spark, sf):
+    d = HOLES.df(spark, sf).select("id", "size", "price", "y")
+    spec = {"polynomials": ["size"], "ratios": [("price", "size")]}
+
+    def refused(c):
+        try:
+            S.target_leak_guard(spec, c)
+        except ValueError:
+            return True
+        return False
+
+    return counted(d, spark.createDataFrame([(c, refused(c)) for c in d.columns], "column string, refused boolean"))
+
+
+@query("b15_validate_variant_lists", _n("part", [("p_size", True, _col("p_size"), "'a' AS variant", "'target' AS issue"), ("p_name", True, _col("p_name"), "'a' AS variant", "'dead' AS issue"), ("p_brand", True, _col("p_brand"), "'b' AS variant", "'noise' AS issue"), ("x", False, _col("gone"), "'b' AS variant", "'not_in_test' AS issue")]))
+def validate_variant_lists(spark, sf):
+    d = read(spark, sf, "part")
+    return counted(d, S.validate_variant_lists(d, {"a": ["p_size", "p_name", "p_type"], "b": ["p_brand", "gone"]}, "p_size", ["p_name"], ["p_brand"]))
+
+
+@query("b18_numeric_columns", " UNION ALL ".join(f"SELECT '{c}' AS \"column\", count({c}) AS n, CAST(max({c}) AS DOUBLE) AS largest FROM part" for c in ("p_partkey", "p_size", "p_retailprice")))
+def numeric_columns(spark, sf):
+    d = read(spark, sf, "part")
+    return per_column(d, S.numeric_columns(d), lambda c: [("n", F.count(c)), ("largest", F.max(c).cast("double"))])
+
+
 PLAN_SQL = """SELECT p_name AS name, CASE WHEN p_partkey % 6 = 0 THEN 'external' WHEN p_partkey % 6 = 1 THEN 'web' ELSE 'internal' END AS source,
  CASE WHEN p_size % 5 = 0 THEN 'target_encode' ELSE 'none' END AS transform, CASE WHEN p_size % 7 = 0 THEN ['Lat', 'x'] ELSE [p_brand] END AS columns, p_partkey FROM part"""
 

@@ -275,16 +275,41 @@ def rank_correlation(spark, sf):
     return rounded(G.pair_correlation(m, ["m0", "m1"], "regression"), r=6)
 
 
-@query("p02_p03_fuse", f"SELECT id, y, round((p + 0.5 + (v - 25) / 100) / 2, 9) AS p FROM {P}")
+#: Scores and correlations of the members, pairs in order, and the pruning as a
+#: recursion over the list of branches that are left.
+FUSED = f"""WITH RECURSIVE m AS (SELECT * FROM {MEMBERS}), w AS (SELECT id, p AS m0, 0.5 + (v - 25) / 100 AS m1, p * 0.9 + 0.02 AS m2 FROM {P}),
+ score AS (SELECT branch, (s - np * (np + 1) / 2) / (CAST(np AS DOUBLE) * nn) AS auc FROM ({auc_sql('m', 'branch')})),
+ pair AS (SELECT 0 AS k, 'm0' AS a, 'm1' AS b, corr(m0, m1) AS r FROM w UNION ALL SELECT 1, 'm0', 'm2', corr(m0, m2) FROM w UNION ALL SELECT 2, 'm1', 'm2', corr(m1, m2) FROM w),
+ worse AS (SELECT k, a, b, CASE WHEN x.auc <= y.auc THEN a ELSE b END AS gone FROM pair JOIN score x ON x.branch = a JOIN score y ON y.branch = b WHERE abs(r) > 0.95),
+ prune AS (SELECT 0 AS step, ['m0', 'm1', 'm2'] AS kept UNION ALL SELECT * FROM (SELECT step + 1, list_filter(kept, lambda x: x <> gone) FROM (SELECT step, kept, arg_min(gone, k) AS gone FROM prune JOIN worse ON list_contains(kept, a) AND list_contains(kept, b) GROUP BY 1, 2))),
+ chosen AS (SELECT branch FROM score, (SELECT arg_max(kept, step) AS kept FROM prune) WHERE list_contains(kept, branch) ORDER BY auc DESC, branch LIMIT TOP),
+ fused AS (SELECT id, any_value(y) AS y, round(avg(p), 9) AS p, (SELECT string_agg(branch, ',' ORDER BY branch) FROM chosen) AS branches FROM m WHERE branch IN (FROM chosen) GROUP BY 1)"""
+
+
+@query("p02_p03_fuse", FUSED.replace("TOP", "3") + " SELECT * FROM fused")
 def fuse(spark, sf):
     chosen, out = G.fuse(members(spark, sf), "classification", "auc", "maximize")
-    assert sorted(chosen) == ["m1", "m2"] or sorted(chosen) == ["m0", "m1"]
-    return rounded(G.blend(members(spark, sf), ["m0", "m1"]), p=9)
+    return rounded(out, p=9).withColumn("branches", F.lit(",".join(sorted(chosen))))
 
 
-@query("p04_fuse_targets")
+@query("p02_p03_fuse_best", FUSED.replace("TOP", "1") + " SELECT * FROM fused")
+def fuse_best(spark, sf):
+    chosen, out = G.fuse(members(spark, sf), "classification", "auc", "maximize", top_n=1)
+    return rounded(out, p=9).withColumn("branches", F.lit(",".join(sorted(chosen))))
+
+
+@query("p04_fuse_targets", FUSED.replace("TOP", "3") + " SELECT id, y, p, 't0' AS target, 'PARTIAL' AS status FROM fused")
 def fuse_targets(spark, sf):
-    return G.fuse_targets(members(spark, sf).withColumn("target", F.lit("t0")), [{"name": "t0", "task": "classification", "metric": "auc", "direction": "maximize"}, {"name": "t1", "task": "classification", "metric": "auc", "direction": "maximize"}])
+    t = lambda n: {"name": n, "task": "classification", "metric": "auc", "direction": "maximize"}
+    return rounded(G.fuse_targets(members(spark, sf).withColumn("target", F.lit("t0")), [t("t0"), t("t1")]), p=9)
+
+
+@query("j11_compare_stored", f"WITH a AS (SELECT branch, (s - np * (np + 1) / 2) / (CAST(np AS DOUBLE) * nn) AS auc FROM ({auc_sql(MEMBERS, 'branch')})) SELECT round(x.auc, 9) AS original, round(y.auc, 9) AS challenger, round(y.auc - x.auc, 9) AS delta FROM a x, a y WHERE x.branch = 'm0' AND y.branch = 'm1'")
+def compare_stored(spark, sf):
+    from tessera.operators.models import compare_runs
+
+    m = members(spark, sf)
+    return rounded(compare_runs(m.filter("branch = 'm0'"), m.filter("branch = 'm1'"), "classification", "auc"), original=9, challenger=9, delta=9)
 
 
 SAMPLE = Input("customer", ("c_custkey AS id", "c_custkey * 2 AS row_id"))

@@ -37,6 +37,26 @@ def time(spark, sf):
     return J.assign_folds(read(spark, sf, "events").select("event_id", "ts"), "TimeSeriesSplit", 4, 0, "event_id", ts="ts").select("event_id", "fold")
 
 
+SHARES = "(SELECT o_orderpriority AS label, avg(CASE WHEN o_orderstatus = 'F' THEN 1.0 ELSE 0.0 END) AS f, avg(CASE WHEN o_orderstatus = 'P' THEN 1.0 ELSE 0.0 END) AS p FROM orders GROUP BY 1)"
+
+
+@query("j06_choose_cv", f"SELECT label, CASE WHEN least(p, 1 - p) < 0.15 THEN 'stratified' ELSE 'kfold' END AS rare, CASE WHEN least(f, 1 - f) < 0.15 THEN 'stratified' ELSE 'kfold' END AS even, 'time' AS dated, 'group' AS placed, 'kfold' AS configured FROM {SHARES}")
+def choose_cv(spark, sf):
+    is_ = lambda s: F.avg((F.col("o_orderstatus") == s).cast("double"))
+    rows = []
+    for label, p, f in read(spark, sf, "orders").groupBy("o_orderpriority").agg(is_("P"), is_("F")).collect():
+        minority = lambda x, **more: {"minority": min(x, 1 - x), **more}
+        rows.append((label, J.choose_cv(minority(p)), J.choose_cv(minority(f)), J.choose_cv(minority(p, temporal=True, group="g")), J.choose_cv(minority(p, spatial=True, points=5)), J.choose_cv(minority(p), "KFold")))
+    return spark.createDataFrame(rows, "label string, rare string, even string, dated string, placed string, configured string")
+
+
+@query("j07_strategy_id", f"SELECT id, CASE branch WHEN 'b0' THEN 'config:KFold' WHEN 'b1' THEN 'override:GroupKFold' ELSE 'unknown' END AS cv_strategy_id FROM {P}")
+def strategy(spark, sf):
+    named = {"b0": J.strategy_id("KFold"), "b1": J.strategy_id("KFold", "GroupKFold")}
+    tag = F.coalesce(*[F.when(F.col("branch") == b, s) for b, s in named.items()], F.lit(J.strategy_id()))
+    return PREDS.df(spark, sf).select("id", tag.alias("cv_strategy_id"))
+
+
 MARKED = Input("lineitem", ("l_orderkey * 8 + l_linenumber AS id", "CAST(l_orderkey % 5 AS INT) AS fold", "l_linenumber > 5 AS is_pseudo"))
 
 

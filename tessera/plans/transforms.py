@@ -98,6 +98,17 @@ def build_features(spark, sf):
     return rounded(T.build_features(a, b, spec, "y")[1].select("id", "size_sq", "size_x_price", "price_div_size", "large", "pb"), price_div_size=6, pb=9)
 
 
+@query("i08_default_spec", f"SELECT id, size * size AS size_sq, CASE WHEN code IS NULL THEN 1.0 ELSE 0.0 END * size AS code_missing_x_size FROM {H} WHERE id % 4 = 0")
+def default_spec(spark, sf):
+    from tessera.operators.profile import null_profile
+
+    a, b = split(HOLES.df(spark, sf).select("id", "size", "price", F.col("code").cast("double").alias("code"), "y"))
+    holes = {r["column"]: r for r in null_profile(a.select("size", "code")).collect()}
+    mnar = [max(holes, key=lambda c: holes[c]["nulls"])]
+    spec = T.merge_spec(T.default_spec({"mnar": mnar, "features": ["size", "price"]}), {"polynomials": ["size"], "interaction_features": ["size", "price"], "interaction_top": 1})
+    return T.build_features(a, b, spec, "y")[1].select("id", "size_sq", "code_missing_x_size")
+
+
 @query("i09_temporal_deltas", "WITH m AS (SELECT l_suppkey, sum(l_quantity) FILTER (WHERE month(l_shipdate) = 1) AS a, sum(l_quantity) FILTER (WHERE month(l_shipdate) = 2) AS b, sum(l_quantity) FILTER (WHERE month(l_shipdate) = 3) AS c FROM lineitem GROUP BY 1) SELECT l_suppkey, b - a AS qty_delta_02, c - b AS qty_delta_03 FROM m")
 def temporal_deltas(spark, sf):
     from tessera.plans.aggregates import _months
@@ -112,7 +123,7 @@ def missingness_interactions(spark, sf):
 
 NEAR = f"""WITH t AS (SELECT id, lat, lon, id % 3 AS fold, id % 7 AS y FROM {NATIONS.sql}), n AS (SELECT a.id, b.y, b.fold AS f2, a.fold, b.id AS other,
  2 * 6371.0088 * asin(sqrt(least(1.0, pow(sin(radians(b.lat - a.lat) / 2), 2) + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians(b.lon - a.lon) / 2), 2)))) AS km
- FROM t a, t b WHERE a.id <> b.id AND abs(floor(a.lat / 15) - floor(b.lat / 15)) <= 1 AND abs(floor(a.lon / 15) - floor(b.lon / 15)) <= 1)"""
+ FROM t a, t b WHERE a.id <> b.id)"""
 
 
 def _near(spark, sf):
@@ -121,12 +132,12 @@ def _near(spark, sf):
 
 @query("i11_spatial_lag_target", NEAR + ", k AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY round(km, 6), other) AS p FROM n WHERE f2 <> fold) SELECT t.id, round(avg(k.y), 9) AS spatial_lag FROM t LEFT JOIN k ON k.id = t.id AND p <= 3 GROUP BY 1")
 def spatial_lag_target(spark, sf):
-    return rounded(T.spatial_lag_target(_near(spark, sf), "lat", "lon", "id", "y", 3, "fold", cell=15.0).select("id", "spatial_lag"), spatial_lag=9)
+    return rounded(T.spatial_lag_target(_near(spark, sf), "lat", "lon", "id", "y", 3, "fold").select("id", "spatial_lag"), spatial_lag=9)
 
 
 @query("i12_neighbour_distance", NEAR + ", k AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY round(km, 6), other) AS p FROM n) SELECT t.id, round(avg(km), 4) AS neighbour_km FROM t LEFT JOIN k ON k.id = t.id AND p <= 3 GROUP BY 1")
 def neighbour_distance(spark, sf):
-    return rounded(T.neighbour_distance(_near(spark, sf), "lat", "lon", "id", 3, cell=15.0).select("id", "neighbour_km"), neighbour_km=4)
+    return rounded(T.neighbour_distance(_near(spark, sf), "lat", "lon", "id", 3).select("id", "neighbour_km"), neighbour_km=4)
 
 
 @query("i13_median_fill_matrix", f"SELECT id, coalesce(price, (SELECT quantile_cont(price, 0.5) FROM {H} WHERE id % 4 <> 0)) AS price, 0.0 AS void FROM {H} WHERE id % 4 = 0")

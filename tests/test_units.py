@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import scalar as S
 from tessera.operators import gates as G
-from tessera.operators import joins, ledger, profile, select, sets, text, transforms, windows
+from tessera.operators import joins, ledger, metrics, profile, select, sets, text, transforms, windows
 from tessera.sources import tables
 
 
@@ -242,3 +242,47 @@ def test_codes_need_no_window_over_all_values(spark, capsys):
     for df in (coded, labels):
         df.explain("formatted")
         assert "row_number" not in capsys.readouterr().out
+
+
+def test_exact_quantiles_by_brackets(spark, monkeypatch):
+    """Narrowed brackets give what sorting gives, with ties, nulls and no values."""
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.standard_normal(4000), np.full(3000, 0.25), rng.exponential(50, 2000)])
+    rows = [(float(v), float(i % 7) if i % 5 else None, None) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "x double, y double, z double")
+    probs = [0.0, 0.013, 0.25, 0.5, 0.77, 1.0]
+    want = {"x": np.quantile(x, probs), "y": np.quantile([r[1] for r in rows if r[1] is not None], probs)}
+    for most in (1_000_000, 40):
+        got = profile.quantiles(df, {c: F.col(c) for c in "xyz"}, probs, most=most)
+        assert got["x"] == pytest.approx(want["x"]) and got["y"] == pytest.approx(want["y"]) and got["z"] == [None] * len(probs)
+    assert profile.quantiles(df.limit(0), {"x": F.col("x")}, [0.5]) == {"x": [None]}
+
+
+def test_ranks_and_auc_with_crowded_scores(spark):
+    """Scores of one narrow range, nulls and ties, over and within groups."""
+    import random
+
+    rng = random.Random(6)
+    rows = [(i, rng.choice("ab"), None if i % 50 == 0 else 0.5 + rng.randrange(300) * 1e-9, int(rng.random() < 0.4)) for i in range(2000)]
+    df = spark.createDataFrame(rows, "id int, g string, p double, y int")
+    for by in ([], ["g"]):
+        got = {r.id: r["rank"] for r in windows.average_rank(df, "p", by).collect()}
+        for g in "ab" if by else "*":
+            own = sorted((r for r in rows if g in ("*", r[1])), key=lambda r: (r[2] is not None, r[2] or 0))
+            places: dict = {}
+            for k, r in enumerate(own, 1):
+                places.setdefault(r[2], []).append(k)
+            assert all(got[r[0]] == sum(places[r[2]]) / len(places[r[2]]) for r in own)
+    some = [r for r in rows if r[2] is not None]
+    pos, neg = ([r[2] for r in some if r[3] == y] for y in (1, 0))
+    auc = sum((a > b) + (a == b) / 2 for a in pos for b in neg) / (len(pos) * len(neg))
+    assert metrics.roc_auc(df.filter("p IS NOT NULL")).first()["auc"] == pytest.approx(auc)
+
+
+def test_build_features_reads_all_keys(spark):
+    a = spark.createDataFrame([(1, 1.0, 3.0, None, 0), (1, 2.0, 5.0, 1.0, 1), (2, 4.0, 4.0, 1.0, 1)], "g int, v_01 double, v_02 double, code double, y int")
+    out, test = transforms.build_features(a, a.drop("y"), {"temporal_deltas": ["v"], "missingness_interactions": ["code"], "interaction_features": ["v_01"], "group_aggregations": ["g"], "aggregated": ["v_01"]}, "y")
+    assert {"v_delta_02", "code_missing_x_v_01", "group_n", "v_01_group_mean"} <= set(out.columns) & set(test.columns)
+    assert sorted(r.v_01_group_mean for r in test.collect()) == [1.5, 1.5, 4.0]
