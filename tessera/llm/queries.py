@@ -64,7 +64,8 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cache = f"{shared_dir(spark).rstrip('/')}/token-counts-{uuid.uuid4().hex}"
+    # a lasting cache if the session names one, else a new one
+    cache = spark.conf.get("spark.tessera.tokenCache", None) or f"{shared_dir(spark).rstrip('/')}/token-cache-{uuid.uuid4().hex}"
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), cache, limit=512)
 
 

@@ -137,3 +137,17 @@ def test_counts_and_cache(spark, tmp_path):
     count_tokens(df.limit(1), WORDS, path).collect()
     assert read_cache(spark, path).count() == stored + 2
     assert count_tokens(df.limit(0), BYTES, path).count() == 0
+
+
+def test_query_uses_the_cache_that_the_session_names(spark, sf, tmp_path):
+    from tessera.llm.queries import op10_token_counts
+
+    path = str(tmp_path / "lasting")
+    spark.conf.set("spark.tessera.tokenCache", path)
+    try:
+        first = sorted(op10_token_counts(spark, sf).collect())
+        stored = read_cache(spark, path).count()
+        assert sorted(op10_token_counts(spark, sf).collect()) == first
+        assert read_cache(spark, path).count() == stored > 0  # the second call met hits only
+    finally:
+        spark.conf.unset("spark.tessera.tokenCache")
