@@ -44,13 +44,24 @@ def least_collisions(n: int, sigmas: float, miss: float) -> int:
 
 
 def count_block(a: dict, b: dict, half: float, need: int, threshold: float, same: bool):
-    """Positions (i, j) of linked pairs of two blocks: count window collisions
-    over the sorted projections, then verify pairs that reach `need`."""
+    """Positions (i, j) of linked pairs of two blocks. Each projection of block b
+    is sorted; the window centred on a vector of block a is the run between two
+    binary searches. A pair's collisions are counted over all projections, and
+    pairs that reach `need` are verified."""
     pa_, pb, i_all, j_all = a["p"], b["p"], [], []
+    order = np.argsort(pb, axis=0, kind="stable")
+    along = np.take_along_axis(pb, order, axis=0)
+    places = np.argsort(order, axis=0, kind="stable")  # of each vector in each sorted projection
     for at in range(0, len(pa_), 256):  # bounded memory: 256 rows against one block
-        hits = np.zeros((min(256, len(pa_) - at), len(pb)), "uint8")
+        n = min(256, len(pa_) - at)
+        hits, row = np.zeros((n, len(pb)), "uint8"), np.arange(n)
         for k in range(pa_.shape[1]):
-            hits += np.abs(pa_[at : at + 256, k, None] - pb[None, :, k]) <= half
+            ends = np.zeros((n, len(pb) + 1), "int8")
+            centre = pa_[at : at + n, k]
+            np.add.at(ends, (row, np.searchsorted(along[:, k], centre - half, "left")), 1)
+            np.add.at(ends, (row, np.searchsorted(along[:, k], centre + half, "right")), -1)
+            within = np.cumsum(ends, axis=1, dtype="int8")
+            hits += np.take(within, places[:, k], axis=1).view("uint8")
         i, j = np.nonzero(hits >= need)
         i += at
         if same:
@@ -148,9 +159,9 @@ def near_vectors(
     Equal vectors of a label collapse first into one row with its copies. The
     distinct ones are sorted by a first projection within their label and cut
     into blocks of about `block` rows; two blocks meet if their ranges lie
-    within the widest window. A task counts, for each pair of vectors of two
-    blocks, the query-centred windows of `projections` random directions in
-    which it collides, verifies pairs that reach the recall-calibrated count by
+    within the widest window. A task sorts `projections` random directions of a
+    block, counts for each pair the query-centred windows in which it collides,
+    verifies pairs that reach the recall-calibrated count by
     cosine in double precision, and returns link counts and a spanning forest,
     never the pairs. A pair at the threshold is missed with a chance near 1e-6.
 
@@ -158,24 +169,25 @@ def near_vectors(
     or non-finite components link with nothing: n_links 0, kept, their own
     component. Vectors of unequal length never link. A null vec_id takes no
     part: n_links 0, component_id null, kept false. Rows that repeat a vec_id
-    are vectors of their own. Extra columns are ignored."""
+    are vectors of their own, and so are their components, each with its own
+    smallest vec_id. Extra columns are ignored."""
     spark = vectors.sparkSession
     base = stored(vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("int").alias("label"), F.col("embedding").cast("array<double>").alias("v")), "vectors")
     good = base.filter(F.col("vec_id").isNotNull() & F.col("label").isNotNull() & usable(F.col("v")))
     classes = good.groupBy("label", "v").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
-    classes = stored(classes.select("label", "v", "rep", F.xxhash64("label", "v").alias("h"), "copies"), "classes")
+    # a number of its own for each distinct vector: ids may repeat
+    classes = stored(classes.select("label", "v", F.col("rep").alias("id"), F.monotonically_increasing_id().alias("rep"), F.xxhash64("label", "v").alias("h"), "copies"), "classes")
     sizes = [r[0] for r in good.select(F.size("v")).distinct().collect()]
     found = spark.createDataFrame([], "rep long, h long, links long, root long")
     for dim in sorted(sizes):
-        found = found.union(_links(classes.filter(F.size("v") == dim), dim, threshold, projections, sigmas, miss, block, seed))
+        found = found.union(_links(classes.filter(F.size("v") == dim).select("label", "v", "rep", "h", "copies"), dim, threshold, projections, sigmas, miss, block, seed))
     found = stored(found, "links")
     links = found.groupBy("rep", "h").agg(F.sum("links").alias("links"))
     parts = connected_components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
-    done = (
-        classes.join(links, ["rep", "h"], "left")
-        .join(parts.withColumnRenamed("node", "rep"), "rep", "left")
-        .select("label", "v", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n"), F.coalesce("component", "rep").alias("c"))
-    )
+    placed = classes.join(links, ["rep", "h"], "left").join(parts.withColumnRenamed("node", "rep"), "rep", "left")
+    placed = placed.withColumn("component", F.coalesce("component", "rep"))
+    named = placed.groupBy("component").agg(F.min("id").alias("c"))
+    done = placed.join(named, "component").select("label", "v", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n"), "c")
     return base.join(done, (base["label"] == done["label"]) & (base["v"] == done["v"]) & base["vec_id"].isNotNull(), "left").select(
         "vec_id",
         F.coalesce("n", F.lit(0)).cast("long").alias("n_links"),

@@ -58,6 +58,15 @@ def test_no_rows_and_null_ids(spark):
     assert least_collisions(24, 2.0, 1e-7) >= 12
 
 
+def test_repeated_ids_are_vectors_of_their_own(spark):
+    rng = np.random.default_rng(9)
+    a, b = (rng.standard_normal(64) for _ in range(2))
+    near = lambda v: [float(x) for x in np.float32(v + 0.02 * rng.standard_normal(64))]
+    rows = [(5, near(a), 1, "x", 1), (5, near(b), 1, "x", 1), (7, near(b), 1, "x", 1), (6, near(a), 1, "x", 1), (3, near(a), 1, "x", 1)]
+    got = sorted(tuple(r) for r in near_vectors(spark.createDataFrame(rows, SCHEMA)).collect())
+    assert got == sorted([(5, 2, 3, False), (5, 1, 5, True), (7, 1, 5, False), (6, 2, 3, False), (3, 2, 3, True)])
+
+
 def test_components_of_chains_and_hubs(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(7, i) for i in range(300, 400)] + [(5, 5), (None, 3), (399, 398), (2, 100), (2, 100)]
     got = dict(connected_components(spark.createDataFrame(edges, "a long, b long")).collect())
