@@ -9,14 +9,12 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tessera.llm.common import slices, stored
+from tessera.llm.common import Members, slices, stored
 
 #: Words that the added one of the unigrams is spread over at least; a corpus
 #: with more distinct words spreads it over all of them.
 VOCABULARY = 2048
 START = 0
-#: Target ids to broadcast at most (8 bytes each); beyond, texts are joined by a shuffle.
-BROADCAST_IDS = 1_000_000
 #: Bigrams with at least one in HOT of all tokens, so HOT of them at most, are
 #: scored from a broadcast; the others are joined.
 HOT = 1 << 17
@@ -146,8 +144,12 @@ def cross_entropy_difference(docs: DataFrame, labels: DataFrame, target: str = "
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     marked = labels.filter(F.expr(target)).select("doc_id").distinct().withColumn("is_target", F.lit(True))
-    few = marked.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    flagged = texts.join(F.broadcast(marked) if few else marked, "doc_id", "left").select("text", F.coalesce("is_target", F.lit(False)).alias("is_target"))
+    # a filter of fixed size holds the target ids; texts that it rejects are not joined
+    marked = stored(marked.withColumn("_h", F.xxhash64(F.col("doc_id").cast("long"))), "targets")
+    some = Members(marked, "_h").column("_h")
+    hashed = texts.withColumn("_h", F.xxhash64("doc_id"))
+    asked = hashed.filter(some).join(marked.select("doc_id", "is_target"), "doc_id", "left").select("text", F.coalesce("is_target", F.lit(False)).alias("is_target"))
+    flagged = asked.unionByName(hashed.filter(~some).select("text", F.lit(False).alias("is_target")))
     losses, tokens = bigram_losses(stored(bigram_counts(flagged), "bigrams"))
     losses = stored(losses, "losses")
     hot = F.col("n") * HOT >= tokens
