@@ -70,5 +70,5 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache_path: str, limit: int =
     found = encode_misses(base, Members(misses, "row"), tokenizer, version).dropDuplicates(["content"])
     found.join(misses.select("content"), "content", "left_semi").write.mode("append").parquet(cache_path)
     counts = read_cache(spark, cache_path).filter(F.col("tokenizer") == version).select("content", "n_tokens").dropDuplicates(["content"])
-    counts = stored(counts.join(rows.select("content"), "content", "left_semi"), "token-counts")  # a plain scan below the join: a hot digest can then be split
+    counts = stored(counts.join(rows.select("content").distinct(), "content", "left_semi"), "token-counts")  # a plain scan below the join: a hot digest can then be split
     return rows.join(counts, "content").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
