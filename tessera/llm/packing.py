@@ -160,14 +160,13 @@ def pack(pieces: DataFrame, capacity: int, pieces_per_task: int = 32_768) -> Dat
     before = F.sum("n").over(W.partitionBy("length").orderBy("slice")) - F.col("n")
     skips = dealt.groupBy("slice", "length").agg(F.count("*").alias("n")).select("slice", "length", before.alias("skip"))
 
-    def run(key, own, skip):
+    def run(key, own):
         own = own.sort_by([("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending"), ("ids_crc32", "ascending")])
-        lengths, skip = own["length"].to_numpy(), skip.sort_by("length")
-        behind = skip["skip"].to_numpy()[np.searchsorted(skip["length"].to_numpy(), lengths)]
-        bins, offsets = place(runs.value, lengths, behind + ranks(lengths))
-        return own.drop(["slice"]).append_column("sequence_id", pa.array(bins)).append_column("offset", pa.array(offsets))
+        lengths = own["length"].to_numpy()
+        bins, offsets = place(runs.value, lengths, own["skip"].to_numpy() + ranks(lengths))
+        return own.drop(["slice", "skip"]).append_column("sequence_id", pa.array(bins)).append_column("offset", pa.array(offsets))
 
-    return dealt.groupBy("slice").cogroup(skips.groupBy("slice")).applyInArrow(run, PACKED)
+    return dealt.join(skips, ["slice", "length"]).select(*dealt.columns, "skip").groupBy("slice").applyInArrow(run, PACKED)
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, pieces_per_task: int = 32_768) -> DataFrame:
