@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -19,36 +17,7 @@ START = 0
 #: scored from a broadcast; the others are joined.
 HOT = 1 << 17
 DISCOUNT = 0.75
-SHAPES = 60
 CACHE = 400_000
-LETTERS = re.compile(r"[^\W\d_]+").fullmatch
-DIGITS = re.compile(r"\d+").fullmatch
-MIXED = re.compile(r"\w+").fullmatch
-TAIL = re.compile(r"[^\W\d_]+[.,;:!?]+").fullmatch
-
-
-def shape(word: str) -> int:
-    """1..SHAPES: class of a word outside the vocabulary, by kind and length."""
-    kind = 0 if LETTERS(word) else 1 if TAIL(word) else 2 if DIGITS(word) else 3 if MIXED(word) else 4
-    return 1 + kind * 12 + min(len(word), 12) - 1
-
-
-class Vocabulary(dict):
-    """word -> id: the given words; others by shape."""
-
-    def __init__(self, words: list[str]):
-        super().__init__((w, 1 + SHAPES + i) for i, w in enumerate(words))
-        self.words, self.known = words, len(words)
-
-    def __reduce__(self):
-        return Vocabulary, (self.words,)
-
-    def __missing__(self, word: str) -> int:
-        if len(self) >= self.known + CACHE:
-            self.clear()
-            self.update((w, 1 + SHAPES + i) for i, w in enumerate(self.words))
-        self[word] = found = shape(word)
-        return found
 
 
 class Hashes(dict):

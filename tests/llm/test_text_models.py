@@ -185,11 +185,6 @@ def test_rare_words_are_told_apart(spark, monkeypatch):
         assert got[2].score == pytest.approx(got[3].score)
 
 
-def test_shapes_share_the_vocabulary():
-    v = lm_score.Vocabulary(["the", "of"])
-    assert v["the"] == 1 + lm_score.SHAPES and all(1 <= v[w] <= lm_score.SHAPES for w in ("xyz", "xyz.", "12", "a1", "##", "q" * 99))
-
-
 def test_junk_scores_worse(spark, sf):
     docs, labels = (spark.read.parquet(f"{sf}/{n}.parquet") for n in ("documents", "labels"))
     rows = lm_score.cross_entropy_difference(docs, labels).join(labels, "doc_id").select("score", "quality").collect()
