@@ -6,6 +6,8 @@ import tempfile
 import uuid
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
@@ -30,12 +32,21 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def slices(batches, rows: int = 512):
-    """Arrow batches in slices of at most `rows`: what a task holds in Python
-    objects at once stays small however long the texts of a batch are."""
+def slices(batches, rows: int = 512, most: int = 1 << 22):
+    """Arrow batches in slices of at most `rows` rows and, unless one row alone
+    has more, `most` bytes of text: what a task holds in Python objects at once
+    stays small however long the texts of a batch are."""
     for b in batches:
-        for at in range(0, b.num_rows, rows):
-            yield b.slice(at, rows)
+        upto = np.zeros(b.num_rows + 1, "int64")
+        for c in b.columns:
+            if pa.types.is_string(c.type) or pa.types.is_large_string(c.type):
+                upto[1:] += np.cumsum(pc.fill_null(pc.binary_length(c), 0).to_numpy(zero_copy_only=False).astype("int64"))
+        at = 0
+        while at < b.num_rows:
+            fits = int(np.searchsorted(upto, upto[at] + most, "right")) - 1
+            end = min(at + rows, max(at + 1, fits), b.num_rows)
+            yield b.slice(at, end - at)
+            at = end
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

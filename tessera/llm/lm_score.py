@@ -60,7 +60,7 @@ def bigram_counts(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         hashes = Hashes()
-        for b in slices(batches, 4096):
+        for b in slices(batches, 4096, 1 << 25):
             before, ids, n = hashes.pairs(b["text"].to_pylist())
             wanted = np.repeat(np.array(b["is_target"].to_pylist(), "bool"), n)
             every, first, where = np.unique(coded(before, ids), return_index=True, return_inverse=True)

@@ -26,7 +26,8 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 class Words(dict):
-    """word -> 64-bit hash, of bounded size."""
+    """word -> 64-bit hash, of bounded size; each task has its own, so that a
+    worker that goes on to another stage does not keep it."""
 
     def __missing__(self, word: str) -> int:
         if len(self) >= WORD_CACHE:
@@ -36,17 +37,14 @@ class Words(dict):
         return h
 
 
-_words = Words()
-
-
-def shingles(text: str, size: int) -> tuple[np.ndarray, np.ndarray]:
+def shingles(text: str, size: int, words: Words) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the distinct runs of `size` words of a whole text, and how often
     each occurs. Words are lower-cased and cut at white space; a text of fewer
     words is one shingle; one without words has none."""
     found = text.lower().split()
     if not found:
         return np.empty(0, "uint64"), np.empty(0, "int64")
-    w = np.fromiter(map(_words.__getitem__, found), "uint64", len(found))
+    w = np.fromiter(map(words.__getitem__, found), "uint64", len(found))
     if len(w) > size:
         n = len(w) - size + 1
         h = np.zeros(n, "uint64")
@@ -121,11 +119,12 @@ def signatures(texts: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
     `keyed`; digest and keys are null for a text without words."""
 
     def run(batches):
+        words = Words()
         for b in slices(batches, 512):
             keys, digests, seen = [], [], {}
             for text, digest in zip(b["text"].to_pylist(), b["digest"].to_pylist()):
                 if digest not in seen:
-                    h, w = shingles(text, size)
+                    h, w = shingles(text, size, words)
                     seen[digest] = None
                     if len(h):
                         sig = prob_minhash(h, w, bands * rows).reshape(bands, rows)
@@ -144,10 +143,11 @@ def weighted(texts: DataFrame, size: int, wanted: "Members | None" = None) -> Da
     """digest, hashes and weights of each row of `keyed` that may be in `wanted`."""
 
     def run(batches):
+        words = Words()
         for b in slices(batches, 512):
             if wanted is not None:
                 b = b.filter(pa.array(wanted.maybe(b["row"].to_numpy())))
-            got = [shingles(t, size) for t in b["text"].to_pylist()]
+            got = [shingles(t, size, words) for t in b["text"].to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [b["digest"], pa.array([h.view("int64") for h, _ in got], pa.list_(pa.int64())), pa.array([w.astype("int32") for _, w in got], pa.list_(pa.int32()))],
                 ["digest", "hashes", "weights"],

@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
+from collections.abc import Iterator
+from copy import copy
 
 import numpy as np
 import pyarrow as pa
@@ -112,7 +114,9 @@ def forward_backward(score, trans: np.ndarray, start: np.ndarray) -> tuple[list[
 
 
 class Field:
-    """Weights of the chain, and of the document score over its marginals."""
+    """Weights of the chain, and of the document score over its marginals. A
+    copy starts with no token scores: tasks score with a copy, so that a worker
+    that goes on to another stage does not keep them."""
 
     def __init__(self, flat: np.ndarray | None = None):
         flat = np.zeros(SIZE, "float32") if flat is None else flat
@@ -154,7 +158,7 @@ def token_labels(sample: DataFrame, classes: dict[int, int], odds: float = 20.0,
     of the others, and at least `least` do. Counted in Spark."""
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches, 512):
             seen = (Counter(), Counter())
             for text, y in zip(b["text"].to_pylist(), b["toxic"].to_pylist()):
                 seen[y].update({f for w in set(text.split()) for f in word_features(w) if f[0] in "wp" and f[1] != "3" and len(f) > 4})
@@ -286,8 +290,9 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 3000, shards: int
     shared = spark.sparkContext.broadcast(field)
 
     def features(batches):
+        model = copy(shared.value)
         for b in slices(batches, 512):
-            x = shared.value.document_features(shared.value.marginals(b["text"].to_pylist()))
+            x = model.document_features(model.marginals(b["text"].to_pylist()))
             yield pa.RecordBatch.from_arrays([b["doc_id"], b["toxic"], pa.array(list(x), pa.list_(pa.float64()))], ["doc_id", "toxic", "x"])
 
     rows = sorted(sample.select("doc_id", "toxic", "text").mapInArrow(features, "doc_id long, toxic int, x array<double>").collect())
@@ -318,7 +323,7 @@ def score(docs: DataFrame, field: Field, spans: bool = True) -> DataFrame:
         return out
 
     def run(batches):
-        model = shared.value
+        model = copy(shared.value)
         for b in slices(batches, 512):
             texts = b["text"].to_pylist()
             marg = model.marginals(texts)
@@ -334,11 +339,13 @@ def clean_documents(docs: DataFrame, labels: DataFrame, per_class: int = 3000) -
     shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels, per_class))
 
     @F.arrow_udf("boolean")
-    def toxic(texts: pa.Array) -> pa.Array:
-        model, out = shared.value, [np.empty(0, "bool")]
-        for at in range(0, len(texts), 512):
-            marg = model.marginals([t or "" for t in texts[at : at + 512].to_pylist()])
-            out.append(model.document_scores(marg) >= 0.5)
-        return pa.array(np.concatenate(out))
+    def toxic(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        model = copy(shared.value)
+        for texts in batches:
+            out = [np.empty(0, "bool")]
+            for part in slices([pa.RecordBatch.from_arrays([texts], ["text"])]):
+                marg = model.marginals([t or "" for t in part["text"].to_pylist()])
+                out.append(model.document_scores(marg) >= 0.5)
+            yield pa.array(np.concatenate(out))
 
     return docs.filter(~toxic(F.col("text")))

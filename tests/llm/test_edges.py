@@ -1,10 +1,12 @@
 """Extra columns with clashing names, nulls and empty tables at every stage."""
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tessera.llm import minhash, mixing, toxicity
+from tessera.llm.common import slices
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id string, key int, digest string, size int, class_id int, component int"
 ROWS = [(i, t, "en", s, 1, "x", 1, "d", 1, 1, 1) for i, t, s in [(1, "a b c d e f g", "s"), (2, None, "s"), (3, "", None), (None, "a b c d e f g", "s"), (4, "a b c d e f g", None), (4, "a b c d e f g", None), (5, "long " * 40_000, "t"), (6, " \t\n", "t")]]
@@ -45,3 +47,10 @@ def test_all_columns_null(spark):
     labels = spark.createDataFrame([(None, None)], "doc_id long, toxic int")
     kept = mixing.take(minhash.keep_one(toxicity.clean_documents(docs, labels)))
     assert kept.count() <= 6
+
+
+def test_slices_are_bounded_in_rows_and_text():
+    texts = ["x" * n for n in (3, 0, 10, 50, 2, 2, 2, 2)] + [None]
+    b = pa.RecordBatch.from_arrays([pa.array(range(9)), pa.array(texts)], ["doc_id", "text"])
+    got = [s["doc_id"].to_pylist() for s in slices([b, b.slice(5), b.slice(0, 0)], rows=3, most=13)]
+    assert got == [[0, 1, 2], [3], [4, 5, 6], [7, 8], [5, 6, 7], [8]]
