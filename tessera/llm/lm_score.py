@@ -5,7 +5,9 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+import zstandard
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, functions as F
 
 from tessera.llm.common import Members, slices, stored
 
@@ -13,15 +15,51 @@ from tessera.llm.common import Members, slices, stored
 #: with more distinct words spreads it over all of them.
 VOCABULARY = 2048
 START = 0
+#: Words with at least one in WORDS of all tokens, so WORDS of them at most,
+#: have a number and their sums are sent to all tasks; the sums of the others
+#: are joined.
+WORDS = 1 << 21
 #: Bigrams with at least one in HOT of all tokens, so HOT of them at most, are
-#: scored from a broadcast; the others are joined.
+#: scored from a broadcast; the others where their counts are.
 HOT = 1 << 17
 DISCOUNT = 0.75
 CACHE = 400_000
+#: Tokens that a task holds at once, and tokens a part of the bigrams.
+RUN = PART = 1 << 21
+MOST_TASKS = 20_000
+#: The highest bit marks words without a number.
+RARE = np.uint64(1 << 63)
+
+#: What a row of a part holds.
+COUNTS, CONTEXT, FREQUENT, WANTED, PLACES, TEXTS, SUMS = range(7)
+COUNTED, PLACED = ("uint64", "uint64", "uint32", "uint32"), ("uint64", "uint64", "uint32")
+TEXT, SUMMED = ("int64", "uint8", "int64", "float64", "float64"), ("uint32", "float32", "float32")
+ROW = "kind int, part int, run long, blob binary, x long, y long, target long, background long, target_kinds long, background_kinds long"
+NAMES = [c.split()[0] for c in ROW.split(", ")]
+
+
+class Codes(dict):
+    """word -> its number, from 1, if its hash is among the sorted `known`, or
+    its 64-bit hash with the highest bit set; holds the CACHE last met."""
+
+    def __init__(self, known: np.ndarray):
+        self.known = known
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= CACHE:
+            self.clear()
+        h = xxhash.xxh3_64_intdigest(word)
+        at = int(np.searchsorted(self.known, np.uint64(h)))
+        self[word] = found = at + 1 if at < len(self.known) and int(self.known[at]) == h else h | 1 << 63
+        return found
+
+    def words(self, texts: list[str]) -> list[np.ndarray]:
+        split = (t.lower().split() for t in texts)
+        return [np.fromiter(map(self.__getitem__, w), "uint64", len(w)) for w in split]
 
 
 class Hashes(dict):
-    """word -> 64-bit hash, of every word; holds the CACHE last met."""
+    """word -> 64-bit hash; holds the CACHE last met."""
 
     def __missing__(self, word: str) -> int:
         if len(self) >= CACHE:
@@ -29,66 +67,146 @@ class Hashes(dict):
         self[word] = found = xxhash.xxh3_64_intdigest(word)
         return found
 
-    def pairs(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Word before (START at first) and word of all texts in a row, and the
-        number of words of each text."""
-        each = []
-        for t in texts:
-            words = t.lower().split()
-            each.append(np.fromiter(map(self.__getitem__, words), "uint64", len(words)))
-        n = np.array([len(e) for e in each], "int64")
-        ids = np.concatenate(each) if each else np.empty(0, "uint64")
-        before = np.empty_like(ids)
-        before[1:] = ids[:-1]
-        starts = np.cumsum(n) - n
-        before[starts[n > 0]] = START
-        return before, ids, n
-
 
 def coded(before: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """Key of each bigram; `code` is the same of columns."""
-    return ((before << np.uint64(21) | before >> np.uint64(43)) ^ ids).view("int64")
+    """Key of each bigram."""
+    return (before << np.uint64(21) | before >> np.uint64(43)) ^ ids
+
+
+def part_of(before: np.ndarray, ids: np.ndarray, parts: int) -> np.ndarray:
+    """A rare context has all its bigrams in one part, and so has a rare word
+    behind frequent ones; other bigrams are spread by both words."""
+    key = np.where(before >= RARE, before, np.where(ids >= RARE, ids, coded(before, ids)))
+    return ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype("int64") % parts
+
+
+def pack(*columns: np.ndarray) -> bytes:
+    """Columns of one length, byte by byte of all rows, compressed."""
+    planes = [np.ascontiguousarray(c).view("uint8").reshape(len(c), c.dtype.itemsize).T.tobytes() for c in columns]
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(planes))
+
+
+def unpack(blob: bytes, kinds) -> list[np.ndarray]:
+    widths = [np.dtype(k).itemsize for k in kinds]
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), "uint8")
+    n, at, out = len(raw) // sum(widths), 0, []
+    for kind, w in zip(kinds, widths):
+        out.append(np.ascontiguousarray(raw[at : at + w * n].reshape(w, n).T).reshape(-1).view(kind))
+        at += w * n
+    return out
+
+
+def by_part(before, ids, others, parts):
+    """part and packed bigrams, in order, of each part; the contexts as differences."""
+    part = part_of(before, ids, parts)
+    order = np.lexsort((ids, before, part))
+    part, before, ids, others = part[order], before[order], ids[order], [o[order] for o in others]
+    edges = np.flatnonzero(np.diff(part, prepend=-1, append=parts))
+    for a, z in zip(edges, edges[1:]):
+        yield int(part[a]), pack(np.diff(before[a:z], prepend=np.uint64(0)), ids[a:z], *[o[a:z] for o in others])
+
 
+def bigrams(blob: bytes, kinds) -> list[np.ndarray]:
+    before, *rest = unpack(blob, kinds)
+    return [np.cumsum(before, dtype="uint64"), *rest]
 
-def code() -> Column:
-    return F.shiftleft("before", 21).bitwiseOR(F.shiftrightunsigned("before", 43)).bitwiseXOR(F.col("word"))
 
+def rows(**columns) -> pa.RecordBatch:
+    """A batch of ROW; columns that are not given are null."""
+    n = max(len(v) for v in columns.values() if not np.isscalar(v))
+    types = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    cols = []
+    for c in ROW.split(", "):
+        name, kind = c.split()
+        v = columns.get(name)
+        cols.append(pa.nulls(n, types[kind]) if v is None else pa.array(np.full(n, v) if np.isscalar(v) else v, types[kind]))
+    return pa.RecordBatch.from_arrays(cols, NAMES)
 
-def bigram_counts(docs: DataFrame) -> DataFrame:
-    """before, word, target and background counts of every bigram; docs: text
-    and is_target. Summed in each slice before the shuffle."""
+
+def runs(batches, codes: Codes):
+    """Rows without their text, word before and word of all their texts in a row,
+    and the number of words of each, for about RUN tokens at a time."""
+    held, words, size = [], [], 0
+
+    def done():
+        n = np.array([len(w) for w in words], "int64")
+        ids = np.concatenate(words)
+        before = np.empty_like(ids)
+        before[1:] = ids[:-1]
+        before[(np.cumsum(n) - n)[n > 0]] = START
+        return pa.Table.from_batches(held), before, ids, n
+
+    for b in slices(batches, 1024):
+        words += codes.words(b["text"].to_pylist())
+        held.append(b.drop_columns(["text"]))
+        size += sum(map(len, words[-b.num_rows :]))
+        if size >= RUN:
+            yield done()
+            held, words, size = [], [], 0
+    if words:
+        yield done()
+
+
+def word_counts(docs: DataFrame) -> DataFrame:
+    """word (its hash), target and background counts; docs: text and is_target.
+    Summed in each slice before the shuffle."""
 
     def run(batches):
         hashes = Hashes()
         for b in slices(batches, 4096, 1 << 25):
-            before, ids, n = hashes.pairs(b["text"].to_pylist())
-            wanted = np.repeat(np.array(b["is_target"].to_pylist(), "bool"), n)
-            every, first, where = np.unique(coded(before, ids), return_index=True, return_inverse=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(before[first].view("int64")), pa.array(ids[first].view("int64")), pa.array(np.bincount(where[wanted], minlength=len(every))), pa.array(np.bincount(where, minlength=len(every)))],
-                ["before", "word", "target", "background"],
-            )
+            each = [np.fromiter(map(hashes.__getitem__, w), "uint64", len(w)) for w in (t.lower().split() for t in b["text"].to_pylist())]
+            ids = np.concatenate(each)
+            wanted = np.repeat(np.array(b["is_target"].to_pylist(), "bool"), [len(e) for e in each])
+            every, where = np.unique(ids, return_inverse=True)
+            found = [np.bincount(where[wanted], minlength=len(every)), np.bincount(where, minlength=len(every))]
+            yield pa.RecordBatch.from_arrays([pa.array(every.view("int64")), *map(pa.array, found)], ["word", "target", "background"])
 
-    rows = docs.select("text", "is_target").mapInArrow(run, "before long, word long, target long, background long")
-    return rows.groupBy("before", "word").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
+    found = docs.select("text", "is_target").mapInArrow(run, "word long, target long, background long")
+    return found.groupBy("word").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
 
 
-def bigram_losses(counts: DataFrame) -> tuple[DataFrame, int]:
-    """code, n and both losses of every bigram, and the number of tokens.
-    Absolute discounting, backed off to a unigram with one added to each word."""
-    models = ("target", "background")
-    contexts = stored(counts.groupBy("before").agg(*[F.sum(m).alias(f"{m}_total") for m in models], *[F.count_if(F.col(m) > 0).alias(f"{m}_kinds") for m in models]), "contexts")
-    words = stored(counts.groupBy("word").agg(*[F.sum(m).alias(f"{m}_word") for m in models]), "words")
-    size = words.agg(F.count("*").alias("words"), *[F.coalesce(F.sum(f"{m}_word"), F.lit(0)).alias(m) for m in models]).first()
+def bigram_parts(docs: DataFrame, known, parts: int, tokens: int) -> DataFrame:
+    """ROWs of each part: its bigrams with both counts, packed in one row; sums
+    of its frequent contexts; its frequent bigrams; and the rare words whose
+    sums it needs. Counts are summed in each run before the shuffle."""
 
-    def loss(m):
-        total, n = F.col(f"{m}_total"), F.col(m)
-        unigram = (F.col(f"{m}_word") + 1) / F.lit(float(size[m] + max(VOCABULARY, size["words"])))
-        rest = F.when(total > 0, DISCOUNT * F.col(f"{m}_kinds") / total).otherwise(1.0)
-        return (-F.log(F.greatest(n - DISCOUNT, F.lit(0.0)) / F.greatest(total, F.lit(1)) + rest * unigram)).cast("float").alias(m)
+    def run(batches):
+        for held, before, ids, n in runs(batches, Codes(known.value)):
+            wanted = np.repeat(held["is_target"].to_numpy(), n).astype("bool")
+            every, first, where = np.unique(coded(before, ids), return_index=True, return_inverse=True)
+            counts = [np.bincount(where[wanted], minlength=len(every)).astype("uint32"), np.bincount(where, minlength=len(every)).astype("uint32")]
+            found = list(by_part(before[first], ids[first], counts, parts))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in found], pa.int32()), pa.array([b for _, b in found], pa.binary())], ["part", "blob"])
 
-    both = counts.join(contexts, "before").join(words, "word")
-    return both.select(code().alias("code"), F.col("background").alias("n"), *[loss(m) for m in models]), size["background"]
+    def merge(group):
+        part = group["part"][0].as_py()
+        before, ids, *counts = (np.concatenate(c) for c in zip(*(bigrams(b, COUNTED) for b in group["blob"].to_pylist())))
+        every, first, where = np.unique(coded(before, ids), return_index=True, return_inverse=True)
+        before, ids = before[first], ids[first]
+        t, b = (np.bincount(where, c, len(every)).astype("int64") for c in counts)
+        out = [rows(kind=COUNTS, part=part, blob=[blob]) for _, blob in by_part(before, ids, [t.astype("uint32"), b.astype("uint32")], 1)]
+        frequent = before < RARE
+        contexts, at = np.unique(before[frequent], return_inverse=True)
+        total = lambda x: np.bincount(at, x[frequent], len(contexts)).astype("int64")
+        if len(contexts):
+            out.append(rows(kind=CONTEXT, x=contexts.view("int64"), target=total(t), background=total(b), target_kinds=total(t > 0), background_kinds=total(b > 0)))
+        hot = b * HOT >= tokens
+        if hot.any():
+            out.append(rows(kind=FREQUENT, x=before[hot].view("int64"), y=ids[hot].view("int64"), target=t[hot], background=b[hot]))
+        rare = np.unique(ids[ids >= RARE])
+        if len(rare):
+            out.append(rows(kind=WANTED, part=part, x=rare.view("int64")))
+        return pa.Table.from_batches(out)
+
+    packed = docs.select("text", "is_target").mapInArrow(run, "part int, blob binary")
+    return packed.repartition(min(parts, MOST_TASKS), "part").groupBy("part").applyInArrow(merge, ROW)
+
+
+def loss(n, total, kinds, word, spread):
+    """Absolute discounting, backed off to a unigram with one added to each word."""
+    rest = np.where(total > 0, DISCOUNT * kinds / np.maximum(total, 1), 1.0)
+    return -np.log(np.maximum(n - DISCOUNT, 0) / np.maximum(total, 1) + rest * (word + 1) / spread)
 
 
 def cross_entropy_difference(docs: DataFrame, labels: DataFrame, target: str = "quality = 1") -> DataFrame:
@@ -101,10 +219,12 @@ def cross_entropy_difference(docs: DataFrame, labels: DataFrame, target: str = "
     model, in nats; score is target minus background: the lower, the more like
     the target.
 
-    Bigram counts are summed per slice, then by key in Spark, and stay there as
-    tables with context and word sums joined to them. Every bigram of a document
-    is in the counts, so its losses are a join by bigram and a sum by document;
-    only totals and the losses of at most HOT frequent bigrams reach the driver.
+    Bigrams are dealt to parts by hash and their counts stay there, packed. The
+    sums of at most WORDS frequent words and the losses of at most HOT frequent
+    bigrams are sent to all tasks; every other bigram of a document is sent to
+    its part, packed with those of its run of documents, and its losses come
+    back summed by document. Sums of rare words are joined to the parts that
+    have them, so no word or bigram is left out at any size.
 
     Null, empty and blank texts have n_tokens 0 and null losses and score.
     Without any target document the target model is the uniform one. Rows that
@@ -119,41 +239,104 @@ def cross_entropy_difference(docs: DataFrame, labels: DataFrame, target: str = "
     hashed = texts.withColumn("_h", F.xxhash64("doc_id"))
     asked = hashed.filter(some).join(marked.select("doc_id", "is_target"), "doc_id", "left").select("text", F.coalesce("is_target", F.lit(False)).alias("is_target"))
     flagged = asked.unionByName(hashed.filter(~some).select("text", F.lit(False).alias("is_target")))
-    losses, tokens = bigram_losses(stored(bigram_counts(flagged), "bigrams"))
-    losses = stored(losses, "losses")
-    hot = F.col("n") * HOT >= tokens
-    frequent = losses.filter(hot).select("code", "target", "background").toArrow().sort_by("code")
-    shared = spark.sparkContext.broadcast([frequent[c].to_numpy() for c in frequent.column_names])
 
-    def run(batches):
-        """A row for each text with its sums over the frequent bigrams, and one
-        for each of its other bigrams, told apart by `here`."""
-        hashes, (known, *both) = Hashes(), shared.value
-        for b in slices(batches, 1024):
-            texts = b["text"].to_pylist()
-            before, ids, n = hashes.pairs(texts)
-            codes = coded(before, ids)
-            digest = np.fromiter(map(xxhash.xxh3_64_intdigest, texts), "uint64", len(texts)).view("int64")
-            at = np.minimum(np.searchsorted(known, codes), max(len(known) - 1, 0))
-            found = known[at] == codes if len(known) else np.zeros(len(codes), "bool")
+    words = stored(word_counts(flagged), "words")
+    models = ("target", "background")
+    size = words.agg(F.count("*").alias("words"), *[F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in models]).first()
+    tokens = size["background"]
+    spread = {m: float(size[m] + max(VOCABULARY, size["words"])) for m in models}
+    frequent = F.col("background") * WORDS >= tokens
+    top = words.filter(frequent).toArrow()
+    hashes = top["word"].to_numpy().view("uint64")
+    order = np.argsort(hashes)
+    known = spark.sparkContext.broadcast(hashes[order])
+    parts = tokens // PART + 1
+
+    table = stored(bigram_parts(flagged, known, parts, tokens), "bigrams")
+    kind = F.col("kind")
+    sums = [F.sum(c).alias(c) for c in NAMES[6:]]
+    contexts = table.filter(kind == CONTEXT).groupBy("x").agg(*sums).toArrow()
+    stats = {f"{m}_word": np.concatenate([[0], top[m].to_numpy()[order]]).astype("float64") for m in models}
+    for m in models:
+        for name, column in ((f"{m}_total", m), (f"{m}_kinds", f"{m}_kinds")):
+            stats[name] = np.zeros(len(hashes) + 1)
+            stats[name][contexts["x"].to_numpy()] = contexts[column].to_numpy()
+    hot = table.filter(kind == FREQUENT).select("x", "y", *models).toArrow()
+    x, y = (hot[c].to_numpy() for c in "xy")
+    keys = coded(x.view("uint64"), y.view("uint64"))
+    by_key = np.argsort(keys)
+    both = [loss(hot[m].to_numpy(), stats[f"{m}_total"][x], stats[f"{m}_kinds"][x], stats[f"{m}_word"][y], spread[m])[by_key] for m in models]
+    shared, sent = spark.sparkContext.broadcast([keys[by_key], *both]), spark.sparkContext.broadcast(stats)
+
+    def place(batches):
+        """For each run of texts a row with their lengths and sums over frequent
+        bigrams, and a row of its other bigrams for each part."""
+        (keys, *both), at_task = shared.value, TaskContext.get().partitionId()
+        for k, (held, before, ids, n) in enumerate(runs(batches, Codes(known.value))):
+            run, code = at_task << 32 | k, coded(before, ids)
+            at = np.minimum(np.searchsorted(keys, code), max(len(keys) - 1, 0))
+            found = keys[at] == code if len(keys) else np.zeros(len(code), "bool")
             doc = np.repeat(np.arange(len(n)), n)
-            sums = [np.bincount(doc[found], m[at[found]].astype("float64"), len(n)) for m in both]
-            rest = doc[~found]
-            take = pa.array(np.concatenate([np.arange(len(n)), rest]))
-            here = np.arange(len(take)) < len(n)
-            wide = lambda x, fill, kind: pa.array(np.concatenate([x, np.full(len(rest), fill, kind)]))
-            cols = [b["doc_id"].take(take), pa.array(digest).take(take), wide(n, 0, "int64"), *[wide(s, 0.0, "float64") for s in sums]]
-            other = pa.array(np.concatenate([np.zeros(len(n), "int64"), codes[~found]]), mask=here)
-            yield pa.RecordBatch.from_arrays([*cols, other], ["doc_id", "digest", "n", "t", "b", "code"])
-
-    rows = texts.mapInArrow(run, "doc_id long, digest long, n long, t double, b double, code long")
-    split = stored(rows, "scored")
-    rare = losses.filter(~hot).select("code", "target", "background")
-    joined = split.filter("code IS NOT NULL").select("doc_id", "digest", "code").join(rare, "code")
-    joined = joined.select("doc_id", "digest", F.lit(0).cast("long").alias("n"), F.col("target").cast("double").alias("t"), F.col("background").cast("double").alias("b"), F.lit(0).alias("here"))
-    every = split.filter("code IS NULL").select("doc_id", "digest", "n", "t", "b", F.lit(1).alias("here")).unionByName(joined)
-    # rows of one id and text are alike: their sums are multiples of one row's
-    sums = every.groupBy("doc_id", "digest").agg(*[F.sum(c).alias(c) for c in ("n", "t", "b", "here")])
-    mean = [F.when(F.col("n") > 0, F.col(c) / F.col("n")).alias(f"{m}_loss") for c, m in (("t", "target"), ("b", "background"))]
-    out = sums.select("doc_id", (F.col("n") / F.col("here")).cast("long").alias("n_tokens"), *mean, F.explode(F.sequence(F.lit(1), F.col("here").cast("int"))).alias("_copy"))
-    return out.select("doc_id", "n_tokens", "target_loss", "background_loss", (F.col("target_loss") - F.col("background_loss")).alias("score"))
+            near = [np.bincount(doc[found], m[at[found]], len(n)) for m in both]
+            named = held["doc_id"].combine_chunks()
+            blob = pack(named.fill_null(0).to_numpy(zero_copy_only=False), named.is_null().to_numpy(zero_copy_only=False).astype("uint8"), n, *near)
+            yield rows(kind=TEXTS, part=run % parts, run=run, blob=[blob])
+            other = list(by_part(before[~found], ids[~found], [doc[~found].astype("uint32")], parts))
+            if other:
+                yield rows(kind=PLACES, part=[p for p, _ in other], run=run, blob=[b for _, b in other])
+
+    def look_up(group):
+        """Losses of a part's bigrams, summed by run and text."""
+        kinds, stats = group["kind"].to_numpy(), sent.value
+        of = lambda kind: group.filter(pa.array(kinds == kind))
+        out = [rows(kind=TEXTS, run=of(TEXTS)["run"].to_numpy(), blob=of(TEXTS)["blob"].to_pylist())]
+        places = of(PLACES)
+        if places.num_rows:
+            before, ids, *counts = bigrams(of(COUNTS)["blob"][0].as_py(), COUNTED)
+            wanted = of(WANTED).sort_by("x")
+            rare_word, rare_context = ids >= RARE, before >= RARE
+            at_word = np.searchsorted(wanted["x"].to_numpy(), ids[rare_word].view("int64"))
+            # contexts are in order, so the bigrams of one are a run
+            first = np.flatnonzero(np.diff(before, prepend=~before[:1]))
+            lengths = np.diff(np.append(first, len(before)))
+            plain = np.where(rare_context, 0, before).astype("int64"), np.where(rare_word, 0, ids).astype("int64")
+            both = []
+            for m, n in zip(models, counts):
+                word = stats[f"{m}_word"][plain[1]]
+                word[rare_word] = wanted[m].to_numpy()[at_word]
+                own = [np.repeat(np.add.reduceat(c.astype("int64"), first), lengths) for c in (n, n > 0)]
+                total, some = (np.where(rare_context, o, stats[f"{m}_{c}"][plain[0]]) for o, c in zip(own, ("total", "kinds")))
+                both.append(loss(n.astype("float64"), total, some, word, spread[m]))
+            keys = coded(before, ids)
+            order = np.argsort(keys)
+            keys, both = keys[order], [x[order] for x in both]
+            blobs = []
+            for blob in places["blob"].to_pylist():
+                before, ids, doc = bigrams(blob, PLACED)
+                at = np.searchsorted(keys, coded(before, ids))
+                docs = np.unique(doc)
+                blobs.append(pack(docs, *[np.bincount(doc, x[at])[docs].astype("float32") for x in both]))
+            out.append(rows(kind=SUMS, run=places["run"].to_numpy(), blob=blobs))
+        return pa.Table.from_batches(out).select(["kind", "run", "blob"])
+
+    def finish(group):
+        kinds, blobs = group["kind"].to_pylist(), group["blob"].to_pylist()
+        ids, null, n, t, b = (c.copy() for c in unpack(blobs[kinds.index(TEXTS)], TEXT))
+        for kind, blob in zip(kinds, blobs):  # every text of a run is in its row of TEXTS
+            if kind == SUMS:
+                doc, x, y = unpack(blob, SUMMED)
+                t[doc] += x
+                b[doc] += y
+        t, b = t / np.maximum(n, 1), b / np.maximum(n, 1)
+        cols = [pa.array(ids, mask=null.astype("bool")), pa.array(n), *[pa.array(c, mask=n == 0) for c in (t, b, t - b)]]
+        return pa.Table.from_arrays(cols, ["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
+
+    rare = words.filter(~frequent).select(F.col("word").bitwiseOR(F.lit(-(1 << 63))).alias("x"), *models)
+    wanted = table.filter(kind == WANTED).select("kind", "part", "x").join(rare, "x")
+    blank = {c.split()[0]: F.lit(None).cast(c.split()[1]).alias(c.split()[0]) for c in ROW.split(", ")}
+    wanted = wanted.select(*[c if c in ("kind", "part", "x", *models) else blank[c] for c in NAMES])
+    every = texts.mapInArrow(place, ROW).unionByName(table.filter(kind == COUNTS)).unionByName(wanted)
+    every = every.select("kind", "part", "run", "blob", "x", *models)
+    tasks = min(parts, MOST_TASKS)
+    found = every.repartition(tasks, "part").groupBy("part").applyInArrow(look_up, "kind int, run long, blob binary")
+    return found.repartition(tasks, "run").groupBy("run").applyInArrow(finish, "doc_id long, n_tokens long, target_loss double, background_loss double, score double")

@@ -185,6 +185,49 @@ def test_rare_words_are_told_apart(spark, monkeypatch):
         assert got[2].score == pytest.approx(got[3].score)
 
 
+@pytest.mark.parametrize("words,hot,part", [(lm_score.WORDS, lm_score.HOT, lm_score.PART), (1, 1, 100), (30, 20, 150), (60, 1, 1 << 20)])
+def test_losses_by_brute_force(spark, monkeypatch, words, hot, part):
+    """Frequent and rare words and bigrams, in one part or many, score as a plain model does."""
+    for name, value in (("WORDS", words), ("HOT", hot), ("PART", part)):
+        monkeypatch.setattr(lm_score, name, value)
+    draw = random.Random(3)
+    texts = [" ".join(f"w{int(draw.paretovariate(0.7)) % 400}" for _ in range(draw.randrange(40))) for _ in range(60)] + ["", None, "only once"]
+    df = spark.createDataFrame(list(enumerate([*texts, "w1 w1 w2"])), "doc_id long, text string").repartition(3)
+    good = {i for i in range(60) if i % 3 == 0}
+    labels = spark.createDataFrame([(i, int(i in good)) for i in range(60)], "doc_id long, quality int")
+    split = {i: (t or "").split() for i, t in enumerate([*texts, "w1 w1 w2"])}
+    vocabulary = max(lm_score.VOCABULARY, len({w for ws in split.values() for w in ws}))
+
+    def model(ids):
+        bi, ctx, kinds, uni = Counter(), Counter(), Counter(), Counter()
+        for i in ids:
+            pairs = list(zip([None, *split[i]], split[i]))
+            bi.update(pairs)
+            ctx.update(a for a, _ in pairs)
+            uni.update(split[i])
+        kinds.update(a for a, _ in bi)
+        total = sum(uni.values()) + vocabulary
+
+        def loss(ws):
+            out = 0.0
+            for a, b in zip([None, *ws], ws):
+                rest = 0.75 * kinds[a] / ctx[a] if ctx[a] else 1.0
+                out -= math.log((max(bi[a, b] - 0.75, 0) / ctx[a] if ctx[a] else 0) + rest * (uni[b] + 1) / total)
+            return out / len(ws)
+
+        return loss
+
+    target, every = model(good), model(split)
+    got = lm_score.cross_entropy_difference(df, labels).collect()
+    assert sorted(r.doc_id for r in got) == sorted(split)
+    for r in got:
+        ws = split[r.doc_id]
+        assert r.n_tokens == len(ws) and (r.score is None) == (not ws)
+        if ws:
+            assert r.target_loss == pytest.approx(target(ws), rel=1e-5)
+            assert r.background_loss == pytest.approx(every(ws), rel=1e-5)
+
+
 def test_junk_scores_worse(spark, sf):
     docs, labels = (spark.read.parquet(f"{sf}/{n}.parquet") for n in ("documents", "labels"))
     rows = lm_score.cross_entropy_difference(docs, labels).join(labels, "doc_id").select("score", "quality").collect()
