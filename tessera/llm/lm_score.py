@@ -25,7 +25,7 @@ HOT = 1 << 17
 DISCOUNT = 0.75
 CACHE = 400_000
 #: Tokens that a task holds at once, and tokens a part of the bigrams.
-RUN = PART = 1 << 21
+RUN, PART = 1 << 20, 1 << 21
 MOST_TASKS = 20_000
 #: The highest bit marks words without a number.
 RARE = np.uint64(1 << 63)
@@ -38,26 +38,6 @@ ROW = "kind int, part int, run long, blob binary, x long, y long, target long, b
 NAMES = [c.split()[0] for c in ROW.split(", ")]
 
 
-class Codes(dict):
-    """word -> its number, from 1, if its hash is among the sorted `known`, or
-    its 64-bit hash with the highest bit set; holds the CACHE last met."""
-
-    def __init__(self, known: np.ndarray):
-        self.known = known
-
-    def __missing__(self, word: str) -> int:
-        if len(self) >= CACHE:
-            self.clear()
-        h = xxhash.xxh3_64_intdigest(word)
-        at = int(np.searchsorted(self.known, np.uint64(h)))
-        self[word] = found = at + 1 if at < len(self.known) and int(self.known[at]) == h else h | 1 << 63
-        return found
-
-    def words(self, texts: list[str]) -> list[np.ndarray]:
-        split = (t.lower().split() for t in texts)
-        return [np.fromiter(map(self.__getitem__, w), "uint64", len(w)) for w in split]
-
-
 class Hashes(dict):
     """word -> 64-bit hash; holds the CACHE last met."""
 
@@ -67,6 +47,19 @@ class Hashes(dict):
         self[word] = found = xxhash.xxh3_64_intdigest(word)
         return found
 
+    def words(self, text: str) -> np.ndarray:
+        split = text.lower().split()
+        return np.fromiter(map(self.__getitem__, split), "uint64", len(split))
+
+
+def numbered(hashes: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """The number, from 1, of words whose hash is among the sorted `known`; the
+    hash of others, with the highest bit set."""
+    if not len(known):
+        return hashes | RARE
+    at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+    return np.where(known[at] == hashes, (at + 1).astype("uint64"), hashes | RARE)
+
 
 def coded(before: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """Key of each bigram."""
@@ -97,9 +90,11 @@ def unpack(blob: bytes, kinds) -> list[np.ndarray]:
 
 
 def by_part(before, ids, others, parts):
-    """part and packed bigrams, in order, of each part; the contexts as differences."""
+    """part and packed bigrams, in the order given, of each part; the contexts as
+    differences."""
     part = part_of(before, ids, parts)
-    order = np.lexsort((ids, before, part))
+    # small numbers are sorted by radix
+    order = np.argsort(part.astype("uint16") if parts <= 1 << 16 else part, kind="stable")
     part, before, ids, others = part[order], before[order], ids[order], [o[order] for o in others]
     edges = np.flatnonzero(np.diff(part, prepend=-1, append=parts))
     for a, z in zip(edges, edges[1:]):
@@ -123,21 +118,21 @@ def rows(**columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(cols, NAMES)
 
 
-def runs(batches, codes: Codes):
+def runs(batches, known: np.ndarray):
     """Rows without their text, word before and word of all their texts in a row,
     and the number of words of each, for about RUN tokens at a time."""
-    held, words, size = [], [], 0
+    hashes, held, words, size = Hashes(), [], [], 0
 
     def done():
         n = np.array([len(w) for w in words], "int64")
-        ids = np.concatenate(words)
+        ids = numbered(np.concatenate(words), known)
         before = np.empty_like(ids)
         before[1:] = ids[:-1]
         before[(np.cumsum(n) - n)[n > 0]] = START
         return pa.Table.from_batches(held), before, ids, n
 
     for b in slices(batches, 1024):
-        words += codes.words(b["text"].to_pylist())
+        words += map(hashes.words, b["text"].to_pylist())
         held.append(b.drop_columns(["text"]))
         size += sum(map(len, words[-b.num_rows :]))
         if size >= RUN:
@@ -154,7 +149,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
     def run(batches):
         hashes = Hashes()
         for b in slices(batches, 4096, 1 << 25):
-            each = [np.fromiter(map(hashes.__getitem__, w), "uint64", len(w)) for w in (t.lower().split() for t in b["text"].to_pylist())]
+            each = list(map(hashes.words, b["text"].to_pylist()))
             ids = np.concatenate(each)
             wanted = np.repeat(np.array(b["is_target"].to_pylist(), "bool"), [len(e) for e in each])
             every, where = np.unique(ids, return_inverse=True)
@@ -171,7 +166,7 @@ def bigram_parts(docs: DataFrame, known, parts: int, tokens: int) -> DataFrame:
     sums it needs. Counts are summed in each run before the shuffle."""
 
     def run(batches):
-        for held, before, ids, n in runs(batches, Codes(known.value)):
+        for held, before, ids, n in runs(batches, known.value):
             wanted = np.repeat(held["is_target"].to_numpy(), n).astype("bool")
             every, first, where = np.unique(coded(before, ids), return_index=True, return_inverse=True)
             counts = [np.bincount(where[wanted], minlength=len(every)).astype("uint32"), np.bincount(where, minlength=len(every)).astype("uint32")]
@@ -272,7 +267,7 @@ def cross_entropy_difference(docs: DataFrame, labels: DataFrame, target: str = "
         """For each run of texts a row with their lengths and sums over frequent
         bigrams, and a row of its other bigrams for each part."""
         (keys, *both), at_task = shared.value, TaskContext.get().partitionId()
-        for k, (held, before, ids, n) in enumerate(runs(batches, Codes(known.value))):
+        for k, (held, before, ids, n) in enumerate(runs(batches, known.value)):
             run, code = at_task << 32 | k, coded(before, ids)
             at = np.minimum(np.searchsorted(keys, code), max(len(keys) - 1, 0))
             found = keys[at] == code if len(keys) else np.zeros(len(code), "bool")
@@ -281,7 +276,9 @@ def cross_entropy_difference(docs: DataFrame, labels: DataFrame, target: str = "
             named = held["doc_id"].combine_chunks()
             blob = pack(named.fill_null(0).to_numpy(zero_copy_only=False), named.is_null().to_numpy(zero_copy_only=False).astype("uint8"), n, *near)
             yield rows(kind=TEXTS, part=run % parts, run=run, blob=[blob])
-            other = list(by_part(before[~found], ids[~found], [doc[~found].astype("uint32")], parts))
+            left = np.flatnonzero(~found)
+            left = left[np.argsort(code[left])]
+            other = list(by_part(before[left], ids[left], [doc[left].astype("uint32")], parts))
             if other:
                 yield rows(kind=PLACES, part=[p for p, _ in other], run=run, blob=[b for _, b in other])
 
@@ -296,21 +293,17 @@ def cross_entropy_difference(docs: DataFrame, labels: DataFrame, target: str = "
             wanted = of(WANTED).sort_by("x")
             rare_word, rare_context = ids >= RARE, before >= RARE
             at_word = np.searchsorted(wanted["x"].to_numpy(), ids[rare_word].view("int64"))
-            # contexts are in order, so the bigrams of one are a run
-            first = np.flatnonzero(np.diff(before, prepend=~before[:1]))
-            lengths = np.diff(np.append(first, len(before)))
+            contexts, at_context = np.unique(before[rare_context], return_inverse=True)
             plain = np.where(rare_context, 0, before).astype("int64"), np.where(rare_word, 0, ids).astype("int64")
             both = []
             for m, n in zip(models, counts):
                 word = stats[f"{m}_word"][plain[1]]
                 word[rare_word] = wanted[m].to_numpy()[at_word]
-                own = [np.repeat(np.add.reduceat(c.astype("int64"), first), lengths) for c in (n, n > 0)]
-                total, some = (np.where(rare_context, o, stats[f"{m}_{c}"][plain[0]]) for o, c in zip(own, ("total", "kinds")))
+                total, some = (stats[f"{m}_{c}"][plain[0]] for c in ("total", "kinds"))
+                for sums, own in ((total, n), (some, n > 0)):
+                    sums[rare_context] = np.bincount(at_context, own[rare_context], len(contexts))[at_context]
                 both.append(loss(n.astype("float64"), total, some, word, spread[m]))
-            keys = coded(before, ids)
-            order = np.argsort(keys)
-            keys, both = keys[order], [x[order] for x in both]
-            blobs = []
+            keys, blobs = coded(before, ids), []  # in order, as they were merged
             for blob in places["blob"].to_pylist():
                 before, ids, doc = bigrams(blob, PLACED)
                 at = np.searchsorted(keys, coded(before, ids))
