@@ -23,7 +23,7 @@ WORDS = 1 << 21
 #: scored from a broadcast; the others where their counts are.
 HOT = 1 << 17
 DISCOUNT = 0.75
-CACHE = 400_000
+CACHE = 200_000
 #: Tokens that a task holds at once, and tokens a part of the bigrams.
 RUN, PART = 1 << 20, 1 << 21
 MOST_TASKS = 20_000
@@ -142,13 +142,22 @@ def runs(batches, known: np.ndarray):
         yield done()
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """word (its hash), target and background counts; docs: text and is_target.
-    Summed in each slice before the shuffle."""
+def marked_here(batches, some: Members):
+    """text and is_target of rows that are marked already (no `_h`) or that the
+    filter of target ids rejects by `_h`; the rest come again, joined."""
+    for b in batches:
+        h = b["_h"]
+        rejected = ~some.maybe(h.fill_null(0).to_numpy(zero_copy_only=False))
+        yield b.filter(pa.array(rejected | h.is_null().to_numpy(zero_copy_only=False))).select(["text", "is_target"])
+
+
+def word_counts(docs: DataFrame, some: Members) -> DataFrame:
+    """word (its hash), target and background counts; docs: text, is_target and
+    `_h`. Summed in each slice before the shuffle."""
 
     def run(batches):
         hashes = Hashes()
-        for b in slices(batches, 4096, 1 << 25):
+        for b in slices(marked_here(batches, some), 4096, 1 << 23):
             each = list(map(hashes.words, b["text"].to_pylist()))
             ids = np.concatenate(each)
             wanted = np.repeat(np.array(b["is_target"].to_pylist(), "bool"), [len(e) for e in each])
@@ -156,17 +165,17 @@ def word_counts(docs: DataFrame) -> DataFrame:
             found = [np.bincount(where[wanted], minlength=len(every)), np.bincount(where, minlength=len(every))]
             yield pa.RecordBatch.from_arrays([pa.array(every.view("int64")), *map(pa.array, found)], ["word", "target", "background"])
 
-    found = docs.select("text", "is_target").mapInArrow(run, "word long, target long, background long")
+    found = docs.select("text", "is_target", "_h").mapInArrow(run, "word long, target long, background long")
     return found.groupBy("word").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
 
 
-def bigram_parts(docs: DataFrame, known, parts: int, tokens: int) -> DataFrame:
+def bigram_parts(docs: DataFrame, some: Members, known, parts: int, tokens: int) -> DataFrame:
     """ROWs of each part: its bigrams with both counts, packed in one row; sums
     of its frequent contexts; its frequent bigrams; and the rare words whose
     sums it needs. Counts are summed in each run before the shuffle."""
 
     def run(batches):
-        for held, before, ids, n in runs(batches, known.value):
+        for held, before, ids, n in runs(marked_here(batches, some), known.value):
             wanted = np.repeat(held["is_target"].to_numpy(), n).astype("bool")
             every, first, where = np.unique(coded(before, ids), return_index=True, return_inverse=True)
             counts = [np.bincount(where[wanted], minlength=len(every)).astype("uint32"), np.bincount(where, minlength=len(every)).astype("uint32")]
@@ -194,7 +203,7 @@ def bigram_parts(docs: DataFrame, known, parts: int, tokens: int) -> DataFrame:
             out.append(rows(kind=WANTED, part=part, x=rare.view("int64")))
         return pa.Table.from_batches(out)
 
-    packed = docs.select("text", "is_target").mapInArrow(run, "part int, blob binary")
+    packed = docs.select("text", "is_target", "_h").mapInArrow(run, "part int, blob binary")
     return packed.repartition(min(parts, MOST_TASKS), "part").groupBy("part").applyInArrow(merge, ROW)
 
 
@@ -230,12 +239,13 @@ def cross_entropy_difference(docs: DataFrame, labels: DataFrame, target: str = "
     marked = labels.filter(F.expr(target)).select("doc_id").distinct().withColumn("is_target", F.lit(True))
     # a filter of fixed size holds the target ids; texts that it rejects are not joined
     marked = stored(marked.withColumn("_h", F.xxhash64(F.col("doc_id").cast("long"))), "targets")
-    some = Members(marked, "_h").column("_h")
+    some = Members(marked, "_h")
     hashed = texts.withColumn("_h", F.xxhash64("doc_id"))
-    asked = hashed.filter(some).join(marked.select("doc_id", "is_target"), "doc_id", "left").select("text", F.coalesce("is_target", F.lit(False)).alias("is_target"))
-    flagged = asked.unionByName(hashed.filter(~some).select("text", F.lit(False).alias("is_target")))
+    asked = hashed.filter(some.column("_h")).join(marked.select("doc_id", "is_target"), "doc_id", "left")
+    asked = asked.select("text", F.coalesce("is_target", F.lit(False)).alias("is_target"), F.lit(None).cast("long").alias("_h"))
+    flagged = asked.unionByName(hashed.select("text", F.lit(False).alias("is_target"), "_h"))
 
-    words = stored(word_counts(flagged), "words")
+    words = stored(word_counts(flagged, some), "words")
     models = ("target", "background")
     size = words.agg(F.count("*").alias("words"), *[F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in models]).first()
     tokens = size["background"]
@@ -247,7 +257,7 @@ def cross_entropy_difference(docs: DataFrame, labels: DataFrame, target: str = "
     known = spark.sparkContext.broadcast(hashes[order])
     parts = tokens // PART + 1
 
-    table = stored(bigram_parts(flagged, known, parts, tokens), "bigrams")
+    table = stored(bigram_parts(flagged, some, known, parts, tokens), "bigrams")
     kind = F.col("kind")
     sums = [F.sum(c).alias(c) for c in NAMES[6:]]
     contexts = table.filter(kind == CONTEXT).groupBy("x").agg(*sums).toArrow()
