@@ -23,9 +23,9 @@ WORDS = 1 << 21
 #: scored from a broadcast; the others where their counts are.
 HOT = 1 << 17
 DISCOUNT = 0.75
-CACHE = 200_000
+CACHE = 100_000
 #: Tokens that a task holds at once, and tokens a part of the bigrams.
-RUN, PART = 1 << 20, 1 << 21
+RUN, PART = 1 << 19, 1 << 21
 MOST_TASKS = 20_000
 #: The highest bit marks words without a number.
 RARE = np.uint64(1 << 63)
@@ -131,7 +131,7 @@ def runs(batches, known: np.ndarray):
         before[(np.cumsum(n) - n)[n > 0]] = START
         return pa.Table.from_batches(held), before, ids, n
 
-    for b in slices(batches, 1024):
+    for b in batches:
         words += map(hashes.words, b["text"].to_pylist())
         held.append(b.drop_columns(["text"]))
         size += sum(map(len, words[-b.num_rows :]))
@@ -148,7 +148,9 @@ def marked_here(batches, some: Members):
     for b in batches:
         h = b["_h"]
         rejected = ~some.maybe(h.fill_null(0).to_numpy(zero_copy_only=False))
-        yield b.filter(pa.array(rejected | h.is_null().to_numpy(zero_copy_only=False))).select(["text", "is_target"])
+        kept = b.filter(pa.array(rejected | h.is_null().to_numpy(zero_copy_only=False)))
+        if kept.num_rows:
+            yield kept.select(["text", "is_target"])
 
 
 def word_counts(docs: DataFrame, some: Members) -> DataFrame:
@@ -157,7 +159,7 @@ def word_counts(docs: DataFrame, some: Members) -> DataFrame:
 
     def run(batches):
         hashes = Hashes()
-        for b in slices(marked_here(batches, some), 4096, 1 << 23):
+        for b in marked_here(slices(batches, 2048), some):
             each = list(map(hashes.words, b["text"].to_pylist()))
             ids = np.concatenate(each)
             wanted = np.repeat(np.array(b["is_target"].to_pylist(), "bool"), [len(e) for e in each])
@@ -175,7 +177,7 @@ def bigram_parts(docs: DataFrame, some: Members, known, parts: int, tokens: int)
     sums it needs. Counts are summed in each run before the shuffle."""
 
     def run(batches):
-        for held, before, ids, n in runs(marked_here(batches, some), known.value):
+        for held, before, ids, n in runs(marked_here(slices(batches, 1024), some), known.value):
             wanted = np.repeat(held["is_target"].to_numpy(), n).astype("bool")
             every, first, where = np.unique(coded(before, ids), return_index=True, return_inverse=True)
             counts = [np.bincount(where[wanted], minlength=len(every)).astype("uint32"), np.bincount(where, minlength=len(every)).astype("uint32")]
@@ -277,7 +279,7 @@ def cross_entropy_difference(docs: DataFrame, labels: DataFrame, target: str = "
         """For each run of texts a row with their lengths and sums over frequent
         bigrams, and a row of its other bigrams for each part."""
         (keys, *both), at_task = shared.value, TaskContext.get().partitionId()
-        for k, (held, before, ids, n) in enumerate(runs(batches, known.value)):
+        for k, (held, before, ids, n) in enumerate(runs(slices(batches, 1024), known.value)):
             run, code = at_task << 32 | k, coded(before, ids)
             at = np.minimum(np.searchsorted(keys, code), max(len(keys) - 1, 0))
             found = keys[at] == code if len(keys) else np.zeros(len(code), "bool")
