@@ -25,7 +25,7 @@ HOT = 1 << 17
 DISCOUNT = 0.75
 CACHE = 100_000
 #: Tokens that a task holds at once, and tokens a part of the bigrams.
-RUN, PART = 1 << 19, 1 << 21
+RUN, PART = 1 << 18, 1 << 21
 MOST_TASKS = 20_000
 #: The highest bit marks words without a number.
 RARE = np.uint64(1 << 63)
