@@ -1,12 +1,15 @@
-"""Experiment and submission ledgers: append-only Parquet tables and their queries."""
+"""Experiment and submission ledgers: Parquet files under a log of commits, and their queries."""
 
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window as W
 
+from tessera.sources.commits import CommitLog
+
 EXPERIMENTS = """experiment_id long, branch_name string, oof_score float, oof_rmse float, metric string, calibration string, gate_result string,
  n_features int, seed int, cv_strategy string, approved_by string, notes string, created_at timestamp"""
 SUBMISSIONS = """submission_id long, experiment_id long, filename string, public_score float, private_score float, rank int, is_final boolean,
@@ -28,30 +31,83 @@ def complete_experiments(df: DataFrame) -> DataFrame:
     return df.withColumn("metric", metric).withColumn("oof_score", F.coalesce("oof_score", "oof_rmse"))
 
 
-def read_ledger(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """All appended rows; of rows of one id the newest version counts."""
-    from pyspark.errors import AnalysisException
+def _files(df: DataFrame) -> list[dict]:
+    """Where the numbers of each written file begin and end."""
+    at = F.col("_metadata.file_path")
+    return [{"file": r["f"], "first": r["a"], "last": r["z"]} for r in df.groupBy(at.alias("f")).agg(F.min("_k").alias("a"), F.max("_k").alias("z")).collect()]
+
+
+def _written(rows: DataFrame, path: str) -> list[dict]:
+    """`rows`, with a number _k each, clustered by it in new files."""
+    spark, to = rows.sparkSession, f"{path.rstrip('/')}/data/{uuid.uuid4().hex}"
+    rows.repartitionByRange("_k").sortWithinPartitions("_k").write.parquet(to)
+    return _files(spark.read.schema(rows.schema).parquet(to))
+
+
+def _part(spark: SparkSession, n: int, entry: dict, schema: str, files: list[dict] | None = None) -> DataFrame | None:
+    """Rows of one commit, with their ids and version."""
+    files = entry["files"] if files is None else files
+    if not files:
+        return None
+    key = schema.split()[0]
+    rows = spark.read.schema(f"_k long, {schema}").parquet(*[f["file"] for f in files])
+    version = entry["upto"] if entry["kind"] == "compact" else n
+    return rows.withColumn(key, F.col("_k") + F.lit(entry["base"])).withColumn("version", F.lit(version).cast("long"))
 
-    try:
-        rows = spark.read.schema(schema + ", version long").parquet(path)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
+
+def _newest(spark: SparkSession, parts: list[tuple[str, DataFrame]], schema: str) -> DataFrame:
+    """Rows by id, changed ones as they were changed last. Only changes are
+    grouped; other rows are unique by their numbers."""
+    key = schema.split()[0]
+    names = spark.createDataFrame([], schema).columns
+    changed = [df for kind, df in parts if kind == "update"]
+    plain = [df.select(*names) for kind, df in parts if kind != "update"]
+    if not plain:
         return spark.createDataFrame([], schema)
-    key = rows.columns[0]
-    return rows.groupBy(key).agg(F.max_by(F.struct(*rows.columns), "version").alias("r")).select("r.*").drop("version")
+    rows = reduce(DataFrame.unionByName, plain)
+    if not changed:
+        return rows
+    last = reduce(DataFrame.unionByName, changed).groupBy(key).agg(F.max_by(F.struct(*names), "version").alias("r")).select("r.*")
+    return rows.join(last.select(key), key, "left_anti").select(*names).unionByName(last)
+
+
+def read_ledger(spark: SparkSession, path: str, schema: str, upto: int | None = None) -> DataFrame:
+    """All rows as of one commit (default: the newest), each as it was changed last.
+    Commits that come later do not show, whenever the rows are read."""
+    parts = [(e["kind"], _part(spark, n, e, schema)) for n, e in CommitLog(spark, path).entries(upto)]
+    return _newest(spark, [(k, df) for k, df in parts if df is not None], schema)
+
+
+def read_one(spark: SparkSession, path: str, schema: str, key: int) -> DataFrame:
+    """The row of one id: reads the file of its commit that holds the id and those
+    of changes that may, and in them the row groups whose numbers reach it."""
+    parts = []
+    for n, e in CommitLog(spark, path).entries():
+        own = [f for f in e["files"] if f["first"] <= key - e["base"] <= f["last"]]
+        if own:
+            parts.append((e["kind"], _part(spark, n, e, schema, own).filter(F.col("_k") == key - e["base"])))
+    return _newest(spark, parts, schema)
 
 
 def append(df: DataFrame, path: str, schema: str, order: list[str]) -> None:
-    """Number and stamp new rows and append them as one commit."""
+    """Number and stamp new rows and append them as one commit. Rows are written
+    with numbers of their own first; the commit that takes the next place in the
+    log says what to add to them, so writers at once never share an id, and one
+    that comes second only asks for the next place."""
     spark = df.sparkSession
-    now = read_ledger(spark, path, schema)
-    key = now.columns[0]
-    start = now.agg(F.coalesce(F.max(key), F.lit(0))).first()[0]
-    rows = numbered(df, key, order, start)
+    fields = spark.createDataFrame([], schema).schema.fields
+    rows = numbered(df, "_k", order)
     stamped = rows.withColumn("created_at", F.coalesce("created_at", F.current_timestamp()) if "created_at" in rows.columns else F.current_timestamp())
-    full = [(F.col(c) if c in stamped.columns else F.lit(None)).cast(t).alias(c) for c, t in ((f.name, f.dataType) for f in now.schema.fields)]
-    stamped.select(*full, F.lit(0).cast("long").alias("version")).write.mode("append").parquet(path)
+    full = [(F.col(f.name) if f.name in stamped.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in fields]
+    files = _written(stamped.select("_k", *full), path)
+    most = max((f["last"] for f in files), default=0)
+    log = CommitLog(spark, path)
+    while True:
+        n, top = log.last(), 0
+        for _, e in log.entries(n):
+            top = max(top, e.get("top", 0))
+        if log.put(n + 1, {"kind": "append", "base": top, "top": top + most, "files": files}):
+            return
 
 
 def log_experiments(df: DataFrame, path: str, order: list[str]) -> None:
@@ -70,11 +126,39 @@ def apply_changes(ledger: DataFrame, key: str, changes: DataFrame) -> DataFrame:
 
 
 def update_ledger(spark: SparkSession, path: str, schema: str, changes: DataFrame) -> None:
-    """Append new versions of the changed rows; nothing is rewritten in place."""
-    now = read_ledger(spark, path, schema)
-    key = now.columns[0]
-    last = spark.read.parquet(path).agg(F.max("version")).first()[0]
-    apply_changes(now, key, changes).join(changes, key, "left_semi").withColumn("version", F.lit(last + 1).cast("long")).write.mode("append").parquet(path)
+    """Commit new versions of the changed rows. If others have changed rows since
+    the state that this change was worked out from, it is worked out again; new
+    rows of others do not matter to it."""
+    log = CommitLog(spark, path)
+    while True:
+        seen = log.last()
+        now = read_ledger(spark, path, schema, seen)
+        key = now.columns[0]
+        rows = apply_changes(now, key, changes).join(changes, key, "left_semi")
+        files = _written(rows.withColumn("_k", F.col(key)).select("_k", *now.columns), path)
+        n = seen
+        while not log.put(n + 1, {"kind": "update", "base": 0, "files": files}):
+            n += 1
+            if log._read(log._name(n))["kind"] == "update":
+                break
+        else:
+            return
+
+
+def compact_ledger(spark: SparkSession, path: str, schema: str) -> None:
+    """Write the state of now as one set of files clustered by id. Commits behind it
+    stay as they are, so writers need not wait; readers of earlier states still
+    find their files."""
+    log = CommitLog(spark, path)
+    seen = log.last()
+    if not seen:
+        return
+    now = read_ledger(spark, path, schema, seen)
+    files = _written(now.withColumn("_k", F.col(now.columns[0])).select("_k", *now.columns), path)
+    top = max(e.get("top", 0) for _, e in log.entries(seen))
+    n = seen
+    while not log.put(n + 1, {"kind": "compact", "base": 0, "upto": seen, "top": top, "files": files}):
+        n += 1
 
 
 def backfill(board: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -1,36 +1,38 @@
-"""Cross-validated training with Spark ML, calibration and attribution.
+"""Cross-validated training, calibration and attribution.
 
-Folds are a loop over one cached frame; a model's driver-side state is its
-trees or coefficients. Predictions stay in Spark as a long table
-(id, fold, y, p or prob)."""
+Boosted trees of all folds grow side by side (`boosting`); forests and linear
+models come from Spark ML, fold by fold over one cached frame. A model's
+driver-side state is its trees or coefficients. Predictions stay in Spark as a
+long table (id, fold, y, p or prob)."""
 
 from __future__ import annotations
 
 from functools import reduce
 
 import numpy as np
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression, IsotonicRegression, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import GeneralizedLinearRegression, IsotonicRegression, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, functions as F
 
 from tessera.operators import metrics as M
+from tessera.operators.boosting import Boosted, boost, shap_values
 from tessera.operators.transforms import median_fill_matrix, standardise
+from tessera.sources.shared import stored
 
-DEFAULTS = {"gbt": {"maxIter": 20, "stepSize": 0.1, "maxDepth": 4}, "rf": {"numTrees": 40, "maxDepth": 8, "minInstancesPerNode": 2}, "lr": {"maxIter": 100}, "glm": {"maxIter": 25}}
+#: Families of histogram boosting and what they learn by task.
+BOOSTED = {"lgb", "xgb", "gbt", "poisson"}
+OBJECTIVES = {"classification": "binary", "multiclass": "softmax", "regression": "squared"}
+DEFAULTS = {"rf": {"numTrees": 500, "maxDepth": 12, "minInstancesPerNode": 2}, "lr": {"maxIter": 1000}, "glm": {"maxIter": 25}}
 
 
-def make_model(family: str, task: str, params: dict | None = None, seed: int = 0, weight: str | None = None, validation: str | None = None):
-    """lgb, xgb and gbt: boosted trees, with early stop on `validation` rows; rf:
-    forest; lr: (logistic) regression; poisson: log-linear counts. More than two
-    classes need rf or lr."""
-    kind = {"lgb": "gbt", "xgb": "gbt", "poisson": "glm"}.get(family, family)
+def make_model(family: str, task: str, params: dict | None = None, seed: int = 0, weight: str | None = None):
+    """rf: forest; lr: (logistic) regression; glm: log-linear counts. Boosted trees
+    (lgb, xgb, gbt, poisson) are not one estimator a fold: see `boosted`."""
+    kind = family
     p = DEFAULTS[kind] | (params or {}) | {"featuresCol": "_x", "labelCol": "_y"} | ({"weightCol": weight} if weight else {})
     clf = task != "regression"
-    if kind == "gbt":
-        extra = {"validationIndicatorCol": validation} if validation else {}
-        return (GBTClassifier if clf else GBTRegressor)(**p, **extra, seed=seed)
     if kind == "rf":
         return (RandomForestClassifier if clf else RandomForestRegressor)(**p, seed=seed, featureSubsetStrategy="sqrt")
     if kind == "glm":
@@ -55,42 +57,78 @@ def predicted(model, df: DataFrame, task: str, keep: list[str]) -> DataFrame:
     return out.select(*keep, prob[1].alias("p")) if task == "classification" else out.select(*keep, prob.alias("prob"))
 
 
+def sides(train: DataFrame, folds: list[int]) -> DataFrame:
+    """`train` once for each fold's model, with model and valid: pseudo-labelled
+    rows (_pseudo) train every model and validate none, and so do rows with a
+    negative fold; rows without a fold take no part."""
+    every = train.filter("fold IS NOT NULL OR _pseudo").withColumn("model", F.explode(F.array(*map(F.lit, folds))))
+    return every.withColumn("valid", F.coalesce((F.col("fold") == F.col("model")) & ~F.col("_pseudo"), F.lit(False)))
+
+
+def fold_ids(train: DataFrame) -> list[int]:
+    return sorted(r[0] for r in train.filter("NOT _pseudo").select("fold").distinct().collect() if r[0] is not None and r[0] >= 0)
+
+
+def boosted(train: DataFrame, columns: list[str], y: str, task: str, family: str = "lgb", params: dict | None = None) -> Boosted:
+    """A boosted model for each fold of `train` (fold, _pseudo and perhaps weight),
+    stopped early by its validation rows; by default 500 rounds at rate 0.05, 31
+    leaves, patience 50. family poisson: counts with a log link; else binary,
+    softmax or squared error by task. Nulls go the better way at each split."""
+    objective = "poisson" if family == "poisson" else OBJECTIVES[task]
+    classes = int(train.agg(F.max(F.col(y).cast("int"))).first()[0]) + 1 if objective == "softmax" else 1
+    rows = train if "model" in train.columns else sides(train, fold_ids(train))
+    weight = F.col("weight") if "weight" in train.columns else F.lit(1.0)
+    return boost(rows.select("model", "valid", F.col(y).alias("y"), weight.alias("weight"), *columns), columns, objective, classes, params)
+
+
+def _boosted_cv(train, test, columns, y, task, family, key, params, features):
+    folds = fold_ids(train)
+    if not features:
+        fit = boosted(train, columns, y, task, family, params)
+        own = train.filter(F.col("fold").isin(folds) & ~F.col("_pseudo"))
+        return fit.predict(own, [key, "fold", y], "fold"), fit.predict(test, [key])
+    fits, tests = [], []
+    for f in folds:
+        learn, valid = train.filter((F.col("fold") != f) | F.col("_pseudo")), train.filter((F.col("fold") == f) & ~F.col("_pseudo"))
+        a, both = features(learn, valid.withColumn("_v", F.lit(True)).unionByName(test.withColumn("_v", F.lit(False)), allowMissingColumns=True), f)
+        fits.append(a.withColumns({"model": F.lit(f), "valid": F.lit(False)}).unionByName(both.filter("_v").drop("_v").withColumns({"model": F.lit(f), "valid": F.lit(True)}), allowMissingColumns=True))
+        tests.append(both.filter("NOT _v").withColumn("model", F.lit(f)))
+    rows = stored(reduce(DataFrame.unionByName, fits), "folds")[0]
+    fit = boosted(rows, columns, y, task, family, params)
+    return fit.predict(rows.filter("valid"), [key, "fold", y], "model"), fit.predict(reduce(DataFrame.unionByName, tests), [key], "model")
+
+
 def train_cv(train: DataFrame, test: DataFrame, columns: list[str], y: str, task: str, family: str = "gbt", key: str = "id", params: dict | None = None, seed: int = 0, features=None) -> tuple[DataFrame, DataFrame]:
-    """(oof, test) predictions. `train` has a fold column; each fold's transform
-    and model see its training side only, pseudo-labelled rows among it. Trees
-    stop early on the validation fold. `features`: callable (train, test, fold)
-    -> both with more columns. Test predictions are the mean over folds."""
+    """(oof, test) predictions, both written once in the shared folder. `train` has
+    a fold column; each fold's transform and model see its training side only,
+    pseudo-labelled rows among it. Boosted trees stop early on the validation
+    fold. `features`: callable (train, test, fold) -> both with more columns. Test
+    predictions are the mean over folds."""
     pseudo = F.col("is_pseudo") if "is_pseudo" in train.columns else F.lit(False)
     train = train.withColumn("_pseudo", pseudo).cache()
-    folds = sorted(r[0] for r in train.filter("NOT _pseudo").select("fold").distinct().collect() if r[0] is not None and r[0] >= 0)
-    weight = "weight" if "weight" in train.columns else None
-    oof, tests = [], []
+    name = "p" if task != "multiclass" else "prob"
     try:
-        for f in folds:
-            fit, valid = train.filter((F.col("fold") != f) | F.col("_pseudo")), train.filter((F.col("fold") == f) & ~F.col("_pseudo"))
-            if features:
-                fit, both = features(fit, valid.withColumn("_v", F.lit(True)).unionByName(test.withColumn("_v", F.lit(False)), allowMissingColumns=True), f)
-                valid, own = both.filter("_v"), both.filter("NOT _v")
-            else:
-                own = test
-            scale = family in ("lr", "poisson")
-            a, b = prepared(fit, valid, columns, y, scale)
-            c = prepared(fit, own, columns, y, scale)[1]
-            stop = family in ("lgb", "xgb", "gbt")
-            data = a.withColumn("_stop", F.lit(False))
-            if stop:
-                data = data.unionByName(b.withColumns({"_y": F.col(y).cast("double"), "_stop": F.lit(True)}), allowMissingColumns=True)
-            model = make_model(family, task, params, seed, weight, "_stop" if stop else None).fit(data)
-            oof.append(predicted(model, b, task, [key, "fold", y]))
-            tests.append(predicted(model, c, task, [key]))
-        name = "p" if task != "multiclass" else "prob"
-        every = reduce(DataFrame.unionByName, tests)
+        if family in BOOSTED:
+            oof, every = _boosted_cv(train, test, columns, y, task, family, key, params, features)
+        else:
+            oof, tests = [], []
+            scale = family in ("lr", "glm")
+            for f in fold_ids(train):
+                fit, valid = train.filter((F.col("fold") != f) | F.col("_pseudo")), train.filter((F.col("fold") == f) & ~F.col("_pseudo"))
+                both = valid.withColumn("_v", F.lit(True)).unionByName(test.withColumn("_v", F.lit(False)), allowMissingColumns=True)
+                if features:
+                    fit, both = features(fit, both, f)
+                a, b = prepared(fit, both, columns, y, scale)
+                model = make_model(family, task, params, seed, "weight" if "weight" in train.columns else None).fit(a)
+                oof.append(predicted(model, b.filter("_v"), task, [key, "fold", y]))
+                tests.append(predicted(model, b.filter("NOT _v"), task, [key]))
+            oof, every = reduce(DataFrame.unionByName, oof), reduce(DataFrame.unionByName, tests)
         if name == "p":
             mean = every.groupBy(key).agg(F.avg("p").alias("p"))
         else:
             flat = every.select(key, F.posexplode("prob").alias("c", "v")).groupBy(key, "c").agg(F.avg("v").alias("v"))
             mean = flat.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("c", "v"))), lambda s: s.v).alias("prob"))
-        return reduce(DataFrame.unionByName, oof).withColumnRenamed(y, "y"), mean
+        return stored(oof.withColumnRenamed(y, "y"), "oof")[0], stored(mean, "test")[0]
     finally:
         train.unpersist()
 
@@ -163,9 +201,9 @@ def screen_hypotheses(hyp: DataFrame, df: DataFrame, y: str) -> DataFrame:
     used = sorted(r[0] for r in h.filter("static IS NULL").select(F.explode("columns")).distinct().collect())
     if not used:
         return h.select("id", F.when(F.col("static").isNotNull(), "static").alias("stage"), F.col("static").alias("reason"))
-    a, _ = prepared(df, df, used, y, False)
-    gain = make_model("gbt", "classification", {"maxIter": 5}).fit(a).featureImportances.toArray()
-    rows = {c: float(g) for c, g in zip(used, gain)}
+    fit = boost(df.select(F.lit(0).alias("model"), F.lit(False).alias("valid"), F.col(y).alias("y"), F.lit(1.0).alias("weight"), *used), used, params={"rounds": 5})
+    split = {used[c] for trees in fit.rounds.get(0, []) for t in trees for c in t.feature[t.feature >= 0].tolist()}
+    rows = {c: float(c in split) for c in used}
     nulls = df.agg(*[(F.count(c) == 0).alias(c) for c in used]).first()
     mi = {r["column"]: r["mi"] for r in mutual_information(df, used, y).collect()}
     facts = hyp.sparkSession.createDataFrame([(c, bool(nulls[c]), float(mi[c]), rows[c]) for c in used], "column string, void boolean, mi double, gain double")
@@ -254,60 +292,18 @@ def shap_linear(train: DataFrame, columns: list[str], y: str, task: str, key: st
     return reduce(DataFrame.unionByName, parts)
 
 
-def shap_trees(model, df: DataFrame, columns: list[str], key: str = "id") -> DataFrame:
-    """id, feature and tree attribution by the path method: a split's change of
-    the node mean, from parent to child, goes to its feature; a row's values and
-    the root means sum to the raw prediction. Trees are sent to the executors as
-    one bounded array each and rows are walked in batches."""
-    trees = []
-    weights = list(model.treeWeights)
-    for t, w in zip(model.trees, weights):
-        rows = []
-
-        def walk(node):
-            at = len(rows)
-            rows.append(None)
-            stats = node.impurityStats()
-            n = stats.count() or 1.0
-            if node.subtreeDepth() == 0:
-                rows[at] = (-1, 0.0, at, at, node.prediction())
-                return at, node.prediction(), n
-            split = node.split()
-            left, lv, ln = walk(node.leftChild())
-            right, rv, rn = walk(node.rightChild())
-            value = (lv * ln + rv * rn) / (ln + rn)
-            rows[at] = (split.featureIndex(), split.threshold(), left, right, value)
-            return at, value, ln + rn
-
-        walk(t._call_java("rootNode"))
-        trees.append((w, np.array([r[0] for r in rows]), np.array([r[1] for r in rows]), np.array([r[2] for r in rows]), np.array([r[3] for r in rows]), np.array([r[4] for r in rows])))
-    shared = df.sparkSession.sparkContext.broadcast(trees)
-
-    def run(batches):
-        import pandas as pd
+def shap_trees(train: DataFrame, columns: list[str], y: str, task: str, key: str = "id", params: dict | None = None, family: str = "lgb") -> DataFrame:
+    """fold, id, feature and exact tree attribution of the validation rows of each
+    fold, by that fold's boosted trees, on the score's scale (of the last class)."""
+    train = train.withColumn("_pseudo", F.lit(False))
+    fit = boosted(train, columns, y, task, family, params)
+    return shap_values(fit, train, key, "fold")
+
 
-        for b in batches:
-            x, out = b[columns].to_numpy("float64"), np.zeros((len(b), len(columns)))
-            for w, feature, cut, left, right, value in shared.value:
-                at = np.zeros(len(x), "int64")
-                while True:
-                    live = np.nonzero(feature[at] >= 0)[0]
-                    if not len(live):
-                        break
-                    f = feature[at[live]]
-                    child = np.where(x[live, f] <= cut[at[live]], left[at[live]], right[at[live]])
-                    np.add.at(out, (live, f), w * (value[child] - value[at[live]]))
-                    at[live] = child
-            wide = pd.DataFrame(out, columns=columns)
-            wide[key] = b[key].to_numpy()
-            yield wide.melt(key, columns, "feature", "value")[[key, "feature", "value"]]
-
-    return df.select(key, *[F.col(c).cast("double").alias(c) for c in columns]).mapInPandas(run, f"{key} long, feature string, value double")
-
-
-def shap_audit(train: DataFrame, columns: list[str], y: str, task: str, key: str = "id") -> DataFrame:
-    """Mean abs attribution a feature; fewer than two features skip the ratio audit."""
+def shap_audit(train: DataFrame, columns: list[str], y: str, task: str, key: str = "id", family: str = "lgb", params: dict | None = None) -> DataFrame:
+    """Mean abs attribution a feature, on validation rows; exact for trees and, with
+    family lr, for linear models. Fewer than two features skip the ratio audit."""
     from tessera.operators.gates import mean_abs_importance
 
-    out = mean_abs_importance(shap_linear(train, columns, y, task, key))
-    return out.withColumn("audited", F.lit(len(columns) >= 2))
+    values = shap_linear(train, columns, y, task, key) if family == "lr" else shap_trees(train, columns, y, task, key, params, family)
+    return mean_abs_importance(values).withColumn("audited", F.lit(len(columns) >= 2))

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from tessera.operators import ledger as L
 from tessera.plans.aggregates import rounded
 from tessera.plans.registry import RUNS, Input, query, read
 from tessera.plans.windows import IMP
+from tessera.sources.shared import new_path
 
 SUBS = Input("orders", ("o_orderkey * 2 AS submission_id", "o_orderkey + o_orderkey % 2 AS experiment_id", "CONCAT('sub_', CAST(o_orderkey AS STRING)) AS filename", "floor(o_totalprice / 10) / 10000 AS public_score", "o_orderpriority = '1-URGENT' AS is_final", "o_orderdate AS created_at"), "o_orderkey % 10 < 4")
 BOARD = Input("orders", ("o_orderkey AS id", "o_orderdate AS created_at", "CONCAT('f', CAST(o_orderkey AS STRING), '.csv') AS filename", "CASE WHEN o_orderkey % 9 = 0 THEN 'n/a' WHEN o_orderkey % 7 = 0 THEN '0.0' ELSE CAST(o_totalprice AS STRING) END AS public_score", "o_totalprice AS score", "o_orderkey % 250 = 0 AS chosen"))
@@ -17,18 +16,9 @@ KEEP = ("experiment_id", "branch_name", "score", "gate_result")
 SCORED = f"(SELECT *, coalesce(oof_score, oof_rmse) AS score FROM {RUNS.sql})"
 
 
-def _temp(spark):
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        import tempfile
-
-        base = tempfile.mkdtemp(prefix="tessera-")
-    return f"{base}/ledger-{uuid.uuid4().hex}"
-
-
 @query("a08_log_experiments", f"SELECT row_number() OVER (ORDER BY experiment_id) AS experiment_id, branch_name, CAST(coalesce(oof_score, oof_rmse) AS FLOAT) AS oof_score, CASE WHEN oof_score IS NULL AND oof_rmse IS NOT NULL THEN 'rmse' END AS metric, gate_result FROM {RUNS.sql}")
 def log_experiments(spark, sf):
-    path = _temp(spark)
+    path = new_path(spark, "ledger")
     runs = RUNS.df(spark, sf)
     L.log_experiments(runs.filter("experiment_id <= (SELECT 1000)"), path, ["experiment_id"])
     L.log_experiments(runs.filter("experiment_id > 1000"), path, ["experiment_id"])
@@ -37,7 +27,7 @@ def log_experiments(spark, sf):
 
 @query("a09_update_ledger", "SELECT row_number() OVER (ORDER BY o_orderkey) AS submission_id, 'f' || CAST(o_orderkey AS VARCHAR) AS filename, CAST(CASE WHEN row_number() OVER (ORDER BY o_orderkey) % 4 = 0 THEN true ELSE false END AS BOOLEAN) AS is_final FROM orders")
 def update_ledger(spark, sf):
-    path = _temp(spark)
+    path = new_path(spark, "ledger")
     o = read(spark, sf, "orders").select(F.concat(F.lit("f"), "o_orderkey").alias("filename"), F.lit(False).alias("is_final"), F.col("o_orderkey").alias("experiment_id"))
     L.log_submissions(o, path, ["experiment_id"])
     now = L.read_ledger(spark, path, L.SUBMISSIONS)
@@ -83,6 +73,18 @@ def get_experiment(spark, sf):
     return L.get_experiment(RUNS.df(spark, sf), 7).select("experiment_id", "branch_name", "gate_result")
 
 
+@query("f05_point_read", f"SELECT * FROM (SELECT row_number() OVER (ORDER BY experiment_id) AS experiment_id, branch_name, CASE WHEN row_number() OVER (ORDER BY experiment_id) % 7 = 0 THEN 'HOLD' ELSE gate_result END AS gate_result FROM {RUNS.sql}) WHERE experiment_id IN (7, 12)")
+def point_read(spark, sf):
+    """Two reads by id from a ledger of all runs: of a changed row and of one compacted before."""
+    path = new_path(spark, "ledger")
+    L.log_experiments(RUNS.df(spark, sf), path, ["experiment_id"])
+    L.compact_ledger(spark, path, L.EXPERIMENTS)
+    now = L.read_ledger(spark, path, L.EXPERIMENTS)
+    L.update_ledger(spark, path, L.EXPERIMENTS, now.filter("experiment_id % 7 = 0").select("experiment_id", F.lit("HOLD").alias("gate_result")))
+    one, two = (L.read_one(spark, path, L.EXPERIMENTS, i) for i in (7, 12))
+    return one.unionByName(two).select("experiment_id", "branch_name", "gate_result")
+
+
 @query("f06_top_features", f"SELECT feature, importance FROM {IMP.sql} ORDER BY importance DESC, feature LIMIT 20")
 def top_features(spark, sf):
     return L.top_features(IMP.df(spark, sf), 20).select("feature", "importance")

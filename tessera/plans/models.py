@@ -3,7 +3,9 @@ ones that SQL could state, so most have no SQL; tests check their invariants."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from tessera.operators import folds as J
 from tessera.operators import metrics as M
@@ -16,6 +18,8 @@ ORDERS = Input("orders", (
     "CAST(CASE WHEN o_totalprice > 150000 THEN 1 ELSE 0 END AS INT) AS y", "CAST(CASE WHEN o_totalprice > 200000 THEN 2 WHEN o_totalprice > 100000 THEN 1 ELSE 0 END AS INT) AS cls", "CAST(o_custkey % 6 AS INT) AS n", "CAST(o_orderkey % 3 AS INT) AS fold",
 ))
 X = ["cust", "month", "size"]
+#: Few rounds at a high rate, for all rows; by default there are 500.
+SHORT = {"rounds": 6, "rate": 0.3}
 
 
 def sides(spark, sf):
@@ -25,7 +29,7 @@ def sides(spark, sf):
 
 @query("k01_train_cv")
 def train_cv(spark, sf):
-    return K.train_cv(*sides(spark, sf), X, "y", "classification", "gbt", params={"maxIter": 3})[0]
+    return K.train_cv(*sides(spark, sf), X, "y", "classification", "gbt", params=SHORT)[0]
 
 
 @query("k02_forest_and_linear")
@@ -42,7 +46,9 @@ def multi_seed(spark, sf):
 
 @query("k05_multiclass")
 def multiclass(spark, sf):
-    return K.train_cv(*sides(spark, sf), X, "cls", "multiclass", "rf", params={"numTrees": 10})[0]
+    a, b = sides(spark, sf)
+    rf = K.train_cv(a, b, X, "cls", "multiclass", "rf", params={"numTrees": 10})[0].withColumn("family", F.lit("rf"))
+    return rf.unionByName(K.train_cv(a, b, X, "cls", "multiclass", "lgb", params=SHORT)[0].withColumn("family", F.lit("lgb")))
 
 
 @query("k06_train_targets")
@@ -53,7 +59,9 @@ def train_targets(spark, sf):
 
 @query("k07_poisson")
 def poisson(spark, sf):
-    return K.train_cv(*sides(spark, sf), X, "n", "regression", "poisson")[0]
+    a, b = sides(spark, sf)
+    linear = K.train_cv(a, b, X, "n", "regression", "glm")[0].withColumn("family", F.lit("glm"))
+    return linear.unionByName(K.train_cv(a, b, X, "n", "regression", "poisson", params=SHORT)[0].withColumn("family", F.lit("poisson")))
 
 
 @query("j11_compare_runs")
@@ -67,7 +75,7 @@ def compare_runs(spark, sf):
 @query("k09_pseudo_label")
 def pseudo_label(spark, sf):
     a, b = sides(spark, sf)
-    return K.pseudo_label(a, b, X, "y", rounds=1, params={"gbt": {"maxIter": 3}, "rf": {"numTrees": 5, "maxDepth": 5}})[1]
+    return K.pseudo_label(a, b, X, "y", rounds=1, params={"gbt": SHORT, "rf": {"numTrees": 5, "maxDepth": 5}})[1]
 
 
 @query("k13_screen_hypotheses")
@@ -77,22 +85,26 @@ def screen_hypotheses(spark, sf):
     return K.screen_hypotheses(ideas, o, "y")
 
 
+def by_branch(spark, sf, calibrated):
+    """What is calibrated of each branch's predictions apart; three branches hold all rows."""
+    d = PREDS.df(spark, sf).select("branch", "id", "fold", "y", "p")
+    names = sorted(r[0] for r in d.select("branch").distinct().collect())
+    return reduce(DataFrame.unionByName, (calibrated(d.filter(F.col("branch") == b).drop("branch")).withColumn("branch", F.lit(b)) for b in names))
+
+
 @query("m01_calibrate_platt")
 def calibrate_platt(spark, sf):
-    d = PREDS.df(spark, sf).filter("branch = 'b0'").select("id", "fold", "y", "p")
-    return K.calibrate(d, d.select("id", "p"), "platt")[0]
+    return by_branch(spark, sf, lambda d: K.calibrate(d, d.select("id", "p"), "platt")[0])
 
 
 @query("m02_calibrate_isotonic")
 def calibrate_isotonic(spark, sf):
-    d = PREDS.df(spark, sf).filter("branch = 'b0'").select("id", "fold", "y", "p")
-    return K.calibrate(d, d.select("id", "p"), "isotonic")[0]
+    return by_branch(spark, sf, lambda d: K.calibrate(d, d.select("id", "p"), "isotonic")[0])
 
 
 @query("m03_calibrate_multiclass")
 def calibrate_multiclass(spark, sf):
-    d = PREDS.df(spark, sf).filter("branch = 'b0'").select("id", "fold", "y", "p")
-    return K.calibrate_multiclass(d, d.select("id", "p"), 2)[0]
+    return by_branch(spark, sf, lambda d: K.calibrate_multiclass(d, d.select("id", "p"), 2)[0])
 
 
 @query("m04_calibrate_none", f"SELECT id, fold, y, p FROM {PREDS.sql}")
@@ -102,23 +114,22 @@ def calibrate_none(spark, sf):
 
 @query("n01_shap_audit")
 def shap_audit(spark, sf):
-    return rounded(K.shap_audit(sides(spark, sf)[0], X, "y", "classification"), importance=6)
+    a, _ = sides(spark, sf)
+    both = [K.shap_audit(a, X, "y", "classification", family=f, params=SHORT).withColumn("family", F.lit(f)) for f in ("lr", "lgb")]
+    return rounded(both[0].unionByName(both[1]), importance=6)
 
 
 @query("n01_shap_trees")
 def shap_trees(spark, sf):
-    from tessera.operators.transforms import median_fill_matrix
-
+    """Attribution of the validation rows of each fold; cls: of its last class."""
     a, _ = sides(spark, sf)
-    full, _ = median_fill_matrix(a, a, X)
-    data, _ = K.prepared(a, a, X, "y", False)
-    model = K.make_model("rf", "regression", {"numTrees": 5}).fit(data)
-    return K.shap_trees(model, full, X)
+    one, last = K.shap_trees(a, X, "y", "classification", params=SHORT), K.shap_trees(a, X, "cls", "multiclass", params={"rounds": 2, "rate": 0.3})
+    return one.withColumn("target", F.lit("y")).unionByName(last.withColumn("target", F.lit("cls")))
 
 
 @query("n05_single_feature")
 def single_feature(spark, sf):
-    return K.shap_audit(sides(spark, sf)[0], ["size"], "y", "classification")
+    return K.shap_audit(sides(spark, sf)[0], ["size"], "y", "classification", params=SHORT)
 
 
 @query("p00_fold_auc_of_run")
