@@ -19,6 +19,9 @@ RANGE_BITS = 13
 UPPER = bytes(range(ord("A"), ord("Z") + 1))
 MARK = re.compile(rb"[#$%&*|]").search
 TEXT_FILTERS = "ABCDE"
+#: Texts with more than one in HOT of all rows, so fewer than HOT of them, are
+#: looked up by a broadcast; the others in a join.
+HOT = 10_000
 
 
 # ---- sorted lists
@@ -80,8 +83,8 @@ def text_failures(docs: DataFrame) -> DataFrame:
     the empty text. A null doc_id is neither smaller nor larger than another,
     so E does not fail for it or by it; rows that repeat a doc_id are judged
     each, and none of them makes another fail E. Only digests of texts are
-    shuffled; a text's smallest doc_id is found by partial sums, so copies in
-    any number meet as one row a task."""
+    shuffled; a text's smallest doc_id is found by partial sums, and rows of the
+    few texts with very many copies are not shuffled by it."""
 
     def run(batches):
         for b in slices(batches, 2048):
@@ -96,9 +99,14 @@ def text_failures(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("part"), F.coalesce("text", F.lit("")).alias("text"))
     checked = rows.mapInArrow(run, "doc_id long, part string, bits int, digest binary")
     checked = stored(checked.withColumn("row", F.monotonically_increasing_id()), "filter-bits")
-    first = checked.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("last > first").select("digest", "first")
+    copies = checked.groupBy("digest").agg(F.count("*").alias("n"), F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("last > first")
+    copies = stored(copies.select("digest", "first", "n"), "filter-copies")
+    hot = F.broadcast(copies.filter(F.col("n") * HOT > checked.count()).select("digest", F.col("first").alias("hot")))
+    known = checked.join(hot, "digest", "left")
+    rest = known.filter("hot IS NULL").join(copies.select("digest", "first"), "digest", "left")
+    every = known.filter("hot IS NOT NULL").withColumn("first", F.col("hot")).unionByName(rest)
     failed = [(F.col("bits").bitwiseAND(1 << k) != 0).alias(f) for k, f in enumerate(TEXT_FILTERS[:4])]
-    return checked.join(first, "digest", "left").select("doc_id", "part", "row", *failed, F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False)).alias("E"))
+    return every.select("doc_id", "part", "row", *failed, F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False)).alias("E"))
 
 
 def marked(rows: DataFrame, labels: DataFrame) -> DataFrame:

@@ -81,9 +81,10 @@ def brute_audit(rows, labels):
     return sorted((*k, *v) for k, v in out.items())
 
 
-@pytest.mark.parametrize("bits", [13, 2])
-def test_audit_equals_brute_force(spark, monkeypatch, bits):
+@pytest.mark.parametrize("bits, hot", [(13, 10_000), (2, 10)])
+def test_audit_equals_brute_force(spark, monkeypatch, bits, hot):
     monkeypatch.setattr(filter_audit, "RANGE_BITS", bits)
+    monkeypatch.setattr(filter_audit, "HOT", hot)
     rows = corpus(2)
     labels = [(i, i % 2, int(i % 3 == 0)) for i in range(0, 200, 3)] + [(3, None, 1), (3, 1, None), (None, 1, 1), (6000, 1, 1)]
     got = filter_audit.audit_texts(frame(spark, rows).repartition(5), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
