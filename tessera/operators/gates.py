@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tessera.operators import metrics as M
+from tessera.operators.moments import pair_correlations
 from tessera.operators.profile import pearson, per_column
 
 
@@ -196,10 +197,7 @@ def pair_correlation(oof: DataFrame, branches: list[str], task: str) -> DataFram
         from tessera.operators.windows import average_rank
 
         oof = average_rank(oof.select("branch", "id", "p"), "p", ["branch"], "rank").withColumn("p", F.col("rank"))
-    w = wide(oof, branches)
-    pairs = [(a, b) for i, a in enumerate(branches) for b in branches[i + 1 :]]
-    one = w.agg(*[F.coalesce(pearson(F.col(a), F.col(b)), F.lit(0.0)).alias(f"r{k}") for k, (a, b) in enumerate(pairs)])
-    return one.select(F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"r{k}").alias("r")) for k, (a, b) in enumerate(pairs)])).alias("s")).select("s.*")
+    return pair_correlations(wide(oof, branches), branches).fillna(0.0, subset=["r"])
 
 
 def prune_candidates(scores: dict[str, float], corr: list[tuple[str, str, float]], direction: str, limit: float = 0.95) -> list[str]:
@@ -231,6 +229,29 @@ def fuse(oof: DataFrame, task: str, metric: str, direction: str, top_n: int = 3,
     return chosen, blend(oof, chosen)
 
 
+def fuse_with_test(oof: DataFrame, test: DataFrame, task: str, metric: str, direction: str, anchor: float | None = None, top_n: int = 3, limit: float = 0.95, probabilities: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(oof, test, facts) of a pruned, ranked blend.
+
+    test: branch, id and p of every branch; its blend is the mean over the same
+    branches, with `value`: p, or for classes without probabilities the label by
+    the blend's best threshold. facts: one row with the branches, the blend's
+    score, that threshold (null with probabilities or for numbers), the anchor,
+    delta (score less anchor) and whether that is better. An id that lacks a
+    chosen branch on the test side is an error, as its mean would be of others."""
+    chosen, blended = fuse(oof, task, metric, direction, top_n, limit)
+    own = test.filter(F.col("branch").isin(chosen))
+    mean = own.groupBy("id").agg(F.avg("p").alias("p"), F.count_distinct("branch").alias("_n"))
+    short = F.when(F.col("_n") < len(chosen), F.raise_error(F.concat(F.lit("no prediction of some branch for "), F.col("id").cast("string"))).cast("double")).otherwise(F.col("p"))
+    mean = mean.select("id", short.alias("p"))
+    labels = task == "classification" and not probabilities
+    cut = M.best_threshold(blended).select("threshold") if labels else oof.sparkSession.range(1).select(F.lit(None).cast("double").alias("threshold"))
+    value = (F.col("p") >= F.col("threshold")).cast("double") if labels else F.col("p")
+    submitted = mean.crossJoin(F.broadcast(cut)).select("id", "p", value.alias("value"))
+    better = F.col("delta") > 0 if direction == "maximize" else F.col("delta") < 0
+    facts = M.score(blended, task, metric).crossJoin(cut).select(F.lit(",".join(sorted(chosen))).alias("branches"), "score", "threshold", F.lit(anchor).cast("double").alias("anchor"))
+    return blended, submitted, facts.withColumn("delta", F.col("score") - F.col("anchor")).withColumn("better", F.coalesce(better, F.lit(False)))
+
+
 def fuse_targets(oof: DataFrame, targets: list[dict], top_n: int = 3) -> DataFrame:
     """fuse() for each target, tagged; status PARTIAL when a target has no rows."""
     parts, missing = [], 0

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window as W
 
+from tessera.operators.moments import pair_correlations
 from tessera.operators.select import numeric_columns, string_columns
 from tessera.operators.windows import running
 
@@ -68,15 +69,7 @@ def constant_columns(df: DataFrame) -> DataFrame:
 
 def high_corr_pairs(df: DataFrame, threshold: float = 0.95, columns: list[str] | None = None) -> DataFrame:
     """Upper-triangle pairs of abs Pearson above the threshold, pairwise complete."""
-    columns = columns or numeric_columns(df)
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
-    parts = []
-    for i in range(0, len(pairs), CHUNK):
-        own = pairs[i : i + CHUNK]
-        one = df.agg(*[pearson(F.col(a), F.col(b)).alias(f"r{k}") for k, (a, b) in enumerate(own)])
-        rows = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"r{k}").alias("r")) for k, (a, b) in enumerate(own)])
-        parts.append(one.select(F.explode(rows).alias("s")).select("s.*"))
-    return reduce(DataFrame.unionByName, parts).filter(F.abs("r") > threshold)
+    return pair_correlations(df, columns or numeric_columns(df), threshold)
 
 
 def target_correlation(df: DataFrame, y: str, columns: list[str]) -> DataFrame:

@@ -46,32 +46,42 @@ def clean(train: DataFrame, test: DataFrame, mnar: list[str], mcar: list[str], p
 
 
 def bin_of(c: str, edges: list[float]) -> Column:
-    """Number of inner edges below the value; null stays null."""
-    return F.when(F.col(c).isNotNull(), sum((F.col(c) > e).cast("int") for e in edges) if edges else F.lit(0))
+    """Which of the bins between edges holds the value, the least edge in the first;
+    null for a null and outside the edges."""
+    if len(edges) < 2:
+        return F.lit(None).cast("int")
+    inner = sum(((F.col(c) > e).cast("int") for e in edges[1:-1]), F.lit(0))
+    return F.when(F.col(c).between(edges[0], edges[-1]), inner)
 
 
 def target_bin_mean(train: DataFrame, test: DataFrame, c: str, y: str, q: int = 10, fold: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """`{c}_bin_mean`: mean target of the quantile bin, the overall mean for a
-    null or an unseen bin. With `fold`, each training row gets the means of the
-    other folds under edges of those; test rows get those of all training rows."""
-    name = f"{c}_bin_mean"
-    probs = [k / q for k in range(1, q)]
-
-    def fitted(rows: DataFrame, to: DataFrame) -> DataFrame:
-        edges = sorted(set(quantiles(rows, {c: F.col(c)}, probs)[c]) - {None})
-        mean = rows.groupBy(bin_of(c, edges).alias("_bin")).agg(F.avg(y).alias("_m")).filter("_bin IS NOT NULL")
-        every = rows.agg(F.avg(y).alias("_all"))
-        out = to.withColumn("_bin", bin_of(c, edges)).join(F.broadcast(mean), "_bin", "left").crossJoin(F.broadcast(every))
-        return out.withColumn(name, F.coalesce("_m", "_all")).drop("_bin", "_m", "_all")
-
-    done = fitted(train, test)
-    if fold is None:
-        return fitted(train, train), done
-    parts = None
-    for f in sorted(r[0] for r in train.select(fold).distinct().collect()):
-        part = fitted(train.filter(F.col(fold) != f), train.filter(F.col(fold) == f))
-        parts = part if parts is None else parts.unionByName(part)
-    return parts, done
+    """`{c}_bin_mean`: mean target of the quantile bin; the overall mean for a null,
+    an empty bin and a value outside the range that the bins were fitted on. With
+    `fold`, each training row gets the means of the other folds under edges of
+    those (a row without a fold: of all rows); test rows those of all training
+    rows. Edges and means of all folds come from the same scans, however many
+    folds there are, and are few numbers, so they go into the plan as literals."""
+    name, every = f"{c}_bin_mean", -1
+    folds = [r[0] for r in train.select(fold).distinct().orderBy(fold).collect() if r[0] is not None] if fold else []
+    sides = {every: F.lit(True)} | {k: F.col(fold) != f for k, f in enumerate(folds)}
+    found = quantiles(train, {k: F.when(w, F.col(c)) for k, w in sides.items()}, [k / q for k in range(q + 1)])
+    edges = {k: sorted(set(found[k]) - {None}) for k in sides}
+    each = F.array(*[F.when(w, F.struct(F.lit(k).alias("side"), bin_of(c, edges[k]).alias("bin"))) for k, w in sides.items()])
+    sums = train.select(F.col(y).cast("double").alias("_y"), F.explode(F.array_compact(each)).alias("s")).groupBy("s.side", "s.bin").agg(F.sum("_y").alias("t"), F.count("_y").alias("n")).collect()
+    mean = {k: {r["bin"]: r["t"] / r["n"] for r in sums if r["side"] == k and r["n"]} for k in sides}
+    total = {k: [sum(r[x] or 0 for r in sums if r["side"] == k) for x in ("t", "n")] for k in sides}
+
+    def by(k) -> Column:
+        overall = F.lit(total[k][0] / total[k][1] if total[k][1] else None).cast("double")
+        known = {b: m for b, m in mean[k].items() if b is not None}
+        if not known:
+            return overall
+        return F.coalesce(F.element_at(F.create_map(*[F.lit(x) for pair in known.items() for x in pair]), bin_of(c, edges[k])), overall)
+
+    own = by(every)
+    for k, f in enumerate(folds):
+        own = F.when(F.col(fold) == f, by(k)).otherwise(own)
+    return train.withColumn(name, own), test.withColumn(name, by(every))
 
 
 def standardise(train: DataFrame, test: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFrame]:

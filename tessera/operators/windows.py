@@ -58,15 +58,21 @@ def group_fallback(df: DataFrame, group: str, t: str, column: str, default: floa
     """Fill a null by the mean of values known in its group up to its period,
     else in all groups up to it, else `default`.
 
-    Only values known at the start count, so the result has no row order. The
-    windows run over sums by group and period."""
-    known = df.groupBy(group, t).agg(F.sum(column).alias("_s"), F.count(column).alias("_n"))
-    own, every = W.partitionBy(group).orderBy(t), W.orderBy(t)
-    per = known.select(group, t, F.sum("_s").over(own).alias("_gs"), F.sum("_n").over(own).alias("_gn"))
-    all_ = known.groupBy(t).agg(F.sum("_s").alias("_s"), F.sum("_n").alias("_n")).select(t, F.sum("_s").over(every).alias("_as"), F.sum("_n").over(every).alias("_an"))
-    full = df.join(per, [group, t]).join(all_, t)
+    Only values known at the start count, so the result has no row order. Periods
+    of any type are numbered in order by range slices; sums by group and period,
+    and by period, then run over slices of the numbers, so no window holds all
+    periods of all groups, nor all of a group that has them all. Rows without a
+    period come first, as in one of their own."""
+    from tessera.operators.ledger import numbered
+
+    periods = numbered(df.select(F.col(t).alias("_t")).distinct(), "_k", ["_t"])
+    coded = df.join(periods, F.col(t).eqNullSafe(F.col("_t"))).drop("_t")
+    known = coded.groupBy(group, "_k").agg(F.coalesce(F.sum(column), F.lit(0.0)).alias("_sum"), F.count(column).alias("_c"))
+    per = running(known, "_k", {"_gs": "_sum", "_gn": "_c"}, [group]).select(F.col(group).alias("_g"), F.col("_k").alias("_gk"), "_gs", "_gn")
+    every = running(known.groupBy("_k").agg(F.sum("_sum").alias("_sum"), F.sum("_c").alias("_c")), "_k", {"_as": "_sum", "_an": "_c"}).select(F.col("_k").alias("_ak"), "_as", "_an")
+    full = coded.join(per, F.col(group).eqNullSafe(F.col("_g")) & (F.col("_k") == F.col("_gk"))).join(every, F.col("_k") == F.col("_ak"))
     filled = F.coalesce(column, F.when(F.col("_gn") > 0, F.col("_gs") / F.col("_gn")), F.when(F.col("_an") > 0, F.col("_as") / F.col("_an")), F.lit(default))
-    return full.withColumn(column, filled).drop("_gs", "_gn", "_as", "_an")
+    return full.select(*[filled.alias(c) if c == column else F.col(c) for c in df.columns])
 
 
 def rank_features(imp: DataFrame, by: list[str] = ()) -> DataFrame:

@@ -154,11 +154,11 @@ def dominance_leak(spark, sf):
     return rounded(G.dominance_leak(d.select("branch", "feature", "importance"), d.select("branch", "feature", "task", "r", "nmi")), ratio=6)
 
 
-@query("n03_prune_correlated", "SELECT DISTINCT CASE WHEN a.p_size > b.p_size OR (a.p_size = b.p_size AND a.p_partkey > b.p_partkey) THEN a.p_partkey ELSE b.p_partkey END AS feature FROM part a JOIN part b ON b.p_partkey = a.p_partkey + 7 WHERE a.p_partkey % 3 = 0")
+@query("n03_prune_correlated", "SELECT DISTINCT CASE WHEN a.p_size > b.p_size OR (a.p_size = b.p_size AND a.p_partkey > b.p_partkey) THEN a.p_partkey ELSE b.p_partkey END AS feature FROM part a JOIN part b ON b.p_partkey = a.p_partkey + 7")
 def prune_correlated(spark, sf):
     p = read(spark, sf, "part")
     top = p.select((F.col("p_partkey") - 7).alias("a"))
-    pairs = p.filter("p_partkey % 3 = 0").select(F.col("p_partkey").alias("a"), (F.col("p_partkey") + 7).alias("b")).join(top, "a", "left_semi")
+    pairs = p.select(F.col("p_partkey").alias("a"), (F.col("p_partkey") + 7).alias("b")).join(top, "a", "left_semi")
     return G.prune_correlated(pairs, p.select(F.col("p_partkey").alias("feature"), (F.col("p_size") * 10_000_000 + F.col("p_partkey")).alias("rank")))
 
 
@@ -298,6 +298,30 @@ def fuse_best(spark, sf):
     return rounded(out, p=9).withColumn("branches", F.lit(",".join(sorted(chosen))))
 
 
+#: Grid of thresholds over the blend.
+CUT = f"(SELECT threshold FROM (SELECT threshold, 2.0 * count(*) FILTER (WHERE y = 1 AND p >= threshold) / (2.0 * count(*) FILTER (WHERE y = 1 AND p >= threshold) + count(*) FILTER (WHERE y = 0 AND p >= threshold) + count(*) FILTER (WHERE y = 1 AND p < threshold)) AS f1 FROM fused, {GRID} GROUP BY 1) ORDER BY f1 DESC, threshold LIMIT 1)"
+TESTED = f"(SELECT branch, c_custkey AS id, CASE branch WHEN 'm0' THEN (c_custkey % 100) / 100 WHEN 'm1' THEN (c_custkey % 77) / 77 ELSE 0.5 END AS p FROM customer, (VALUES ('m0'), ('m1'), ('m2')) t(branch))"
+
+
+def _tested(spark, sf):
+    k = F.col("c_custkey")
+    p = {"m0": (k % 100) / 100, "m1": (k % 77) / 77, "m2": F.lit(0.5)}
+    return read(spark, sf, "customer").select(k.alias("id"), F.explode(F.array(*[F.struct(F.lit(b).alias("branch"), x.alias("p")) for b, x in p.items()])).alias("s")).select("id", "s.*")
+
+
+@query("p03_blend_test", FUSED.replace("TOP", "3") + f" SELECT id, round(avg(p), 9) AS p, CASE WHEN avg(p) >= {CUT} THEN 1.0 ELSE 0.0 END AS value FROM {TESTED} WHERE branch IN (FROM chosen) GROUP BY 1")
+def blend_test(spark, sf):
+    _, test, _ = G.fuse_with_test(members(spark, sf), _tested(spark, sf), "classification", "auc", "maximize", probabilities=False)
+    return rounded(test, p=9)
+
+
+@query("p03_blend_facts", FUSED.replace("TOP", "2").replace("round(avg(p), 9) AS p", "avg(p) AS p") + f""", area AS ({auc_sql("(SELECT 'f' AS branch, * EXCLUDE (branches) FROM fused)", "branch")}), s AS (SELECT (s - np * (np + 1) / 2) / (CAST(np AS DOUBLE) * nn) AS score FROM area)
+ SELECT (SELECT any_value(branches) FROM fused) AS branches, round(score, 6) AS score, {CUT} AS threshold, 0.5 AS anchor, round(score - 0.5, 6) AS delta, score > 0.5 AS better FROM s""")
+def blend_facts(spark, sf):
+    facts = G.fuse_with_test(members(spark, sf), _tested(spark, sf), "classification", "auc", "maximize", 0.5, 2, probabilities=False)[2]
+    return rounded(facts, score=6, delta=6)
+
+
 @query("p04_fuse_targets", FUSED.replace("TOP", "3") + " SELECT id, y, p, 't0' AS target, 'PARTIAL' AS status FROM fused")
 def fuse_targets(spark, sf):
     t = lambda n: {"name": n, "task": "classification", "metric": "auc", "direction": "maximize"}

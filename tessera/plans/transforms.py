@@ -55,12 +55,16 @@ def missing_indicator(spark, sf):
     return HOLES.df(spark, sf).select("id", S.missing_indicator("size"), S.missing_indicator("code"))
 
 
-def _bins(edges):
-    return "CASE WHEN x IS NOT NULL THEN " + " + ".join(f"CASE WHEN x > {edges}[{k}] AND ({k} = 1 OR {edges}[{k}] > {edges}[{max(1, k - 1)}]) THEN 1 ELSE 0 END" for k in range(1, 5)) + " END"
+def _bins(edges, x="x"):
+    """Bin between distinct edges by a list of six; null outside the first and last."""
+    inner = " + ".join(f"CASE WHEN {x} > {edges}[{k}] AND {edges}[{k}] > {edges}[{k - 1}] AND {edges}[{k}] > {edges}[1] AND {edges}[{k}] < {edges}[6] THEN 1 ELSE 0 END" for k in range(2, 6))
+    return f"CASE WHEN {edges}[1] < {edges}[6] AND {x} BETWEEN {edges}[1] AND {edges}[6] THEN {inner} END"
 
 
-Q5 = "[0.2, 0.4, 0.6, 0.8]"
+Q5 = "[0, 0.2, 0.4, 0.6, 0.8, 1]"
 BIN_ROWS = f"(SELECT id, fold, y, CASE WHEN id % 13 = 0 THEN NULL ELSE round(p, 6) END AS x FROM {PREDS.sql})"
+#: The other side reaches beyond the training side on both ends.
+BIN_TEST = f"(SELECT id, CASE WHEN id % 11 = 0 THEN x * 4 - 2 ELSE x END AS x FROM {BIN_ROWS})"
 
 
 @query("i04_target_bin_mean_cv", f"""WITH f AS (SELECT DISTINCT fold AS f FROM {PREDS.sql}), e AS (SELECT f, quantile_cont(x, {Q5}) AS q, avg(y) AS a FROM f JOIN {BIN_ROWS} r ON r.fold <> f GROUP BY f),
@@ -72,10 +76,11 @@ def target_bin_mean_cv(spark, sf):
 
 
 @query("i04_target_bin_mean", f"""WITH e AS (SELECT quantile_cont(x, {Q5}) AS q, avg(y) AS a FROM {BIN_ROWS}), m AS (SELECT {_bins('q')} AS b, avg(y) AS m FROM e, {BIN_ROWS} GROUP BY 1)
-SELECT id, round(coalesce(m.m, a), 9) AS x_bin_mean FROM (SELECT id, a, {_bins('q')} AS b FROM {BIN_ROWS}, e) r LEFT JOIN m ON m.b = r.b""")
+SELECT id, round(coalesce(m.m, a), 9) AS x_bin_mean FROM (SELECT id, a, {_bins('q')} AS b FROM {BIN_TEST}, e) r LEFT JOIN m ON m.b = r.b""")
 def target_bin_mean(spark, sf):
     d = PREDS.df(spark, sf).select("id", "y", F.when(F.col("id") % 13 != 0, F.round("p", 6)).alias("x"))
-    return rounded(T.target_bin_mean(d, d, "x", "y", 5)[1].select("id", "x_bin_mean"), x_bin_mean=9)
+    other = d.withColumn("x", F.when(F.col("id") % 11 == 0, F.col("x") * 4 - 2).otherwise(F.col("x")))
+    return rounded(T.target_bin_mean(d, other, "x", "y", 5)[1].select("id", "x_bin_mean"), x_bin_mean=9)
 
 
 @query("i05_standardise", f"SELECT id, round((price - (SELECT avg(price) FROM {H} WHERE id % 4 <> 0)) / (SELECT stddev_pop(price) FROM {H} WHERE id % 4 <> 0), 6) AS price, one - 1.0 AS one FROM {H} WHERE id % 4 = 0")
@@ -91,7 +96,7 @@ def pca_features(spark, sf):
 
 
 @query("i07_build_features", f"""SELECT id, size * size AS size_sq, size * price AS size_x_price, round(price / (size + 1e-9), 6) AS price_div_size, CASE WHEN size > 30 THEN 1.0 ELSE 0.0 END AS large,
- round(coalesce((SELECT avg(y) FROM {H} t WHERE t.id % 4 <> 0 AND (t.price > m) = (h.price > m)), (SELECT avg(y) FROM {H} WHERE id % 4 <> 0)), 9) AS pb FROM {H} h, (SELECT quantile_cont(price, 0.5) AS m FROM {H} WHERE id % 4 <> 0) WHERE id % 4 = 0""")
+ round(coalesce((SELECT avg(y) FROM {H} t WHERE t.id % 4 <> 0 AND (t.price > m) = (h.price > m) AND h.price BETWEEN lo AND hi), (SELECT avg(y) FROM {H} WHERE id % 4 <> 0)), 9) AS pb FROM {H} h, (SELECT quantile_cont(price, 0.5) AS m, min(price) AS lo, max(price) AS hi FROM {H} WHERE id % 4 <> 0) WHERE id % 4 = 0""")
 def build_features(spark, sf):
     a, b = split(HOLES.df(spark, sf))
     spec = {"polynomials": ["size", "gone"], "interactions": [("size", "price")], "ratios": [("price", "size")], "conditions": [{"column": "size", "operator": "gt", "value": 30, "name": "big"}], "target_dependent_bins": [{"column": "price", "q": 2, "name": "pb"}], "aliases": {"big": "large"}}

@@ -286,3 +286,69 @@ def test_build_features_reads_all_keys(spark):
     out, test = transforms.build_features(a, a.drop("y"), {"temporal_deltas": ["v"], "missingness_interactions": ["code"], "interaction_features": ["v_01"], "group_aggregations": ["g"], "aggregated": ["v_01"]}, "y")
     assert {"v_delta_02", "code_missing_x_v_01", "group_n", "v_01_group_mean"} <= set(out.columns) & set(test.columns)
     assert sorted(r.v_01_group_mean for r in test.collect()) == [1.5, 1.5, 4.0]
+
+
+def test_pair_correlations_equal_plain_ones_in_two_scans(spark, monkeypatch):
+    import numpy as np
+
+    from tessera.operators import moments
+
+    rng = np.random.default_rng(8)
+    n, w = 300, 14
+    x = rng.standard_normal((n, w)) + 1e6 * np.arange(w)
+    x[:, 3] = x[:, 1] * 2 + 1e-3 * rng.standard_normal(n)
+    x[:, 5], x[:, 6] = 7.0, np.nan
+    x[rng.random((n, w)) < 0.1] = np.nan
+    x[0, 8] = np.inf
+    cols = [f"v {k}" for k in range(w)]
+    df = spark.createDataFrame([[None if np.isnan(v) else float(v) for v in r] for r in x], ", ".join(f"`{c}` double" for c in cols)).repartition(3)
+    monkeypatch.setattr(moments, "WIDTH", 4)
+    got = {(r.a, r.b): r.r for r in moments.pair_correlations(df.toDF(*[f"v{k}" for k in range(w)]), [f"v{k}" for k in range(w)]).collect()}
+    assert len(got) == w * (w - 1) // 2
+    for (a, b), r in got.items():
+        p, q = x[:, int(a[1:])], x[:, int(b[1:])]
+        both = np.isfinite(p) & np.isfinite(q)
+        if both.sum() < 2 or p[both].std() == 0 or q[both].std() == 0:
+            assert r is None
+        else:
+            assert r == pytest.approx(np.corrcoef(p[both], q[both])[0, 1], abs=1e-7)
+    plan = moments.pair_correlations
+    monkeypatch.setattr(moments, "SUM_BYTES", 1)  # a scan for each pair of blocks
+    again = {(r.a, r.b): r.r for r in plan(df.toDF(*[f"v{k}" for k in range(w)]), [f"v{k}" for k in range(w)], 0.9).collect()}
+    assert again == {k: pytest.approx(r, abs=1e-12) for k, r in got.items() if r is not None and abs(r) > 0.9} and ("v1", "v3") in again
+    assert plan(df, []).count() == 0
+
+
+def test_bin_means_of_all_folds_share_their_scans(spark, monkeypatch):
+    from tessera.operators import transforms as T
+
+    calls, plain = [], T.quantiles
+    monkeypatch.setattr(T, "quantiles", lambda *a: calls.append(1) or plain(*a))
+    df = spark.createDataFrame([(i, i % 6, float(i % 17) if i % 5 else None, i % 2) for i in range(240)] + [(900, None, 3.0, 1)], "id int, fold int, x double, y int")
+    train, test = T.target_bin_mean(df, df.withColumn("x", F.col("x") * 3 - 8), "x", "y", 4, "fold")
+    assert len(calls) == 1
+    for f in range(6):
+        one, _ = T.target_bin_mean(df.filter(f"fold <> {f}"), df, "x", "y", 4)
+        want = {r.id: r.x_bin_mean for r in T.target_bin_mean(df.filter(f"fold <> {f}"), df.filter(f"fold = {f}"), "x", "y", 4)[1].collect()}
+        assert {r.id: r.x_bin_mean for r in train.filter(f"fold = {f}").collect()} == pytest.approx(want)
+    overall = df.agg(F.avg("y")).first()[0]
+    out = test.filter("x < 0 OR x > 16 OR x IS NULL").select("x_bin_mean").distinct().collect()
+    assert [r[0] for r in out] == [pytest.approx(overall)]
+    flat, _ = T.target_bin_mean(df.withColumn("x", F.lit(1.0)), df, "x", "y", 4)
+    assert flat.select("x_bin_mean").distinct().count() == 1
+
+
+def test_group_fallback_takes_any_period(spark):
+    from tessera.operators import windows as O
+
+    rows = [(k, f"g{k % 3}" if k % 7 else None, f"2020-0{1 + k % 9}-01 0{k % 10}:00:00" if k % 11 else None, float(k) if k % 4 else None) for k in range(80)]
+    base = spark.createDataFrame(rows, "id int, g string, t string, v double")
+    order = sorted({r[2] for r in rows}, key=lambda t: (t is not None, t or ""))
+    for kind in ("string", "timestamp"):
+        got = {r.id: r.v for r in O.group_fallback(base.withColumn("t", F.col("t").cast(kind)), "g", "t", "v").collect()}
+        assert len(got) == 80
+        for i, g, t, v in rows:
+            upto = [(a, b, c, d) for a, b, c, d in rows if order.index(c) <= order.index(t) and d is not None]
+            own, every = [d for _, b, _, d in upto if b == g], [d for *_, d in upto]
+            want = v if v is not None else sum(own) / len(own) if own else sum(every) / len(every) if every else 0.35
+            assert got[i] == pytest.approx(want)
