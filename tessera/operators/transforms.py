@@ -5,12 +5,15 @@ to the driver and go back into the plan as literals; rows never do."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tessera.functions import scalar as S
 from tessera.operators.profile import per_column, quantiles, target_correlation
 from tessera.operators.select import numeric_columns, target_leak_guard
 from tessera.operators.windows import group_sums
+from tessera.sources.shared import stored
 
 
 def medians(df: DataFrame, columns: list[str]) -> dict:
@@ -181,8 +184,10 @@ def missingness_interactions(df: DataFrame, mnar: list[str], y: str, candidates:
     return df.withColumns(missingness_flags(df, mnar, y, candidates, top))
 
 
-#: Finest cells of the unit sphere: edges of 2 ** -(LEVELS - 1), 0.8 m.
-LEVELS = 24
+#: Finest cells of the unit sphere: edges of 2 ** -(LEVELS - 1), 0.8 m; and rows
+#: of a cell that are compared without a look at its parts.
+LEVELS, FEW = 24, 32
+AXES = ("x", "y", "z")
 
 
 def neighbours(rows: DataFrame, others: DataFrame, lat: str, lon: str, key: str, k: int) -> DataFrame:
@@ -192,33 +197,80 @@ def neighbours(rows: DataFrame, others: DataFrame, lat: str, lon: str, key: str,
 
     near = others.select(F.col(key).alias("other"), F.col(lat).alias("_a2"), F.col(lon).alias("_o2"))
     own = rows.select(F.col(key), F.col(lat).alias("_a"), F.col(lon).alias("_o"))
-    both = _in_sphere(own, near, key, k).filter(F.col(key) != F.col("other"))
+    both = _candidates(own, near, key, k).filter(F.col(key) != F.col("other"))
     km = both.select(key, "other", S.haversine_km(F.col("_a"), F.col("_o"), F.col("_a2"), F.col("_o2")).alias("km"))
     w = W.partitionBy(key).orderBy(F.round("km", 6), "other")
     return km.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= k)
 
 
-def _in_sphere(own: DataFrame, near: DataFrame, key: str, k: int) -> DataFrame:
-    """Each row with others among which its k nearest are. The finest cell of a
-    row that holds k + 1 others bounds their distance by its diagonal, less than
-    the edge of the cells a level up: the 27 of those around the row hold them
-    all. Dense places get fine cells by that, empty ones coarse."""
+def _cell(level, side: str) -> list[Column]:
+    """Cell of a point on each axis at a level; at the next, its halves."""
+    return [F.floor((F.col(f"_{c}") + 1) * F.pow(F.lit(2.0), F.lit(level) - 1)).cast("long").alias(f"{side}{c}") for c in AXES]
+
+
+def _reach(state: DataFrame, k: int) -> DataFrame:
+    """Pairs of cells (a: of rows, b: of others) that may hold a nearest pair. The
+    farthest corners of the closest cells b with k + 1 others between them bound
+    how far the k nearest of any row of a are; a cell that begins beyond goes."""
     from pyspark.sql.window import Window as W
 
-    def at(df, a, o, level):
-        return df.withColumns({c: F.floor((x + 1) * F.pow(F.lit(2.0), level - 1)) for c, x in zip(("_x", "_y", "_z"), S.unit_sphere(a, o))})
+    edge = {side: F.pow(F.lit(2.0), 1 - F.col(f"{side}l")) for side in "ab"}
+    low, high = [F.lit(0.0)], [F.lit(0.0)]
+    for c in AXES:
+        a, b = F.col(f"a{c}") * edge["a"], F.col(f"b{c}") * edge["b"]
+        low.append(F.pow(F.greatest(F.lit(0.0), b - a - edge["a"], a - b - edge["b"]), 2))
+        high.append(F.pow(F.greatest(b + edge["b"] - a, a + edge["a"] - b), 2))
+    cell = W.partitionBy("al", "ax", "ay", "az")
+    upto = cell.orderBy("_high", "bl", "bx", "by", "bz").rowsBetween(W.unboundedPreceding, W.currentRow)
+    told = state.withColumns({"_low": F.sqrt(sum(low[1:], low[0])), "_high": F.sqrt(sum(high[1:], high[0]))})
+    told = told.withColumn("_held", F.sum("n").over(upto))
+    bound = F.min(F.when(F.col("_held") > k, F.col("_high"))).over(cell)
+    # equal distances are told apart to the millimetre, 1.6e-10 of the radius
+    kept = told.withColumn("_bound", bound).filter(F.col("_bound").isNull() | (F.col("_low") <= F.col("_bound") + 1e-8))
+    return kept.drop("_low", "_high", "_held", "_bound")
+
+
+def _candidates(own: DataFrame, near: DataFrame, key: str, k: int) -> DataFrame:
+    """Each row with others among which its k nearest are.
+
+    Cells of rows and cells of others are paired from the whole sphere down: while
+    a cell of others holds more than FEW, both sides are halved on each axis and
+    pairs out of reach go. So a row beside a dense place meets only the parts of
+    it that may be nearest, dense places are met in small cells, and what the
+    rounds pass on are cells with counts, not rows. Each round is written, so a
+    lost executor repeats one round at most."""
+    from pyspark.sql.window import Window as W
 
-    cells = ["_l", "_x", "_y", "_z"]
-    levels = F.explode(F.sequence(F.lit(0), F.lit(LEVELS))).alias("_l")
+    point = lambda df, a, o: df.withColumns(dict(zip(("_x", "_y", "_z"), S.unit_sphere(a, o)))).filter("_x IS NOT NULL AND _y IS NOT NULL AND _z IS NOT NULL")
     # of one place the k + 1 smallest keys can be among the nearest
     near = near.withColumn("_n", F.row_number().over(W.partitionBy("_a2", "_o2").orderBy("other"))).filter(F.col("_n") <= k + 1).drop("_n")
-    full = at(near.select("*", levels), "_a2", "_o2", F.col("_l")).groupBy(*cells).agg(F.count("*").alias("_n")).filter(F.col("_n") > k).drop("_n")
-    finest = at(own.select("*", levels), "_a", "_o", F.col("_l")).join(full, cells).groupBy(key).agg((F.max("_l") - 1).alias("_l"))
-    placed = at(own.join(finest, key, "left").withColumn("_l", F.coalesce("_l", F.lit(-1))), "_a", "_o", F.col("_l"))
-    step = F.explode(F.array(*[F.struct(*[F.lit(d).alias(c) for c, d in zip("ijk", (i, j, h))]) for i in (-1, 0, 1) for j in (-1, 0, 1) for h in (-1, 0, 1)]))
-    around = placed.withColumn("_s", step).withColumns({c: F.col(c) + F.col(f"_s.{d}") for c, d in zip(("_x", "_y", "_z"), "ijk")})
-    found = at(near.select("*", F.explode(F.sequence(F.lit(-1), F.lit(LEVELS - 1))).alias("_l")), "_a2", "_o2", F.col("_l"))
-    return around.join(found, cells)
+    own, near = stored(point(own, "_a", "_o"), "rows")[0], stored(point(near, "_a2", "_o2"), "others")[0]
+    a_cells = lambda l: own.select(F.lit(l).alias("al"), *_cell(l, "a")).distinct()  # noqa: E731, E741
+    b_cells = lambda l: near.select(F.lit(l).alias("bl"), *_cell(l, "b")).groupBy("bl", "bx", "by", "bz").agg(F.count("*").alias("n"))  # noqa: E731, E741
+    state, done = a_cells(0).join(b_cells(0), F.col("al") == F.col("bl")), []
+    for level in range(LEVELS + 1):
+        dense = (F.col("n") > FEW) if level < LEVELS else F.lit(False)
+        state = stored(_reach(state, k).withColumn("open", dense).withColumn("live", F.max("open").over(W.partitionBy("ax", "ay", "az"))), "cells")[0]
+        done.append(state.filter("NOT live").select("al", "ax", "ay", "az", "bl", "bx", "by", "bz"))
+        live = state.filter("live").drop("live")
+        if live.isEmpty():
+            break
+        up = lambda side: [F.shiftright(f"{side}{c}", 1).alias(f"_{c}") for c in AXES]
+        halves = a_cells(level + 1).select("*", *up("a"))
+        live = live.drop("al").withColumnsRenamed({f"a{c}": f"_{c}" for c in AXES}).join(halves, ["_x", "_y", "_z"]).drop("_x", "_y", "_z")
+        parts = b_cells(level + 1).select("*", *up("b"))
+        split = live.filter("open").drop("bl", "n").withColumnsRenamed({f"b{c}": f"_{c}" for c in AXES}).join(parts, ["_x", "_y", "_z"]).drop("_x", "_y", "_z")
+        state = split.unionByName(live.filter("NOT open")).drop("open")
+    pairs = stored(reduce(DataFrame.unionByName, done), "pairs")[0]
+    used = {side: sorted(r[0] for r in pairs.select(f"{side}l").distinct().collect()) for side in "ab"}  # LEVELS + 1 at most
+    cells = {side: [f"{side}l", *(f"{side}{c}" for c in AXES)] for side in "ab"}
+
+    def at_levels(df: DataFrame, side: str) -> DataFrame:
+        each = F.explode(F.array(*[F.struct(F.lit(x).alias(f"{side}l"), *_cell(x, side)) for x in used[side]]))
+        return df.withColumn("_c", each).select(*df.columns, "_c.*") if used[side] else df.select("*", *[F.lit(0).cast("long").alias(c) for c in cells[side]]).limit(0)
+
+    met = at_levels(own.select(key, "_a", "_o", "_x", "_y", "_z"), "a").join(pairs, cells["a"]).select(key, "_a", "_o", *cells["b"])
+    return met.join(at_levels(near, "b").select("other", "_a2", "_o2", *cells["b"]), cells["b"])
 
 
 def spatial_lag_target(df: DataFrame, lat: str, lon: str, key: str, y: str, k: int, fold: str | None = None) -> DataFrame:

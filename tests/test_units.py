@@ -233,6 +233,32 @@ def test_nearest_rows_equal_brute_force(spark):
     assert few.count() == 6
 
 
+def test_nearest_rows_beside_a_dense_place(spark):
+    """One cell of 20,000 rows and 2,000 around it: comparisons stay below 500 a row."""
+    from tessera.operators import transforms
+
+    dense = spark.range(20_000).select("id", (50 + F.rand(1) * 1e-3).alias("lat"), (8 + F.rand(2) * 1e-3).alias("lon"))
+    ring = spark.range(20_000, 22_000).select("id", (50 + (F.rand(3) - 0.5) * 2).alias("lat"), (8 + (F.rand(4) - 0.5) * 2).alias("lon"))
+    df = dense.unionByName(ring).cache()
+    side = lambda n: df.select("id" if n == "" else F.col("id").alias("other"), F.col("lat").alias(f"_a{n}"), F.col("lon").alias(f"_o{n}"))
+    met = transforms._candidates(side(""), side("2"), "id", 3)
+    n = {r["id"]: r["count"] for r in met.groupBy("id").count().collect()}
+    assert len(n) == 22_000 and sum(n.values()) < 500 * 22_000
+    assert sum(n[i] for i in range(20_000, 22_000)) < 500 * 2_000
+    some = df.filter("id IN (7, 20003, 21999)")
+    got = {(r["id"], r["place"]): r["other"] for r in transforms.neighbours(some, df, "lat", "lon", "id", 3).collect()}
+    rows = df.collect()
+    for q in some.collect():
+        import math
+
+        def km(p):
+            a, b, d = math.radians(q.lat), math.radians(p.lat), math.radians(p.lon - q.lon)
+            return 2 * 6371.0088 * math.asin(math.sqrt(math.sin((b - a) / 2) ** 2 + math.cos(a) * math.cos(b) * math.sin(d / 2) ** 2))
+
+        want = sorted((round(km(p), 6), p.id) for p in rows if p.id != q.id)[:3]
+        assert [got[q.id, k + 1] for k in range(3)] == [i for _, i in want]
+
+
 def test_codes_need_no_window_over_all_values(spark, capsys):
     f = spark.createDataFrame([(i, f"v{(i * 7) % 50:02d}") for i in range(200)], "id long, c string")
     coded = windows.factorize(f, ["c"], "id")
