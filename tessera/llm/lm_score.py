@@ -25,7 +25,9 @@ HOT = 1 << 17
 DISCOUNT = 0.75
 CACHE = 100_000
 #: Tokens that a task holds at once, and tokens a part of the bigrams.
-RUN, PART = 1 << 18, 1 << 21
+RUN, PART = 1 << 18, 1 << 20
+#: Bigrams whose losses are worked out at once.
+STEP = 1 << 16
 MOST_TASKS = 20_000
 #: The highest bit marks words without a number.
 RARE = np.uint64(1 << 63)
@@ -188,9 +190,13 @@ def bigram_parts(docs: DataFrame, some: Members, known, parts: int, tokens: int)
     def merge(group):
         part = group["part"][0].as_py()
         before, ids, *counts = (np.concatenate(c) for c in zip(*(bigrams(b, COUNTED) for b in group["blob"].to_pylist())))
-        every, first, where = np.unique(coded(before, ids), return_index=True, return_inverse=True)
+        code = coded(before, ids)
+        order = np.argsort(code)
+        first = np.flatnonzero(np.diff(code[order], prepend=~code[order[:1]]))
+        t, b = (np.add.reduceat(c[order], first, dtype="int64") for c in counts)
+        first = order[first]
         before, ids = before[first], ids[first]
-        t, b = (np.bincount(where, c, len(every)).astype("int64") for c in counts)
+        del code, order, counts
         out = [rows(kind=COUNTS, part=part, blob=[blob]) for _, blob in by_part(before, ids, [t.astype("uint32"), b.astype("uint32")], 1)]
         frequent = before < RARE
         contexts, at = np.unique(before[frequent], return_inverse=True)
@@ -303,19 +309,25 @@ def cross_entropy_difference(docs: DataFrame, labels: DataFrame, target: str = "
         if places.num_rows:
             before, ids, *counts = bigrams(of(COUNTS)["blob"][0].as_py(), COUNTED)
             wanted = of(WANTED).sort_by("x")
-            rare_word, rare_context = ids >= RARE, before >= RARE
-            at_word = np.searchsorted(wanted["x"].to_numpy(), ids[rare_word].view("int64"))
-            contexts, at_context = np.unique(before[rare_context], return_inverse=True)
-            plain = np.where(rare_context, 0, before).astype("int64"), np.where(rare_word, 0, ids).astype("int64")
-            both = []
-            for m, n in zip(models, counts):
-                word = stats[f"{m}_word"][plain[1]]
-                word[rare_word] = wanted[m].to_numpy()[at_word]
-                total, some = (stats[f"{m}_{c}"][plain[0]] for c in ("total", "kinds"))
-                for sums, own in ((total, n), (some, n > 0)):
-                    sums[rare_context] = np.bincount(at_context, own[rare_context], len(contexts))[at_context]
-                both.append(loss(n.astype("float64"), total, some, word, spread[m]))
+            rare, words = np.flatnonzero(before >= RARE), wanted["x"].to_numpy()
+            contexts, at_context = np.unique(before[rare], return_inverse=True)
+            own = [[np.bincount(at_context, x[rare], len(contexts)) for x in (n, n > 0)] for n in counts]
+            both = np.empty((2, len(ids)), "float32")
+            for lo in range(0, len(ids), STEP):  # temporaries of a step only
+                step = slice(lo, lo + STEP)
+                x, y = before[step], ids[step]
+                x_rare, y_rare = x >= RARE, y >= RARE
+                at_word, at_own = np.searchsorted(words, y[y_rare].view("int64")), np.searchsorted(contexts, x[x_rare])
+                plain = np.where(x_rare, 0, x).astype("int64"), np.where(y_rare, 0, y).astype("int64")
+                for k, (m, n) in enumerate(zip(models, counts)):
+                    word = stats[f"{m}_word"][plain[1]]
+                    word[y_rare] = wanted[m].to_numpy()[at_word]
+                    total, kinds_of = (stats[f"{m}_{c}"][plain[0]] for c in ("total", "kinds"))
+                    for sums, found in zip((total, kinds_of), own[k]):
+                        sums[x_rare] = found[at_own]
+                    both[k, step] = loss(n[step].astype("float64"), total, kinds_of, word, spread[m])
             keys, blobs = coded(before, ids), []  # in order, as they were merged
+            del before, ids, counts
             for blob in places["blob"].to_pylist():
                 before, ids, doc = bigrams(blob, PLACED)
                 at = np.searchsorted(keys, coded(before, ids))
