@@ -108,23 +108,43 @@ def time_folds(df: DataFrame, ts: str, key: str, n: int) -> DataFrame:
 
 
 def spatial_blocks(df: DataFrame, lat: str, lon: str, n: int, seed: int = 0) -> DataFrame:
-    """k-means clusters on the unit sphere, min(max(3n, n + 1), rows) of them,
-    dealt to folds as groups; the best of ten starts by cost."""
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.feature import VectorAssembler
-
+    """k-means clusters on the unit sphere, min(max(3n, n + 1), places) of them in
+    column block, dealt to folds as groups; the best of ten starts by cost. Fewer
+    places than folds are an error. Rows are counted by place once and the ten
+    starts share each scan of the places; the nearest centre is an expression.
+    Rows without a place are a block of their own."""
     from tessera.functions.scalar import unit_sphere
+    from tessera.operators.clustering import k_means
+    from tessera.sources.shared import stored
 
-    points = df.withColumns(dict(zip(("_x", "_y", "_z"), unit_sphere(lat, lon))))
-    distinct = points.select("_x", "_y", "_z").distinct().limit(3 * n + 1).count()
-    k = min(max(3 * n, n + 1), distinct)
+    axes = ["_x", "_y", "_z"]
+    points = df.withColumns(dict(zip(axes, unit_sphere(lat, lon))))
+    places, _ = stored(points.dropna(subset=axes).groupBy(*axes).agg(F.count("*").alias("w")).withColumn("h", F.xxhash64(*axes)), "places")
+    k = min(max(3 * n, n + 1), places.count())
     if k < n:
         raise ValueError(f"{k} distinct places for {n} folds")
-    packed = VectorAssembler(inputCols=["_x", "_y", "_z"], outputCol="_v").transform(points).cache()
-    models = [KMeans(k=k, seed=seed + i, featuresCol="_v", predictionCol="block", maxIter=10).fit(packed) for i in range(10)]
-    best = min(models, key=lambda m: m.summary.trainingCost)
-    out = group_folds(best.transform(packed).drop("_v", "_x", "_y", "_z"), "block", n)
-    return out
+    centres, _, _ = k_means(places, axes, k, seed)
+    far = F.array(*[sum((F.col(c) - float(v)) * (F.col(c) - float(v)) for c, v in zip(axes, centre)) for centre in centres])
+    block = F.when(F.col("_x").isNotNull() & F.col("_y").isNotNull() & F.col("_z").isNotNull(), F.array_position(far, F.array_min(far)).cast("int") - 1)
+    return group_folds(points.withColumn("block", block).drop(*axes), "block", n)
+
+
+def folds_by_profile(df: DataFrame, profile: dict, n: int, seed: int, key: str, y: str | None = None, ts: str | None = None, lat: str | None = None, lon: str | None = None) -> tuple[str, DataFrame]:
+    """(scheme used, df with folds) as `choose_cv` says. Spatial groups that cannot
+    be built, for want of places or columns, give way to stratified folds for a
+    rare class, else to plain ones."""
+    kind = choose_cv(profile, profile.get("config"))
+    group = profile.get("group")
+    if kind == "group" and group is None:
+        try:
+            if lat is None or lon is None:
+                raise ValueError("no columns of places")
+            return "spatial", spatial_blocks(df, lat, lon, n, seed)
+        except ValueError:
+            kind = choose_cv({"minority": profile.get("minority")})
+    if kind == "stratified" and y is None:
+        kind = "kfold"
+    return kind, assign_folds(df, kind, n, seed, key, group=group, y=y, ts=ts)
 
 
 def choose_cv(profile: dict, config: str | None = None) -> str:

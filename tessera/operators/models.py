@@ -7,6 +7,8 @@ long table (id, fold, y, p or prob)."""
 
 from __future__ import annotations
 
+import json
+import uuid
 from functools import reduce
 
 import numpy as np
@@ -19,7 +21,7 @@ from pyspark.sql import DataFrame, functions as F
 from tessera.operators import metrics as M
 from tessera.operators.boosting import Boosted, boost, shap_values
 from tessera.operators.transforms import median_fill_matrix, standardise
-from tessera.sources.shared import stored
+from tessera.sources.shared import new_path, stored
 
 #: Families of histogram boosting and what they learn by task.
 BOOSTED = {"lgb", "xgb", "gbt", "poisson"}
@@ -156,37 +158,57 @@ def compare_runs(first: DataFrame, second: DataFrame, task: str, metric: str) ->
     return a.crossJoin(b).withColumn("delta", F.col("challenger") - F.col("original"))
 
 
-def pseudo_label(train: DataFrame, test: DataFrame, columns: list[str], y: str, key: str = "id", pos: float = 0.85, neg: float = 0.15, rounds: int = 3, seed: int = 0, save=None, params: dict | None = None) -> tuple[DataFrame, DataFrame]:
-    """Rounds of confident test rows added to each training side; boosted trees
-    and forest half and half; weight (1 - p)/p on positives. Stops from round 2
-    on when F1 does not rise; returns the best round's oof and a row of facts
-    for each round. `save` stores a round's tables (default: cache) so that
-    lineage stays short."""
-    from tessera.operators.sets import append_pseudo
+def pseudo_label(train: DataFrame, test: DataFrame, columns: list[str], y: str, key: str = "id", pos: float = 0.85, neg: float = 0.15, rounds: int = 5, seed: int = 0, seeds: int = 3, state: str | None = None, params: dict | None = None) -> tuple[DataFrame, DataFrame]:
+    """Rounds of confident test rows added to each training side, labelled by the
+    round before; boosted trees and forest half and half, forests averaged over
+    `seeds` seeds (the trees draw nothing at random, so they have one run); weight
+    (1 - p)/p on positives. Stops from round 2 on when F1 does not rise; returns
+    the best round's oof and a row of facts for each round: its F1 and the pseudo
+    rows that it learned from.
 
-    save = save or (lambda df: df.cache())
+    Each round writes its predictions below `state` (default: a new folder in the
+    shared one) and is then committed to a log there. A run that is started again
+    with the same `state` goes on behind the last committed round, with the same
+    result; with other columns or parameters it is refused."""
+    from tessera.operators.sets import append_pseudo
+    from tessera.sources.commits import CommitLog
+
+    spark = train.sparkSession
+    log = CommitLog(spark, state := state or new_path(spark, "pseudo"))
+    about = {"columns": list(columns), "y": y, "key": key, "pos": pos, "neg": neg, "seed": seed, "seeds": seeds, "params": params}
+    history = [e for _, e in log.entries()]
+    if any(e["about"] != json.loads(json.dumps(about)) for e in history):
+        raise ValueError(f"{state} holds rounds of another run")
     share = train.agg(F.avg(F.col(y).cast("double"))).first()[0]
-    boost = (1 - share) / share if share else 1.0
-    weighted = lambda df: df.withColumn("weight", F.coalesce("weight", F.lit(1.0)) * F.when(F.col(y) == 1, boost).otherwise(1.0))
-    base = train.withColumns({"weight": F.lit(1.0), "is_pseudo": F.lit(False)})
-    now, best, facts, total = base, None, [], 0
-    for r in range(rounds + 1):
-        runs = [train_cv(weighted(now), test, columns, y, "classification", f, key, (params or {}).get(f), seed) for f in ("gbt", "rf")]
-        oof = save(reduce(DataFrame.unionByName, (x[0] for x in runs)).groupBy(key, "fold", "y").agg(F.avg("p").alias("p")))
-        guess = save(reduce(DataFrame.unionByName, (x[1] for x in runs)).groupBy(key).agg(F.avg("p").alias("p")))
-        f1 = M.best_threshold(oof).first()["f1"]
-        facts.append((r, float(f1), total))
-        if best is None or f1 > best[0]:
-            best = (f1, oof)
-        elif r >= 2:
-            break
-        sure = append_pseudo(train, test.join(guess, key), "p", y, pos, neg)
-        added = sure.filter("is_pseudo").count()
-        total += added
-        if not added:
-            break
-        now = sure.withColumn("fold", F.coalesce("fold", F.lit(-1)))
-    return best[1], train.sparkSession.createDataFrame(facts, "round int, f1 double, pseudo_rows long")
+    boost_by = (1 - share) / share if share else 1.0
+    weighted = lambda df: df.withColumn("weight", F.coalesce("weight", F.lit(1.0)) * F.when(F.col(y) == 1, boost_by).otherwise(1.0))
+
+    def kept(parts: list[tuple[float, DataFrame]], by: list[str], name: str) -> str:
+        path = f"{state.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        every = reduce(DataFrame.unionByName, (df.withColumn("p", w * F.col("p")) for w, df in parts))
+        every.groupBy(*by).agg(F.sum("p").alias("p")).write.parquet(path)
+        return path
+
+    def over() -> bool:
+        scores = [e["f1"] for e in history]
+        return bool(history) and (len(history) > rounds or not history[-1]["added"] or (len(history) > 2 and scores[-1] <= max(scores[:-1])))
+
+    while not over():
+        if history:
+            now = append_pseudo(train, test.join(spark.read.parquet(history[-1]["guess"]), key), "p", y, pos, neg).withColumn("fold", F.coalesce("fold", F.lit(-1)))
+        else:
+            now = train.withColumns({"weight": F.lit(1.0), "is_pseudo": F.lit(False)})
+        fit = lambda family, s: train_cv(weighted(now), test, columns, y, "classification", family, key, (params or {}).get(family), s)
+        runs = [(0.5, fit("gbt", seed)), *[(0.5 / seeds, fit("rf", seed + i)) for i in range(seeds)]]
+        oof, guess = kept([(w, r[0]) for w, r in runs], [key, "fold", "y"], "oof"), kept([(w, r[1]) for w, r in runs], [key], "guess")
+        sure = append_pseudo(train, test.join(spark.read.parquet(guess), key), "p", y, pos, neg).filter("is_pseudo").count()
+        entry = {"kind": "round", "about": about, "f1": float(M.best_threshold(spark.read.parquet(oof)).first()["f1"]), "added": sure, "learned": history[-1]["added"] if history else 0, "oof": oof, "guess": guess}
+        if not log.put(len(history) + 1, entry):
+            raise RuntimeError(f"another run writes rounds to {state}")
+        history.append(entry)
+    best = max(history, key=lambda e: e["f1"])  # the first of the best
+    facts = [(r, e["f1"], e["learned"]) for r, e in enumerate(history)]
+    return spark.read.parquet(best["oof"]), spark.createDataFrame(facts, "round int, f1 double, pseudo_rows long")
 
 
 def screen_hypotheses(hyp: DataFrame, df: DataFrame, y: str) -> DataFrame:

@@ -75,7 +75,7 @@ def compare_runs(spark, sf):
 @query("k09_pseudo_label")
 def pseudo_label(spark, sf):
     a, b = sides(spark, sf)
-    return K.pseudo_label(a, b, X, "y", rounds=1, params={"gbt": SHORT, "rf": {"numTrees": 5, "maxDepth": 5}})[1]
+    return K.pseudo_label(a, b, X, "y", rounds=1, seeds=2, params={"gbt": SHORT, "rf": {"numTrees": 5, "maxDepth": 5}})[1]
 
 
 @query("k13_screen_hypotheses")

@@ -101,3 +101,66 @@ def test_pca_sign_is_fixed(spark):
     assert [c for c in train.columns if c.startswith("pca")] == ["pca_1", "pca_2", "pca_3"]
     assert train.agg(F.corr("pca_1", "a")).first()[0] > 0.9
     assert pca_features(df, df, ["a"], 2)[0].columns == df.columns
+
+
+def test_self_training_goes_on_from_its_last_round(spark, data, tmp_path, monkeypatch):
+    train, test = data
+    small, other = train.filter("id % 5 = 1"), test.filter("id % 5 = 2")
+    args = dict(columns=X, y="y", rounds=2, seeds=2, params={"gbt": {"rounds": 3, "rate": 0.5}, "rf": {"numTrees": 3, "maxDepth": 4}})
+    whole, facts = K.pseudo_label(small, other, state=str(tmp_path / "a"), **args)
+    plain, calls = K.train_cv, []
+
+    def fails(*a, **more):
+        calls.append(a[5])
+        if len(calls) == 5:  # in the middle of round 1
+            raise OSError("lost")
+        return plain(*a, **more)
+
+    monkeypatch.setattr(K, "train_cv", fails)
+    with pytest.raises(OSError):
+        K.pseudo_label(small, other, state=str(tmp_path / "b"), **args)
+    calls[:] = [None] * 10
+    again, same = K.pseudo_label(small, other, state=str(tmp_path / "b"), **args)
+    n = len(same.collect())
+    assert len(calls) == 10 + 3 * (n - 1)  # round 0 is not run again
+    assert [tuple(r) for r in same.collect()] == [(r["round"], pytest.approx(r["f1"]), r["pseudo_rows"]) for r in facts.collect()]
+    both = whole.join(again.withColumnRenamed("p", "q"), ["id", "fold", "y"])
+    assert both.count() == small.count() and both.filter("abs(p - q) > 1e-9").count() == 0
+    assert facts.filter("round = 0").first()["pseudo_rows"] == 0 and facts.filter("round = 1 AND pseudo_rows > 0").count() == 1
+    with pytest.raises(ValueError):
+        K.pseudo_label(small, other, state=str(tmp_path / "b"), **{**args, "seeds": 3})
+
+
+def test_k_means_starts_share_their_scans(spark, monkeypatch):
+    import numpy as np
+
+    from tessera.operators import clustering as C
+
+    rng = np.random.default_rng(4)
+    middle = np.array([[0, 0, 0], [5, 0, 0], [0, 5, 0], [0, 0, 5.0]])
+    x = np.concatenate([m + 0.1 * rng.standard_normal((30, 3)) for m in middle])
+    df = spark.createDataFrame([(*map(float, p), 1 + i % 4) for i, p in enumerate(x)], "a double, b double, c double, w long").withColumn("h", F.xxhash64("a", "b", "c")).repartition(3)
+    centres, cost, scans = C.k_means(df, ["a", "b", "c"], 4, seed=2)
+    w = np.array([1 + i % 4 for i in range(len(x))])
+    want = np.array([np.average(x[k * 30 : k * 30 + 30], axis=0, weights=w[k * 30 : k * 30 + 30]) for k in range(4)])
+    assert np.allclose(sorted(map(tuple, centres)), sorted(map(tuple, want)), atol=1e-3)
+    assert cost == pytest.approx((w * C.square_distances(x, centres).min(1)).sum())
+    one = C.k_means(df, ["a", "b", "c"], 4, seed=2, starts=1)
+    assert one[1] >= cost - 1e-9 and scans <= 2 * C.ROUNDS + C.STEPS + 2 and one[2] <= scans
+    again = C.k_means(df.repartition(5), ["a", "b", "c"], 4, seed=2)
+    assert np.allclose(again[0], centres)
+    u = C.uniform(np.arange(20_000), 1, 2)
+    assert 0 < u.min() and u.max() < 1 and abs(u.mean() - 0.5) < 0.01
+
+
+def test_spatial_folds_and_their_fallback(spark):
+    places = [(i, 10.0 * (i % 6), 20.0 * (i % 6), i % 2, int(i % 12 == 0)) for i in range(120)] + [(900, None, 3.0, 0, 0)]
+    df = spark.createDataFrame(places, "id long, lat double, lon double, y int, rare int")
+    kind, f = J.folds_by_profile(df, {"spatial": True, "points": 120}, 3, 1, "id", lat="lat", lon="lon")
+    assert kind == "spatial" and f.count() == 121
+    assert f.groupBy("lat", "lon").agg(F.count_distinct("fold").alias("k")).filter("k > 1").count() == 0
+    assert f.filter("fold IS NULL").count() == 0 and f.select("fold").distinct().count() == 3
+    few = {"spatial": True, "points": 120, "minority": 0.08}
+    kind, f = J.folds_by_profile(df, few, 8, 1, "id", y="rare", lat="lat", lon="lon")
+    assert kind == "stratified" and f.filter("rare = 1").groupBy("fold").count().agg(F.max("count") - F.min("count")).first()[0] <= 1
+    assert J.folds_by_profile(df, {"spatial": True, "points": 9, "minority": 0.4}, 4, 1, "id")[0] == "kfold"
