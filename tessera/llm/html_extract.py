@@ -26,13 +26,17 @@ BOILERPLATE = {
     "subscribe", "subscription", "signup", "login", "share", "sharing", "social", "breadcrumb", "breadcrumbs", "related", "recommended", "recommendations", "comment",
     "comments", "commentlist", "disqus", "respond", "replies", "widget", "toolbar", "pagination", "pager", "copyright", "legal", "search",
 }
+#: Words that name boilerplate as often as the subject of a section.
+WEAK = {"related", "legal", "search", "notice", "notices", "alert", "share", "sharing", "social", "recommended"}
 KEEPERS = {"article", "post", "entry", "story", "content", "main", "body", "title"}
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "dialog", "menu"}
 CLOSES_P = re.compile(r"(?:p|h[1-6]|ul|ol|li|dl|dd|dt|div|table|form|section|article|aside|header|footer|nav|main|pre|blockquote|hr|address|figure|fieldset)$")
 SELF_NESTED = {"li": {"ul", "ol", "menu"}, "dd": {"dl"}, "dt": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}}
 
-TAG = re.compile(r"""<!--.*?(?:-->|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|$)""", re.S)
-ATTR = re.compile(r"""([a-zA-Z][\w:-]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+#: A quote opens a value only behind "="; elsewhere, as in an unquoted value, it
+#: is a character like others.
+TAG = re.compile(r"""<!--.*?(?:-->|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]|=(?!\s*["'])|=\s*"[^"]*"|=\s*'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|$)""", re.S)
+ATTR = re.compile(r"""([a-zA-Z][\w:-]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>][^\s>]*)))?""")
 NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 SPACE = re.compile(r"\s+")
 
@@ -40,28 +44,41 @@ SPACE = re.compile(r"\s+")
 class Node:
     """A block-level element; runs of like siblings are one node."""
 
-    __slots__ = ("sig", "last", "many", "bad", "hard", "soft", "weight", "zone", "number", "tag", "up", "depth")
+    __slots__ = ("sig", "last", "many", "bad", "sure", "hard", "named", "weight", "size", "zone", "number", "tag", "up", "depth")
 
-    def __init__(self, tag, sig, bad, zone, hard=False, soft=False, up=None, number=0):
-        self.tag, self.sig, self.bad, self.zone, self.hard, self.soft, self.up, self.number = tag, sig, bad, zone, hard, soft, up, number
-        self.last, self.many, self.weight, self.depth = None, False, 0, up.depth + 1 if up else 0
+    def __init__(self, tag, sig, bad, zone, hard=False, named="", up=None, number=0):
+        self.tag, self.sig, self.bad, self.zone, self.hard, self.named, self.up, self.number = tag, sig, bad, zone, hard, named, up, number
+        self.last, self.many, self.sure, self.weight, self.size, self.depth = None, False, False, 0, 0, up.depth + 1 if up else 0
+
+    def decide(self, whole: int) -> None:
+        """Whether it is boilerplate, and surely so. A modifier does not name an
+        element that holds most of the page's text, and a weak name none of an
+        article whose text is mostly no links."""
+        weak = self.named == "weak" and (not self.zone or 2 * self.weight < self.size)
+        soft = self.named == "soft" and 2 * self.weight <= whole
+        self.sure = self.hard or soft or (self.up is not None and self.up.sure)
+        self.bad = self.sure or weak or (self.up is not None and self.up.bad)
 
 
 def attributes(text: str) -> dict:
     return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in ATTR.finditer(text)} if text.strip() else {}
 
 
-def boilerplate(label: str, main: bool) -> tuple[bool, bool]:
-    """Whether class and id name an element boilerplate, and whether they do so
-    only by a modifier ('has-sidebar') beside a keeper's own name ('content'). A
-    modifier does not name an article or main element."""
+def boilerplate(label: str, main: bool) -> str:
+    """How class and id name an element boilerplate: hard; soft, by a modifier
+    ('has-sidebar') beside a keeper's own name ('content'); weak, by a word that
+    may as well be of its subject ('related-work'); or not at all. A modifier
+    does not name an article or main element."""
     names = {x.lower() for x in NAME.findall(label)}
-    if not names & BOILERPLATE or (names & KEEPERS and not names & {"ad", "ads", "comment", "comments", "sidebar", "related", "share", "menu", "nav", "footer"}):
-        return False, False
+    found = names & BOILERPLATE
+    if not found or (names & KEEPERS and not names & {"ad", "ads", "comment", "comments", "sidebar", "related", "share", "menu", "nav", "footer"}):
+        return ""
     tokens = [{x.lower() for x in NAME.findall(t)} for t in label.split()]
     if any(t and t <= BOILERPLATE for t in tokens):
-        return True, False
-    return (False, False) if main else (True, any(t and t <= KEEPERS for t in tokens))
+        return "hard"
+    if main:
+        return ""
+    return "soft" if any(t and t <= KEEPERS for t in tokens) else "weak" if found <= WEAK else "hard"
 
 
 class Page:
@@ -82,6 +99,7 @@ class Page:
                     size, within = len(text) - text.count(" "), len(SPACE.sub("", html.unescape("".join(linked)))) if linked else 0
                     self.blocks.append((stack[-1], text, within / size))
                     stack[-1].weight += max(size - within, 0)
+                    stack[-1].size += size
                 parts.clear()
             linked.clear()
 
@@ -133,11 +151,11 @@ class Page:
                         break
             up, a = stack[-1], attributes(rest)
             label = f"{a.get('class', '')} {a.get('id', '')}"
-            named, soft = boilerplate(label, tag in ("article", "main") or a.get("role") == "main") if tag not in ("html", "body") else (False, False)
+            named = boilerplate(label, tag in ("article", "main") or a.get("role") == "main") if tag not in ("html", "body") else ""
             hidden = "hidden" in a or a.get("aria-hidden") == "true" or "display:none" in a.get("style", "").replace(" ", "").lower()
             head = tag == "header" and not up.zone
-            hard = tag in SKIPPED or head or hidden or a.get("role", "").lower() in ROLES or (named and not soft)
-            bad = up.bad or hard or soft
+            hard = tag in SKIPPED or head or hidden or a.get("role", "").lower() in ROLES or named == "hard"
+            bad = up.bad or hard or named != ""
             zone = up.zone or ("article" if tag == "article" else "main" if tag == "main" or a.get("role") == "main" or a.get("itemprop") == "articleBody" else "")
             if tag == "article" and up.zone == "main":
                 zone = "article"
@@ -147,16 +165,16 @@ class Page:
                 last.many, node = True, last
             else:
                 # only a last child is opened again, so nodes stay in document order
-                node = up.last = Node(tag, sig, bad, zone, hard, soft, up, len(self.nodes))
+                node = up.last = Node(tag, sig, bad, zone, hard, named, up, len(self.nodes))
                 self.nodes.append(node)
             stack.append(node)
             open_links = 0
         flush()
         for node in reversed(self.nodes[1:]):
             node.up.weight += node.weight
+            node.up.size += node.size
         for node in self.nodes:
-            # a modifier does not name an element that holds most of the text
-            node.bad = (node.up is not None and node.up.bad) or node.hard or (node.soft and 2 * node.weight <= self.root.weight)
+            node.decide(self.root.weight)
         self.shape = "\n".join(f"{x.depth} {x.sig}{'*' * x.many}" for x in self.nodes)
 
     def slots(self) -> dict[int, int]:
@@ -175,8 +193,10 @@ class Page:
         """Blocks that are not slots of the host's template. Of slots that the
         alignment has not found to be content, only those of the article (else
         main, else of the body) stay, and there no run of like siblings made of
-        links alone. Without `names` no element's name is looked at."""
-        left = [b for b in self.blocks if b[0].number not in template and not (names and b[0].bad)]
+        links alone. A weak name says nothing of a slot that was found to be content.
+        Without `names` no element's name is looked at."""
+        gone = lambda x: x.number in template or (names and (x.sure if x.number in content else x.bad))
+        left = [b for b in self.blocks if not gone(b[0])]
         zones = {b[0].zone for b in left} if names else set()
         zone = "article" if "article" in zones else "main" if "main" in zones else ""
         menu = [a[0] is b[0] and a[2] >= 0.8 and b[2] >= 0.8 for a, b in zip(left, left[1:])]

@@ -376,6 +376,20 @@ def test_single_link_blocks_and_modifier_names_are_kept():
     assert text('<p>long body of the page</p><div class="content has-sidebar">side</div>') == "long body of the page"
 
 
+def test_quotes_in_unquoted_values_and_weak_names():
+    text = lambda x: html_extract.Page(x).main_text().split("\n")
+    assert text("<p title=don't>one</p><p>two</p><p title=can't>three</p><p>four</p>") == ["one", "two", "three", "four"]
+    assert text("<p title = 'a>b' class=x>one</p><p data-q=a\"b>two</p><p title=\"x>y\">three</p>") == ["one", "two", "three"]
+    assert text('<p>one</p><p title="never closed>two</p><p>three</p>') == ["one", "two", "three"]
+    body = "<article><p>Start of it.</p><section class='related-work'><h2>Related work</h2><p>Others did this before.</p></section><section class=legal-analysis><p>The law says so.</p></section>"
+    kept = ["Start of it.", "Related work", "Others did this before.", "The law says so."]
+    tail = "<div class='related-posts'><a href=/a>Another story</a> <a href=/b>One more</a></div><div class='comment-list'><p>First!</p></div></article>"
+    assert text(body + tail) == kept
+    assert text("<div class='search-box'><p>Find it here</p></div><p>Plain text of the page, longer than that.</p>") == ["Plain text of the page, longer than that."]
+    long = "<p " + "x" * 200_000 + "=1>in</p>" + "<p>" + "word " * 100_000 + "</p><a title='"
+    assert text(long) == ["in", ("word " * 100_000).strip()]
+
+
 def test_joined_rules_equal_broadcast(spark, monkeypatch):
     df = spark.createDataFrame([(i, "https://h.example/%d" % i, page(i)) for i in range(40)], "page_id long, url string, html string")
     want = sorted(tuple(r) for r in html_extract.extract(df).collect())
