@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tessera.operators import metrics as M
 from tessera.operators.boosting import Boosted, boost, shap_values
+from tessera.operators.profile import quantiles
 from tessera.operators.transforms import median_fill_matrix, standardise
 from tessera.sources.shared import new_path, stored
 
@@ -51,6 +52,45 @@ def prepared(train: DataFrame, test: DataFrame, columns: list[str], y: str, scal
     return pack.transform(a).withColumn("_y", F.col(y).cast("double")), pack.transform(b)
 
 
+def fold_fits(train: DataFrame, columns: list[str], folds: list[int], scale: bool) -> dict[int, dict[str, tuple]]:
+    """fold -> column -> (fill, mean, deviation) of its training side, as `prepared`
+    fits them. Medians of all sides come from the same scans; moments from sums
+    by fold, of which a side's are all less the fold's own. The number of scans
+    hangs on that of columns times folds only by chunks of 100 expressions."""
+    sides = [(f, c) for f in folds for c in columns]
+    side = lambda f: (F.col("fold") != f) | F.col("_pseudo")
+    fill = {}
+    for at in range(0, len(sides), 100):
+        fill |= quantiles(train, {(f, c): F.when(side(f), F.col(c)) for f, c in sides[at : at + 100]}, [0.5])
+    fill = {k: v[0] if v[0] is not None else 0.0 for k, v in fill.items()}
+    if not scale:
+        return {f: {c: (fill[f, c], 0.0, 1.0) for c in columns} for f in folds}
+    sums: dict = {}
+    for at in range(0, len(columns), 30):
+        own = columns[at : at + 30]
+        x = {c: F.col(c).cast("double") - F.lit(float(fill[folds[0], c])) for c in own}
+        parts = [F.count("*").alias("n"), *[e.alias(f"{k}{i}") for i, c in enumerate(own) for k, e in (("n", F.count(x[c])), ("s", F.sum(x[c])), ("q", F.sum(x[c] * x[c])))]]
+        for r in train.groupBy("fold", "_pseudo").agg(*parts).collect():
+            for i, c in enumerate(own):
+                sums[r["fold"], r["_pseudo"], c] = np.array([r["n"], r[f"n{i}"], r[f"s{i}"] or 0.0, r[f"q{i}"] or 0.0])
+    out: dict = {f: {} for f in folds}
+    for f, c in sides:
+        parts = [v for (g, pseudo, d), v in sums.items() if d == c and (pseudo or (g is not None and g != f))]
+        rows, n, s, q = np.sum(parts, axis=0) if parts else np.zeros(4)
+        shift = float(fill[folds[0], c])
+        at = fill[f, c] - shift  # what its nulls become
+        mean, square = (s + (rows - n) * at) / max(rows, 1), (q + (rows - n) * at * at) / max(rows, 1)
+        spread = square - mean * mean
+        out[f][c] = fill[f, c], mean + shift, float(np.sqrt(spread)) if spread > 1e-12 * square else 1.0
+    return out
+
+
+def fitted(df: DataFrame, fits: dict[str, tuple]) -> DataFrame:
+    """df with its columns filled and scaled, packed into _x."""
+    columns = {c: (F.coalesce(F.col(c).cast("double"), F.lit(float(fill))) - float(mean)) / float(spread) for c, (fill, mean, spread) in fits.items()}
+    return VectorAssembler(inputCols=list(fits), outputCol="_x").transform(df.withColumns(columns))
+
+
 def predicted(model, df: DataFrame, task: str, keep: list[str]) -> DataFrame:
     out = model.transform(df)
     if task == "regression":
@@ -114,13 +154,16 @@ def train_cv(train: DataFrame, test: DataFrame, columns: list[str], y: str, task
             oof, every = _boosted_cv(train, test, columns, y, task, family, key, params, features)
         else:
             oof, tests = [], []
-            scale = family in ("lr", "glm")
-            for f in fold_ids(train):
+            scale, folds = family in ("lr", "glm"), fold_ids(train)
+            fits = {} if features or not folds else fold_fits(train, columns, folds, scale)
+            for f in folds:
                 fit, valid = train.filter((F.col("fold") != f) | F.col("_pseudo")), train.filter((F.col("fold") == f) & ~F.col("_pseudo"))
                 both = valid.withColumn("_v", F.lit(True)).unionByName(test.withColumn("_v", F.lit(False)), allowMissingColumns=True)
                 if features:
                     fit, both = features(fit, both, f)
-                a, b = prepared(fit, both, columns, y, scale)
+                    a, b = prepared(fit, both, columns, y, scale)
+                else:
+                    a, b = fitted(fit, fits[f]).withColumn("_y", F.col(y).cast("double")), fitted(both, fits[f])
                 model = make_model(family, task, params, seed, "weight" if "weight" in train.columns else None).fit(a)
                 oof.append(predicted(model, b.filter("_v"), task, [key, "fold", y]))
                 tests.append(predicted(model, b.filter("NOT _v"), task, [key]))
@@ -272,7 +315,7 @@ def calibrate(oof: DataFrame, test: DataFrame, method: str = "platt") -> tuple[D
         low, high = fit.agg(F.min("y"), F.max("y")).first()
         return to if low is None or low == high else to.withColumn("p", make(fit)(F.col("p")))
 
-    oof = oof.cache()
+    oof, _ = stored(oof, "to-calibrate")  # read for each fold
     folds = sorted(r[0] for r in oof.select("fold").distinct().collect())
     parts = [mapped(oof.filter(F.col("fold") != f), oof.filter(F.col("fold") == f)) for f in folds]
     return reduce(DataFrame.unionByName, parts), mapped(oof, test)

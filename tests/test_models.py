@@ -164,3 +164,21 @@ def test_spatial_folds_and_their_fallback(spark):
     kind, f = J.folds_by_profile(df, few, 8, 1, "id", y="rare", lat="lat", lon="lon")
     assert kind == "stratified" and f.filter("rare = 1").groupBy("fold").count().agg(F.max("count") - F.min("count")).first()[0] <= 1
     assert J.folds_by_profile(df, {"spatial": True, "points": 9, "minority": 0.4}, 4, 1, "id")[0] == "kfold"
+
+
+def test_all_sides_are_fitted_at_once(spark, monkeypatch):
+    import random
+
+    rng = random.Random(2)
+    rows = [(i, i % 4, 1e6 + rng.gauss(0, 3) if i % 7 else None, float(rng.randrange(5)), 2.5, None, i % 2) for i in range(200)] + [(900, -1, 1e6 + 50, 9.0, 2.5, None, 1)]
+    df = spark.createDataFrame(rows, "id long, fold int, a double, b double, c double, d double, y int").withColumn("_pseudo", F.col("id") == 900)
+    cols, calls, plain = ["a", "b", "c", "d"], [], K.quantiles
+    monkeypatch.setattr(K, "quantiles", lambda *a: calls.append(1) or plain(*a))
+    for scale in (True, False):
+        fits = K.fold_fits(df, cols, [0, 1, 2, 3], scale)
+        for f in range(4):
+            one, _ = K.prepared(df.filter((F.col("fold") != f) | F.col("_pseudo")), df, cols, "y", scale)
+            got = K.fitted(df.filter((F.col("fold") != f) | F.col("_pseudo")), fits[f])
+            want = {r.id: list(r._x) for r in one.select("id", "_x").collect()}
+            assert {r.id: list(r._x) for r in got.select("id", "_x").collect()} == {i: pytest.approx(v, abs=1e-6) for i, v in want.items()}
+    assert len(calls) == 2
