@@ -109,3 +109,28 @@ def test_overlapping_sources(spark):
     found, mix = mixing.mix_documents(df, sources=F.col("sources"))
     total = found.selectExpr("sum(size * _copies)").first()[0]
     assert abs(total - sum(mix.targets.values())) <= 50
+
+
+def test_flow_is_the_cheapest_of_the_largest():
+    """All integer flows of small networks, tried one by one."""
+    from itertools import product
+    from random import Random
+
+    rng = Random(6)
+    for _ in range(60):
+        names = ["a", "b", "c"][: rng.randint(1, 3)]
+        patterns = [(tuple(sorted(rng.sample(names, rng.randint(1, len(names))))), rng.randint(0, 2)) for _ in range(rng.randint(1, 3))]
+        quotas = {s: rng.randint(0, 4) for s in names}
+        best = None
+        routes = [(i, s) for i, (members, _) in enumerate(patterns) for s in members]
+        for amounts in product(*[range(min(2 * patterns[i][1], quotas[s]) + 1) for i, s in routes]):
+            taken, filled = [0] * len(patterns), dict.fromkeys(names, 0)
+            for (i, s), n in zip(routes, amounts):
+                taken[i] += n
+                filled[s] += n
+            if all(t <= 2 * size for t, (_, size) in zip(taken, patterns)) and all(filled[s] <= quotas[s] for s in names):
+                value = -sum(taken), sum(max(0, t - size) for t, (_, size) in zip(taken, patterns))
+                best = value if best is None else min(best, value)
+        got = mixing.min_cost_flow(patterns, quotas, 2)
+        assert all(0 <= t <= 2 * size for t, (_, size) in zip(got, patterns))
+        assert (-sum(got), sum(max(0, t - size) for t, (_, size) in zip(got, patterns))) == best
