@@ -222,9 +222,9 @@ def split_overlap(spark, sf):
 
 
 def _folder(spark):
-    from tessera.plans.ledger import _temp
+    from tessera.sources.shared import new_path
 
-    return _temp(spark)
+    return new_path(spark, "files")
 
 
 @query("a01_read_csv", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
