@@ -23,6 +23,8 @@ BINS, MISSING = 255, 255
 BLOCK, EVERY = 1 << 15, 8
 #: Bytes of sums that a task holds at most, unless one node alone needs more.
 PASS_BYTES = 1 << 27
+#: Sums of all tasks together that the driver adds up itself, without a shuffle.
+ADDED_BYTES = 1 << 25
 
 DEFAULTS = {"rounds": 500, "rate": 0.05, "leaves": 31, "patience": 50, "min_rows": 20, "min_hessian": 1e-3, "l2": 0.0, "max_step": 0.7}
 
@@ -289,10 +291,10 @@ def _added(score: np.ndarray, bins: np.ndarray, rounds: list[list[Tree]]) -> np.
     return score
 
 
-def one_pass(blocks: DataFrame, objective: Objective, width: int, recent: dict, asked: dict) -> tuple[dict, dict]:
+def one_pass(blocks: DataFrame, objective: Objective, width: int, recent: dict, asked: dict, tasks: int = 1 << 20) -> tuple[dict, dict]:
     """({(model, class): histograms}, {model: (sum of losses, weight)} over rows to
     validate). asked: (model, class) -> (tentative tree, node -> place); recent:
-    model -> rounds of trees that the blocks' scores lack."""
+    model -> rounds of trees that the blocks' scores lack; tasks: parts of blocks."""
     spark = blocks.sparkSession
     shared = spark.sparkContext.broadcast((recent, asked))
     names = ["model", "klass", "sums"]
@@ -333,8 +335,13 @@ def one_pass(blocks: DataFrame, objective: Objective, width: int, recent: dict,
         return pa.table({"model": table["model"][:1], "klass": table["klass"][:1], "sums": pa.array([sum(parts[1:], parts[0]).tobytes()], pa.binary())})
 
     schema = "model int, klass int, sums binary"
-    got = blocks.mapInArrow(run, schema).groupBy("model", "klass").applyInArrow(add, schema).collect()
-    flat = {(r["model"], r["klass"]): np.frombuffer(r["sums"], "float64") for r in got}
+    found = blocks.mapInArrow(run, schema)
+    if tasks * 6144 * width * sum(len(slots) for _, slots in asked.values()) > ADDED_BYTES:
+        found = found.groupBy("model", "klass").applyInArrow(add, schema)
+    flat: dict = {}
+    for r in found.collect():
+        own = r["model"], r["klass"]
+        flat[own] = flat.get(own, 0) + np.frombuffer(r["sums"], "float64")
     hists = {mk: flat[mk].reshape(-1, 3, width, 256) for mk in asked}
     return hists, {m: tuple(x) for (m, k), x in flat.items() if k < 0}
 
@@ -424,6 +431,7 @@ def boost(rows: DataFrame, columns: list[str], objective: str = "binary", classe
     history: dict[int, list] = {m: [] for m in start}
     live, base = sorted(start), 0
     blocks, path = stored(block_table(rows, columns, edges, start), "boost")
+    tasks = blocks.rdd.getNumPartitions()
     most = max(1, PASS_BYTES // (6144 * max(width, 1) * max(1, len(live) * loss.classes)))
 
     def stops(m) -> bool:
@@ -440,7 +448,7 @@ def boost(rows: DataFrame, columns: list[str], objective: str = "binary", classe
             if not asked:
                 break
             own = blocks.filter(F.col("model").isin(sorted({m for m, _ in asked})))
-            hists, losses = one_pass(own, loss, width, recent, {mk: growers[mk].tentative(a) for mk, a in asked.items()})
+            hists, losses = one_pass(own, loss, width, recent, {mk: growers[mk].tentative(a) for mk, a in asked.items()}, tasks)
             if first:  # the scores hold all rounds so far
                 for m, (total, n) in losses.items():
                     history[m].append(total / n)
@@ -457,6 +465,7 @@ def boost(rows: DataFrame, columns: list[str], objective: str = "binary", classe
             fresh, to = stored(rescored(blocks.filter(F.col("model").isin(live)), loss, width, {m: done[m][base:] for m in live}), "boost")
             removed(spark, path)
             blocks, path, base = fresh, to, len(done[live[0]])
+            tasks = blocks.rdd.getNumPartitions()
     removed(spark, path)
     best = {m: int(np.argmin(history[m][1:])) + 1 if len(history[m]) > 1 else len(done[m]) for m in done}
     return Boosted(list(columns), loss, start, {m: done[m][: best[m]] for m in done}, history)
