@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 
@@ -32,6 +34,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def give_back() -> None:
+    """Return what a Python worker has freed to the machine: it goes on to other
+    tasks, and idle ones stay beside those at work."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc only
+    if trim:
+        trim(0)
+
+
 def slices(batches, rows: int = 512, most: int = 1 << 22):
     """Arrow batches in slices of at most `rows` rows and, unless one row alone
     has more, `most` bytes of text: what a task holds in Python objects at once
@@ -49,6 +61,17 @@ def slices(batches, rows: int = 512, most: int = 1 << 22):
             at = end
 
 
+def small_slices(batches, rows: int = 512, most: int = 1 << 22):
+    """`slices`, for tasks of whom many follow each other in one worker: what
+    they free is given back before, between and behind the batches."""
+    give_back()
+    for b in batches:
+        yield from slices([b], rows, most)
+        del b
+        pa.default_memory_pool().release_unused()
+    give_back()
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write `df` as Parquet below the shared folder and read it back; unlike
     `cut` the copy is columnar, so later stages read only what they use."""

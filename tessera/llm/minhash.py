@@ -7,7 +7,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tessera.llm.common import Members, cut, slices, stored
+from tessera.llm.common import Members, cut, small_slices, stored
 from tessera.llm.components import connected_components
 
 # Odd multipliers of the splitmix64 finalizer (fixed values).
@@ -120,7 +120,7 @@ def signatures(texts: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
 
     def run(batches):
         words = Words()
-        for b in slices(batches, 512):
+        for b in small_slices(batches, 512):
             keys, digests, seen = [], [], {}
             for text, digest in zip(b["text"].to_pylist(), b["digest"].to_pylist()):
                 if digest not in seen:
@@ -144,7 +144,7 @@ def weighted(texts: DataFrame, size: int, wanted: "Members | None" = None) -> Da
 
     def run(batches):
         words = Words()
-        for b in slices(batches, 512):
+        for b in small_slices(batches, 512):
             if wanted is not None:
                 b = b.filter(pa.array(wanted.maybe(b["row"].to_numpy())))
             got = [shingles(t, size, words) for t in b["text"].to_pylist()]

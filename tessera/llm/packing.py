@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window as W
 
-from tessera.llm.common import slices, stored
+from tessera.llm.common import small_slices, stored
 from tessera.llm.tokens import encoder
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -24,7 +24,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, with
 
     def run(batches):
         enc, end = encoder(tokenizer), int(end_id).to_bytes(4, "little")
-        for batch in slices(batches):
+        for batch in small_slices(batches):
             out = []
             for doc_id, ids in zip(batch["doc_id"].to_pylist(), enc.ids(batch["text"].to_pylist())):
                 ids += end

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, functions as F
 
-from tessera.llm.common import Members, slices, stored
+from tessera.llm.common import Members, small_slices, stored
 from tessera.llm.tokens import encoder
 
 CACHE = "content binary, tokenizer string, n_tokens long"
@@ -36,7 +36,7 @@ def encode_misses(rows: DataFrame, misses: Members, tokenizer: str, version: str
 
     def run(batches):
         enc = encoder(tokenizer)
-        for b in slices(batches):
+        for b in small_slices(batches):
             b = b.filter(pa.array(misses.maybe(b["row"].to_numpy())))
             texts = dict(zip(b["content"].to_pylist(), b["text"].to_pylist()))
             n = [len(ids) // 4 for ids in enc.ids(list(texts.values()))]

@@ -14,7 +14,7 @@ from array import array
 
 import numpy as np
 
-CACHE_CHUNKS = 240_000
+CACHE_CHUNKS = 150_000
 #: Texts are worked on in groups of about so many characters.
 GROUP_CHARS = 1_000_000
 #: White space other than blank, tab, CR and LF: such texts are encoded whole.

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tessera.llm.common import cut, slices, stored
+from tessera.llm.common import cut, small_slices, stored
 
 FEATURES = 1 << 17
 #: Parameters of the chain: features, transitions and start.
@@ -20,7 +20,9 @@ SIZE = FEATURES + 6
 #: Features of a token at most.
 WIDTH = 7
 SEGMENT = 64
-CACHE = 200_000
+CACHE = 60_000
+#: Rows and bytes of text whose marginals are worked out at once.
+SLICE = 128, 1 << 20
 EDGE = re.compile(r"^\W+|\W+$")
 TOKEN = re.compile(r"\S+")
 
@@ -158,7 +160,7 @@ def token_labels(sample: DataFrame, classes: dict[int, int], odds: float = 20.0,
     of the others, and at least `least` do. Counted in Spark."""
 
     def run(batches):
-        for b in slices(batches, 512):
+        for b in small_slices(batches, 512):
             seen = (Counter(), Counter())
             for text, y in zip(b["text"].to_pylist(), b["toxic"].to_pylist()):
                 seen[y].update({f for w in set(text.split()) for f in word_features(w) if f[0] in "wp" and f[1] != "3" and len(f) > 4})
@@ -291,7 +293,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 3000, shards: int
 
     def features(batches):
         model = copy(shared.value)
-        for b in slices(batches, 512):
+        for b in small_slices(batches, *SLICE):
             x = model.document_features(model.marginals(b["text"].to_pylist()))
             yield pa.RecordBatch.from_arrays([b["doc_id"], b["toxic"], pa.array(list(x), pa.list_(pa.float64()))], ["doc_id", "toxic", "x"])
 
@@ -324,7 +326,7 @@ def score(docs: DataFrame, field: Field, spans: bool = True) -> DataFrame:
 
     def run(batches):
         model = copy(shared.value)
-        for b in slices(batches, 512):
+        for b in small_slices(batches, *SLICE):
             texts = b["text"].to_pylist()
             marg = model.marginals(texts)
             s, where = model.document_scores(marg), [found(t, p) for t, p in zip(texts, marg)]
@@ -334,18 +336,23 @@ def score(docs: DataFrame, field: Field, spans: bool = True) -> DataFrame:
     return plain.mapInArrow(run, "doc_id long, score double, predicted int, spans array<struct<start:int,end:int>>")
 
 
-def clean_documents(docs: DataFrame, labels: DataFrame, per_class: int = 3000) -> DataFrame:
-    """The rows of `docs` that are not predicted toxic, all columns kept."""
-    shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels, per_class))
+def without_toxic(docs: DataFrame, field: Field) -> DataFrame:
+    """The rows of `docs` that `field` does not predict toxic, all columns kept."""
+    shared = docs.sparkSession.sparkContext.broadcast(field)
 
     @F.arrow_udf("boolean")
     def toxic(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = copy(shared.value)
         for texts in batches:
             out = [np.empty(0, "bool")]
-            for part in slices([pa.RecordBatch.from_arrays([texts], ["text"])]):
+            for part in small_slices([pa.RecordBatch.from_arrays([texts], ["text"])], *SLICE):
                 marg = model.marginals([t or "" for t in part["text"].to_pylist()])
                 out.append(model.document_scores(marg) >= 0.5)
             yield pa.array(np.concatenate(out))
 
     return docs.filter(~toxic(F.col("text")))
+
+
+def clean_documents(docs: DataFrame, labels: DataFrame, per_class: int = 3000) -> DataFrame:
+    """The rows of `docs` that a field trained on `labels` does not predict toxic."""
+    return without_toxic(docs, train(docs, labels, per_class))
