@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window as W
 
 from tessera.sources.commits import CommitLog
+from tessera.sources.shared import stored
 
 EXPERIMENTS = """experiment_id long, branch_name string, oof_score float, oof_rmse float, metric string, calibration string, gate_result string,
  n_features int, seed int, cv_strategy string, approved_by string, notes string, created_at timestamp"""
@@ -18,8 +19,10 @@ SUBMISSIONS = """submission_id long, experiment_id long, filename string, public
 
 def numbered(rows: DataFrame, key: str, order: list[str], start: int = 0) -> DataFrame:
     """Ids above `start` in a fixed order. Range partitions are numbered apart
-    and shifted by the sizes of those before, so no task sees all rows."""
-    tagged = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumns({"_part": F.spark_partition_id(), "_row": F.monotonically_increasing_id()})
+    and shifted by the sizes of those before, so no task sees all rows. They are
+    written first: sizes and rows of two runs of the plan need not agree on where
+    partitions begin (sampling, coalescing by width)."""
+    tagged = stored(rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumns({"_part": F.spark_partition_id(), "_row": F.monotonically_increasing_id()}), "numbered")[0]
     sizes = tagged.groupBy("_part").agg(F.count("*").alias("_n"), F.min("_row").alias("_first"))
     shift = sizes.select("_part", (F.sum("_n").over(W.orderBy("_part")) - F.col("_n") - F.col("_first")).alias("_shift"))
     return tagged.join(F.broadcast(shift), "_part").withColumn(key, F.col("_row") + F.col("_shift") + 1 + start).drop("_part", "_row", "_shift", "_n")

@@ -108,3 +108,19 @@ def test_no_rows_and_nulls(spark, path):
     L.log_submissions(spark.createDataFrame([], "filename string"), path, ["filename"])
     L.log_submissions(spark.createDataFrame([(None,), (None,)], "filename string"), path, ["filename"])
     assert sorted(r[0] for r in L.read_ledger(spark, path, L.SUBMISSIONS).select("submission_id").collect()) == [1, 2]
+
+
+def test_numbers_do_not_hang_on_how_partitions_are_coalesced(spark):
+    """Sizes and rows are shuffled with rows of different width: read twice, they
+    were coalesced apart, and rows were lost or shared numbers."""
+    conf = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200k"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        wide = spark.range(0, 60000, 1, 8).select("id", F.sha2(F.col("id").cast("string"), 512).alias("text"))
+        got = L.numbered(wide, "k", ["id"]).agg(F.count("text"), F.count_if(F.col("k") != F.col("id") + 1), F.max(F.length("text"))).first()
+        assert tuple(got) == (60000, 0, 128)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
