@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tessera.operators import metrics as M
 from tessera.operators.moments import pair_correlations
-from tessera.operators.profile import pearson, per_column
+from tessera.operators.profile import flat, pearson, per_column
 
 
 def _first(rules: list[tuple[Column, str]], default: str) -> Column:
@@ -318,6 +318,6 @@ def validate_many(subs: DataFrame, sample: DataFrame, key: str, value: str) -> D
 
 
 def variance_collapse_warning(pred: DataFrame, train: DataFrame, p: str, y: str, least: float = 0.1) -> DataFrame:
-    a, b = per_column(pred, [p], lambda c: [("v", F.var_samp(c))]), per_column(train, [y], lambda c: [("w", F.var_samp(c))])
+    a, b = per_column(pred, [p], lambda c: [("v", F.var_samp(c) * F.when(flat(c), 0.0).otherwise(1.0))]), per_column(train, [y], lambda c: [("w", F.when(~flat(c), F.var_samp(c)))])
     both = a.select("v").crossJoin(b.select("w"))
     return both.select((F.try_divide("v", "w")).alias("ratio"), (F.coalesce(F.try_divide("v", "w"), F.lit(0.0)) < least).alias("warning"))

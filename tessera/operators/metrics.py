@@ -73,7 +73,7 @@ def errors(df: DataFrame, y: str = "y", p: str = "p", by=()) -> DataFrame:
     """rmse, mse, mae, rmsle, r2 and mape (null without a non-zero target)."""
     d = F.col(y) - F.col(p)
     logs = F.log1p(F.greatest(F.col(y), F.lit(0.0))) - F.log1p(F.greatest(F.col(p), F.lit(0.0)))
-    ss = F.var_pop(y) * F.count(y)
+    ss = F.when(F.min(y) < F.max(y), F.var_pop(y) * F.count(y))
     return _group(df, by).agg(
         F.sqrt(F.avg(d * d)).alias("rmse"), F.avg(d * d).alias("mse"), F.avg(F.abs(d)).alias("mae"), F.sqrt(F.avg(logs * logs)).alias("rmsle"),
         (1 - F.try_divide(F.sum(d * d), ss)).alias("r2"), F.avg(F.when(F.col(y) != 0, F.abs(d / F.when(F.col(y) != 0, F.col(y))))).alias("mape"),

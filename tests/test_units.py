@@ -378,3 +378,14 @@ def test_group_fallback_takes_any_period(spark):
             own, every = [d for _, b, _, d in upto if b == g], [d for *_, d in upto]
             want = v if v is not None else sum(own) / len(own) if own else sum(every) / len(every) if every else 0.35
             assert got[i] == pytest.approx(want)
+
+
+def test_a_constant_in_parts_of_any_size_has_no_spread(spark):
+    """Parts of 49 and 98 rows: 49 * (1 / 49) is not 1."""
+    df = spark.range(0, 49 * 5, 1, 5).select(F.lit(1.0).alias("one"), F.col("id").cast("double").alias("x"), (F.col("id") % 2).cast("int").alias("y"))
+    got = {r["column"]: r for r in profile.variance_profile(df.select("one", "x")).collect()}
+    assert got["one"]["zero"] and got["one"]["variance"] == 0 and not got["x"]["zero"]
+    assert {r["column"]: r["r"] is None for r in profile.target_correlation(df, "y", ["one", "x"]).collect()} == {"one": True, "x": False}
+    assert transforms.standardise(df, df, ["one"])[0].filter("one <> 0").isEmpty()
+    assert df.agg(profile.adjusted_skewness("one").alias("s")).first()["s"] is None
+    assert G.variance_collapse_warning(df, df, "x", "one").first()["ratio"] is None
