@@ -198,3 +198,21 @@ def test_boosted_folds_beat_chance(spark):
     extra = lambda a, b, f: (a.withColumn("d", F.col("a") * 2), b.withColumn("d", F.col("a") * 2))
     own, _ = K.train_cv(df.withColumn("y", (F.col("y") > 0).cast("int")), df.drop("y", "fold"), ["d", "b", "c"], "y", "classification", "lgb", params={"rounds": 10, "rate": 0.3}, features=extra)
     assert M.roc_auc(own).first()["auc"] > 0.75
+
+
+def test_one_row_group_is_learned_from_by_many_tasks(spark, tmp_path, monkeypatch):
+    """A file of one row group was read, and so trained on, by one task."""
+    path = str(tmp_path / "rows")
+    spark.range(400).selectExpr("id", "CAST(id % 7 AS DOUBLE) AS x", "CAST(id % 2 AS INT) AS y", "CAST(id % 3 AS INT) AS fold").coalesce(1).write.parquet(path)
+    used = []
+
+    def seen(rows, *a, **k):
+        used.append(rows.select(F.spark_partition_id()).distinct().count())
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(K, "boost", seen)
+    train = spark.read.parquet(path)
+    for run in (lambda: K.train_cv(train, train, ["x"], "y", "classification", "lgb"), lambda: K.boosted(train.withColumn("_pseudo", F.lit(False)), ["x"], "y", "classification")):
+        with pytest.raises(KeyboardInterrupt):
+            run()
+    assert used[0] >= 4 and used[1] == 1
