@@ -216,3 +216,59 @@ def test_one_row_group_is_learned_from_by_many_tasks(spark, tmp_path, monkeypatc
         with pytest.raises(KeyboardInterrupt):
             run()
     assert used[0] >= 4 and used[1] == 1
+
+
+@pytest.mark.parametrize("cells", [0, 30, 1 << 12])
+def test_leaves_and_attribution_by_cells_equal_a_walk(monkeypatch, cells):
+    """Also where only parts of a tree, or none, have few enough cells."""
+    monkeypatch.setattr(B, "CELLS", cells)
+    x, y, _ = rows(7, 500)
+    edges = [np.unique(c[~np.isnan(c)])[:-1] for c in x.T]
+    bins = np.stack([np.where(np.isnan(c), B.MISSING, np.searchsorted(e, c, "left")) for c, e in zip(x.T, edges)]).astype("uint8")
+    t = plain_growth(edges, bins, y - y.mean(), P | {"leaves": 16} | {k: B.DEFAULTS[k] for k in ("min_hessian", "l2")})[0]
+
+    def walk(v, row):
+        while t.feature[v] >= 0:
+            at = row[t.feature[v]]
+            v = t.left[v] if (t.missing_left[v] if np.isnan(at) else at <= t.cut[v]) else t.right[v]
+        return v
+
+    want = [walk(0, row) for row in x]
+    assert (t.leaf_of(x) == want).all() and (t.leaf_of_bins(bins) == want).all()
+    a, b = np.zeros(x.shape), np.zeros(x.shape)
+    B.tree_shap(t, x, a)
+    B.tree_attribution(t, x, b)
+    assert np.allclose(a, b, atol=1e-12)
+
+
+def plain_growth(edges, bins, g, p):
+    """A tree by a Grower whose passes are plain sums, and the number of passes."""
+    grower, passes = B.Grower(edges, p), 0
+    while asked := grower.wanted(1 << 20):
+        tree, slots = grower.tentative(asked)
+        leaf, hists = tree.leaf_of_bins(bins), [None] * len(asked)
+        for node, k in slots.items():
+            at = np.flatnonzero(leaf == node)
+            hists[k] = np.array([[np.bincount(b[at], v[at], 256) for b in bins] for v in (g, np.ones(len(g)), np.ones(len(g)))])
+        grower.tell(asked, hists)
+        passes += 1
+    return grower.tree.packed(), passes
+
+
+def test_a_tree_takes_about_a_pass_a_level():
+    """Best leaf first, a pass was taken for nearly every split of a skewed tree."""
+    # runs of equal targets: best splits cut one run after the other
+    v = np.concatenate([np.full(64, k) for k in range(24)])
+    y = np.concatenate([np.tile([3.0**-k, 3.0**-k], 32) * (1 if k % 2 else -1) for k in range(24)])
+    u = np.tile(np.arange(64), 24)
+    edges, p = [np.arange(23.0), np.arange(63.0)], P | {"leaves": 20, "min_hessian": 1e-3, "l2": 0.0}
+    t, passes = plain_growth(edges, np.stack([v, u]).astype("uint8"), y, p)
+    depth = lambda n: 0 if t.feature[n] < 0 else 1 + max(depth(t.left[n]), depth(t.right[n]))
+    assert passes <= depth(0) + 1 or passes < 12, (passes, depth(0))
+
+
+@pytest.mark.parametrize("x", [[3.5] * 8, [0.0, 1.0, 255.0] * 3, [256.0, 1.0], [0.5, 1.0], [-0.0, 1.0], [0.0, -0.0], [-1.0, 2.0], [7.0], [np.nan, 1.0], [np.inf, 0.0]])
+def test_blocks_keep_their_numbers(x):
+    back = B._whole(B._short(np.array(x)), len(x))
+    assert back.tobytes() == np.array(x).tobytes()
+    assert len(B._short(np.zeros(1000))) == 9 and len(B._short(np.arange(1000.0) % 2)) == 1001
