@@ -180,7 +180,7 @@ def rollback_augmented(oof: DataFrame) -> DataFrame:
 
 def ensemble(members: DataFrame, weights: DataFrame) -> DataFrame:
     """Weighted mean of member probabilities for each id and fold."""
-    w = members.join(weights, "branch")
+    w = members.join(F.broadcast(weights), "branch")  # a row for each branch
     return w.groupBy("id", "fold").agg((F.sum(F.col("weight") * F.col("p")) / F.sum("weight")).alias("p"), F.first("y").alias("y"))
 
 

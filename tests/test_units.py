@@ -398,3 +398,12 @@ def test_gate_query_of_more_positives_than_its_bound(spark, tmp_path):
     rows = spark.range(1_100_000).select(F.col("id").alias("o_orderkey"), F.lit(10).cast("long").alias("o_custkey"), F.lit("F").alias("o_orderstatus"), F.lit(1.0).alias("o_totalprice"))
     rows.write.parquet(str(tmp_path / "orders.parquet"))
     assert QUERIES["d29_positive_count_gate"](spark, str(tmp_path)).first().asDict() == {"positives": 1_100_000, "drift": 1_099_000, "passed": False, "reason": "ok"}
+
+
+def test_an_ensemble_does_not_shuffle_its_members_by_branch(spark):
+    """Rows met their weight by a join over few branches, so in as few tasks."""
+    members = spark.range(300).selectExpr("id DIV 3 AS id", "0 AS fold", "1 AS y", "CONCAT('m', id % 3) AS branch", "id % 3 / 4 AS p")
+    weights = spark.createDataFrame([("m0", 2.0), ("m1", 1.0)], "branch string, weight double")
+    done = G.ensemble(members, weights)
+    assert done.count() == 100 and {round(r["p"], 9) for r in done.collect()} == {round(0.25 / 3, 9)}
+    assert "SortMergeJoin" not in done._jdf.queryExecution().executedPlan().toString()
