@@ -407,3 +407,17 @@ def test_an_ensemble_does_not_shuffle_its_members_by_branch(spark):
     done = G.ensemble(members, weights)
     assert done.count() == 100 and {round(r["p"], 9) for r in done.collect()} == {round(0.25 / 3, 9)}
     assert "SortMergeJoin" not in done._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_of_one_place_are_compared_once(spark, monkeypatch):
+    """Every row of a place met all candidates of the place, in one task."""
+    seen, plain = [], transforms._candidates
+    monkeypatch.setattr(transforms, "_candidates", lambda own, *a: seen.append(own.count()) or plain(own, *a))
+    df = spark.range(40).selectExpr("id", "CAST(id % 2 AS DOUBLE) AS lat", "CASE WHEN id = 7 THEN NULL ELSE 5.0D END AS lon")
+    got = {}
+    for r in transforms.neighbours(df, df, "lat", "lon", "id", 3).collect():
+        got.setdefault(r["id"], {})[r["place"]] = r["other"]
+    assert seen[0] <= 3 and 7 not in got
+    for i in range(40):
+        like = [j for j in range(i % 2, 40, 2) if j not in (i, 7)][:3]
+        assert i == 7 or [got[i][p] for p in (1, 2, 3)] == like
