@@ -182,3 +182,18 @@ def test_all_sides_are_fitted_at_once(spark, monkeypatch):
             want = {r.id: list(r._x) for r in one.select("id", "_x").collect()}
             assert {r.id: list(r._x) for r in got.select("id", "_x").collect()} == {i: pytest.approx(v, abs=1e-6) for i, v in want.items()}
     assert len(calls) == 2
+
+
+def test_seeds_share_one_preparation(spark, monkeypatch):
+    """Each seed spread, read and fitted its folds anew; the results are those of each alone."""
+    df = spark.range(300).selectExpr("id", "CAST(id % 17 AS DOUBLE) AS a", "CAST(id % 5 AS DOUBLE) AS b", "CAST(id % 17 > 8 AS INT) AS y", "CAST(id % 3 AS INT) AS fold")
+    fits, plain = [], K.fold_fits
+    monkeypatch.setattr(K, "fold_fits", lambda *a: fits.append(1) or plain(*a))
+    small = {"numTrees": 2, "maxDepth": 2}
+    oof, test = K.multi_seed(df, df.drop("y", "fold"), ["a", "b"], "y", "classification", "rf", seed=4, n=2, params=small)
+    assert len(fits) == 1
+    each = [K.train_cv(df, df.drop("y", "fold"), ["a", "b"], "y", "classification", "rf", params=small, seed=s) for s in (4, 5)]
+    for side, got in enumerate((oof, test)):
+        want = [{r["id"]: r["p"] for r in e[side].collect()} for e in each]
+        found = {r["id"]: r["p"] for r in got.collect()}
+        assert len(found) == 300 and all(abs(found[i] - (want[0][i] + want[1][i]) / 2) < 1e-9 for i in found)
