@@ -272,3 +272,32 @@ def test_blocks_keep_their_numbers(x):
     back = B._whole(B._short(np.array(x)), len(x))
     assert back.tobytes() == np.array(x).tobytes()
     assert len(B._short(np.zeros(1000))) == 9 and len(B._short(np.arange(1000.0) % 2)) == 1001
+
+
+def test_blocks_grow_with_different_rows_only(spark):
+    """Copies of rows add to how many a place stands for, not to what a pass reads."""
+    x, y, w = rows(5)
+    found = {}
+    for times in (1, 7):
+        df = frame(spark, *(np.concatenate([v] * times) for v in (x, y, w)))
+        edges = {0: [np.unique(c[~np.isnan(c)])[:-1] for c in x.T]}
+        blocks = B.block_table(df, ["a", "b", "c"], edges, {0: np.zeros(1)}).toArrow()
+        opened = [B._opened(b, i, 3, 1) for b in blocks.to_batches() for i in range(b.num_rows)]
+        places = [(tuple(bins[:, k].tolist()), float(ys[k]), float(ws[k] / n[k])) for _, bins, ys, ws, n, _, _ in opened for k in range(len(ys))]
+        found[times] = sorted(places), sum(n.sum() for _, _, _, _, n, _, _ in opened), sum(ws.sum() for _, _, _, ws, _, _, _ in opened)
+    assert found[1][0] == found[7][0] and len(set(found[7][0])) == len(found[7][0])
+    assert [found[t][1:] for t in (1, 7)] == [(360 * t, w.sum() * t) for t in (1, 7)]
+
+
+@pytest.mark.parametrize("different", [0, 1, 5, 3000])
+def test_combined_keeps_all_rows(different):
+    rng = np.random.default_rng(different)
+    at = rng.integers(0, max(different, 1), 2000 if different else 0)
+    bins, y, w = rng.integers(0, 256, (2, 3000)).astype("uint8")[:, at], (at % 3 - 0.0) * np.where(at % 2, 1.0, -1.0), 1.0 + at % 5
+    n = rng.integers(1, 4, len(at))
+    _, *got = B.combined(bins, y, w, n)
+    tell = lambda b, y, w, n: sorted((*b[:, k].tolist(), y[k].tobytes(), w[k], int(n[k])) for k in range(len(y)))
+    want: dict = {}
+    for *own, k in tell(bins, y, w, n):
+        want[tuple(own)] = want.get(tuple(own), 0) + k
+    assert tell(*got) == sorted((*own, k) for own, k in want.items())
