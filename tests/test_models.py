@@ -1,5 +1,6 @@
 """Invariants of folds, training, calibration and attribution."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -197,3 +198,30 @@ def test_seeds_share_one_preparation(spark, monkeypatch):
         want = [{r["id"]: r["p"] for r in e[side].collect()} for e in each]
         found = {r["id"]: r["p"] for r in got.collect()}
         assert len(found) == 300 and all(abs(found[i] - (want[0][i] + want[1][i]) / 2) < 1e-9 for i in found)
+
+
+def test_calibration_of_all_sides_from_the_same_scans(spark):
+    """Slopes and intercepts are those of one regression a side and class, found
+    without one run of jobs for each of them."""
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
+
+    rng = np.random.default_rng(4)
+    prob, fold = rng.dirichlet([1, 2, 3], 600), rng.integers(0, 4, 600)
+    y = [int(rng.choice(3, p=p)) for p in prob]
+    oof = spark.createDataFrame([(i, int(fold[i]), y[i], prob[i].tolist()) for i in range(600)], "id long, fold int, y int, prob array<double>")
+    spark.sparkContext.setJobGroup("calibrated", "")
+    done, test = K.calibrate_multiclass(oof, oof.select("id", "prob"), 3)
+    got = {r["id"]: r["prob"] for r in done.collect()}
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("calibrated")) < 40
+    spark.sparkContext.setJobGroup("", "")
+    pack = VectorAssembler(inputCols=["p"], outputCol="_x")
+    for f in (1, 3):
+        raw = []
+        for c in range(3):
+            side = pack.transform(oof.filter(F.col("fold") != f).select(F.col("prob")[c].alias("p"), (F.col("y") == c).cast("double").alias("_y")))
+            m = LogisticRegression(featuresCol="_x", labelCol="_y", standardization=False, regParam=1.0 / side.count(), tol=1e-12).fit(side)
+            raw.append(1 / (1 + np.exp(-(m.coefficients[0] * prob[:, c] + m.intercept))))
+        want = (np.array(raw) / np.sum(raw, axis=0)).T
+        assert max(np.abs(np.array(got[i]) - want[i]).max() for i in range(600) if fold[i] == f) < 1e-5
+    assert len(got) == 600 and test.count() == 600
