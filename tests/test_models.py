@@ -225,3 +225,47 @@ def test_calibration_of_all_sides_from_the_same_scans(spark):
         want = (np.array(raw) / np.sum(raw, axis=0)).T
         assert max(np.abs(np.array(got[i]) - want[i]).max() for i in range(600) if fold[i] == f) < 1e-5
     assert len(got) == 600 and test.count() == 600
+
+
+def test_logistic_folds_from_the_same_scans(spark):
+    """All folds in few jobs, each the regression that Spark ML finds when it goes to
+    the end: with nulls, weights, a column of one value and rows that train only."""
+    from pyspark.ml.classification import LogisticRegression
+
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(900):
+        a, b = float(rng.normal(50, 9)), float(rng.integers(0, 4))
+        rows.append((i, i % 5 if i < 880 else None, i >= 880, float(rng.integers(1, 4)), None if i % 7 == 0 else a, b, 2.5, int(rng.random() < 1 / (1 + np.exp(50 - a - b)))))
+    df = spark.createDataFrame(rows, "id long, fold int, is_pseudo boolean, weight double, a double, b double, c double, y int")
+    cols, test = ["a", "b", "c"], df.drop("fold", "y", "is_pseudo", "weight")
+    test = test.unionByName(test.filter("id < 5"))  # rows that repeat count as one
+    spark.sparkContext.setJobGroup("folds", "")
+    oof, pred = K.train_cv(df, test, cols, "y", "classification", "lr")
+    got, mean = {r["id"]: r["p"] for r in oof.collect()}, {r["id"]: r["p"] for r in pred.collect()}
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("folds"))
+    spark.sparkContext.setJobGroup("", "")
+    assert jobs < 60 and len(got) == 880 and len(mean) == 900 and pred.count() == 900
+    marked = df.withColumn("_pseudo", F.col("is_pseudo"))
+    fits, every = K.fold_fits(marked, cols, list(range(5)), True), {i: 0.0 for i in mean}
+    for f in range(5):
+        side = K.fitted(marked.filter((F.col("fold") != f) | F.col("_pseudo")), fits[f]).withColumn("_y", F.col("y").cast("double"))
+        model = LogisticRegression(featuresCol="_x", labelCol="_y", weightCol="weight", maxIter=1000, tol=1e-14).fit(side)
+        want = {r["id"]: (r["fold"], r["p"]) for r in K.predicted(model, K.fitted(marked, fits[f]), "classification", ["id", "fold"]).collect()}
+        assert all(abs(got[i] - p) < 1e-6 for i, (g, p) in want.items() if g == f)
+        every = {i: p + want[i][1] / 5 for i, p in every.items()}
+    assert all(abs(mean[i] - every[i]) < 1e-6 for i in mean)
+
+
+def test_folds_without_a_finite_regression_go_to_spark_ml(spark):
+    """One class only, classes wholly told apart, missing values: as Spark ML has it."""
+    df = spark.range(120).selectExpr("id", "CAST(id % 3 AS INT) AS fold", "CAST(id AS DOUBLE) AS a", "CAST(id % 3 = 0 AS INT) AS one", "CAST(id > 60 AS INT) AS apart")
+    marked, test = df.withColumn("_pseudo", F.lit(False)), df.select("id", "a")
+    fits = K.fold_fits(marked, ["a"], [0, 1, 2], True)
+    assert set(K.logistic(marked, ["a"], "one", fits)) == {1, 2}
+    assert K.logistic(marked, ["a"], "apart", fits) == {}
+    assert set(K.logistic(marked.withColumn("one", F.when(F.col("id") != 4, F.col("one"))), ["a"], "one", fits)) == {1}
+    for y in ("one", "apart"):
+        oof, pred = K.train_cv(df, test, ["a"], y, "classification", "lr")
+        assert oof.count() == pred.count() == 120 and oof.filter("p IS NULL OR isnan(p) OR p < 0 OR p > 1").count() == 0
+    assert {r["p"] for r in K.train_cv(df, test, ["a"], "one", "classification", "lr")[0].filter("fold = 0").collect()} == {0.0}
