@@ -21,6 +21,8 @@ SIZE = FEATURES + 6
 WIDTH = 7
 SEGMENT = 64
 CACHE = 60_000
+#: Tokens whose features are worked out at once.
+TOKENS = 1 << 14
 #: Rows and bytes of text whose marginals are worked out at once.
 SLICE = 128, 1 << 20
 EDGE = re.compile(r"^\W+|\W+$")
@@ -38,6 +40,46 @@ def feature_ids(token: str) -> list[int]:
     return [zlib.crc32(f.encode("utf-8", "surrogatepass")) % FEATURES for f in word_features(token)]
 
 
+#: Crc of the mark in front of a feature's text.
+MARKS = {m: zlib.crc32(m.encode()) for m in ("w:", "p3:", "p4:", "p5:", "p6:", "s:")}
+SHAPES = np.array([zlib.crc32(f"f:{edge}{upper}{n}".encode()) for edge in (False, True) for upper in (False, True) for n in range(13)], "int64")
+#: Crc of each byte behind a state of none: a step of a crc is a look into it.
+STEPS = np.array([zlib.crc32(bytes([k]), 0xFFFFFFFF) ^ 0xFFFFFFFF for k in range(256)], "uint32")
+
+
+def crcs(raw: np.ndarray, start: np.ndarray, end: np.ndarray, before: int) -> np.ndarray:
+    """Crc32 of each raw[start:end], as carried on from `before`."""
+    state, left = np.full(len(start), before ^ 0xFFFFFFFF, "uint32"), end - start
+    for k in range(int(left.max(initial=0))):
+        own = slice(None) if (left > k).all() else np.flatnonzero(left > k)
+        now = state[own]
+        state[own] = STEPS[(now ^ raw[start[own] + k]) & 0xFF] ^ (now >> 8)
+    return (state ^ np.uint32(0xFFFFFFFF)).astype("int64")
+
+
+def feature_table(tokens: list[str]) -> np.ndarray:
+    """`feature_ids` of many tokens, a row each; -1: the word is too short for a
+    beginning. Beginnings and endings are a few bytes of one text of all words, so
+    their crcs are worked out for all words at once."""
+    words = [t.lower() for t in tokens]
+    words = [w if w[0].isalnum() and w[-1].isalnum() else EDGE.sub("", w) for w in words]
+    coded = [w.encode("utf-8", "surrogatepass") for w in words]
+    size = np.fromiter(map(len, words), "int64", len(words))
+    raw = np.frombuffer(b"".join(coded), "uint8")
+    # place of each character's first byte, so that beginnings are of characters
+    at = np.append(np.flatnonzero((raw & 0xC0) != 0x80), len(raw))
+    head = np.cumsum(size) - size
+    out = np.full((len(words), WIDTH), -1, "int64")
+    out[:, 0] = np.fromiter((zlib.crc32(w, MARKS["w:"]) for w in coded), "int64", len(words))
+    for k in (3, 4, 5, 6):
+        rows = np.flatnonzero(size >= k)
+        out[rows, k - 2] = crcs(raw, at[head[rows]], at[head[rows] + k], MARKS[f"p{k}:"])
+    out[:, 5] = crcs(raw, at[head + np.maximum(size - 3, 0)], at[head + size], MARKS["s:"])
+    edge, upper = np.fromiter(map(len, tokens), "int64", len(tokens)) != size, np.fromiter((t[0].isupper() for t in tokens), "bool", len(tokens))
+    out[:, 6] = SHAPES[(2 * edge + upper) * 13 + np.minimum(size, 12)]
+    return np.where(out < 0, -1, out % FEATURES)
+
+
 def messages(score: np.ndarray, lengths: np.ndarray, trans: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Forward and backward messages of chains laid end to end, one chain a text
     however long, each as the odds of state 1 to state 0. `score`: log odds that
@@ -129,18 +171,29 @@ class Field:
     def __getstate__(self):
         return self.__dict__ | {"_scores": {}}
 
-    def token_scores(self, tokens: list[str]) -> np.ndarray:
+    def know(self, tokens: set[str]) -> None:
+        """Have the scores of `tokens` at hand."""
         known = self._scores
-        new = set(tokens).difference(known)
+        new = tokens.difference(known)
         if len(known) + len(new) > CACHE:
             known.clear()
-            new = set(tokens)
-        known.update((t, float(self.weights[feature_ids(t)].sum())) for t in new)
-        return np.fromiter(map(known.__getitem__, tokens), "float64", len(tokens))
+            new = tokens
+        new = list(new)
+        for at in range(0, len(new), TOKENS):
+            part = new[at : at + TOKENS]
+            ids = feature_table(part)
+            known.update(zip(part, np.where(ids < 0, np.float32(0), self.weights[ids]).sum(axis=1).tolist()))
+
+    def token_scores(self, tokens: list[str]) -> np.ndarray:
+        if any(t not in self._scores for t in tokens):
+            self.know(set(tokens))
+        return np.fromiter(map(self._scores.__getitem__, tokens), "float64", len(tokens))
 
     def marginals(self, texts: list[str]) -> list[np.ndarray]:
         """Of each whole text, P(toxic) of each token."""
-        return forward_backward([self.token_scores(t.split()) for t in texts], self.trans, self.start)[0]
+        tokens = [t.split() for t in texts]
+        self.know(set().union(*tokens))
+        return forward_backward([np.fromiter(map(self._scores.__getitem__, t), "float64", len(t)) for t in tokens], self.trans, self.start)[0]
 
     def document_features(self, marginals: list[np.ndarray]) -> np.ndarray:
         out = np.zeros((len(marginals), 4))

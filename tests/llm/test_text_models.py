@@ -281,6 +281,21 @@ def test_chains_of_all_lengths_together():
     assert all(np.isfinite(p).all() for p in toxicity.forward_backward(extreme, trans, start)[0])
 
 
+def test_features_of_many_words_at_once(monkeypatch):
+    """Equal to those of each word, which took most of the time when scored one by one."""
+    rng, letters = np.random.default_rng(6), ["a", "B", "7", "_", "-", "'", "\xdf", "\u0130", "\u03a3", "\xe9", "\u0301", "\u4e2d", "\U0001f600", "\ud800"]
+    words = sorted({"".join(rng.choice(letters, n)) for n in rng.integers(1, 16, 3000)}, key=ascii)
+    each = [toxicity.feature_ids(w) for w in words]
+    assert [[x for x in row if x >= 0] for row in toxicity.feature_table(words).tolist()] == each
+    assert toxicity.feature_table([]).shape == (0, toxicity.WIDTH)
+    field, calls = toxicity.Field(rng.normal(0, 0.1, toxicity.SIZE).astype("float32")), []
+    want = [float(field.weights[ids].sum()) for ids in each]
+    monkeypatch.setattr(toxicity, "feature_ids", lambda t: calls.append(t))
+    monkeypatch.setattr(toxicity, "CACHE", 100)
+    assert field.token_scores(words).tolist() == want
+    assert field.marginals([" ".join(words), ""])[0].shape == (len(words),) and not calls
+
+
 def test_last_token_counts_at_any_length():
     field = toxicity.Field()
     field.weights[toxicity.feature_ids("zork")] = 2.0
